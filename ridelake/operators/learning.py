@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml import Pipeline, PipelineModel, Transformer
+from pyspark import StorageLevel
+from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import (
     GBTClassifier,
     LinearSVC,
@@ -108,9 +109,12 @@ def gradient_boosting(rounds: int = 20, depth: int = 3, seed: int = SEED) -> One
     return OneVsRest(classifier=GBTClassifier(maxIter=rounds, maxDepth=depth, seed=seed), parallelism=4)
 
 
-def support_vectors(iterations: int = 50) -> OneVsRest:
-    """Linear kernel, the one Spark ML has; without class probabilities."""
-    return OneVsRest(classifier=LinearSVC(maxIter=iterations), parallelism=4)
+def support_vectors(iterations: int = 20, penalty: float = 0.01) -> OneVsRest:
+    """Linear kernel, the one Spark ML has; without class probabilities.
+
+    The penalty keeps the objective strictly convex: without one the search may not settle.
+    """
+    return OneVsRest(classifier=LinearSVC(maxIter=iterations, regParam=penalty), parallelism=4)
 
 
 def logistic(iterations: int = 1000) -> LogisticRegression:
@@ -135,12 +139,17 @@ def train(df: DataFrame, columns: Sequence[str], classifier, label: str = "label
     scaled = ", ".join(
         f"(CAST({c} AS DOUBLE) - ({scale[c][0]!r}D)) / ({scale[c][1]!r}D) AS scaled_{c}" for c in columns
     )
-    stages = [
+    prepare = [
         SQLTransformer(statement=f"SELECT *, {scaled} FROM __THIS__"),
         VectorAssembler(inputCols=[f"scaled_{c}" for c in columns], outputCol="features"),
-        classifier.copy().setLabelCol(label),
     ]
-    return Pipeline(stages=stages).fit(df)
+    # Fitting passes over the rows many times: they are kept, not derived anew each time.
+    vectors = PipelineModel(prepare).transform(df).select("features", label).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        fitted = classifier.copy().setLabelCol(label).fit(vectors)
+    finally:
+        vectors.unpersist()
+    return PipelineModel([*prepare, fitted])
 
 
 def has_probabilities(model: PipelineModel) -> bool:

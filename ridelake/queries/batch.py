@@ -191,7 +191,7 @@ _BASE = ", ".join(
 
 @register(f"WITH {SILVER} SELECT hour_of_day, {_BASE} FROM silver GROUP BY hour_of_day")
 def hourly_stats(spark, sf):
-    return settle(gold.hourly_stats(silver_of(spark, sf)), AVERAGES, ("total_revenue",))
+    return settle(gold.hourly_stats(silver_of(spark, sf)), *AVERAGES, "total_revenue")
 
 
 @register(
@@ -200,7 +200,7 @@ def hourly_stats(spark, sf):
     {total('fare_amount', 'total_revenue')} FROM variant GROUP BY hour_of_day"""
 )
 def hourly_stats_variant(spark, sf):
-    return settle(gold.hourly_stats_variant(variant_of(spark, sf)), AVERAGES, ("total_revenue",))
+    return settle(gold.hourly_stats_variant(variant_of(spark, sf)), *AVERAGES, "total_revenue")
 
 
 _DATE = "CAST(tpep_pickup_datetime AS DATE)"
@@ -218,7 +218,7 @@ _DAILY = f"daily AS (SELECT {_DATE} AS trip_date, {_BASE}, {avg('passenger_count
 @register(f"WITH {SILVER}, {_DAILY}, {_peak('silver')} SELECT * FROM daily LEFT JOIN peak USING (trip_date)")
 def daily_stats(spark, sf):
     daily = gold.daily_stats(silver_of(spark, sf))
-    return settle(daily, (*AVERAGES, "avg_passenger_count"), ("total_revenue",))
+    return settle(daily, *AVERAGES, "avg_passenger_count", "total_revenue")
 
 
 @register(f"WITH {SILVER}, {_DAILY}, {_peak('silver')} SELECT * FROM daily LEFT JOIN peak USING (trip_date)")
@@ -227,7 +227,7 @@ def join_daily_peak(spark, sf):
     measures = {**gold.BASE_MEASURES, "avg_passenger_count": "avg(passenger_count)"}
     daily = gold.rollup(gold.with_trip_date(rows), ["trip_date"], measures)
     joined = gold.join_daily_peak(daily, gold.peak_hour(rows))
-    return settle(joined, (*AVERAGES, "avg_passenger_count"), ("total_revenue",))
+    return settle(joined, *AVERAGES, "avg_passenger_count", "total_revenue")
 
 
 _DAILY_VARIANT = f"""daily AS (SELECT {_DATE} AS trip_date, count(*) AS daily_trip_count,
@@ -235,7 +235,7 @@ _DAILY_VARIANT = f"""daily AS (SELECT {_DATE} AS trip_date, count(*) AS daily_tr
 
 
 def _daily_variant(spark, sf):
-    return settle(gold.daily_stats_variant(variant_of(spark, sf)), ("daily_avg_fare",), ("daily_total_revenue",))
+    return settle(gold.daily_stats_variant(variant_of(spark, sf)), "daily_avg_fare", "daily_total_revenue")
 
 
 _DAILY_VARIANT_SQL = f"WITH {VARIANT}, {_DAILY_VARIANT}, {_peak('variant')} SELECT * FROM daily JOIN peak USING (trip_date)"
@@ -266,13 +266,13 @@ ZONE_AGGREGATES = ", ".join([avg("fare_amount", "avg_fare"), "count(*) AS trip_c
 
 @register(f"WITH {SILVER} SELECT PULocationID, DOLocationID, {ZONE_AGGREGATES} FROM silver GROUP BY 1, 2")
 def zone_pair_stats(spark, sf):
-    return settle(gold.zone_stats(silver_of(spark, sf)), ("avg_fare", "avg_distance"))
+    return settle(gold.zone_stats(silver_of(spark, sf)), "avg_fare", "avg_distance")
 
 
 @register(_LOCATED + f"SELECT geo_bucket_id, {ZONE_AGGREGATES} FROM placed WHERE {QUALITY} GROUP BY 1")
 def zone_geo_stats(spark, sf):
     placed = silver.geo_bucket(silver.quality_filter(located_trips(spark, sf)))
-    return settle(gold.zone_stats(placed), ("avg_fare", "avg_distance"))
+    return settle(gold.zone_stats(placed), "avg_fare", "avg_distance")
 
 
 @register(
@@ -280,7 +280,7 @@ def zone_geo_stats(spark, sf):
     {avg('trip_distance', 'zone_avg_distance')} FROM variant GROUP BY 1"""
 )
 def zone_pickup_stats(spark, sf):
-    return settle(gold.zone_pickup_stats(variant_of(spark, sf)), ("zone_avg_fare", "zone_avg_distance"))
+    return settle(gold.zone_pickup_stats(variant_of(spark, sf)), "zone_avg_fare", "zone_avg_distance")
 
 
 @register(
@@ -288,7 +288,7 @@ def zone_pickup_stats(spark, sf):
     {avg('trip_distance', 'avg_distance')}, {avg('fare_amount', 'avg_fare')} FROM silver GROUP BY 1, 2"""
 )
 def driver_patterns(spark, sf):
-    return settle(gold.driver_patterns(silver_of(spark, sf)), ("avg_distance", "avg_fare"), ("total_revenue",))
+    return settle(gold.driver_patterns(silver_of(spark, sf)), "avg_distance", "avg_fare", "total_revenue")
 
 
 _WEEKDAY_FARE = f"WITH {VARIANT} SELECT day_of_week, {avg('fare_amount', 'avg_fare')} FROM variant GROUP BY 1 ORDER BY 1"
@@ -296,12 +296,12 @@ _WEEKDAY_FARE = f"WITH {VARIANT} SELECT day_of_week, {avg('fare_amount', 'avg_fa
 
 @register(_WEEKDAY_FARE)
 def weekday_fare(spark, sf):
-    return settle(gold.weekday_fare(variant_of(spark, sf)), ("avg_fare",))
+    return settle(gold.weekday_fare(variant_of(spark, sf)), "avg_fare")
 
 
 @register(_WEEKDAY_FARE)
 def order_by(spark, sf):
-    return settle(gold.rollup(variant_of(spark, sf), ["day_of_week"], {"avg_fare": "avg(fare_amount)"}), ("avg_fare",)).orderBy(
+    return settle(gold.rollup(variant_of(spark, sf), ["day_of_week"], {"avg_fare": "avg(fare_amount)"}), "avg_fare").orderBy(
         "day_of_week"
     )
 
@@ -332,7 +332,7 @@ def stage_counts(spark, sf):
 )
 def feature_rename(spark, sf):
     zones = gold.rollup(silver_of(spark, sf), ["PULocationID"], gold.ZONE_MEASURES)
-    return settle(gold.feature_rename(zones, "zone"), ("zone_avg_fare", "zone_avg_distance"))
+    return settle(gold.feature_rename(zones, "zone"), "zone_avg_fare", "zone_avg_distance")
 
 
 @register(

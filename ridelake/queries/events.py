@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 from ridelake.functions import ridejson
 from ridelake.functions.clock import epoch_seconds
 from ridelake.operators import anomalies, windows
-from ridelake.queries.registry import AVG_DIGITS, RIDES, SUM_DIGITS, avg, register, settle, total
+from ridelake.queries.registry import RIDES, avg, register, settle, settled, total
 from ridelake.sources.replay import iso_text
 from ridelake.sources.sample_shapes import prediction_events, rides
 from ridelake.streaming import predictions
 
-METRICS = (("avg_fare", "avg_distance"), ("total_revenue",))
+METRICS = ("avg_fare", "avg_distance", "total_revenue")
 _FARES = f"count(*) AS ride_count, {avg('fare_amount', 'avg_fare')}, {total('fare_amount', 'total_revenue')}"
 _MILES = avg("trip_distance", "avg_distance")
 
@@ -71,20 +71,20 @@ def unified_window_metrics(spark, sf):
       sum(fare_amount) AS total FROM rides GROUP BY 1),
     calendar AS (SELECT unnest(generate_series((SELECT min(window_start) FROM filled), (SELECT max(window_start) FROM filled),
       INTERVAL '5' MINUTE)) AS window_start)
-    SELECT window_start, coalesce(n, 0) AS ride_count, round(total / n, {AVG_DIGITS}) AS avg_value,
-      round(coalesce(total, 0), {SUM_DIGITS}) AS total_value FROM calendar LEFT JOIN filled USING (window_start)"""
+    SELECT window_start, coalesce(n, 0) AS ride_count, CAST(CAST(total / n AS FLOAT) AS DOUBLE) AS avg_value,
+      CAST(CAST(coalesce(total, 0) AS FLOAT) AS DOUBLE) AS total_value FROM calendar LEFT JOIN filled USING (window_start)"""
 )
 def tumbling_gap_fill(spark, sf):
-    return settle(windows.tumbling_gap_fill(rides(spark, sf)), ("avg_value",), ("total_value",))
+    return settle(windows.tumbling_gap_fill(rides(spark, sf)), "avg_value", "total_value")
 
 
 @register(
-    f"""WITH {RIDES} SELECT ride_id, pickup_ts, fare_amount, round(avg(fare_amount) OVER (ORDER BY pickup_ts
-      RANGE BETWEEN INTERVAL '899.999999' SECOND PRECEDING AND CURRENT ROW), {AVG_DIGITS}) AS rolling_mean FROM rides"""
+    f"""WITH {RIDES} SELECT ride_id, pickup_ts, fare_amount, CAST(CAST(avg(fare_amount) OVER (ORDER BY pickup_ts
+      RANGE BETWEEN INTERVAL '899.999999' SECOND PRECEDING AND CURRENT ROW) AS FLOAT) AS DOUBLE) AS rolling_mean FROM rides"""
 )
 def rolling_mean(spark, sf):
     smoothed = windows.rolling_mean(rides(spark, sf).select("ride_id", "pickup_ts", "fare_amount"), "fare_amount")
-    return settle(smoothed, ("rolling_mean",))
+    return settle(smoothed, "rolling_mean")
 
 
 PRIOR = f"""prior AS (SELECT *,
@@ -112,14 +112,13 @@ FLAGGED = f"{PRIOR}, flagged AS (SELECT {RIDE_COLUMNS}, {REASONS} AS reasons FRO
 
 
 @register(
-    f"""WITH {RIDES}, {PRIOR} SELECT ride_id, vendor_id, c AS prior_count, round(m, 6) AS prior_mean,
-    round(sd, 6) AS prior_std FROM prior"""
+    f"""WITH {RIDES}, {PRIOR} SELECT ride_id, vendor_id, c AS prior_count, {settled('m')} AS prior_mean,
+    {settled('sd')} AS prior_std FROM prior"""
 )
 def running_vendor_stats(spark, sf):
     stats = anomalies.running_vendor_stats(rides(spark, sf))
-    return stats.select(
-        "ride_id", "vendor_id", "prior_count", F.round("prior_mean", 6).alias("prior_mean"), F.round("prior_std", 6).alias("prior_std")
-    )
+    shown = stats.select("ride_id", "vendor_id", "prior_count", "prior_mean", "prior_std")
+    return settle(shown, "prior_mean", "prior_std")
 
 
 @register(f"WITH {RIDES}, {FLAGGED} SELECT * FROM flagged")
@@ -150,27 +149,27 @@ def anomalies_per_minute(spark, sf):
 
 
 @register(
-    f"""WITH {RIDES} SELECT ride_id, fare_amount, round((fare_amount - mu) / sigma, {AVG_DIGITS}) AS z,
+    f"""WITH {RIDES} SELECT ride_id, fare_amount, CAST(CAST((fare_amount - mu) / sigma AS FLOAT) AS DOUBLE) AS z,
       abs((fare_amount - mu) / sigma) > 2.5 AS is_anomaly
     FROM rides, (SELECT avg(fare_amount) AS mu, CASE WHEN stddev_pop(fare_amount) = 0 THEN 1 ELSE stddev_pop(fare_amount) END
                  AS sigma FROM rides)"""
 )
 def zscore_flag(spark, sf):
     flagged = anomalies.zscore_flag(rides(spark, sf).select("ride_id", "fare_amount"), "fare_amount")
-    return settle(flagged, ("z",))
+    return settle(flagged, "z")
 
 
 @register(
     f"""WITH {RIDES}, m AS (SELECT avg(fare_amount) AS mu, stddev_pop(fare_amount) AS sigma FROM rides),
     f AS (SELECT fare_amount, abs((fare_amount - mu) / sigma) > 2.5 AS hit FROM rides, m)
-    SELECT round(avg(CAST(hit AS INT)), {AVG_DIGITS}) AS anomaly_rate, CAST(count(*) FILTER (hit) AS BIGINT) AS flagged,
-      round(avg(fare_amount) FILTER (hit), {AVG_DIGITS}) AS flagged_mean,
-      round(stddev_samp(fare_amount) FILTER (hit), {AVG_DIGITS}) AS flagged_std,
+    SELECT CAST(CAST(avg(CAST(hit AS INT)) AS FLOAT) AS DOUBLE) AS anomaly_rate, CAST(count(*) FILTER (hit) AS BIGINT) AS flagged,
+      CAST(CAST(avg(fare_amount) FILTER (hit) AS FLOAT) AS DOUBLE) AS flagged_mean,
+      CAST(CAST(stddev_samp(fare_amount) FILTER (hit) AS FLOAT) AS DOUBLE) AS flagged_std,
       min(fare_amount) FILTER (hit) AS flagged_min, max(fare_amount) FILTER (hit) AS flagged_max FROM f"""
 )
 def anomaly_rate(spark, sf):
     flagged = anomalies.zscore_flag(rides(spark, sf), "fare_amount")
-    return settle(anomalies.anomaly_rate(flagged, "fare_amount"), ("anomaly_rate", "flagged_mean", "flagged_std"))
+    return settle(anomalies.anomaly_rate(flagged, "fare_amount"), "anomaly_rate", "flagged_mean", "flagged_std")
 
 
 @register(f"""WITH {RIDES} SELECT ride_id, CASE WHEN CAST(ride_id AS BIGINT) % 3 = 0 THEN 'unknown' ELSE vendor_id END AS vendor_id FROM rides""")

@@ -7,9 +7,16 @@ from pyspark.sql import functions as F
 from ridelake.functions import scoring
 from ridelake.operators import learning as ml
 from ridelake.plans import model_choice
-from ridelake.queries.registry import AVG_DIGITS, SCORED, VECTORS, register, settle
+from ridelake.queries.registry import SCORED, VECTORS, register, settle
 from ridelake.session import scratch_path
-from ridelake.sources.sample_shapes import VECTOR_COLUMNS, labelled_vectors, measured_items, table
+from ridelake.sources.sample_shapes import (
+    RIDE_FEATURES,
+    VECTOR_COLUMNS,
+    labelled_rides,
+    labelled_vectors,
+    measured_items,
+    table,
+)
 
 
 @register(
@@ -44,7 +51,7 @@ def split_stratified(spark, sf):
 
 
 def _scaled(c: str) -> str:
-    return f"round(({c} - (SELECT avg({c}) FROM fit)) / (SELECT stddev_pop({c}) FROM fit), {AVG_DIGITS}) AS {c}"
+    return f"CAST(CAST(({c} - (SELECT avg({c}) FROM fit)) / (SELECT stddev_pop({c}) FROM fit) AS FLOAT) AS DOUBLE) AS {c}"
 
 
 @register(
@@ -54,7 +61,7 @@ def _scaled(c: str) -> str:
 def standard_scale(spark, sf):
     rows = labelled_vectors(spark, sf).drop("label")
     scaled = ml.standard_scale(rows, VECTOR_COLUMNS, train=rows.filter("vec_id % 5 < 3"))
-    return settle(scaled, VECTOR_COLUMNS)
+    return settle(scaled, *VECTOR_COLUMNS)
 
 
 def scored_items(spark, sf):
@@ -95,21 +102,21 @@ def classification_report(spark, sf):
     return ml.classification_report(scored_items(spark, sf)).drop("hits")
 
 
-_METRICS = f"""SELECT round(sum(hits) / sum(support), {AVG_DIGITS}) AS accuracy, round(avg(f1), {AVG_DIGITS}) AS f1_macro,
-  round(sum(precision * support) / sum(support), {AVG_DIGITS}) AS precision_weighted,
-  round(sum(recall * support) / sum(support), {AVG_DIGITS}) AS recall_weighted,
-  round(sum(f1 * support) / sum(support), {AVG_DIGITS}) AS f1_weighted FROM report"""
+_METRICS = f"""SELECT CAST(CAST(sum(hits) / sum(support) AS FLOAT) AS DOUBLE) AS accuracy, CAST(CAST(avg(f1) AS FLOAT) AS DOUBLE) AS f1_macro,
+  CAST(CAST(sum(precision * support) / sum(support) AS FLOAT) AS DOUBLE) AS precision_weighted,
+  CAST(CAST(sum(recall * support) / sum(support) AS FLOAT) AS DOUBLE) AS recall_weighted,
+  CAST(CAST(sum(f1 * support) / sum(support) AS FLOAT) AS DOUBLE) AS f1_weighted FROM report"""
 METRIC_NAMES = ("accuracy", "f1_macro", "precision_weighted", "recall_weighted", "f1_weighted")
 
 
 @register(f"WITH {_REPORT} {_METRICS}")
 def evaluate(spark, sf):
-    return settle(ml.evaluate(scored_items(spark, sf)), METRIC_NAMES)
+    return settle(ml.evaluate(scored_items(spark, sf)), *METRIC_NAMES)
 
 
 @register(f"WITH {_REPORT} SELECT *, accuracy >= 0.82 AS passed, CAST(0.82 AS DOUBLE) AS threshold FROM ({_METRICS})")
 def accuracy_gate(spark, sf):
-    return settle(ml.accuracy_gate(ml.evaluate(scored_items(spark, sf))), METRIC_NAMES)
+    return settle(ml.accuracy_gate(ml.evaluate(scored_items(spark, sf))), *METRIC_NAMES)
 
 
 @register(
@@ -122,7 +129,7 @@ def confusion_matrix(spark, sf):
 
 
 @register(
-    f"""WITH {SCORED} SELECT l_returnflag AS model, round(avg(CAST(label = prediction AS INT)), {AVG_DIGITS}) AS val_f1
+    f"""WITH {SCORED} SELECT l_returnflag AS model, CAST(CAST(avg(CAST(label = prediction AS INT)) AS FLOAT) AS DOUBLE) AS val_f1
     FROM scored GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 1"""
 )
 def top_model(spark, sf):
@@ -130,16 +137,16 @@ def top_model(spark, sf):
     agreed = scored_items(spark, sf).groupBy(F.col("l_returnflag").alias("model")).agg(
         F.avg((F.col("label") == F.col("prediction")).cast("int")).alias("val_f1")
     )
-    return ml.top_model(settle(agreed, ("val_f1",)))
+    return ml.top_model(settle(agreed, "val_f1"))
 
 
 def _parts(spark, sf):
-    return model_choice.split_parts(labelled_vectors(spark, sf), "vec_id", "label")
+    return model_choice.split_parts(labelled_rides(spark, sf), "event_id", "label")
 
 
 def _trained(spark, sf, classifier):
     parts = _parts(spark, sf)
-    model = ml.train(parts["train"], VECTOR_COLUMNS, classifier)
+    model = ml.train(parts["train"], RIDE_FEATURES, classifier)
     return ml.evaluate(ml.batch_inference(model, parts["test"]))
 
 
@@ -165,45 +172,45 @@ def train_logistic(spark, sf):
 
 @register()
 def param_sweep(spark, sf):
-    return ml.param_sweep(_parts(spark, sf), VECTOR_COLUMNS)
+    return ml.param_sweep(_parts(spark, sf), RIDE_FEATURES)
 
 
 @register()
 def model_selection(spark, sf):
     choices = {name: ml.CLASSIFIERS[name] for name in ("RandomForest", "LogisticRegression")}
-    return model_choice.choose_model(labelled_vectors(spark, sf), "vec_id", VECTOR_COLUMNS, classifiers=choices)[0]
+    return model_choice.choose_model(labelled_rides(spark, sf), "event_id", RIDE_FEATURES, classifiers=choices)[0]
 
 
 @register()
 def feature_importance(spark, sf):
-    model = ml.train(_parts(spark, sf)["train"], VECTOR_COLUMNS, ml.random_forest())
-    return ml.feature_importance(spark, model, VECTOR_COLUMNS)
+    model = ml.train(_parts(spark, sf)["train"], RIDE_FEATURES, ml.random_forest())
+    return ml.feature_importance(spark, model, RIDE_FEATURES)
 
 
 @register()
 def batch_inference(spark, sf):
-    rows = labelled_vectors(spark, sf)
-    model = ml.train(rows, VECTOR_COLUMNS, ml.logistic())
-    return ml.batch_inference(model, rows, probabilities=True).select("vec_id", "prediction", "probabilities")
+    rows = labelled_rides(spark, sf)
+    model = ml.train(rows, RIDE_FEATURES, ml.logistic())
+    return ml.batch_inference(model, rows, probabilities=True).select("event_id", "prediction", "probabilities")
 
 
 @register()
 def predict_proba(spark, sf):
-    rows = labelled_vectors(spark, sf)
-    model = ml.train(rows, VECTOR_COLUMNS, ml.random_forest())
+    rows = labelled_rides(spark, sf)
+    model = ml.train(rows, RIDE_FEATURES, ml.random_forest())
     scored = ml.batch_inference(model, rows, probabilities=True)
-    return scored.select("vec_id", F.posexplode("probabilities").alias("class", "probability"))
+    return scored.select("event_id", F.posexplode("probabilities").alias("class", "probability"))
 
 
-@register("SELECT count(*) AS rows, CAST(0 AS BIGINT) AS changed FROM embeddings")
+@register("SELECT count(*) AS rows, CAST(0 AS BIGINT) AS changed FROM events")
 def save_load_model(spark, sf):
     """Predictions of a saved and reloaded model next to those of the original."""
-    rows = labelled_vectors(spark, sf)
-    model = ml.train(rows, VECTOR_COLUMNS, ml.logistic())
+    rows = labelled_rides(spark, sf)
+    model = ml.train(rows, RIDE_FEATURES, ml.logistic())
     loaded = ml.load_model(ml.save_model(model, scratch_path(spark, "model")))
-    first = ml.batch_inference(model, rows).select("vec_id", F.col("prediction").alias("before"))
-    second = ml.batch_inference(loaded, rows).select("vec_id", "prediction")
-    both = first.join(second, "vec_id", "full")
+    first = ml.batch_inference(model, rows).select("event_id", F.col("prediction").alias("before"))
+    second = ml.batch_inference(loaded, rows).select("event_id", "prediction")
+    both = first.join(second, "event_id", "full")
     return both.agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("before").eqNullSafe(F.col("prediction"))).alias("changed")
     )

@@ -29,13 +29,13 @@ NEWEST = "newest AS (SELECT * EXCLUDE (n) FROM (SELECT *, row_number() OVER (PAR
 
 
 def zone_view(spark, sf):
-    rows = settle(gold.daily_zone_features(silver_of(spark, sf)), ("zone_avg_fare", "zone_avg_distance"))
+    rows = settle(gold.daily_zone_features(silver_of(spark, sf)), "zone_avg_fare", "zone_avg_distance")
     return features.ZONE_FEATURES.bind(lambda: rows)
 
 
 def daily_view(spark, sf):
     daily = gold.feature_rename(gold.daily_stats(silver_of(spark, sf)), "daily")
-    rows = settle(daily, ("daily_avg_fare",), ("daily_total_revenue",)).select(
+    rows = settle(daily, "daily_avg_fare", "daily_total_revenue").select(
         F.col("peak_hour").alias("hour_of_day"),
         F.date_add("trip_date", 1).cast("timestamp_ntz").alias("event_timestamp"),
         *features.DAILY_TRIP_FEATURES.fields,

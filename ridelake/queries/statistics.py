@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ridelake.functions import rides as rules
 from ridelake.operators import drift, profiling
 from ridelake.queries.batch import silver_of
-from ridelake.queries.registry import AVG_DIGITS, QUALITY, SILVER, TRIPS, VECTORS, avg, register, settle
+from ridelake.queries.registry import QUALITY, SILVER, TRIPS, VECTORS, avg, register, settle
 from ridelake.sources.sample_shapes import VECTOR_COLUMNS, labelled_vectors, table, trips
 
 ITEM_COLUMNS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
@@ -26,7 +26,7 @@ def _quantile(column: str, p: float) -> str:
 
 
 _DESCRIBE = (
-    f"SELECT '{{c}}' AS column_name, count({{c}}) AS count, {avg('{c}', 'mean')}, round(stddev_samp({{c}}), {AVG_DIGITS}) AS std, "
+    f"SELECT '{{c}}' AS column_name, count({{c}}) AS count, {avg('{c}', 'mean')}, CAST(CAST(stddev_samp({{c}}) AS FLOAT) AS DOUBLE) AS std, "
     "min({c}) AS min, quantile_cont({c}, 0.25) AS q25, quantile_cont({c}, 0.5) AS q50, quantile_cont({c}, 0.75) AS q75, "
     "max({c}) AS max FROM lineitem"
 )
@@ -34,7 +34,7 @@ _DESCRIBE = (
 
 @register(_each(ITEM_COLUMNS, _DESCRIBE))
 def describe(spark, sf):
-    return settle(profiling.describe(items(spark, sf), ITEM_COLUMNS), ("mean", "std"))
+    return settle(profiling.describe(items(spark, sf), ITEM_COLUMNS), "mean", "std")
 
 
 @register(
@@ -152,7 +152,7 @@ _RULES = {
 
 
 def _share(metric: str, condition: str) -> str:
-    return f"SELECT '{metric}' AS metric, round(avg(CAST(({condition}) AS INT)), {AVG_DIGITS}) AS value FROM trips"
+    return f"SELECT '{metric}' AS metric, CAST(CAST(avg(CAST(({condition}) AS INT)) AS FLOAT) AS DOUBLE) AS value FROM trips"
 
 
 @register(
@@ -165,30 +165,30 @@ def _share(metric: str, condition: str) -> str:
 )
 def quality_metrics(spark, sf):
     keys = ["VendorID", "PULocationID", "tpep_pickup_datetime"]
-    return settle(profiling.quality_metrics(trips(spark, sf), keys), ("value",))
+    return settle(profiling.quality_metrics(trips(spark, sf), keys), "value")
 
 
 _SPREAD = ", ".join(
-    f"round(quantile_cont({{c}}, {p}), {AVG_DIGITS}) AS {name}"
+    f"CAST(CAST(quantile_cont({{c}}, {p}) AS FLOAT) AS DOUBLE) AS {name}"
     for name, p in {"p01": 0.01, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p99": 0.99}.items()
 )
 
 
 @register(f"WITH {SILVER} " + _each(("speed_mph", "fare_per_mile"), f"SELECT '{{c}}' AS column_name, {_SPREAD} FROM silver"))
 def quality_spread(spark, sf):
-    return settle(profiling.spread_metrics(silver_of(spark, sf)), ("p01", "p25", "p50", "p75", "p99"))
+    return settle(profiling.spread_metrics(silver_of(spark, sf)), "p01", "p25", "p50", "p75", "p99")
 
 
 _REPORT = (
     f"SELECT '{{c}}' AS column_name, count(*) AS count, count(*) FILTER ({{c}} IS NULL) AS missing, min({{c}}) AS min, "
-    f"max({{c}}) AS max, {avg('{c}', 'mean')}, round(stddev_samp({{c}}), {AVG_DIGITS}) AS std, count(DISTINCT {{c}}) AS distinct_values, "
+    f"max({{c}}) AS max, {avg('{c}', 'mean')}, CAST(CAST(stddev_samp({{c}}) AS FLOAT) AS DOUBLE) AS std, count(DISTINCT {{c}}) AS distinct_values, "
     "quantile_cont({c}, 0.25) AS q25, quantile_cont({c}, 0.5) AS q50, quantile_cont({c}, 0.75) AS q75 FROM lineitem"
 )
 
 
 @register(_each(ITEM_COLUMNS, _REPORT))
 def data_quality_report(spark, sf):
-    return settle(profiling.data_quality_report(items(spark, sf), ITEM_COLUMNS), ("mean", "std"))
+    return settle(profiling.data_quality_report(items(spark, sf), ITEM_COLUMNS), "mean", "std")
 
 
 @register(
@@ -251,9 +251,9 @@ def _divergence(c: str) -> str:
 _DRIFT = f"{_PARTS}, drift AS (" + " UNION ALL ".join([_distance(c) for c in NUMERIC] + [_divergence(c) for c in CATEGORICAL]) + ")"
 
 
-@register(f"WITH {_DRIFT} SELECT column_name, statistic, round(value, {AVG_DIGITS}) AS value, value >= 0.1 AS drifted FROM drift")
+@register(f"WITH {_DRIFT} SELECT column_name, statistic, CAST(CAST(value AS FLOAT) AS DOUBLE) AS value, value >= 0.1 AS drifted FROM drift")
 def drift_report(spark, sf):
-    return settle(drift.drift_report(*_halves(spark, sf), NUMERIC, CATEGORICAL), ("value",))
+    return settle(drift.drift_report(*_halves(spark, sf), NUMERIC, CATEGORICAL), "value")
 
 
 @register(
@@ -268,9 +268,9 @@ def drift_tests(spark, sf):
 
 
 @register(
-    f"""WITH {_DRIFT} SELECT round(avg(CAST(value >= 0.1 AS INT)), {AVG_DIGITS}) AS drifted_share,
+    f"""WITH {_DRIFT} SELECT CAST(CAST(avg(CAST(value >= 0.1 AS INT)) AS FLOAT) AS DOUBLE) AS drifted_share,
     avg(CAST(value >= 0.1 AS INT)) > 0.5 AS drift FROM drift"""
 )
 def check_drift(spark, sf):
     report = drift.drift_report(*_halves(spark, sf), NUMERIC, CATEGORICAL)
-    return settle(drift.check_drift(report), ("drifted_share",))
+    return settle(drift.check_drift(report), "drifted_share")

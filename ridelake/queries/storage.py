@@ -49,7 +49,7 @@ def scan_csv(spark, sf):
 @register(f"WITH {SILVER} SELECT PULocationID, DOLocationID, {ZONE_AGGREGATES} FROM silver GROUP BY 1, 2")
 def sink_gold(spark, sf):
     path, rows = scratch_path(spark, "gold"), silver_of(spark, sf)
-    zones = settle(gold.zone_stats(rows), ("avg_fare", "avg_distance"))
+    zones = settle(gold.zone_stats(rows), "avg_fare", "avg_distance")
     sinks.sink_gold({"zone_stats": zones, "no_table": None, "no_rows": zones.filter("trip_count < 0")}, path)
     return tables.scan_table(spark, f"{path}/zone_stats")
 

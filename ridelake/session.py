@@ -20,6 +20,7 @@ def local_session(cpus: str = "*", memory: str = "8g", app_name: str = "ridelake
         .config("spark.driver.memory", memory)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ridelake.functions.scoring import rule_score
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
@@ -80,6 +82,20 @@ def labelled_vectors(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# Features of the labelled rides.
+RIDE_FEATURES = ("passengers", "minutes", "miles", "fare")
+
+
+def labelled_rides(spark: SparkSession, folder: str) -> DataFrame:
+    """Rides with four features and a class that follows from the third, as ``rule_score`` sets it."""
+    miles = F.col("value") / 20
+    features = F.array((F.col("user_id") % 7).cast("double"), (F.col("event_id") % 60).cast("double"), miles, F.col("value") / 10)
+    label, _ = rule_score(features)
+    return table(spark, folder, "events").select(
+        "event_id", *[features[i].alias(name) for i, name in enumerate(RIDE_FEATURES)], label.alias("label")
+    )
+
+
 def measured_items(spark: SparkSession, folder: str) -> DataFrame:
     """Line items with four measures in the range the fixed scoring rules expect."""
     return table(spark, folder, "lineitem").select(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ridelake.operators.counting import StageCounts
 from ridelake.session import scratch_path
+from ridelake.sources.tables import CSV_OPTIONS
 
 PARTITIONS = ("year", "month")
 
@@ -61,7 +62,7 @@ def sink_gold(tables: Mapping[str, DataFrame | None], base: str, mode: str = "ov
 
 
 def sink_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("header", "true").csv(path)
+    df.write.mode(mode).options(**CSV_OPTIONS).csv(path)
 
 
 def _newest_per_key(source: DataFrame, keys: Sequence[str], newest: Sequence[str | Column]) -> DataFrame:

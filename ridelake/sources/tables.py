@@ -25,8 +25,16 @@ def scan_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.format(fmt).load(path)
 
 
+# With the fraction in full: the default format would cut timestamps to milliseconds.
+CSV_OPTIONS = {
+    "header": "true",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
+}
+
+
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    return spark.read.schema(schema).option("header", "true").csv(path)
+    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
 
 
 def scan_feature_source(
