@@ -20,7 +20,7 @@ MAX_MPH = 100.0
 
 Z_LIMIT = 2.5
 
-CHUNK_SECONDS = 24 * 3600
+CHUNK_SECONDS = 3600
 
 PRIOR = ("prior_count", "prior_sum", "prior_sumsq")
 

@@ -14,7 +14,7 @@ from ridelake.functions.scoring import expected_fare_ratio
 from ridelake.operators.ordered import carry_last
 
 TIMESTAMP = "event_timestamp"
-CHUNK_SECONDS = 7 * 24 * 3600
+CHUNK_SECONDS = 6 * 3600
 
 
 @dataclass(frozen=True)

@@ -46,11 +46,11 @@ def _draw(key: str, seed: int) -> Column:
 def _ranked(df: DataFrame, key: str, classes: Sequence[str], seed: int) -> DataFrame:
     """Add the row's place in the random order of its class, and the size of the class.
 
-    The leading three hex digits chunk the order into 4096 even parts, so no class is ever
+    The leading four hex digits chunk the order into 65,536 even parts, so no class is ever
     ordered in one task.
     """
     drawn = df.withColumn("_draw", _draw(key, seed))
-    ranked = running_rank(drawn, classes, ["_draw", key], F.substring("_draw", 1, 3), "_place")
+    ranked = running_rank(drawn, classes, ["_draw", key], F.substring("_draw", 1, 4), "_place")
     if not classes:
         return ranked.withColumn("_size", df.agg(F.count(F.lit(1))).scalar())
     sizes = df.groupBy(*classes).agg(F.count(F.lit(1)).alias("_size"))

@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ridelake.session import shared_folder
+
 MAX_BROADCAST_ROWS = 50_000
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Ask for a broadcast if the table has at most ``max_rows`` rows.
 
-    Meant for narrow summary tables. Counting stops at the limit; above it the table is
-    returned as it is, and the join shuffles, with adaptive execution splitting hot keys.
+    Meant for narrow summary tables. The summary is computed once, into the checkpoint folder,
+    so counting it does not run its plan a second time. Above the limit it comes back as it
+    is: the join then shuffles, and adaptive execution splits hot keys.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    shared_folder(df.sparkSession)
+    kept = df.checkpoint()
+    return F.broadcast(kept) if kept.limit(max_rows + 1).count() <= max_rows else kept

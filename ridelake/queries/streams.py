@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ridelake.operators.anomalies import null_key
-from ridelake.queries.events import METRICS, RIDE_COLUMNS, RULE_SQL, SESSION, SLIDING, TUMBLING
+from ridelake.queries.events import FLAGGED, METRICS, SESSION, SLIDING, TUMBLING
 from ridelake.queries.registry import RIDES, register, settle
 from ridelake.session import scratch_path
 from ridelake.sources.replay import iso_text
@@ -13,54 +12,64 @@ from ridelake.sources.sample_shapes import prediction_events, rides
 from ridelake.streaming import anomalies, predictions, sinks
 from ridelake.streaming import rides as streaming
 
-REPLAY_FILES = 3
 STATE_PARTITIONS = 8
 
+# Rides up to this time are replayed first, the others second.
+HALFTIME = "2024-01-15 12:00:00"
+
+
+def ride_texts(events):
+    """Ride events as JSON text."""
+    event = F.struct(
+        "ride_id",
+        "vendor_id",
+        iso_text(events.schema, "pickup_ts").alias("pickup_datetime"),
+        iso_text(events.schema, "dropoff_ts").alias("dropoff_datetime"),
+        "passenger_count",
+        "trip_distance",
+        "fare_amount",
+        "pickup_location_id",
+    )
+    return events.select(F.to_json(event).alias("value"))
+
 
 def replayed(spark, sf) -> str:
-    """Ride events as JSON text files whose order is that of the events' time."""
-    path, events = scratch_path(spark, "replay"), rides(spark, sf)
-    text = F.to_json(
-        F.struct(
-            "ride_id",
-            "vendor_id",
-            iso_text(events.schema, "pickup_ts").alias("pickup_datetime"),
-            iso_text(events.schema, "dropoff_ts").alias("dropoff_datetime"),
-            "passenger_count",
-            "trip_distance",
-            "fare_amount",
-            "pickup_location_id",
-        )
-    )
-    ordered = events.repartitionByRange(REPLAY_FILES, "pickup_ts").sortWithinPartitions("pickup_ts", "ride_id")
-    ordered.select(text.alias("value")).write.text(path)
+    path = scratch_path(spark, "replay")
+    ride_texts(rides(spark, sf)).write.text(path)
     return path
 
 
-def _session(spark):
+def halves(spark, sf):
+    events, half = rides(spark, sf), F.lit(HALFTIME).cast("timestamp_ntz")
+    return ride_texts(events.filter(F.col("pickup_ts") <= half)), ride_texts(events.filter(F.col("pickup_ts") > half))
+
+
+def own_session(spark):
     return streaming.stream_session(spark, STATE_PARTITIONS)
 
 
-def _finished(query) -> None:
+def finish(query) -> None:
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
 
 
-def _metric_table(spark, sf, kind):
-    """All windows of a kind. ``complete`` mode also gives those still open at the end."""
-    own, target = _session(spark), scratch_path(spark, "metrics")
-    metrics = streaming.METRIC_KINDS[kind](streaming.ride_stream(own, replayed(spark, sf)))
-    _finished(
-        sinks.sink_fanout(
-            metrics, [sinks.batch_folder(target)], scratch_path(spark, "checkpoint"), None, output_mode="complete"
-        )
-    )
+def zoneless(df, *columns):
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
+
+
+def _complete(spark, df):
+    """The last state of a query in complete mode, which also holds windows still open."""
+    target = scratch_path(spark, "complete")
+    finish(sinks.sink_fanout(df, [sinks.batch_folder(target)], scratch_path(spark, "checkpoint"), None, "complete"))
     batches = spark.read.parquet(target)
-    newest = batches.agg(F.max("batch")).scalar()
-    made = batches.filter(F.col("batch") == newest).drop("batch")
-    zoneless = {c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")}
-    return settle(made.withColumns(zoneless), *METRICS)
+    return batches.filter(F.col("batch") == batches.agg(F.max("batch")).scalar()).drop("batch")
+
+
+def _metric_table(spark, sf, kind):
+    events = streaming.ride_stream(own_session(spark), replayed(spark, sf))
+    made = _complete(spark, streaming.METRIC_KINDS[kind](events))
+    return settle(zoneless(made, "window_start", "window_end"), *METRICS)
 
 
 @register(f"WITH {RIDES} {TUMBLING}")
@@ -76,3 +85,129 @@ def stream_sliding_15m_5m(spark, sf):
 @register(f"WITH {RIDES} {SESSION}")
 def stream_session_30m(spark, sf):
     return _metric_table(spark, sf, "session_30m")
+
+
+def _closed(spark, sf, lateness: int):
+    """Windows closed when both halves have been read one after the other; later ones stay open."""
+    own = own_session(spark)
+    source, target, checkpoint = (scratch_path(spark, x) for x in ("replay", "metrics", "checkpoint"))
+    for part in halves(spark, sf):
+        part.write.mode("append").text(source)
+        events = streaming.ride_stream(own, source, lateness_seconds=lateness)
+        finish(sinks.sink_stream_parquet(streaming.tumbling_metrics(events), target, checkpoint, None))
+    return settle(zoneless(spark.read.parquet(target), "window_start", "window_end"), *METRICS)
+
+
+def _closed_sql(delay: int) -> str:
+    return (
+        f"WITH {RIDES} SELECT * FROM ({TUMBLING}) "
+        f"WHERE window_end <= (SELECT max(pickup_ts) FROM rides) - INTERVAL '{delay}' SECOND"
+    )
+
+
+@register(_closed_sql(10))
+def event_time_watermark(spark, sf):
+    return _closed(spark, sf, 0)
+
+
+@register(_closed_sql(1810))
+def event_time_watermark_lateness(spark, sf):
+    return _closed(spark, sf, 1800)
+
+
+@register(
+    f"""WITH later AS (SELECT * FROM events WHERE ts > TIMESTAMP '{HALFTIME}'),
+    {RIDES.replace('FROM events', 'FROM later')} SELECT * FROM ({TUMBLING})
+    WHERE window_end <= (SELECT max(pickup_ts) FROM rides) - INTERVAL '10' SECOND"""
+)
+def late_data(spark, sf):
+    """The halves in reverse: the first half then lies before the watermark and is dropped."""
+    own = own_session(spark)
+    source, target, checkpoint = (scratch_path(spark, x) for x in ("replay", "metrics", "checkpoint"))
+    for part in reversed(halves(spark, sf)):
+        part.write.mode("append").text(source)
+        metrics = streaming.tumbling_metrics(streaming.ride_stream(own, source))
+        finish(sinks.sink_stream_parquet(metrics, target, checkpoint, None))
+    return settle(zoneless(spark.read.parquet(target), "window_start", "window_end"), *METRICS)
+
+
+_EVENT = """SELECT ride_id, vendor_id, passenger_count, trip_distance, fare_amount, pickup_location_id,
+    CAST(date_trunc('second', pickup_ts) AS TIMESTAMP) AS pickup_second FROM rides"""
+_EVENT_COLUMNS = ("ride_id", "vendor_id", "passenger_count", "trip_distance", "fare_amount", "pickup_location_id")
+
+
+def _parsed(spark, sf):
+    events = streaming.ride_stream(own_session(spark), replayed(spark, sf))
+    return events.select(*_EVENT_COLUMNS, F.date_trunc("second", "pickup_ts").alias("pickup_second"))
+
+
+@register(f"WITH {RIDES} {_EVENT}")
+def source_stream_json(spark, sf):
+    target = scratch_path(spark, "events")
+    finish(sinks.sink_stream_parquet(_parsed(spark, sf), target, scratch_path(spark, "checkpoint"), None))
+    return zoneless(spark.read.parquet(target), "pickup_second")
+
+
+@register(f"WITH {RIDES} {_EVENT}")
+def sink_stream_parquet(spark, sf):
+    """At most 1000 rows a file, so that files roll."""
+    target = scratch_path(spark, "events")
+    finish(sinks.sink_stream_parquet(_parsed(spark, sf), target, scratch_path(spark, "checkpoint"), None, 1000))
+    return zoneless(spark.read.parquet(target), "pickup_second")
+
+
+@register(f"WITH {RIDES} SELECT * EXCLUDE (pickup_second) FROM ({_EVENT})")
+def sink_stream_json(spark, sf):
+    target = scratch_path(spark, "texts")
+    finish(
+        sinks.sink_stream_json(_parsed(spark, sf).drop("pickup_second"), target, scratch_path(spark, "checkpoint"), None)
+    )
+    schema = (
+        "ride_id string, vendor_id string, passenger_count int, trip_distance double, fare_amount double, "
+        "pickup_location_id string"
+    )
+    return spark.read.schema(schema).json(target)
+
+
+@register(f"WITH {RIDES} SELECT s.sink, r.ride_id, r.fare_amount FROM rides r, (SELECT unnest(['json', 'parquet']) AS sink) s")
+def sink_fanout(spark, sf):
+    target = scratch_path(spark, "fanout")
+    writers = [sinks.batch_folder(f"{target}/{fmt}", fmt) for fmt in ("json", "parquet")]
+    rows = _parsed(spark, sf).select("ride_id", "fare_amount")
+    finish(sinks.sink_fanout(rows, writers, scratch_path(spark, "checkpoint"), None))
+    texts = spark.read.schema("ride_id string, fare_amount double").json(f"{target}/json/batch=*")
+    files = spark.read.parquet(f"{target}/parquet/batch=*")
+    return texts.withColumn("sink", F.lit("json")).unionByName(files.withColumn("sink", F.lit("parquet")))
+
+
+@register(f"WITH {RIDES}, {FLAGGED} SELECT ride_id, vendor_id, fare_amount, trip_distance, passenger_count, pickup_location_id, reasons FROM flagged")
+def ride_anomalies_microbatch(spark, sf):
+    """The query is stopped after the first half and resumed from its checkpoint for the second."""
+    own = own_session(spark)
+    source, target, state, checkpoint = (scratch_path(spark, x) for x in ("replay", "anomalies", "totals", "checkpoint"))
+    for part in halves(spark, sf):
+        part.write.mode("append").text(source)
+        finish(anomalies.anomaly_batches(streaming.raw_stream(own, source), target, state, checkpoint, None))
+    found = spark.read.parquet(f"{target}/batch=*").withColumn("reasons", F.array_join("reasons", ","))
+    return found.drop("pickup_datetime", "dropoff_datetime")
+
+
+@register()
+def ride_anomalies_stream(spark, sf):
+    """State per vendor, in arrival order: which fares are flagged depends on that order."""
+    raw = streaming.raw_stream(own_session(spark), replayed(spark, sf))
+    target = scratch_path(spark, "anomalies")
+    payloads = anomalies.anomaly_payloads(anomalies.ride_anomalies_stream(raw))
+    finish(sinks.sink_stream_parquet(payloads, target, scratch_path(spark, "checkpoint"), None))
+    return spark.read.parquet(target)
+
+
+@register(
+    """SELECT CASE WHEN least(CAST(1 AS DOUBLE), value / 150) >= 0.85 THEN 'anomaly' ELSE 'normal' END AS result,
+    count(*) AS events FROM events GROUP BY 1"""
+)
+def stream_prediction_event_flag(spark, sf):
+    source = scratch_path(spark, "predictions")
+    prediction_events(spark, sf).select("request_id", "prediction_score").write.parquet(source)
+    events = own_session(spark).readStream.schema("request_id string, prediction_score double").parquet(source)
+    return _complete(spark, predictions.prediction_counts(events))

@@ -87,53 +87,63 @@ def upsert(
     ``newest`` orders the copies of a key in the source; without it keys are already unique.
 
     Copy on write over partitioned Parquet: only partitions that receive rows, or that hold
-    an old row of a received key, are rewritten. Their new content is finished in a staging
-    table before anything of the target is replaced, so no plan reads what it overwrites.
+    an old row of a received key, are rewritten. The source is first written to the shared
+    folder, as it is read several times and may not give the same rows twice. A dynamic
+    partition overwrite writes beside the table and moves whole partitions in when every
+    task is done, so the plan may read the partitions it replaces, and a job that fails
+    before that leaves the table as it was.
     """
     spark = source.sparkSession
     staged = scratch_path(spark, "upsert")
     unique = source if newest is None else _newest_per_key(source, keys, newest)
-    unique.write.parquet(f"{staged}/source")
-    incoming = spark.read.parquet(f"{staged}/source")
+    unique.write.parquet(staged)
+    incoming = spark.read.parquet(staged)
 
     if not table_exists(spark, path):
         sink_partitioned(incoming, path, "overwrite", partitions)
         return
 
     target = spark.read.parquet(path)
-    held = target.select(*keys, *partitions).join(incoming.select(*keys), list(keys), "left_semi")
-    # One row per touched partition: as many as there are directories to replace.
-    touched = [
-        tuple(row)
-        for row in incoming.select(*partitions).unionByName(held.select(*partitions)).distinct().collect()
-    ]
-    if not touched:
+    received = incoming.select(*keys)
+    held = target.select(*keys, *partitions).join(received, list(keys), "left_semi")
+    filled, vacated = _partition_values(incoming, partitions), _partition_values(held, partitions)
+    if not filled:
         return
 
-    def is_one_of(values: list[tuple]) -> Column:
-        each = [
-            reduce(Column.__and__, [F.col(p).eqNullSafe(F.lit(v)) for p, v in zip(partitions, row)])
-            for row in values
-        ]
-        return reduce(Column.__or__, each)
-
-    kept = target.filter(is_one_of(touched)).join(incoming.select(*keys), list(keys), "left_anti")
-    merged = kept.unionByName(incoming, allowMissingColumns=True)
-    spread_for_write(merged, partitions).write.partitionBy(*partitions).parquet(f"{staged}/merged")
-    result = spark.read.schema(merged.schema).parquet(f"{staged}/merged")
-
-    filled = {tuple(row) for row in result.select(*partitions).distinct().collect()}
+    kept = target.filter(_is_one_of(filled | vacated, partitions)).join(received, list(keys), "left_anti")
+    # A dynamic overwrite leaves alone a partition that lost its last row: those are deleted.
+    moved_from = vacated - filled
+    emptied = moved_from
+    if moved_from:
+        left = target.select(*keys, *partitions).filter(_is_one_of(moved_from, partitions))
+        emptied = moved_from - _partition_values(left.join(received, list(keys), "left_anti"), partitions)
     (
-        spread_for_write(result, partitions)
+        spread_for_write(kept.unionByName(incoming, allowMissingColumns=True), partitions)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions)
         .parquet(path)
     )
-    # A dynamic overwrite leaves alone a partition that lost its last row.
-    for row in touched:
-        if row not in filled:
-            _delete(spark, f"{path.rstrip('/')}/" + "/".join(f"{p}={v}" for p, v in zip(partitions, row)))
+    for values in emptied:
+        _delete(spark, f"{path.rstrip('/')}/" + "/".join(map(_directory, partitions, values)))
+
+
+def _partition_values(df: DataFrame, partitions: Sequence[str]) -> set[tuple]:
+    """The partitions rows fall into: as many entries as the table has directories."""
+    return {tuple(row) for row in df.select(*partitions).distinct().collect()}
+
+
+def _is_one_of(values: set[tuple], partitions: Sequence[str]) -> Column:
+    """Whether a row lies in one of the partitions; prunes the scan to them."""
+    each = [
+        reduce(Column.__and__, [F.col(p).eqNullSafe(F.lit(v)) for p, v in zip(partitions, row)])
+        for row in sorted(values, key=str)
+    ]
+    return reduce(Column.__or__, each)
+
+
+def _directory(partition: str, value: object) -> str:
+    return f"{partition}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
 
 
 def changed_split(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
