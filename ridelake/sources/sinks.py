@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, UnsupportedOperationException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -164,5 +164,5 @@ def merge_into(spark: SparkSession, source: DataFrame, table: str, keys: Sequenc
             "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *",
             source=source,
         )
-    except AnalysisException as error:
+    except (AnalysisException, UnsupportedOperationException) as error:
         raise NotImplementedError(f"{table} does not support MERGE INTO; use upsert()") from error
