@@ -6,6 +6,9 @@ in the order (pickup_ts, ride_id).
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -78,17 +81,25 @@ def rule_conditions(elapsed: Column | None = None) -> dict[str, Column]:
     }
 
 
-def reasons(conditions: dict[str, Column]) -> Column:
-    """Names of the conditions that hold."""
-    return F.array_compact(F.array(*[F.when(held, F.lit(name)) for name, held in conditions.items()]))
+def any_of(conditions: Iterable[Column]) -> Column:
+    """Whether at least one holds; an unknown one does not."""
+    return reduce(Column.__or__, [F.coalesce(held, F.lit(False)) for held in conditions])
+
+
+def with_reasons(df: DataFrame, conditions: dict[str, Column]) -> DataFrame:
+    """Rows for which a condition holds, with the names of those that do.
+
+    The plain filter runs first: names are put together for the few rows it leaves.
+    """
+    names = F.array(*[F.when(held, F.lit(name)) for name, held in conditions.items()])
+    return df.filter(any_of(conditions.values())).withColumn("reasons", F.array_compact(names))
 
 
 def ride_anomalies(rides: DataFrame, chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
     """Flagged rides only, each with its list of reasons."""
     return (
         running_vendor_stats(rides, chunk_seconds)
-        .withColumn("reasons", reasons(rule_conditions()))
-        .filter(F.size("reasons") > 0)
+        .transform(with_reasons, rule_conditions())
         .drop(*PRIOR, "prior_mean", "prior_std")
     )
 

@@ -6,8 +6,10 @@ and the Jensen-Shannon distance for categorical ones, both drifted from 0.1 on.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,28 +19,55 @@ from ridelake.operators.quantiles import numeric
 THRESHOLD = 0.1
 # Smallest deviation the Wasserstein distance is divided by.
 MIN_NORM = 0.001
-RANGES = 256
+RANGES = 1024
 
 
-def _value_counts(reference: DataFrame, current: DataFrame, columns: Sequence[str], as_text: bool) -> DataFrame:
-    """Rows (column_name, value, ref_n, cur_n); equal values merge before the shuffle."""
+def _both(reference: DataFrame, current: DataFrame, columns: Sequence[str], cell) -> DataFrame:
+    """Cells of both tables, marked by the table they come from."""
+    picked = [cell(c).alias(c) for c in columns]
+    return (
+        reference.select(*picked)
+        .withColumn("is_reference", F.lit(True))
+        .unionByName(current.select(*picked).withColumn("is_reference", F.lit(False)))
+    )
+
 
-    def long(df: DataFrame, is_reference: bool) -> DataFrame:
-        cells = [
-            F.struct(F.lit(c).alias("column_name"), (F.col(c).cast("string") if as_text else numeric(c)).alias("value"))
-            for c in columns
-        ]
-        return df.select(F.inline(F.array(*cells)), F.lit(is_reference).alias("is_reference"))
+def _value_counts(both: DataFrame, columns: Sequence[str], *extra: str) -> DataFrame:
+    """Rows (column_name, extra.., value, ref_n, cur_n); equal values merge before the shuffle.
 
+    ``extra`` names attributes of a cell, each kept in a column called ``column_attribute``.
+    """
+    cells = [
+        F.struct(
+            F.lit(c).alias("column_name"), *[F.col(f"{c}_{x}").alias(x) for x in extra], F.col(c).alias("value")
+        )
+        for c in columns
+    ]
     return (
-        long(reference, True)
-        .unionByName(long(current, False))
+        both.select(F.inline(F.array(*cells)), "is_reference")
         .filter("value IS NOT NULL")
-        .groupBy("column_name", "value")
+        .groupBy("column_name", *extra, "value")
         .agg(F.count_if("is_reference").alias("ref_n"), F.count_if(~F.col("is_reference")).alias("cur_n"))
     )
 
 
+def _ranged(both: DataFrame, columns: Sequence[str], ranges: int) -> DataFrame:
+    """Add ``column_range``: the range of each value between sketched quantiles of both tables.
+
+    The cuts, at most ``ranges`` numbers a column, are fetched once and become part of the plan.
+    """
+    steps = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
+    cuts = both.agg(*[F.percentile_approx(c, steps, F.lit(4 * ranges)).alias(c) for c in columns]).first()
+    splits = [[-math.inf, *(sorted(set(cuts[c] or [])) or [0.0]), math.inf] for c in columns]
+    cutter = Bucketizer(
+        splitsArray=splits,
+        inputCols=list(columns),
+        outputCols=[f"{c}_range" for c in columns],
+        handleInvalid="keep",
+    )
+    return cutter.transform(both)
+
+
 def wasserstein(
     reference: DataFrame, current: DataFrame, columns: Sequence[str], ranges: int = RANGES
 ) -> DataFrame:
@@ -48,14 +77,8 @@ def wasserstein(
     own; the totals of the lower ranges, and the first value of the next, come from the
     short table of ranges.
     """
-    counts = _value_counts(reference, current, columns, as_text=False)
-    steps = [F.lit(i / ranges) for i in range(1, ranges)]
-    cuts = counts.groupBy("column_name").agg(
-        F.array_distinct(F.percentile_approx("value", F.array(*steps), F.lit(4 * ranges))).alias("cuts")
-    )
-    ranged = counts.withColumn("_cuts", column_map(cuts, F.col("cuts"))).withColumn(
-        "range", F.size(F.filter(F.col("_cuts")[F.col("column_name")], lambda cut: cut <= F.col("value")))
-    ).drop("_cuts")
+    both = _both(reference, current, columns, numeric)
+    ranged = _value_counts(_ranged(both, columns, ranges), columns, "range")
 
     part = ["column_name", "range"]
     ordered = Window.partitionBy("column_name").orderBy("range")
@@ -98,7 +121,8 @@ def wasserstein(
 
 def jensen_shannon(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Jensen-Shannon distance of the category shares: root of the divergence, natural logarithm."""
-    counts = _value_counts(reference, current, columns, as_text=True)
+    both = _both(reference, current, columns, lambda c: F.col(c).cast("string"))
+    counts = _value_counts(both, columns)
     totals = column_map(
         counts.groupBy("column_name").agg(F.sum("ref_n").alias("r"), F.sum("cur_n").alias("c")), F.struct("r", "c")
     )

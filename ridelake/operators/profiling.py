@@ -85,14 +85,13 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = BINS) -> DataFr
     for column in columns:
         value, limit = numeric(column), F.col("_limits")[column]
         place = F.floor((value - limit["lo"]) / (limit["hi"] - limit["lo"]) * F.lit(bins)) + 1
-        entry = F.struct(
-            F.lit(column).alias("column_name"), F.least(place, F.lit(bins)).cast("int").alias("bin")
-        )
-        entries.append(F.when(value.isNotNull(), entry))
+        held = F.when(value.isNotNull(), F.least(place, F.lit(bins)).cast("int"))
+        entries.append(F.struct(F.lit(column).alias("column_name"), held.alias("bin")))
     counted = (
         df.select(*columns)
         .withColumn("_limits", limits)
-        .select(F.inline(F.array_compact(F.array(*entries))))
+        .select(F.inline(F.array(*entries)))
+        .filter("bin IS NOT NULL")
         .groupBy("column_name", "bin")
         .agg(F.count(F.lit(1)).alias("count"))
     )

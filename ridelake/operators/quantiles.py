@@ -35,7 +35,7 @@ def _fences(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: S
     wanted = [min(max(p, 0.0), 1.0) for p in (*low, *high)]
     made = []
     for column in columns:
-        value = numeric(column)
+        value = F.col(column)
         cuts = F.percentile_approx(value, F.array(*map(F.lit, wanted)), F.lit(accuracy))
         lows = [F.min(value) if p <= 0 else F.get(cuts, F.lit(i)) for i, p in enumerate(low)]
         highs = [F.max(value) if p >= 1 else F.get(cuts, F.lit(len(probs) + i)) for i, p in enumerate(high)]
@@ -47,6 +47,22 @@ def _fences(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: S
     return df.groupBy(*by).agg(F.struct(*made).alias("_fence"))
 
 
+def _constant(fence) -> dict:
+    return {"n": fence["n"], "low": fence["low"], "high": fence["high"]}
+
+
+def _bound(fence: dict | Column, side: str, i: int) -> Column:
+    """The i-th bracket's lower or upper end."""
+    return F.lit(fence[side][i]).cast("double") if isinstance(fence, dict) else fence[side][i]
+
+
+def _as_struct(fence: dict | Column, count: int) -> Column:
+    if not isinstance(fence, dict):
+        return fence
+    ends = [F.array(*[_bound(fence, side, i) for i in range(count)]).alias(side) for side in ("low", "high")]
+    return F.struct(F.lit(fence["n"]).cast("bigint").alias("n"), *ends)
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -56,41 +72,75 @@ def exact_quantiles(
 ) -> DataFrame:
     """Rows (by.., column_name, prob, value), interpolated linearly between neighbours.
 
-    ``by`` columns must not be null.
+    ``probs`` rise; ``by`` columns must not be null.
     """
-    narrow = df.select(*by, *columns)
+    narrow = df.select(*by, *[numeric(c).alias(c) for c in columns])
     fences = _fences(narrow, columns, probs, by, accuracy)
     if by:
-        fenced = narrow.join(broadcast_if_small(fences), list(by))
+        fences = broadcast_if_small(fences)
+        known = {c: F.col(f"_fence.{c}") for c in columns}
     else:
-        fenced = narrow.withColumn("_fence", fences.scalar())
+        # Two numbers per column and rank: they are fetched, and are constants of the next pass.
+        found = fences.first()["_fence"]
+        known = {c: _constant(found[c]) for c in columns}
+
+    def fenced(rows: DataFrame) -> DataFrame:
+        return rows.join(fences, list(by)) if by else rows
 
+    # Each value is either inside a bracket, and kept, or only counted, under the number of
+    # brackets that begin at or below it.
     entries = []
     for column in columns:
-        value, fence = numeric(column), F.col(f"_fence.{column}")
-        for i, prob in enumerate(probs):
-            inside = value >= fence["low"][i]
-            entry = F.struct(
+        value, fence = F.col(column), known[column]
+        inside, passed = F.lit(False), F.lit(0)
+        for i in range(len(probs)):
+            begun = value >= _bound(fence, "low", i)
+            inside = inside | (begun & (value <= _bound(fence, "high", i)))
+            passed = passed + F.when(begun, 1).otherwise(0)
+        entries.append(
+            F.struct(
                 F.lit(column).alias("column_name"),
-                F.lit(float(prob)).alias("prob"),
-                fence["n"].alias("n"),
                 F.when(inside, value).alias("value"),
+                F.when(~inside, passed).alias("passed"),
             )
-            entries.append(F.when(value <= fence["high"][i], entry))
-
-    group = [*by, "column_name", "prob", "n"]
+        )
     counted = (
-        fenced.select(*by, F.explode(F.array_compact(F.array(*entries))).alias("_entry"))
-        .groupBy(*by, "_entry.column_name", "_entry.prob", "_entry.n", "_entry.value")
+        fenced(narrow)
+        .select(*by, F.inline(F.array(*entries)))
+        .filter("value IS NOT NULL OR passed IS NOT NULL")
+        .groupBy(*by, "column_name", "value", "passed")
         .agg(F.count(F.lit(1)).alias("_rows"))
     )
+
+    # From here on only counts: every entry serves each rank whose bracket does not end below it.
+    fence = F.coalesce(*[F.when(F.col("column_name") == c, _as_struct(known[c], len(probs))) for c in columns])
+    ranks = []
+    for i, prob in enumerate(probs):
+        low, high = F.col("_own.low")[i], F.col("_own.high")[i]
+        below = (F.col("passed") <= i) | (F.col("value") < low)
+        counts = below | (F.col("value") <= high)
+        ranks.append(
+            F.struct(
+                F.when(F.coalesce(counts, F.lit(False)), F.lit(float(prob))).alias("prob"),
+                F.when(~F.coalesce(below, F.lit(False)), F.col("value")).alias("value"),
+            )
+        )
+    group = [*by, "column_name", "prob", "n"]
+    placed = (
+        fenced(counted)
+        .withColumn("_own", fence)
+        .select(*by, "column_name", F.col("_own.n").alias("n"), "_rows", F.inline(F.array(*ranks)))
+        .filter("prob IS NOT NULL")
+        .groupBy(*group, "value")
+        .agg(F.sum("_rows").alias("_rows"))
+    )
     upto = (
         Window.partitionBy(*group)
         .orderBy(F.col("value").asc_nulls_first())
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     rank = (F.col("n") - 1) * F.col("prob")
-    reached = counted.withColumn("_upto", F.sum("_rows").over(upto))
+    reached = placed.withColumn("_upto", F.sum("_rows").over(upto))
     picked = reached.groupBy(*group).agg(
         F.coalesce(F.max(F.when(F.col("value").isNull(), F.col("_upto"))), F.lit(0)).alias("_below"),
         F.min(F.when(F.col("_upto") > F.floor(rank), F.col("value"))).alias("_lower"),

@@ -29,11 +29,12 @@ from ridelake.operators.anomalies import (
     MIN_STD,
     PRIOR,
     STD_FACTOR,
+    any_of,
     fare_totals,
     null_key,
     prior_statistics,
-    reasons,
     rule_conditions,
+    with_reasons,
 )
 from ridelake.operators.ordered import running_totals
 from ridelake.operators.sizing import broadcast_if_small
@@ -67,11 +68,7 @@ def _conditions() -> dict[str, Column]:
 
 def _alone(conditions: dict[str, Column]) -> Column:
     """Whether a rule that looks at the ride alone holds."""
-    held = F.lit(False)
-    for name, condition in conditions.items():
-        if not name.startswith("fare_gt"):
-            held = held | F.coalesce(condition, F.lit(False))
-    return held
+    return any_of(condition for name, condition in conditions.items() if not name.startswith("fare_gt"))
 
 
 class VendorTotals(StatefulProcessor):
@@ -105,8 +102,7 @@ class VendorTotals(StatefulProcessor):
 
 
 def _records(suspects: DataFrame) -> DataFrame:
-    flagged = suspects.transform(prior_statistics).withColumn("reasons", reasons(_conditions()))
-    return flagged.filter(F.size("reasons") > 0).select(*ANOMALY_FIELDS)
+    return suspects.transform(prior_statistics).transform(with_reasons, _conditions()).select(*ANOMALY_FIELDS)
 
 
 def anomaly_rides(raw: DataFrame) -> DataFrame:
