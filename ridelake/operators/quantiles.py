@@ -18,7 +18,8 @@ from ridelake.operators.sizing import broadcast_if_small
 QUARTILES = (0.25, 0.5, 0.75)
 ACCURACY = 20_000
 
-# Sketch ranks are off by at most n / accuracy; the bracket leaves four times that.
+# Sketch ranks are off by at most n / accuracy; the bracket leaves four times that. Of a group
+# with fewer values than that is sure for, ``accuracy`` at most, all values are kept.
 _MARGIN = 4.0
 
 
@@ -37,8 +38,15 @@ def _fences(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: S
     for column in columns:
         value = F.col(column)
         cuts = F.percentile_approx(value, F.array(*map(F.lit, wanted)), F.lit(accuracy))
-        lows = [F.min(value) if p <= 0 else F.get(cuts, F.lit(i)) for i, p in enumerate(low)]
-        highs = [F.max(value) if p >= 1 else F.get(cuts, F.lit(len(probs) + i)) for i, p in enumerate(high)]
+        few = F.count(value) <= accuracy
+        lows = [
+            F.min(value) if p <= 0 else F.when(few, F.min(value)).otherwise(F.get(cuts, F.lit(i)))
+            for i, p in enumerate(low)
+        ]
+        highs = [
+            F.max(value) if p >= 1 else F.when(few, F.max(value)).otherwise(F.get(cuts, F.lit(len(probs) + i)))
+            for i, p in enumerate(high)
+        ]
         made.append(
             F.struct(
                 F.count(value).alias("n"), F.array(*lows).alias("low"), F.array(*highs).alias("high")

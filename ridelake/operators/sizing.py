@@ -1,4 +1,4 @@
-"""Broadcast only what has been measured."""
+"""Summaries that are computed once, and broadcast only when they have been measured."""
 
 from __future__ import annotations
 
@@ -10,6 +10,12 @@ from ridelake.session import shared_folder
 MAX_BROADCAST_ROWS = 50_000
 
 
+def computed_once(df: DataFrame) -> DataFrame:
+    """A summary that several later steps read, written to the checkpoint folder."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Ask for a broadcast if the table has at most ``max_rows`` rows.
 
@@ -17,6 +23,5 @@ def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Dat
     so counting it does not run its plan a second time. Above the limit it comes back as it
     is: the join then shuffles, and adaptive execution splits hot keys.
     """
-    shared_folder(df.sparkSession)
-    kept = df.checkpoint()
+    kept = computed_once(df)
     return F.broadcast(kept) if kept.limit(max_rows + 1).count() <= max_rows else kept

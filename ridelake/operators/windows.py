@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ridelake.operators.ordered import carry_last
+from ridelake.operators.sizing import computed_once
 
 SLIDE = "5 minutes"
 SPAN = "15 minutes"
@@ -82,9 +83,12 @@ def sliding_15m_5m(rides: DataFrame) -> DataFrame:
 
 
 def _gap_buckets(rides: DataFrame, keys: list[str], gap_seconds: int) -> DataFrame:
-    """Sums per key and gap-wide bucket. Two rides of one bucket are always in one session."""
+    """Sums per key and gap-wide bucket. Two rides of one bucket are always in one session.
+
+    The rides are read once: all further steps use the buckets.
+    """
     bucket = F.floor(F.unix_timestamp("pickup_ts") / F.lit(gap_seconds)).alias("bucket")
-    return (
+    return computed_once(
         rides.filter("pickup_ts IS NOT NULL")
         .groupBy(*keys, bucket)
         .agg(F.min("pickup_ts").alias("first_ts"), F.max("pickup_ts").alias("last_ts"), *ride_sums())

@@ -28,9 +28,16 @@ DAYS = f"""days AS (SELECT peak_hour AS hour_of_day, trip_date, CAST(trip_date +
 NEWEST = "newest AS (SELECT * EXCLUDE (n) FROM (SELECT *, row_number() OVER (PARTITION BY location_id ORDER BY event_timestamp DESC) AS n FROM zones) WHERE n = 1)"
 
 
+def stored(spark, rows, view):
+    """The view over its rows as a stored gold table, which is what views read."""
+    path = scratch_path(spark, view.name)
+    rows.write.parquet(path)
+    return view.bind(lambda: open_source(spark, path, view.timestamp))
+
+
 def zone_view(spark, sf):
     rows = settle(gold.daily_zone_features(silver_of(spark, sf)), "zone_avg_fare", "zone_avg_distance")
-    return features.ZONE_FEATURES.bind(lambda: rows)
+    return stored(spark, rows, features.ZONE_FEATURES)
 
 
 def daily_view(spark, sf):
@@ -40,7 +47,7 @@ def daily_view(spark, sf):
         F.date_add("trip_date", 1).cast("timestamp_ntz").alias("event_timestamp"),
         *features.DAILY_TRIP_FEATURES.fields,
     )
-    return features.DAILY_TRIP_FEATURES.bind(lambda: rows)
+    return stored(spark, rows, features.DAILY_TRIP_FEATURES)
 
 
 ZONE_REFS = [f"zone_features:{name}" for name in features.ZONE_FEATURES.fields]

@@ -36,6 +36,13 @@ def test_quantiles_are_exact_whatever_the_sketch(spark, accuracy):
             assert math.isclose(got[column, prob], np.quantile(values, prob), rel_tol=1e-12)
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 2000, 2001, 19_999, 20_001, 50_000])
+def test_quantiles_at_the_default_accuracy(spark, n):
+    df = spark.range(n).select(F.col("id").cast("double").alias("v"))
+    for row in exact_quantiles(df, ["v"], PROBS).collect():
+        assert math.isclose(row.value, (n - 1) * row.prob, rel_tol=1e-12)
+
+
 def test_quantiles_by_group(spark):
     df = heavy_tailed(spark, 4000)
     pdf = df.toPandas()
