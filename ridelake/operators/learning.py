@@ -11,6 +11,7 @@ from pyspark.ml.classification import (
     LinearSVC,
     LogisticRegression,
     OneVsRest,
+    OneVsRestModel,
     RandomForestClassifier,
 )
 from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
@@ -156,6 +157,24 @@ def has_probabilities(model: PipelineModel) -> bool:
     return bool(getattr(model.stages[-1], "hasParam", lambda _: False)("probabilityCol"))
 
 
+def _scored(model: Transformer, df: DataFrame) -> DataFrame:
+    """``model.transform``, but one-against-rest models are compared in the JVM.
+
+    Their own transform collects the margins of the classes row by row in Python.
+    """
+    last = model.stages[-1] if isinstance(model, PipelineModel) else model
+    if not isinstance(last, OneVsRestModel):
+        return model.transform(df)
+    rows, margins = PipelineModel(model.stages[:-1]).transform(df), []
+    for i, one in enumerate(last.models):
+        made = one.copy().setRawPredictionCol("_raw_margin").setPredictionCol("_one").transform(rows)
+        margins.append(f"_margin_{i}")
+        kept = vector_to_array("_raw_margin")[1].alias(margins[-1])
+        rows = made.select(*rows.columns, kept)
+    widest = F.array(*margins)
+    return rows.withColumn("prediction", F.array_position(widest, F.array_max(widest)) - 1).drop(*margins)
+
+
 def batch_inference(model: Transformer, df: DataFrame, probabilities: bool = False) -> DataFrame:
     """Add ``prediction`` and, if asked for, the ``probabilities`` of the classes as an array.
 
@@ -163,7 +182,7 @@ def batch_inference(model: Transformer, df: DataFrame, probabilities: bool = Fal
     """
     if probabilities and not has_probabilities(model):
         raise AttributeError("the model gives no class probabilities")
-    scored = model.transform(df)
+    scored = _scored(model, df)
     made = [F.col("prediction").cast("int").alias("prediction")]
     if probabilities:
         made.append(vector_to_array("probability").alias("probabilities"))

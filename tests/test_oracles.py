@@ -27,5 +27,5 @@ def test_oracles_belong_to_queries():
 
 def test_entry(spark):
     df = contract.entry(spark)
-    assert df.count() == 24
+    assert df.count() == 4
     assert df.columns[0] == "hour_of_day"
