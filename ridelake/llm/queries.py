@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridelake.llm import vantage, warc
+from ridelake.llm import bbit, vantage, warc
 from ridelake.queries.registry import Query
 from ridelake.session import scratch_path
 
@@ -36,3 +36,8 @@ def op1_vantage_trees(spark: SparkSession, folder: str) -> DataFrame:
 @register()
 def op4_seekable_bundles(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archive_pages(spark, table(spark, folder, "pages"), scratch_path(spark, "bundles")).drop("target_uri")
+
+
+@register()
+def op10_bbit_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return bbit.near_duplicates(table(spark, folder, "documents"), width=4)
