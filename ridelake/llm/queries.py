@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridelake.llm import bbit, vantage, warc
+from ridelake.llm import anchors, bbit, langid, vantage, warc
 from ridelake.queries.registry import Query
 from ridelake.session import scratch_path
 
@@ -41,3 +41,14 @@ def op4_seekable_bundles(spark: SparkSession, folder: str) -> DataFrame:
 @register()
 def op10_bbit_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return bbit.near_duplicates(table(spark, folder, "documents"), width=4)
+
+
+@register()
+def op2_block_anchors(spark: SparkSession, folder: str) -> DataFrame:
+    cut = anchors.remove_repeats(table(spark, folder, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
+
+
+@register()
+def op8_ftrl_language(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.train_and_identify(table(spark, folder, "documents")).select("doc_id", "held_out", "lang_pred", "score")
