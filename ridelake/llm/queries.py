@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridelake.llm import anchors, bbit, langid, vantage, warc
+from ridelake.llm import anchors, bbit, langid, pfair, vantage, warc
 from ridelake.queries.registry import Query
 from ridelake.session import scratch_path
 
@@ -52,3 +52,8 @@ def op2_block_anchors(spark: SparkSession, folder: str) -> DataFrame:
 @register()
 def op8_ftrl_language(spark: SparkSession, folder: str) -> DataFrame:
     return langid.train_and_identify(table(spark, folder, "documents")).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@register()
+def op9_pfair_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    return pfair.mix(table(spark, folder, "documents")).select("doc_id", "source", "block", "slot", "place")
