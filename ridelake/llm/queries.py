@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridelake.llm import anchors, bbit, langid, pfair, vantage, warc
+from ridelake.llm import anchors, bbit, langid, packing, pfair, vantage, warc, wavelet
+from ridelake.llm.tokens import vocabulary_path
 from ridelake.queries.registry import Query
 from ridelake.session import scratch_path
 
@@ -57,3 +58,16 @@ def op8_ftrl_language(spark: SparkSession, folder: str) -> DataFrame:
 @register()
 def op9_pfair_mixture(spark: SparkSession, folder: str) -> DataFrame:
     return pfair.mix(table(spark, folder, "documents")).select("doc_id", "source", "block", "slot", "place")
+
+
+@register()
+def op6_wavelet_matrix(spark: SparkSession, folder: str) -> DataFrame:
+    vocabulary = vocabulary_path("word_bpe_49k.json")
+    shards = wavelet.write_shards(table(spark, folder, "documents"), scratch_path(spark, "wavelet"), path=vocabulary)
+    return wavelet.read_shards(shards)
+
+
+@register()
+def op7_minimum_bin_slack(spark: SparkSession, folder: str) -> DataFrame:
+    packed = packing.pack(table(spark, folder, "documents"), path=vocabulary_path("byte_bpe_50k.json"))
+    return packed.drop("ids")
