@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridelake.llm import anchors, bbit, langid, packing, pfair, vantage, warc, wavelet
+from ridelake.llm import anchors, bbit, langid, packing, pfair, quality, surrogates, vantage, warc, wavelet
 from ridelake.llm.tokens import vocabulary_path
 from ridelake.queries.registry import Query
 from ridelake.session import scratch_path
@@ -71,3 +71,13 @@ def op6_wavelet_matrix(spark: SparkSession, folder: str) -> DataFrame:
 def op7_minimum_bin_slack(spark: SparkSession, folder: str) -> DataFrame:
     packed = packing.pack(table(spark, folder, "documents"), path=vocabulary_path("byte_bpe_50k.json"))
     return packed.drop("ids")
+
+
+@register()
+def op3_keyed_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    return surrogates.pseudonymise(table(spark, folder, "documents"), key="corpus").select("doc_id", "text", "n_entities")
+
+
+@register()
+def op5_risk_controlled_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
