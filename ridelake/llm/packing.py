@@ -86,10 +86,10 @@ def token_pieces(docs: DataFrame, *, id_col: str, text_col: str, path: str, keep
         for batch in batches:
             rows = []
             for doc, text in zip(batch["doc_id"], batch["text"]):
-                ids = np.append(encode.encode(text), np.array([end_id], encode.dtype)).astype("<u4")
+                ids = np.append(encode.encode(text), np.array([end_id], encode.dtype))
                 for at in range(0, len(ids), length):
-                    part = ids[at : at + length].tobytes()
-                    rows.append((doc, at, len(part) // 4, len(ids), part, zlib.crc32(part)))
+                    part = ids[at : at + length]
+                    rows.append((doc, at, len(part), len(ids), part.tobytes(), zlib.crc32(part.astype("<u4").tobytes())))
                 if len(rows) >= 4096:
                     yield pd.DataFrame(rows, columns=columns).astype({"doc_id": "Int64"})
                     rows = []
@@ -112,8 +112,8 @@ def pack(
 ) -> DataFrame:
     """Every piece with its place: ``doc_id, start, length, doc_tokens, ids, ids_crc32, sequence_id, offset``.
 
-    Each id of each document, and the end id behind it, lies in exactly one piece; ``ids`` are little-endian 32-bit
-    numbers. Sequences are numbered from 0 without gaps, pieces in one follow each other from
+    Each id of each document, and the end id behind it, lies in exactly one piece; ``ids`` are little-endian
+    numbers, of 16 bits where the vocabulary fits in them and else of 32; ``ids_crc32`` is of 32-bit ones always. Sequences are numbered from 0 without gaps, pieces in one follow each other from
     offset 0. A null or empty text is the end id alone. Rows that share an id, or have none, are pieces
     of their own. No rows give no rows. Other columns are not read.
     """
@@ -151,9 +151,10 @@ def sequences(packed: DataFrame, *, length: int = 1024, pad_id: int = 0) -> Data
 
     def join(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("offset")
-        ids = np.frombuffer(b"".join(rows["ids"]), "<u4").astype(np.int64)
+        data = b"".join(rows["ids"])
+        ids = np.frombuffer(data, f"<u{len(data) // rows['length'].sum()}").astype(np.int64)
         whole = np.full(padded_length(len(ids), length), pad_id, np.int64)
         whole[: len(ids)] = ids
         return pd.DataFrame({"sequence_id": rows["sequence_id"].iloc[:1], "used": len(ids), "ids": [whole]})
 
-    return packed.select("sequence_id", "offset", "ids").groupBy("sequence_id").applyInPandas(join, "sequence_id long, used int, ids array<long>")
+    return packed.select("sequence_id", "offset", "length", "ids").groupBy("sequence_id").applyInPandas(join, "sequence_id long, used int, ids array<long>")

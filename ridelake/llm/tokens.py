@@ -2,20 +2,27 @@
 
 Encoding a piece costs microseconds and most pieces of a corpus have been seen before, so ids are remembered for
 pieces between which a tokenizer never merges: for tokenizers that drop white space its words,
-for byte-level ones a run of white space with the word behind it. Texts with unusual white
-space, on which the library and Python might differ, are encoded whole.
+for byte-level ones what follows a single space, with the space. Texts with unusual white
+space, on which the library and Python might differ, and for byte-level tokenizers those where spaces
+meet other white space, are encoded whole.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from array import array
 from functools import cache
+from unicodedata import is_normalized
 
 import numpy as np
 
-_PIECE = re.compile(r"\s*\S+|\s+")
+# Where a byte-level tokenizer may join a space with what stands before it.
+_RUNS = ("  ", "\n ", " \n", "\t", "\r", "\x0b", "\x0c")
 _UNUSUAL = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -‍    ⁠　﻿]")
+# Byte-level models spell bytes as letters: printable Latin-1 as itself, the others from U+0100 on.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_LETTERS = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 
 
 def vocabulary_path(name: str) -> str:
@@ -34,26 +41,55 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.keeps_space, self.limit = keeps_space, limit
         self.known: dict[str, bytes] = {}
+        self.lead = " " if keeps_space else ""
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.mark = " ".translate(_BYTE_LETTERS) if keeps_space else ""
+        self.model = self.tokenizer.model
+        self.tails = {"": b"", **{x: self._plain([x])[0] for x in ".,"}}
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, self.dtype).tobytes() for x in found]
+        return [array(self.dtype.char, x.ids).tobytes() for x in found]
+
+    def _is_one_word(self, x: str) -> bool:
+        """Latin letters that the tokenizer would neither change nor part before its merges: these may go to its model directly."""
+        return x.isalpha() and max(x) < "\u0250" and (self.keeps_space or (x == x.lower() and is_normalized("NFC", x)))
+
+    def _learn(self, missing: set[str]) -> None:
+        """Ids of new pieces. A full stop or comma behind a letter is always a token of its own, and tokenizers that drop
+        space here lower the case too, so many new pieces are known ones in disguise."""
+        if len(self.known) + len(missing) > self.limit:
+            self.known.clear()
+        told = []
+        for piece in missing:
+            base, tail = (piece[:-1], piece[-1]) if piece[-1:] in (".", ",") and piece[-2:-1].isalpha() else (piece, "")
+            told.append((piece, base.lower() if not self.keeps_space and base.isascii() else base, tail))
+        new = {base for _, base, _ in told}.difference(self.known)
+        single = [x for x in new if self._is_one_word(x)]
+        for x in single:
+            spelt = self.mark + (x if x.isascii() else x.encode().decode("latin-1").translate(_BYTE_LETTERS))
+            self.known[x] = array(self.dtype.char, [t.id for t in self.model.tokenize(spelt)]).tobytes()
+        others = list(new.difference(single))
+        self.known.update(zip(others, self._plain([self.lead + x for x in others])))
+        for piece, base, tail in told:
+            self.known[piece] = self.known[base] + self.tails[tail]
 
     def encode(self, text: str | None) -> np.ndarray:
         if not text:
             return np.empty(0, self.dtype)
-        if _UNUSUAL.search(text):
+        if _UNUSUAL.search(text) or self.keeps_space and any(x in text for x in _RUNS):
             return np.frombuffer(self._plain([text])[0], self.dtype)
-        pieces = _PIECE.findall(text) if self.keeps_space else text.split()
-        known = self.known
-        missing = [x for x in set(pieces) if x not in known]
+        pieces, first = text.split(" ") if self.keeps_space else text.split(), b""
+        if self.keeps_space:  # the first has no space before it
+            first = self._plain(pieces[:1])[0]
+            del pieces[0]
+        own = set(pieces)
+        missing = own.difference(self.known)
         if missing:
-            if len(known) + len(missing) > self.limit:
-                known.clear()
-                missing = list(set(pieces))
-            known.update(zip(missing, self._plain(missing)))
-        return np.frombuffer(b"".join(map(known.__getitem__, pieces)), self.dtype)
+            if len(self.known) + len(missing) > self.limit:
+                missing = own
+            self._learn(missing)
+        return np.frombuffer(first + b"".join(map(self.known.__getitem__, pieces)), self.dtype)
 
 
 @cache
