@@ -185,7 +185,7 @@ def nearest(
     queries: DataFrame,
     *,
     k: int = 5,
-    factor: float = 6.0,
+    factor: float = 4.0,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
     shard_rows: int = 8192,
