@@ -56,13 +56,15 @@ class Encoder:
         return x.isalpha() and max(x) < "\u0250" and (self.keeps_space or (x == x.lower() and is_normalized("NFC", x)))
 
     def _learn(self, missing: set[str]) -> None:
-        """Ids of new pieces. A full stop or comma behind a letter is always a token of its own, and tokenizers that drop
+        """Ids of new pieces. A full stop or comma behind a Latin letter is always a token of its own, and tokenizers that drop
         space here lower the case too, so many new pieces are known ones in disguise."""
         if len(self.known) + len(missing) > self.limit:
             self.known.clear()
         told = []
         for piece in missing:
-            base, tail = (piece[:-1], piece[-1]) if piece[-1:] in (".", ",") and piece[-2:-1].isalpha() else (piece, "")
+            before = piece[-2:-1]
+            apart = piece[-1:] in (".", ",") and before < "\u0250" and before.lower().isalpha()
+            base, tail = (piece[:-1], piece[-1]) if apart else (piece, "")
             told.append((piece, base.lower() if not self.keeps_space and base.isascii() else base, tail))
         new = {base for _, base, _ in told}.difference(self.known)
         single = [x for x in new if self._is_one_word(x)]
