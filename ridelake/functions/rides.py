@@ -76,17 +76,9 @@ def grid_id(lat: str, lon: str, digits: int = 2) -> Column:
     return F.concat_ws("_", *[F.round(F.col(c), digits).cast("string") for c in (lat, lon)])
 
 
-def present_of(columns: Sequence[str], candidates: Sequence[str]) -> str:
-    """The first candidate that is a column."""
-    for name in candidates:
-        if name in columns:
-            return name
-    raise KeyError(f"no column named any of {list(candidates)}; there are {list(columns)}")
-
-
 # The names each trip column goes by, by preference.
 NAME_VARIANTS = {
-    "VendorID": ("VendorID", "vendor_id"),
+    "VendorID": ("vendor_id", "VendorID"),
     "tpep_pickup_datetime": ("tpep_pickup_datetime", "lpep_pickup_datetime", "pickup_datetime"),
     "tpep_dropoff_datetime": ("tpep_dropoff_datetime", "lpep_dropoff_datetime", "dropoff_datetime"),
     "PULocationID": ("PULocationID", "pickup_location_id"),
@@ -101,18 +93,19 @@ def resolve_columns(
 
     Names in ``optional`` may be missing; any other raises.
     """
-    renames = {}
-    for canonical, candidates in variants.items():
-        if canonical in optional and not set(candidates) & set(df.columns):
-            continue
-        renames[present_of(df.columns, candidates)] = canonical
+    found = {canonical: [n for n in names if n in df.columns] for canonical, names in variants.items()}
+    lacking = [c for c, names in found.items() if not names and c not in optional]
+    if lacking:
+        raise KeyError(f"no column for {lacking}; there are {df.columns}")
+    renames = {names[0]: canonical for canonical, names in found.items() if names}
+    # A less preferred variant that bears a canonical name makes way.
+    df = df.drop(*[c for c in set(renames.values()) - set(renames) if c in df.columns])
     return df.withColumnsRenamed(renames)
 
 
 def map_labels(code: str | Column, names: Mapping[int, str]) -> Column:
     """Name of a code; null for a code without one."""
-    code = as_column(code)
-    return F.coalesce(*[F.when(code == F.lit(key), F.lit(name)) for key, name in names.items()])
+    return F.create_map(*[F.lit(x) for pair in names.items() for x in pair])[as_column(code)]
 
 
 def ratio_features(df: DataFrame, sepal: tuple[str, str], petal: tuple[str, str]) -> DataFrame:

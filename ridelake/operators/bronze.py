@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ridelake.functions.clock import typed_timestamp
+from ridelake.functions.rides import NAME_VARIANTS, resolve_columns
 
 # Columns a raw trip must have, and those it may have.
 REQUIRED_COLUMNS = (
@@ -118,7 +119,11 @@ def bronze_table(
     start: str | date | None = None,
     end: str | date | None = None,
 ) -> DataFrame:
-    """Validated raw trips with metadata and partition columns, within the date range."""
+    """Validated raw trips with metadata and partition columns, within the date range.
+
+    Columns may bear any of their known names, as in files of green cabs.
+    """
+    raw = resolve_columns(raw, optional=tuple(NAME_VARIANTS))
     validate_schema(raw)
     return (
         raw.transform(add_metadata, processing_date)

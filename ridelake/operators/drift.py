@@ -13,7 +13,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ridelake.operators.profiling import column_map, per_column
+from ridelake.operators.profiling import column_map, missing, per_column
 from ridelake.operators.quantiles import numeric
 
 THRESHOLD = 0.1
@@ -162,7 +162,7 @@ def drift_report(
 
 def missing_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows, columns with a missing value, and rows with one."""
-    absent = [F.col(c).isNull() for c in columns]
+    absent = [missing(df, c) for c in columns]
     wide = df.agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.greatest(*absent, F.lit(False))).alias("rows_missing"),

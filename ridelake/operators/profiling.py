@@ -52,9 +52,15 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def missing(df: DataFrame, column: str) -> Column:
+    """Whether a value is null, or no number in a column of floating-point numbers."""
+    value = F.col(column)
+    return value.isNull() | F.isnan(value) if dict(df.dtypes)[column] in ("float", "double") else value.isNull()
+
+
 def missing_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     return per_column(
-        df, columns or df.columns, {"missing": lambda c: F.count_if(F.col(c).isNull())}
+        df, columns or df.columns, {"missing": lambda c: F.count_if(missing(df, c))}
     )
 
 

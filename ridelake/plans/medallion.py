@@ -49,7 +49,8 @@ def run_silver(
     counts = StageCounts()
     bronze = counts.mark(date_range_filter(scan_table(spark, bronze_path), start, end), "bronze")
     silver = counted_silver(bronze, counts).withColumn("silver_updated_at", F.current_timestamp())
-    upsert(silver, silver_path, ["merge_key"])
+    # The key holds the pickup time, which the partitions are made of.
+    upsert(silver, silver_path, ["merge_key"], keys_fix_partition=True)
     return counts.get()
 
 

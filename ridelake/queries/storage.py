@@ -39,11 +39,19 @@ def sink_partitioned(spark, sf):
     return tables.scan_table(spark, path)
 
 
-@register("SELECT event_id, ts, value, event_type FROM events")
+@register("SELECT * FROM events")
 def scan_csv(spark, sf):
-    path = scratch_path(spark, "csv")
-    sinks.sink_csv(table(spark, sf, "events").select("event_id", "ts", "value", "event_type"), path)
-    return tables.scan_csv(spark, path, "event_id bigint, ts timestamp_ntz, value double, event_type string")
+    path, events = scratch_path(spark, "csv"), table(spark, sf, "events")
+    sinks.sink_csv(events, path)
+    return tables.scan_csv(spark, path, events.schema)
+
+
+@register(f"WITH {TRIPS} SELECT {RAW}, {_MONTHS} FROM trips")
+def scan_parquet_partitioned(spark, sf):
+    """Folders named by partition give their columns back."""
+    path = scratch_path(spark, "parts")
+    bronze.partition_columns(trips(spark, sf)).write.partitionBy("year", "month").parquet(path)
+    return tables.scan_parquet(spark, path)
 
 
 @register(f"WITH {SILVER} SELECT PULocationID, DOLocationID, {ZONE_AGGREGATES} FROM silver GROUP BY 1, 2")
@@ -86,6 +94,23 @@ def upsert(spark, sf):
     return tables.scan_table(spark, path)
 
 
+@register(
+    f"""WITH {KEYED}, latest AS (SELECT * EXCLUDE (copy) FROM (SELECT *, row_number() OVER (PARTITION BY merge_key
+    ORDER BY delivery DESC, VendorID, tpep_pickup_datetime, tpep_dropoff_datetime, passenger_count, trip_distance,
+      fare_amount, total_amount) AS copy FROM keyed) WHERE copy = 1)
+    SELECT {RAW}, merge_key, {_MONTHS}, CASE WHEN delivery = 1 OR PULocationID % 2 = 0 THEN fare_amount * 2 END AS toll FROM latest"""
+)
+def upsert_evolving(spark, sf):
+    """Three loads: without a column, with it for half of the zones, and with it for the second delivery."""
+    path = scratch_path(spark, "evolving")
+    keyed = silver.dedupe_latest(silver.build_merge_key(trips(spark, sf)), newest="delivery")
+    rows = bronze.partition_columns(keyed)
+    tolled = rows.withColumn("toll", F.col("fare_amount") * 2)
+    for load in (rows, tolled.filter("PULocationID % 2 = 0"), tolled.filter("delivery = 1")):
+        sinks.upsert(load, path, ["merge_key"], keys_fix_partition=True)
+    return tables.scan_table(spark, path)
+
+
 @register(_UPSERTED)
 def join_upsert(spark, sf):
     old, update = _versions(spark, sf)
@@ -140,21 +165,26 @@ def month_range(spark, sf):
 
 
 @register(
-    """SELECT 'nyc_tlc' AS source, 'yellow' AS trip_type, CAST(year(l_shipdate) AS INT) AS year, CAST(6 AS INT) AS month
-    FROM lineitem WHERE month(l_shipdate) = 6 GROUP BY ALL"""
+    """SELECT 'nyc_tlc' AS source, 'yellow' AS trip_type, CAST(year(l_shipdate) AS INT) AS year,
+      CAST(month(l_shipdate) AS INT) AS month, 'yellow_tripdata_' || strftime(l_shipdate, '%Y-%m') || '.parquet' AS file_name,
+      TRUE AS holds_bytes FROM lineitem GROUP BY ALL"""
 )
 def ingest_manifest(spark, sf):
-    """Files named as they are delivered, one per year, then listed from the table's metadata."""
+    """Files named as they are delivered, one for each month, then listed."""
     path = scratch_path(spark, "files")
-    junes = table(spark, sf, "lineitem").filter(F.month("l_shipdate") == 6).withColumn("y", F.year("l_shipdate"))
-    junes.repartition("y").write.partitionBy("y").parquet(f"{path}/parts")
+    month = F.date_format("l_shipdate", "yyyy-MM")
+    items = table(spark, sf, "lineitem").withColumn("m", month)
+    items.repartition("m").write.partitionBy("m").parquet(f"{path}/parts")
     fs_path = spark._jvm.org.apache.hadoop.fs.Path
     fs = fs_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
     fs.mkdirs(fs_path(f"{path}/raw"))
-    for status in fs.globStatus(fs_path(f"{path}/parts/y=*/*.parquet")):
-        year = status.getPath().getParent().getName().split("=")[1]
-        fs.rename(status.getPath(), fs_path(f"{path}/raw/yellow_tripdata_{year}-06.parquet"))
-    return tables.ingest_manifest(tables.scan_parquet(spark, f"{path}/raw")).drop("uri", "size_bytes")
+    for status in fs.globStatus(fs_path(f"{path}/parts/m=*/*.parquet")):
+        name = status.getPath().getParent().getName().split("=")[1]
+        if not fs.rename(status.getPath(), fs_path(f"{path}/raw/yellow_tripdata_{name}.parquet")):
+            raise RuntimeError(f"more than one file for {name}")
+    listed = tables.ingest_manifest(spark, f"{path}/raw")
+    name = F.element_at(F.split("uri", "/"), -1).alias("file_name")
+    return listed.select("source", "trip_type", "year", "month", name, (F.col("size_bytes") > 0).alias("holds_bytes"))
 
 
 @register(

@@ -12,11 +12,6 @@ from ridelake.sources.sample_shapes import prediction_events, rides
 from ridelake.streaming import anomalies, predictions, sinks
 from ridelake.streaming import rides as streaming
 
-STATE_PARTITIONS = 8
-
-# Rides up to this time are replayed first, the others second.
-HALFTIME = "2024-01-15 12:00:00"
-
 
 def ride_texts(events):
     """Ride events as JSON text."""
@@ -40,12 +35,15 @@ def replayed(spark, sf) -> str:
 
 
 def halves(spark, sf):
-    events, half = rides(spark, sf), F.lit(HALFTIME).cast("timestamp_ntz")
+    """Rides up to the middle of the time they span, and the others."""
+    events = rides(spark, sf)
+    span = events.agg(F.min("pickup_ts").alias("first"), F.max("pickup_ts").alias("last")).first()
+    half = F.lit(span["first"] + (span["last"] - span["first"]) // 2).cast("timestamp_ntz")
     return ride_texts(events.filter(F.col("pickup_ts") <= half)), ride_texts(events.filter(F.col("pickup_ts") > half))
 
 
 def own_session(spark):
-    return streaming.stream_session(spark, STATE_PARTITIONS)
+    return streaming.stream_session(spark, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def finish(query) -> None:
@@ -116,7 +114,7 @@ def event_time_watermark_lateness(spark, sf):
 
 
 @register(
-    f"""WITH later AS (SELECT * FROM events WHERE ts > TIMESTAMP '{HALFTIME}'),
+    f"""WITH later AS (SELECT * FROM events WHERE ts > (SELECT make_timestamp((epoch_us(min(ts)) + epoch_us(max(ts))) // 2) FROM events)),
     {RIDES.replace('FROM events', 'FROM later')} SELECT * FROM ({TUMBLING})
     WHERE window_end <= (SELECT max(pickup_ts) FROM rides) - INTERVAL '10' SECOND"""
 )
@@ -169,13 +167,16 @@ def sink_stream_json(spark, sf):
     return spark.read.schema(schema).json(target)
 
 
-@register(f"WITH {RIDES} SELECT s.sink, r.ride_id, r.fare_amount FROM rides r, (SELECT unnest(['json', 'parquet']) AS sink) s")
+@register(
+    f"""WITH {RIDES} SELECT s.sink, ride_id, vendor_id, passenger_count, trip_distance, fare_amount, pickup_location_id
+    FROM rides r, (SELECT unnest(['json', 'parquet']) AS sink) s"""
+)
 def sink_fanout(spark, sf):
     target = scratch_path(spark, "fanout")
     writers = [sinks.batch_folder(f"{target}/{fmt}", fmt) for fmt in ("json", "parquet")]
-    rows = _parsed(spark, sf).select("ride_id", "fare_amount")
+    rows = _parsed(spark, sf).select(*_EVENT_COLUMNS)
     finish(sinks.sink_fanout(rows, writers, scratch_path(spark, "checkpoint"), None))
-    texts = spark.read.schema("ride_id string, fare_amount double").json(f"{target}/json/batch=*")
+    texts = spark.read.schema(rows.schema).json(f"{target}/json/batch=*")
     files = spark.read.parquet(f"{target}/parquet/batch=*")
     return texts.withColumn("sink", F.lit("json")).unionByName(files.withColumn("sink", F.lit("parquet")))
 

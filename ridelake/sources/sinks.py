@@ -52,12 +52,18 @@ def spread_for_write(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
 
 
 def sink_gold(tables: Mapping[str, DataFrame | None], base: str, mode: str = "overwrite") -> dict[str, bool]:
-    """Write each gold table below ``base``; one that is absent or empty is left alone."""
+    """Write each gold table below ``base``; one that is absent or empty is left alone.
+
+    A gold table is small against what it is made from: it is computed once, kept, looked at and written.
+    """
     written = {}
     for name, table in tables.items():
-        written[name] = table is not None and not table.isEmpty()
+        kept = None if table is None else table.persist()
+        written[name] = kept is not None and not kept.isEmpty()
         if written[name]:
-            table.write.mode(mode).parquet(f"{base.rstrip('/')}/{name}")
+            kept.write.mode(mode).parquet(f"{base.rstrip('/')}/{name}")
+        if kept is not None:
+            kept.unpersist()
     return written
 
 
@@ -81,51 +87,94 @@ def upsert(
     keys: Sequence[str] = ("merge_key",),
     newest: Sequence[str | Column] | None = None,
     partitions: Sequence[str] = PARTITIONS,
+    keys_fix_partition: bool = False,
 ) -> None:
     """Update rows of the table whose key is in ``source``, insert the others.
 
-    ``newest`` orders the copies of a key in the source; without it keys are already unique.
+    ``newest`` orders the copies of a key in the source; without it a key that comes twice is an
+    error, found before anything is written. With ``keys_fix_partition`` a key never changes its
+    partition, so only the partitions that receive rows are read.
 
     Copy on write over partitioned Parquet: only partitions that receive rows, or that hold
-    an old row of a received key, are rewritten. The source is first written to the shared
-    folder, as it is read several times and may not give the same rows twice. A dynamic
-    partition overwrite writes beside the table and moves whole partitions in when every
-    task is done, so the plan may read the partitions it replaces, and a job that fails
-    before that leaves the table as it was.
+    an old row of a received key, are rewritten. Their new content is completed in a hidden
+    folder of the table before the first old file goes. What is interrupted later is taken up by
+    the next ``upsert``, or by ``finish_upsert``: the swap can be repeated as often as needed.
     """
     spark = source.sparkSession
+    finish_upsert(spark, path)
     staged = scratch_path(spark, "upsert")
     unique = source if newest is None else _newest_per_key(source, keys, newest)
     unique.write.parquet(staged)
     incoming = spark.read.parquet(staged)
+    if newest is None:
+        _refuse_repeated_keys(incoming, keys)
 
     if not table_exists(spark, path):
         sink_partitioned(incoming, path, "overwrite", partitions)
         return
 
-    target = spark.read.parquet(path)
-    received = incoming.select(*keys)
-    held = target.select(*keys, *partitions).join(received, list(keys), "left_semi")
-    filled, vacated = _partition_values(incoming, partitions), _partition_values(held, partitions)
+    filled = _partition_values(incoming, partitions)
     if not filled:
         return
+    target = spark.read.option("mergeSchema", "true").parquet(path)
+    received = incoming.select(*keys)
+    vacated = set()
+    if keys_fix_partition:
+        target = target.filter(_is_one_of(filled, partitions))
+    else:
+        held = target.select(*keys, *partitions).join(received, list(keys), "left_semi")
+        vacated = _partition_values(held, partitions)
 
     kept = target.filter(_is_one_of(filled | vacated, partitions)).join(received, list(keys), "left_anti")
     # A dynamic overwrite leaves alone a partition that lost its last row: those are deleted.
-    moved_from = vacated - filled
-    emptied = moved_from
-    if moved_from:
-        left = target.select(*keys, *partitions).filter(_is_one_of(moved_from, partitions))
-        emptied = moved_from - _partition_values(left.join(received, list(keys), "left_anti"), partitions)
-    (
-        spread_for_write(kept.unionByName(incoming, allowMissingColumns=True), partitions)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions)
-        .parquet(path)
-    )
-    for values in emptied:
-        _delete(spark, f"{path.rstrip('/')}/" + "/".join(map(_directory, partitions, values)))
+    emptied = vacated - filled
+    if emptied:
+        left = target.select(*keys, *partitions).filter(_is_one_of(emptied, partitions))
+        emptied = emptied - _partition_values(left.join(received, list(keys), "left_anti"), partitions)
+    pending = _pending(path)
+    folders = ["/".join(map(_directory, partitions, values)) for values in emptied]
+    spark.createDataFrame([(f,) for f in folders], "folder string").coalesce(1).write.parquet(f"{pending}/emptied")
+    spark.createDataFrame([(p,) for p in partitions], "name string").coalesce(1).write.parquet(f"{pending}/partitions")
+    content = spread_for_write(kept.unionByName(incoming, allowMissingColumns=True), partitions)
+    content.write.partitionBy(*partitions).parquet(f"{pending}/content")
+    finish_upsert(spark, path)
+
+
+def _pending(path: str) -> str:
+    return f"{path.rstrip('/')}/_pending_upsert"
+
+
+def finish_upsert(spark: SparkSession, path: str) -> bool:
+    """Complete an upsert that was interrupted while it moved its content in; drop one that had none yet.
+
+    Returns whether there was content to move.
+    """
+    pending = _pending(path)
+    if not table_exists(spark, pending):
+        return False
+    complete = table_exists(spark, f"{pending}/content/_SUCCESS")
+    if complete:
+        # In written order: the last columns of a partitioned table are its partitions.
+        names = [r.name for r in spark.read.parquet(f"{pending}/partitions").collect()]
+        content = spark.read.option("mergeSchema", "true").parquet(f"{pending}/content")
+        (
+            spread_for_write(content, names)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*names)
+            .parquet(path)
+        )
+        for row in spark.read.parquet(f"{pending}/emptied").collect():
+            _delete(spark, f"{path.rstrip('/')}/{row.folder}")
+    _delete(spark, pending)
+    return complete
+
+
+def _refuse_repeated_keys(rows: DataFrame, keys: Sequence[str]) -> None:
+    complete = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+    repeated = rows.filter(complete).groupBy(*keys).count().filter("count > 1")
+    if not repeated.isEmpty():
+        raise ValueError(f"a key ({', '.join(keys)}) comes more than once; say with newest= which row counts")
 
 
 def _partition_values(df: DataFrame, partitions: Sequence[str]) -> set[tuple]:
@@ -134,12 +183,9 @@ def _partition_values(df: DataFrame, partitions: Sequence[str]) -> set[tuple]:
 
 
 def _is_one_of(values: set[tuple], partitions: Sequence[str]) -> Column:
-    """Whether a row lies in one of the partitions; prunes the scan to them."""
-    each = [
-        reduce(Column.__and__, [F.col(p).eqNullSafe(F.lit(v)) for p, v in zip(partitions, row)])
-        for row in sorted(values, key=str)
-    ]
-    return reduce(Column.__or__, each)
+    """Whether a row lies in one of the partitions; prunes the scan to them. Structs compare nulls as equal."""
+    kinds = [F.struct(*[F.lit(v).alias(p) for p, v in zip(partitions, row)]) for row in sorted(values, key=str)]
+    return F.struct(*partitions).isin(*kinds)
 
 
 def _directory(partition: str, value: object) -> str:

@@ -4,16 +4,22 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def scan_parquet(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """A raw Parquet file, directory or glob, directories below included; no columns is an error."""
-    reader = spark.read.option("recursiveFileLookup", "true")
+def scan_parquet(
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, recursive: bool = False
+) -> DataFrame:
+    """A raw Parquet file, directory or glob; no columns is an error.
+
+    Folders named ``column=value`` give columns. ``recursive`` reads all folders below, whatever
+    their names, and so gives none.
+    """
+    reader = spark.read.option("recursiveFileLookup", str(recursive).lower())
     df = (reader.schema(schema) if schema is not None else reader).parquet(path)
     if not df.columns:
         raise RuntimeError(f"no data at {path}: empty schema")
@@ -21,20 +27,29 @@ def scan_parquet(spark: SparkSession, path: str, schema: T.StructType | str | No
 
 
 def scan_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """A lakehouse table by path; partition values come back as columns."""
-    return spark.read.format(fmt).load(path)
+    """A lakehouse table by path; partition values come back as columns, and columns that later files added."""
+    reader = spark.read.format(fmt)
+    return (reader.option("mergeSchema", "true") if fmt in ("parquet", "orc") else reader).load(path)
 
 
-# With the fraction in full: the default format would cut timestamps to milliseconds.
+# With the fraction in full: the default format would cut timestamps to milliseconds. Text comes back as
+# it was: padded, empty (told from null by its quotes), with quotes, and over several lines.
 CSV_OPTIONS = {
     "header": "true",
+    "multiLine": "true",
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
 }
 
 
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+    # A field without anything is null, one with empty quotes an empty text. The reader takes any text equal to its
+    # null value for null, so that is one which no text file holds.
+    return spark.read.schema(schema).options(**CSV_OPTIONS, nullValue="\0").csv(path)
 
 
 def scan_feature_source(
@@ -68,12 +83,9 @@ def sql_access(spark: SparkSession, sql: str, tables: Mapping[str, str | DataFra
 
 
 def _month(text: str) -> date:
-    parts = text.strip().split("-")
-    if len(parts) != 2 or not all(re.fullmatch("[0-9]+", p) for p in parts):
+    if re.fullmatch(r"\s*[0-9]{4}-[0-9]{1,2}\s*", text) is None:
         raise ValueError(f"not a month as YYYY-MM: {text!r}")
-    if not 1 <= int(parts[1]) <= 12:
-        raise ValueError(f"no such month: {text!r}")
-    return date(int(parts[0]), int(parts[1]), 1)
+    return datetime.strptime(text.strip(), "%Y-%m").date()
 
 
 def months_between(bounds: DataFrame, trip_type: str = "yellow", prefix: str = "nyc-taxi") -> DataFrame:
@@ -102,16 +114,17 @@ def month_range(spark: SparkSession, start: str, end: str, trip_type: str = "yel
     return months_between(bounds, trip_type)
 
 
-def ingest_manifest(df: DataFrame, source: str = "nyc_tlc") -> DataFrame:
-    """One row per file a table was read from: source, trip type, year, month, uri, bytes.
+def ingest_manifest(spark: SparkSession, path: str, source: str = "nyc_tlc") -> DataFrame:
+    """One row per file below ``path``: source, trip type, year, month, uri, bytes.
 
-    Trip type and month come from the file's name.
+    Trip type and month come from the file's name. Files are listed, not read.
     """
-    files = df.select(
-        F.col("_metadata.file_path").alias("uri"),
-        F.col("_metadata.file_name").alias("file_name"),
-        F.col("_metadata.file_size").alias("size_bytes"),
-    ).distinct()
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    files = listed.select(
+        F.col("path").alias("uri"),
+        F.element_at(F.split("path", "/"), -1).alias("file_name"),
+        F.col("length").alias("size_bytes"),
+    )
     pattern = r"^([a-z]+)_tripdata_([0-9]{4})-([0-9]{2})"
 
     def part(group: int):

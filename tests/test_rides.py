@@ -4,6 +4,7 @@ import datetime as dt
 import math
 import random
 
+import numpy as np
 import pytest
 from conftest import plan_of, rows_of
 from pyspark.sql import functions as F
@@ -86,28 +87,27 @@ def test_rolling_mean_matches_brute_force(spark, chunk):
     assert got.count() == len(rows)
 
 
+# What makes a ride odd, given it and the fares that its vendor had before.
+ODD = {
+    "invalid_fare_or_passengers": lambda r, past: min(r[6], r[4] - 1) < 0,
+    "distance_over_100_miles": lambda r, past: r[5] > 100,
+    "fare_gt_3x_rolling_mean": lambda r, past: bool(past) and r[6] * len(past) > 3 * sum(past),
+    "fare_gt_mean_plus_3std": lambda r, past: len(past) > 1 and r[6] > _limit(past) and np.std(past) > 1e-9,
+    "speed_over_100_mph": lambda r, past: r[3] > r[2] and r[5] / ((r[3] - r[2]) / dt.timedelta(hours=1)) > 100,
+}
+
+
+def _limit(past):
+    return np.mean(past) + 3 * np.std(past)
+
+
 def _brute_flags(rows):
-    totals, flagged = {}, {}
+    fares, flagged = {}, {}
     for row in sorted(rows, key=lambda r: (r[2], r[0])):
-        ride_id, vendor, start, end, people, miles, fare, _ = row
-        count, total, squares = totals.get(vendor or "unknown", (0, 0.0, 0.0))
-        mean = total / count if count else 0.0
-        std = math.sqrt(max(0.0, squares / count - mean * mean)) if count >= 2 else 0.0
-        why = []
-        if fare < 0 or people <= 0:
-            why.append("invalid_fare_or_passengers")
-        if miles > 100:
-            why.append("distance_over_100_miles")
-        if count and fare > 3 * mean:
-            why.append("fare_gt_3x_rolling_mean")
-        if count >= 2 and std > 1e-9 and fare > mean + 3 * std:
-            why.append("fare_gt_mean_plus_3std")
-        hours = (end - start).total_seconds() / 3600
-        if hours > 0 and miles / hours > 100:
-            why.append("speed_over_100_mph")
-        totals[vendor or "unknown"] = (count + 1, total + fare, squares + fare * fare)
-        if why:
-            flagged[ride_id] = why
+        past = fares.setdefault(row[1] or "unknown", [])
+        why = [name for name, odd in ODD.items() if odd(row, past)]
+        past.append(row[6])
+        flagged |= {row[0]: why} if why else {}
     return flagged
 
 

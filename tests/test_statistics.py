@@ -146,3 +146,9 @@ def test_missing_value_tests(spark):
     assert got["rows_with_missing_values"] == (2.0, False)
     same = {r.test: r.passed for r in drift.drift_tests(ref, ref, ["v"], ["c"]).collect()}
     assert all(same.values())
+
+
+def test_no_number_is_missing(spark):
+    df = spark.createDataFrame([(1.0, "a"), (float("nan"), None), (None, "b")], "x double, t string")
+    assert rows_of(profiling.missing_counts(df)) == [("t", 1), ("x", 2)]
+    assert tuple(drift.missing_summary(df, ["x", "t"]).first()) == (3, 2, 2)

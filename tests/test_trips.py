@@ -34,6 +34,21 @@ def test_missing_columns_are_named(spark):
         bronze.validate_schema(df.drop("fare_amount"))
 
 
+def test_green_files_reach_bronze(spark):
+    green = spark.sql(
+        "SELECT 1L AS VendorID, timestamp_ntz'2024-01-02 03:04:05' AS lpep_pickup_datetime, timestamp_ntz'2024-01-02 03:14:05' "
+        "AS lpep_dropoff_datetime, 1L AS passenger_count, 1D AS trip_distance, 5D AS fare_amount, 6D AS total_amount"
+    )
+    made = bronze.bronze_table(green, "2024-02-01").first()
+    assert (made.year, made.month, made.tpep_pickup_datetime.hour) == (2024, 1, 3)
+
+
+def test_the_preferred_vendor_column_wins(spark):
+    both = spark.sql("SELECT 1 AS VendorID, 2 AS vendor_id")
+    names = {"VendorID": rides.NAME_VARIANTS["VendorID"]}
+    assert [tuple(r.asDict().items()) for r in rides.resolve_columns(both, names).collect()] == [(("VendorID", 2),)]
+
+
 def test_green_names_are_resolved_and_missing_ones_raise(spark):
     green = trips(spark, trip()).withColumnsRenamed(
         {"tpep_pickup_datetime": "lpep_pickup_datetime", "tpep_dropoff_datetime": "lpep_dropoff_datetime"}
