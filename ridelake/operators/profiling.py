@@ -12,6 +12,7 @@ from ridelake.operators.silver import QUALITY_RULES, all_rules
 from ridelake.operators.sizing import broadcast_if_small
 
 BINS = 15
+NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double")
 WHISKER = 1.5
 
 
@@ -232,21 +233,35 @@ def spread_metrics(df: DataFrame, columns: Sequence[str] = ("speed_mph", "fare_p
 def data_quality_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per column: rows, missing, distinct, minimum, maximum, mean, deviation and quartiles.
 
-    Distinct values are counted from value counts, which merge equal values before the shuffle.
+    ``min_text``, ``max_text`` and the distinct values are those of the column's own type, so whole
+    numbers of any size, text and times are exact; the other statistics are of numbers, and null for
+    columns of other types. Distinct values are merged before the shuffle.
     """
+    kinds = dict(df.dtypes)
+    numbers = [c for c in columns if kinds[c].startswith("decimal") or kinds[c] in NUMBERS]
+
+    def number(c: str) -> Column:
+        return numeric(c) if c in numbers else F.lit(None).cast("double")
+
+    def own(c: str) -> Column:
+        # A negative zero is a zero, and not-a-number is no value.
+        return numeric(c) + F.lit(0.0) if kinds[c] in ("float", "double") else F.col(c)
+
     basics = per_column(
         df,
         columns,
         {
             "count": lambda c: F.count(F.lit(1)),
-            "missing": lambda c: F.count_if(numeric(c).isNull()),
-            "min": lambda c: F.min(numeric(c)),
-            "max": lambda c: F.max(numeric(c)),
-            "mean": lambda c: F.avg(numeric(c)),
-            "std": lambda c: F.stddev_samp(numeric(c)),
+            "missing": lambda c: F.count_if(missing(df, c)),
+            "min": lambda c: F.min(number(c)),
+            "max": lambda c: F.max(number(c)),
+            "mean": lambda c: F.avg(number(c)),
+            "std": lambda c: F.stddev_samp(number(c)),
+            "min_text": lambda c: F.min(own(c)).cast("string"),
+            "max_text": lambda c: F.max(own(c)).cast("string"),
         },
     )
-    cells = [F.struct(F.lit(c).alias("column_name"), numeric(c).alias("value")) for c in columns]
+    cells = [F.struct(F.lit(c).alias("column_name"), own(c).cast("string").alias("value")) for c in columns]
     distinct = (
         df.select(F.inline(F.array(*cells)))
         .filter("value IS NOT NULL")
@@ -254,7 +269,11 @@ def data_quality_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         .groupBy("column_name")
         .agg(F.count(F.lit(1)).alias("distinct_values"))
     )
-    quartiles = quantile_columns(df, columns, dict(zip(("q25", "q50", "q75"), QUARTILES)))
+    names = dict(zip(("q25", "q50", "q75"), QUARTILES))
+    if numbers:
+        quartiles = quantile_columns(df, numbers, names)
+    else:
+        quartiles = basics.limit(0).select("column_name", *[F.lit(None).cast("double").alias(n) for n in names])
     return (
         basics.join(distinct, "column_name", "left")
         .join(quartiles, "column_name", "left")

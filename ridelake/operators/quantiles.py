@@ -3,7 +3,8 @@
 ``percentile`` keeps every distinct value of a group in one buffer. Here a sketch, of fixed
 size, first brackets each wanted rank; then one more pass counts what lies below the bracket
 and the distinct values inside it. Only values inside a bracket, a share of all rows set by
-``accuracy``, are ever ordered. The bracket is checked, so a result is exact or an error.
+``accuracy``, are ever ordered. The bracket is checked: columns where one missed its rank are
+done again with a finer sketch, until, at the latest, all values of a group fit in it.
 """
 
 from __future__ import annotations
@@ -13,10 +14,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ridelake.operators.sizing import broadcast_if_small
+from ridelake.operators.sizing import broadcast_if_small, computed_once
 
 QUARTILES = (0.25, 0.5, 0.75)
 ACCURACY = 20_000
+FINER = 16
 
 # Sketch ranks are off by at most n / accuracy; the bracket leaves four times that. Of a group
 # with fewer values than that is sure for, ``accuracy`` at most, all values are kept.
@@ -156,14 +158,13 @@ def exact_quantiles(
     )
     bracketed = (F.col("_below") <= F.floor(rank)) & F.col("_upper").isNotNull()
     between = F.col("_lower") + (F.col("_upper") - F.col("_lower")) * (rank - F.floor(rank))
-    return picked.select(
-        *by,
-        "column_name",
-        "prob",
-        F.when(bracketed, between)
-        .otherwise(F.raise_error(F.lit("quantile bracket missed its rank; raise accuracy")).cast("double"))
-        .alias("value"),
-    )
+    found = computed_once(picked.select(*by, "column_name", "prob", between.alias("value"), bracketed.alias("_held")))
+    missed = [r.column_name for r in found.filter("NOT _held").select("column_name").distinct().collect()]
+    kept = found.filter(~F.col("column_name").isin(missed)).drop("_held")
+    if not missed:
+        return kept
+    again = exact_quantiles(df, [c for c in columns if c in missed], probs, by, accuracy * FINER)
+    return kept.unionByName(again)
 
 
 def quantile_columns(

@@ -2,48 +2,68 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ridelake.operators.features import TIMESTAMP, FeatureView, materialize, newest_rows
-from ridelake.session import scratch_path
-from ridelake.sources.sinks import table_exists
+from ridelake.sources.sinks import delete_folder, table_exists
 
 
-def _replace(spark: SparkSession, rows: DataFrame, path: str) -> None:
-    """Overwrite a table whose old content the rows may derive from."""
-    staged = scratch_path(spark, "features")
-    rows.write.parquet(staged)
-    spark.read.parquet(staged).write.mode("overwrite").parquet(path)
+# One line for every finished run; appended, so a run that fails leaves the lines before it alone.
+STATE = "run long, materialized_to timestamp_ntz, version string"
+KEPT_VERSIONS = 2
+
+
+def _runs(spark: SparkSession, view: FeatureView, folder: str) -> list:
+    """The last runs of a view, newest first: as many as have their version kept, and one more."""
+    path = f"{folder.rstrip('/')}/_state/{view.name}"
+    if not table_exists(spark, path):
+        return []
+    return spark.read.schema(STATE).parquet(path).orderBy(F.desc("run")).limit(KEPT_VERSIONS + 1).collect()
+
+
+def _publish(spark: SparkSession, view: FeatureView, rows: DataFrame, end: datetime, folder: str) -> DataFrame:
+    """Write a new version of the latest table, then name it the current one.
+
+    The version before stays until then, and for one run more, for those that still read it.
+    """
+    base, runs = folder.rstrip("/"), _runs(spark, view, folder)
+    version = f"{base}/{view.name}/version-{uuid.uuid4().hex}"
+    rows.write.parquet(version)
+    line = (runs[0].run + 1 if runs else 0, end, version)
+    spark.createDataFrame([line], STATE).coalesce(1).write.mode("append").parquet(f"{base}/_state/{view.name}")
+    for old in runs[KEPT_VERSIONS - 1 :]:
+        delete_folder(spark, old.version)
+    return spark.read.parquet(version)
+
+
+def latest_table(spark: SparkSession, view: FeatureView, folder: str) -> DataFrame | None:
+    """The current version of the view's latest table."""
+    runs = _runs(spark, view, folder)
+    return spark.read.parquet(runs[0].version) if runs else None
 
 
 def materialize_view(spark: SparkSession, view: FeatureView, start: datetime, end: datetime, folder: str) -> DataFrame:
     """Newest rows with a time in [start, end], as the latest table of the view."""
-    path = f"{folder.rstrip('/')}/{view.name}"
-    _replace(spark, materialize(view, start, end), path)
-    return spark.read.parquet(path)
+    return _publish(spark, view, materialize(view, start, end), end, folder)
 
 
 def materialized_to(spark: SparkSession, view: FeatureView, folder: str) -> datetime | None:
-    path = f"{folder.rstrip('/')}/_state/{view.name}"
-    return spark.read.parquet(path).first()["materialized_to"] if table_exists(spark, path) else None
+    runs = _runs(spark, view, folder)
+    return runs[0].materialized_to if runs else None
 
 
 def materialize_incremental(spark: SparkSession, view: FeatureView, end: datetime, folder: str) -> DataFrame:
     """Merge rows since the last run into the latest table; at first, those one TTL back.
 
-    The end of the run is recorded after the table is written: a run that fails in between
-    is repeated, and gives the same table.
+    A run that fails anywhere leaves the table and the record of the run before it, and can be
+    repeated.
     """
-    path = f"{folder.rstrip('/')}/{view.name}"
     start = materialized_to(spark, view, folder) or end - view.ttl
-    fresh = materialize(view, start, end)
-    if table_exists(spark, path):
-        fresh = newest_rows(
-            spark.read.parquet(path).unionByName(fresh), view.entity.join_key, list(view.fields), TIMESTAMP
-        )
-    _replace(spark, fresh, path)
-    state = spark.createDataFrame([(view.name, end)], "view string, materialized_to timestamp_ntz")
-    state.write.mode("overwrite").parquet(f"{folder.rstrip('/')}/_state/{view.name}")
-    return spark.read.parquet(path)
+    fresh, before = materialize(view, start, end), latest_table(spark, view, folder)
+    if before is not None:
+        fresh = newest_rows(before.unionByName(fresh), view.entity.join_key, list(view.fields), TIMESTAMP)
+    return _publish(spark, view, fresh, end, folder)

@@ -188,7 +188,21 @@ _REPORT = (
 
 @register(_each(ITEM_COLUMNS, _REPORT))
 def data_quality_report(spark, sf):
-    return settle(profiling.data_quality_report(items(spark, sf), ITEM_COLUMNS), "mean", "std")
+    report = profiling.data_quality_report(items(spark, sf), ITEM_COLUMNS)
+    return settle(report.drop("min_text", "max_text"), "mean", "std")
+
+
+@register(
+    _each(
+        ("event_id", "event_type", "props"),
+        "SELECT '{c}' AS column_name, count(*) AS count, count(*) FILTER ({c} IS NULL) AS missing, "
+        "CAST(min({c}) AS VARCHAR) AS min_text, CAST(max({c}) AS VARCHAR) AS max_text, count(DISTINCT {c}) AS distinct_values FROM events",
+    )
+)
+def data_quality_report_types(spark, sf):
+    """Whole numbers and text, in their own types."""
+    report = profiling.data_quality_report(table(spark, sf, "events"), ["event_id", "event_type", "props"])
+    return report.select("column_name", "count", "missing", "min_text", "max_text", "distinct_values")
 
 
 @register(

@@ -21,7 +21,7 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete_folder(spark: SparkSession, path: str) -> None:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
@@ -165,8 +165,8 @@ def finish_upsert(spark: SparkSession, path: str) -> bool:
             .parquet(path)
         )
         for row in spark.read.parquet(f"{pending}/emptied").collect():
-            _delete(spark, f"{path.rstrip('/')}/{row.folder}")
-    _delete(spark, pending)
+            delete_folder(spark, f"{path.rstrip('/')}/{row.folder}")
+    delete_folder(spark, pending)
     return complete
 
 

@@ -135,7 +135,7 @@ def test_fare_ratio_and_own_transformation(spark):
     assert rows_of(own.filter("id = 0"), "excess") == [(6.0,)]
 
 
-def test_incremental_materialisation(spark, folder):
+def test_incremental_materialisation(spark, folder, monkeypatch):
     day = dt.timedelta(days=1)
     view = zone_view(spark, (1, DAY - 9 * day, 1.0), (1, DAY - day, 2.0), (2, DAY - 8 * day, 3.0), (1, DAY + day, 4.0))
     first = feature_refresh.materialize_incremental(spark, view, DAY, folder)
@@ -145,6 +145,12 @@ def test_incremental_materialisation(spark, folder):
     again = feature_refresh.materialize_incremental(spark, view, DAY + 2 * day, folder)
     assert rows_of(again, "location_id", "zone_avg_fare") == [(1, 4.0)]
     assert feature_refresh.materialized_to(spark, view, folder) == DAY + 2 * day
+    # A run that dies while it writes leaves the table and its record as they were.
+    monkeypatch.setattr(feature_refresh, "newest_rows", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        feature_refresh.materialize_incremental(spark, view, DAY + 5 * day, folder)
+    assert feature_refresh.materialized_to(spark, view, folder) == DAY + 2 * day
+    assert rows_of(feature_refresh.latest_table(spark, view, folder)) == rows_of(again)
 
 
 def test_full_materialisation_is_inclusive(spark, folder):

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import datetime as dt
 import math
 
 import numpy as np
@@ -7,7 +8,7 @@ import pytest
 from conftest import plan_of, rows_of
 from pyspark.sql import functions as F
 
-from ridelake.operators import drift, profiling
+from ridelake.operators import drift, profiling, quantiles
 from ridelake.operators.quantiles import exact_quantiles
 
 PROBS = (0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0)
@@ -152,3 +153,28 @@ def test_no_number_is_missing(spark):
     df = spark.createDataFrame([(1.0, "a"), (float("nan"), None), (None, "b")], "x double, t string")
     assert rows_of(profiling.missing_counts(df)) == [("t", 1), ("x", 2)]
     assert tuple(drift.missing_summary(df, ["x", "t"]).first()) == (3, 2, 2)
+
+
+def test_report_keeps_types_apart(spark):
+    big = 2**53
+    df = spark.createDataFrame(
+        [(big, "x", dt.datetime(2024, 1, 1, 0, 0, 0, 5), -0.0), (big + 1, None, None, 0.0), (None, "a", dt.datetime(2023, 1, 1), float("nan"))],
+        "n bigint, t string, at timestamp_ntz, d double",
+    )
+    got = {r.column_name: r for r in profiling.data_quality_report(df, ["n", "t", "at", "d"]).collect()}
+    assert (got["n"].distinct_values, got["n"].min_text, got["n"].max_text) == (2, str(big), str(big + 1))
+    assert (got["t"].distinct_values, got["t"].missing, got["t"].min_text, got["t"].q50, got["t"].mean) == (2, 1, "a", None, None)
+    assert (got["at"].max_text, got["at"].distinct_values) == ("2024-01-01 00:00:00.000005", 2)
+    assert (got["d"].distinct_values, got["d"].missing, got["d"].max) == (1, 1, 0.0)
+    assert profiling.data_quality_report(df, ["t"]).first().max_text == "x"
+
+
+def test_a_missed_bracket_is_done_again(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "_MARGIN", 0.0)  # no room for the sketch's error
+    rng = np.random.default_rng(4)
+    values = rng.normal(size=4000)
+    df = spark.createDataFrame([(float(v), float(i)) for i, v in enumerate(values)], "x double, y double").repartition(16)
+    got = {(r.column_name, r.prob): r.value for r in exact_quantiles(df, ["x", "y"], (0.1, 0.5, 0.93), accuracy=10).collect()}
+    for p in (0.1, 0.5, 0.93):
+        assert got["x", p] == pytest.approx(np.quantile(values, p), rel=1e-12)
+        assert got["y", p] == pytest.approx(np.quantile(np.arange(4000), p), rel=1e-12)

@@ -91,7 +91,7 @@ def test_an_interrupted_swap_is_finished(spark, folder, monkeypatch):
     monkeypatch.undo()
     # Old rows are still there, and half a swap costs nothing: a partition is lost, then all is done again.
     assert rows_of(spark.read.parquet(folder), "k", "v") == [("a", 1), ("b", 1)]
-    sinks._delete(spark, f"{folder}/year=2024/month=2")
+    sinks.delete_folder(spark, f"{folder}/year=2024/month=2")
     assert sinks.finish_upsert(spark, folder) and not sinks.finish_upsert(spark, folder)
     assert rows_of(spark.read.parquet(folder), "k", "v", "month") == [("a", 2, 3), ("b", 1, 2), ("c", 2, 2)]
     assert not os.path.exists(f"{folder}/year=2024/month=1")
