@@ -24,6 +24,40 @@ def register(sql: str | None = None):
     return add
 
 
+# Words are runs of characters other than ASCII white space.
+_WORDS = r"list_filter(string_split_regex({text}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+
+REPEATS_SQL = f"""WITH w AS (SELECT doc_id, {_WORDS.format(text="coalesce(text, '')")} AS ws FROM documents),
+  win AS (SELECT doc_id, i, array_to_string(ws[i:i + 49], ' ') AS k FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM w)),
+  low AS (SELECT k, min(doc_id) AS lo FROM win GROUP BY k),
+  gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM win JOIN low USING (k) WHERE lo < doc_id),
+  word AS (SELECT doc_id, p, ws[p] AS x FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS p FROM w)),
+  kept AS (SELECT doc_id, count(*) AS n, string_agg(x, ' ' ORDER BY p) AS t FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(t, '')) AS kept_sha256 FROM w LEFT JOIN kept USING (doc_id)"""
+
+# Base 32 of a digest: four letters from each five hexadecimal digits.
+_BASE32 = """array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  CAST(1 + ((CAST('0x' || substr(hex, CAST(5 * (i // 4) + 1 AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS INT)) & 31) AS BIGINT), 1)), '')"""
+
+ARCHIVES_SQL = f"""WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+  f AS (SELECT html, min(page_id) AS original FROM p GROUP BY html)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest,
+  CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> original THEN original END AS refers_to FROM p JOIN f USING (html)"""
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+NEAR_SQL = f"""WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format(text=_LOWER)} AS ws FROM documents),
+  s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 3], ' ') AS k
+    FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 2, CASE WHEN len(ws) > 0 THEN 2 ELSE 1 END))) AS i FROM w)),
+  n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+  c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS m FROM s a JOIN s b ON a.k = b.k AND a.doc_id <> b.doc_id GROUP BY ALL),
+  e AS (SELECT c.a, c.b FROM c JOIN n x ON x.doc_id = c.a JOIN n y ON y.doc_id = c.b WHERE 100 * m >= 80 * (x.n + y.n - m)),
+  r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+SELECT r.a AS doc_id, coalesce(max(n.n), 0) AS n_shingles, min(r.b) AS component_id, r.a = min(r.b) AS kept
+FROM r LEFT JOIN n ON n.doc_id = r.a GROUP BY r.a"""
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -34,17 +68,17 @@ def op1_vantage_trees(spark: SparkSession, folder: str) -> DataFrame:
     return vantage.nearest(vectors, vectors.where(F.col("vec_id") % 50 == 0))
 
 
-@register()
+@register(ARCHIVES_SQL)
 def op4_seekable_bundles(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archive_pages(spark, table(spark, folder, "pages"), scratch_path(spark, "bundles")).drop("target_uri")
 
 
-@register()
+@register(NEAR_SQL)
 def op10_bbit_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return bbit.near_duplicates(table(spark, folder, "documents"), width=4)
 
 
-@register()
+@register(REPEATS_SQL)
 def op2_block_anchors(spark: SparkSession, folder: str) -> DataFrame:
     cut = anchors.remove_repeats(table(spark, folder, "documents"))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
