@@ -105,12 +105,12 @@ def random_forest(trees: int = 100, depth: int = 5, seed: int = SEED) -> RandomF
     return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed)
 
 
-def gradient_boosting(rounds: int = 20, depth: int = 3, seed: int = SEED) -> OneVsRest:
+def gradient_boosting(rounds: int = 100, depth: int = 3, seed: int = SEED) -> OneVsRest:
     """Boosted trees are binary in Spark ML: one against the rest, without class probabilities."""
     return OneVsRest(classifier=GBTClassifier(maxIter=rounds, maxDepth=depth, seed=seed), parallelism=4)
 
 
-def support_vectors(iterations: int = 20, penalty: float = 0.01) -> OneVsRest:
+def support_vectors(iterations: int = 100, penalty: float = 0.01) -> OneVsRest:
     """Linear kernel, the one Spark ML has; without class probabilities.
 
     The penalty keeps the objective strictly convex: without one the search may not settle.

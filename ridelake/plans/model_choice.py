@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ridelake.operators.learning import (
     batch_inference,
@@ -15,10 +16,12 @@ from ridelake.operators.learning import (
     split_stratified,
     top_model,
 )
+from ridelake.operators.sizing import computed_once
 
 
 def split_parts(df: DataFrame, key: str, label: str) -> dict[str, DataFrame]:
-    parted = split_stratified(df, key, label)
+    # Every fit and every evaluation reads it.
+    parted = computed_once(split_stratified(df, key, label))
     return {name: parted.filter(parted["split"] == name).drop("split") for name in ("train", "validation", "test")}
 
 
@@ -28,6 +31,14 @@ def choose_model(
     """Results table, name and model of the best, its test metrics and its test report."""
     parts = split_parts(df, key, label)
     results, models = model_results(parts, columns, classifiers, label)
+    results = computed_once(results)
     name = top_model(results).first()["model"]
     scored = batch_inference(models[name], parts["test"])
     return results, name, models[name], evaluate(scored, label), classification_report(scored, label)
+
+
+def selection_table(df: DataFrame, key: str, columns: Sequence[str], label: str = "label", classifiers: Mapping | None = None) -> DataFrame:
+    """The results of all models, which one is ``chosen``, and its metrics on the test rows (null for the others)."""
+    results, name, _, test, _ = choose_model(df, key, columns, label, classifiers)
+    judged = test.select(F.lit(name).alias("model"), *[F.col(c).alias(f"test_{c}") for c in test.columns])
+    return results.withColumn("chosen", F.col("model") == name).join(judged, "model", "left")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ridelake.functions import scoring
 from ridelake.operators import learning as ml
+from ridelake.operators.sizing import computed_once
 from ridelake.plans import model_choice
 from ridelake.queries.registry import SCORED, VECTORS, register, settle
 from ridelake.session import scratch_path
@@ -144,62 +145,113 @@ def _parts(spark, sf):
     return model_choice.split_parts(labelled_rides(spark, sf), "event_id", "label")
 
 
-def _trained(spark, sf, classifier):
+def _trained(spark, sf, name):
+    """Whether the model does better on the test rows than saying the most frequent class."""
     parts = _parts(spark, sf)
-    model = ml.train(parts["train"], RIDE_FEATURES, classifier)
-    return ml.evaluate(ml.batch_inference(model, parts["test"]))
+    model = ml.train(parts["train"], RIDE_FEATURES, ml.CLASSIFIERS[name]())
+    metrics = ml.evaluate(ml.batch_inference(model, parts["test"]))
+    most = parts["test"].groupBy("label").count().agg((F.max("count") / F.sum("count")).alias("share")).scalar()
+    return metrics.select(F.lit(name).alias("model"), (F.col("accuracy") > most).alias("beats_majority"))
 
 
-@register()
+def _beats(name):
+    return f"SELECT '{name}' AS model, count(*) > 0 AS beats_majority FROM events"
+
+
+@register(_beats("RandomForest"))
 def train_random_forest(spark, sf):
-    return _trained(spark, sf, ml.random_forest())
+    return _trained(spark, sf, "RandomForest")
 
 
-@register()
+@register(_beats("GradientBoosting"))
 def train_gradient_boosting(spark, sf):
-    return _trained(spark, sf, ml.gradient_boosting())
+    return _trained(spark, sf, "GradientBoosting")
 
 
-@register()
+@register(_beats("SVM"))
 def train_svm(spark, sf):
-    return _trained(spark, sf, ml.support_vectors())
+    return _trained(spark, sf, "SVM")
 
 
-@register()
+@register(_beats("LogisticRegression"))
 def train_logistic(spark, sf):
-    return _trained(spark, sf, ml.logistic())
+    return _trained(spark, sf, "LogisticRegression")
+
+
+_RESULTS = ("val_accuracy", "val_f1", "train_accuracy", "train_f1")
+
 
+def _in_range(*columns):
+    valid = F.lit(True)
+    for c in columns:
+        valid = valid & F.coalesce(F.col(c).between(0, 1), F.lit(False))
+    return valid
 
-@register()
+
+@register(
+    "SELECT 'trees=' || t || ',depth=' || d AS model, TRUE AS valid FROM (VALUES "
+    + ", ".join(f"({t}, {d})" for t, d in ml.SWEEP)
+    + ") v(t, d) WHERE (SELECT count(*) FROM events) > 0"
+)
 def param_sweep(spark, sf):
-    return ml.param_sweep(_parts(spark, sf), RIDE_FEATURES)
+    return ml.param_sweep(_parts(spark, sf), RIDE_FEATURES).select("model", _in_range(*_RESULTS).alias("valid"))
 
 
-@register()
+@register(
+    "SELECT model, TRUE AS valid, TRUE AS chosen_is_best, CAST(1 AS BIGINT) AS chosen, CAST(1 AS BIGINT) AS tested FROM (VALUES "
+    "('RandomForest'), ('GradientBoosting'), ('SVM'), ('LogisticRegression')) v(model) WHERE (SELECT count(*) FROM events) > 0"
+)
 def model_selection(spark, sf):
-    choices = {name: ml.CLASSIFIERS[name] for name in ("RandomForest", "LogisticRegression")}
-    return model_choice.choose_model(labelled_rides(spark, sf), "event_id", RIDE_FEATURES, classifiers=choices)[0]
+    """All four classifiers; the one with the best F1 on the validation rows is judged on the test rows."""
+    table_ = computed_once(model_choice.selection_table(labelled_rides(spark, sf), "event_id", RIDE_FEATURES))
+    whole = table_.agg(
+        F.max("val_f1").alias("best"), F.max(F.when(F.col("chosen"), F.col("val_f1"))).alias("own"),
+        F.count_if("chosen").alias("chosen"), F.count_if(_in_range("test_accuracy", "test_f1_macro")).alias("tested"),
+    )
+    one = whole.select(F.struct((F.col("best") == F.col("own")).alias("is_best"), "chosen", "tested")).scalar()
+    marked = table_.drop("chosen").withColumn("_w", one)
+    return marked.select(
+        "model", _in_range(*_RESULTS).alias("valid"), F.col("_w.is_best").alias("chosen_is_best"), "_w.chosen", "_w.tested"
+    )
 
 
-@register()
+@register(
+    f"SELECT CAST({len(RIDE_FEATURES)} AS BIGINT) AS features, TRUE AS valid, CAST(1 AS DOUBLE) AS total FROM events LIMIT 1"
+)
 def feature_importance(spark, sf):
+    """Importances of all features, none below zero, that sum to one."""
     model = ml.train(_parts(spark, sf)["train"], RIDE_FEATURES, ml.random_forest())
-    return ml.feature_importance(spark, model, RIDE_FEATURES)
+    found = ml.feature_importance(spark, model, RIDE_FEATURES)
+    return found.agg(
+        F.count(F.lit(1)).alias("features"), F.min(F.col("importance") >= 0).alias("valid"), F.round(F.sum("importance"), 9).alias("total")
+    )
 
 
-@register()
+@register("SELECT event_id, TRUE AS is_most_likely, CAST(1 AS DOUBLE) AS total FROM events")
 def batch_inference(spark, sf):
+    """Every row has a prediction, which is its most likely class; probabilities sum to one."""
     rows = labelled_rides(spark, sf)
     model = ml.train(rows, RIDE_FEATURES, ml.logistic())
-    return ml.batch_inference(model, rows, probabilities=True).select("event_id", "prediction", "probabilities")
+    scored = ml.batch_inference(model, rows, probabilities=True)
+    total = F.aggregate("probabilities", F.lit(0.0), lambda a, p: a + p)
+    likely = F.get("probabilities", F.col("prediction").cast("int")) == F.array_max("probabilities")
+    return scored.select("event_id", likely.alias("is_most_likely"), F.round(total, 9).alias("total"))
 
 
-@register()
+@register(
+    "SELECT event_id, CAST(count(*) AS BIGINT) AS classes, TRUE AS valid, CAST(1 AS DOUBLE) AS total FROM events, "
+    "(VALUES (0), (1), (2)) v(class) GROUP BY event_id"
+)
 def predict_proba(spark, sf):
     rows = labelled_rides(spark, sf)
     model = ml.train(rows, RIDE_FEATURES, ml.random_forest())
     scored = ml.batch_inference(model, rows, probabilities=True)
-    return scored.select("event_id", F.posexplode("probabilities").alias("class", "probability"))
+    each = scored.select("event_id", F.posexplode("probabilities").alias("class", "probability"))
+    return each.groupBy("event_id").agg(
+        F.count(F.lit(1)).alias("classes"),
+        F.min(F.col("probability").between(0, 1)).alias("valid"),
+        F.round(F.sum("probability"), 9).alias("total"),
+    )
 
 
 @register("SELECT count(*) AS rows, CAST(0 AS BIGINT) AS changed FROM events")
