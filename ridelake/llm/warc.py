@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridelake.llm.shared import stored
+from ridelake.llm.shared import pieces, stored
 
 # Fixed values of the public formats.
 SEEK_TABLE_MAGIC = 0x184D2A5E
@@ -266,14 +266,15 @@ def frames(bundles: DataFrame) -> DataFrame:
             for path in batch.column("path").to_pylist():
                 yield _table(seek_table(path), _FRAMES)
 
-    return bundles.select("path").distinct().mapInArrow(read, FRAME_SCHEMA)
+    paths = stored(bundles.select("path").distinct(), "bundles")
+    return paths.repartition(pieces(paths.count(), 64), "path").mapInArrow(read, FRAME_SCHEMA)
 
 
-def read_archives(bundles: DataFrame, with_payload: bool = True) -> DataFrame:
+def read_archives(bundles: DataFrame, with_payload: bool = True, task_bytes: int = 32 << 20) -> DataFrame:
     """All records (``RECORD_SCHEMA``) of the bundles named in column ``path``.
 
-    Frames are dealt out, not bundles, so one large bundle is read by many tasks. Payloads are
-    checked against their digests also where they are not returned.
+    Frames are dealt out by what they hold, not bundles, so one large bundle is read by many tasks.
+    Payloads are checked against their digests also where they are not returned.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,8 +283,9 @@ def read_archives(bundles: DataFrame, with_payload: bool = True) -> DataFrame:
                 rows = parse_records(read_frame(x["path"], x["start"], x["packed_bytes"], x["plain_bytes"]))
                 yield _table([r if with_payload else (*r[:-1], None) for r in rows], _RECORDS)
 
-    dealt = frames(bundles).repartition(F.col("path"), F.col("frame"))
-    return dealt.mapInArrow(read, RECORD_SCHEMA)
+    places = stored(frames(bundles), "frames")
+    held = places.agg(F.sum("plain_bytes").alias("n")).first().n or 0
+    return places.repartition(pieces(held, task_bytes), "path", "frame").mapInArrow(read, RECORD_SCHEMA)
 
 
 def fetch(index: DataFrame, wanted: DataFrame) -> DataFrame:
