@@ -97,7 +97,7 @@ def mix(
     exponent: float = 0.5,
     cycle: int = 1000,
     block_rows: int = 16,
-    chunk_rows: int = 20_000,
+    chunk_rows: int = 4_000,
     seed: int = 7,
 ) -> DataFrame:
     """All rows of ``docs`` with their place in the mixture: ``block, slot, place``.
