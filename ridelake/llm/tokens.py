@@ -34,7 +34,7 @@ def vocabulary_path(name: str) -> str:
 class Encoder:
     """``keeps_space``: whether white space is part of tokens."""
 
-    def __init__(self, path: str, keeps_space: bool, limit: int = 800_000) -> None:
+    def __init__(self, path: str, keeps_space: bool, limit: int = 250_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for every core already
         from tokenizers import Tokenizer
 

@@ -17,7 +17,7 @@ _BASE_2 = 0xC2B2AE3D27D4EB4F
 class WordCodes(dict):
     """64-bit codes of words, remembered up to a limit."""
 
-    def __init__(self, limit: int = 400_000) -> None:
+    def __init__(self, limit: int = 200_000) -> None:
         super().__init__()
         self.limit = limit
 
