@@ -24,6 +24,7 @@ from math import sqrt
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +34,7 @@ from ridelake.llm.shared import stored
 from ridelake.llm.words import WordCodes, mixed, window_hashes
 
 ROWS_PER_BAND = 5
+SLICE = 256  # rows with full sets that are open at once
 SMALL_PAIR = 16  # groups whose product of sizes is at most this are settled pair by pair
 
 # Low half-byte agreement of two packed bytes, by their exclusive or.
@@ -119,9 +121,11 @@ def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, wi
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = WordCodes()
-        for batch in batches:
-            packed = [text_set(words, t, width).tobytes() for t in batch["text"]]
-            yield pd.DataFrame({"node": batch["node"], "hashes": packed})
+        for whole in batches:
+            for at in range(0, len(whole), SLICE):
+                batch = whole.iloc[at : at + SLICE]
+                packed = [text_set(words, t, width).tobytes() for t in batch["text"]]
+                yield pd.DataFrame({"node": batch["node"], "hashes": packed})
 
     texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).cast("string").alias("text"))
     return stored(texts.join(wanted, "node", "left_semi").mapInPandas(sets, "node long, hashes binary"), "shingle-sets")
@@ -130,17 +134,19 @@ def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, wi
 def linked(rows: DataFrame, percent: int) -> DataFrame:
     """The pairs (``a, b``) whose full sets, ``left`` and ``right``, are similar enough."""
 
-    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            keep = []
-            for a, b in zip(batch["left"], batch["right"]):
-                x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-                alike = min(len(x), len(y)) * 100 >= percent * max(len(x), len(y))
-                shared = len(np.intersect1d(x, y, assume_unique=True)) if alike else 0
-                keep.append(bool(similar(shared, len(x), len(y), percent)))
-            yield batch.loc[keep, ["a", "b"]]
-
-    return rows.select("a", "b", "left", "right").mapInPandas(check, "a long, b long")
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            # A row holds two full sets: few are unpacked at a time.
+            for at in range(0, whole.num_rows, SLICE):
+                batch, keep = whole.slice(at, SLICE), []
+                for a, b in zip(batch.column("left"), batch.column("right")):
+                    x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (a, b))
+                    alike = min(len(x), len(y)) * 100 >= percent * max(len(x), len(y))
+                    shared = len(np.intersect1d(x, y, assume_unique=True)) if alike else 0
+                    keep.append(bool(similar(shared, len(x), len(y), percent)))
+                yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return rows.select("a", "b", "left", "right").mapInArrow(check, "a long, b long")
 
 
 def with_sets(pairs: DataFrame, sets: DataFrame, one: str, other: str) -> DataFrame:
