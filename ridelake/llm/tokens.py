@@ -18,7 +18,7 @@ from unicodedata import is_normalized
 import numpy as np
 
 # Where a byte-level tokenizer may join a space with what stands before it.
-_RUNS = ("  ", "\n ", " \n", "\t", "\r", "\x0b", "\x0c")
+_RUNS = ("  ", "\n ", " \n", "\n\n\n", "\t", "\r", "\x0b", "\x0c")
 _UNUSUAL = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -‍    ⁠　﻿]")
 # Byte-level models spell bytes as letters: printable Latin-1 as itself, the others from U+0100 on.
 _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -45,6 +45,7 @@ class Encoder:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.mark = " ".translate(_BYTE_LETTERS) if keeps_space else ""
         self.model = self.tokenizer.model
+        self.line = self._plain(["\n"])[0] if keeps_space else b""
         self.tails = {"": b"", **{x: self._plain([x])[0] for x in ".,"}}
 
     def _plain(self, texts: list[str]) -> list[bytes]:
@@ -56,8 +57,9 @@ class Encoder:
         return x.isalpha() and max(x) < "\u0250" and (self.keeps_space or (x == x.lower() and is_normalized("NFC", x)))
 
     def _learn(self, missing: set[str]) -> None:
-        """Ids of new pieces. A full stop or comma behind a Latin letter is always a token of its own, and tokenizers that drop
-        space here lower the case too, so many new pieces are known ones in disguise."""
+        """Ids of new pieces. A full stop or comma behind a Latin letter is always a token of its own, and tokenizers that
+        drop space here lower the case too, so many new pieces are known ones in disguise. A piece that begins with a
+        line break has no space before its word."""
         if len(self.known) + len(missing) > self.limit:
             self.known.clear()
         told = []
@@ -66,32 +68,39 @@ class Encoder:
             apart = piece[-1:] in (".", ",") and before < "\u0250" and before.lower().isalpha()
             base, tail = (piece[:-1], piece[-1]) if apart else (piece, "")
             told.append((piece, base.lower() if not self.keeps_space and base.isascii() else base, tail))
-        new = {base for _, base, _ in told}.difference(self.known)
-        single = [x for x in new if self._is_one_word(x)]
-        for x in single:
-            spelt = self.mark + (x if x.isascii() else x.encode().decode("latin-1").translate(_BYTE_LETTERS))
-            self.known[x] = array(self.dtype.char, [t.id for t in self.model.tokenize(spelt)]).tobytes()
-        others = list(new.difference(single))
-        self.known.update(zip(others, self._plain([self.lead + x for x in others])))
+        others = []
+        for x in {base for _, base, _ in told}.difference(self.known):
+            broken = x[:1] == "\n"
+            word, mark = (x[1:], "") if broken else (x, self.mark)
+            if self._is_one_word(word):
+                spelt = mark + (word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_LETTERS))
+                ids = array(self.dtype.char, [t.id for t in self.model.tokenize(spelt)]).tobytes()
+                self.known[x] = self.line + ids if broken else ids
+            else:
+                others.append(x)
+        self.known.update(zip(others, self._plain([x if x[:1] == "\n" else self.lead + x for x in others])))
         for piece, base, tail in told:
             self.known[piece] = self.known[base] + self.tails[tail]
 
     def encode(self, text: str | None) -> np.ndarray:
         if not text:
             return np.empty(0, self.dtype)
-        if _UNUSUAL.search(text) or self.keeps_space and any(x in text for x in _RUNS):
+        if _UNUSUAL.search(text) or self.keeps_space and (text.endswith("\n\n") or any(x in text for x in _RUNS)):
             return np.frombuffer(self._plain([text])[0], self.dtype)
-        pieces, first = text.split(" ") if self.keeps_space else text.split(), b""
-        if self.keeps_space:  # the first has no space before it
-            first = self._plain(pieces[:1])[0]
-            del pieces[0]
+        if self.keeps_space:
+            pieces = text.replace("\n", " \n").split(" ")
+            # What stands first has no space before it: it is read like a new line, without the break.
+            pieces[0] = "\n" + pieces[0]
+        else:
+            pieces = text.split()
         own = set(pieces)
         missing = own.difference(self.known)
         if missing:
             if len(self.known) + len(missing) > self.limit:
                 missing = own
             self._learn(missing)
-        return np.frombuffer(first + b"".join(map(self.known.__getitem__, pieces)), self.dtype)
+        ids = np.frombuffer(b"".join(map(self.known.__getitem__, pieces)), self.dtype)
+        return ids[len(self.line) // self.dtype.itemsize :] if self.keeps_space else ids
 
 
 @cache
