@@ -16,6 +16,8 @@ from ridelake.llm.tokens import vocabulary_path
 # A text without a letter has no language; below this calibrated probability, none of those known.
 LEAST_SCORE = 0.3
 SURROGATE_KEY = "corpus"
+# So many rows of the mixture fill sequences of their own.
+SPAN_ROWS = 4_000
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,12 +40,13 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, laid out in the order of the mixture."""
+    """All documents, laid out in the order of the mixture, which packing follows."""
     return pfair.in_order(pfair.mix(docs)).select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, path=vocabulary_path("byte_bpe_50k.json")).drop("ids")
+    """Sequences follow the order that the mixture laid the documents out in."""
+    return packing.pack_in_order(docs, path=vocabulary_path("byte_bpe_50k.json"), span_rows=SPAN_ROWS).drop("ids")
 
 
 STAGES = [

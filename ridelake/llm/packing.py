@@ -8,6 +8,9 @@ the counts. A filling is repeated as long as the counts last.
 
 Pieces find their window by their rank among pieces of their length. Ranks are counted in hashed cells, so a
 length that many documents share is ranked by many tasks.
+
+``pack`` treats documents as a set. ``pack_in_order`` keeps the order they are laid out in: spans of consecutive rows
+are planned each by itself, and the sequences of a span follow those of the span before.
 """
 
 from __future__ import annotations
@@ -17,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -78,25 +82,38 @@ def place(table: np.ndarray, size: int, ranks: np.ndarray) -> tuple[np.ndarray,
     return row[:, 2] + past // row[:, 1], row[:, 3] + past % row[:, 1] * size
 
 
-def token_pieces(docs: DataFrame, *, id_col: str, text_col: str, path: str, keeps_space: bool, end_id: int, length: int) -> DataFrame:
-    """The pieces of every document: full sequences and a rest, the end id included."""
+def sequences_planned(tables: dict[int, np.ndarray], counts: dict[int, int]) -> int:
+    """How many sequences a plan of these counts fills."""
+    most = 0
+    for size, table in tables.items():
+        pieces_ = np.diff(np.append(table[:, 0], counts[size]))
+        most = max(most, int((table[:, 2] + (pieces_ - 1) // table[:, 1]).max()) + 1)
+    return most
+
+
+def token_pieces(docs: DataFrame, *, id_col: str, text_col: str, path: str, keeps_space: bool, end_id: int, length: int, at_col: str | None = None) -> DataFrame:
+    """The pieces of every document: full sequences and a rest, the end id included; with ``at_col``, its number as ``_at``."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = encoder(path, keeps_space)
         for batch in batches:
             rows = []
-            for doc, text in zip(batch["doc_id"], batch["text"]):
+            for doc, text, *own in zip(*[batch[c] for c in read]):
                 ids = np.append(encode.encode(text), np.array([end_id], encode.dtype))
                 for at in range(0, len(ids), length):
                     part = ids[at : at + length]
-                    rows.append((doc, at, len(part), len(ids), part.tobytes(), zlib.crc32(part.astype("<u4").tobytes())))
+                    rows.append((doc, at, len(part), len(ids), part.tobytes(), zlib.crc32(part.astype("<u4").tobytes()), *own))
                 if len(rows) >= 4096:
                     yield pd.DataFrame(rows, columns=columns).astype({"doc_id": "Int64"})
                     rows = []
             yield pd.DataFrame(rows, columns=columns).astype({"doc_id": "Int64"})
 
-    columns = [x.split()[0] for x in PIECES.split(", ")]
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInPandas(cut, PIECES)
+    schema = PIECES + (", _at long" if at_col else "")
+    columns = [x.split()[0] for x in schema.split(", ")]
+    picked = [F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")]
+    picked += [F.col(at_col).cast("long").alias("_at")] if at_col else []
+    read = ["doc_id", "text"] + ["_at"] * bool(at_col)
+    return docs.select(*picked).mapInPandas(cut, schema)
 
 
 def pack(
@@ -141,6 +158,67 @@ def pack(
     return found.select("doc_id", "start", "length", "doc_tokens", "ids", "ids_crc32", "_at.sequence_id", "_at.offset")
 
 
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with the number ``name`` of every row from 0, in the order of its files and of the rows in them.
+
+    Rows that do not come straight from Parquet files are written first. Files follow the part number in their names.
+    """
+    try:
+        placed = docs.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    except AnalysisException:
+        return numbered(stored(docs, "laid-out"), name)
+    part = F.regexp_extract("_file", r"/part-(\d+)[^/]*$", 1).try_cast("long")
+    # A row for each file.
+    before = Window.orderBy(part, "_file").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy("_file").agg((F.max("_row") + 1).alias("_n"))
+    offsets = sizes.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    return placed.join(offsets, "_file").withColumn(name, F.col("_base") + F.col("_row")).drop("_file", "_row", "_base")
+
+
+def pack_in_order(
+    docs: DataFrame,
+    *,
+    path: str,
+    keeps_space: bool = True,
+    end_id: int = 0,
+    length: int = 1024,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    span_rows: int = 4_000,
+) -> DataFrame:
+    """``pack``, with sequences in the order that the rows of ``docs`` are laid out in.
+
+    Each ``span_rows`` consecutive rows fill sequences of their own, numbered after those of the rows before them, so
+    whatever shares of sources the rows have along the way, the sequences have too. Within a span, pieces of one length
+    are used in the order of the rows. The last sequences of each span hold its slack.
+    """
+    rows = numbered(docs, "_at")
+    cut = token_pieces(rows, id_col=id_col, text_col=text_col, path=path, keeps_space=keeps_space, end_id=end_id, length=length, at_col="_at")
+    cut = stored(cut.withColumn("_span", F.floor(F.col("_at") / span_rows).cast("long")), "pieces")
+
+    def plan_span(rows_: pd.DataFrame) -> pd.DataFrame:
+        counts = dict(zip(rows_["length"].tolist(), rows_["n"].tolist()))
+        tables = plan(counts, length)
+        steps = [[dict(zip(("first", "times", "sequence", "offset"), r)) for r in tables[k].tolist()] for k in tables]
+        return pd.DataFrame({"_span": rows_["_span"].iloc[0], "length": list(tables), "_steps": steps, "_filled": sequences_planned(tables, counts)})
+
+    steps = "_span long, length int, _steps array<struct<first:long,times:long,sequence:long,offset:long>>, _filled long"
+    planned = stored(cut.groupBy("_span", "length").agg(F.count("*").alias("n")).groupBy("_span").applyInPandas(plan_span, steps), "spans")
+    # A row for each span.
+    before = Window.orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    filled = planned.groupBy("_span").agg(F.max("_filled").alias("_filled"))
+    bases = filled.select("_span", F.coalesce(F.sum("_filled").over(before), F.lit(0)).alias("_base"))
+    tables = planned.select("_span", "length", "_steps").join(bases, "_span")
+
+    order = Window.partitionBy("_span", "length").orderBy("_at", "start")
+    ranked = cut.withColumn("_rank", (F.row_number().over(order) - 1).cast("long")).join(tables, ["_span", "length"])
+    found = ranked.withColumn("_step", F.element_at(F.filter("_steps", lambda s: s["first"] <= F.col("_rank")), -1))
+    past = F.col("_rank") - F.col("_step.first")
+    sequence = F.col("_base") + F.col("_step.sequence") + F.floor(past / F.col("_step.times")).cast("long")
+    offset = F.col("_step.offset") + F.pmod(past, F.col("_step.times")) * F.col("length")
+    return found.select("doc_id", "start", "length", "doc_tokens", "ids", "ids_crc32", sequence.alias("sequence_id"), offset.alias("offset"))
+
+
 def padded_length(used: int, length: int = 1024) -> int:
     """Sequences are padded to ``length`` unless what they hold is a power of two long."""
     return used if used & used - 1 == 0 else length

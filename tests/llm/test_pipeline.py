@@ -101,6 +101,49 @@ def test_packing_holds_every_id_once(stages):
         assert sorted(pieces[i]) == want
 
 
+def test_packing_follows_the_mixture(spark, monkeypatch):
+    """One source has most rows: sequences have its weighted share as long as all sources last, and its own only without mixing."""
+    from ridelake.session import scratch_path
+
+    rows = [(i, f"{' '.join(words(i, 20 + i % 37))} .", "en", "hot" if i < 600 else f"s{i % 2}") for i in range(1000)]
+    monkeypatch.setattr(corpus_pipeline, "SPAN_ROWS", 100)
+    source = {r[0]: r[3] for r in rows}
+    docs, stages = documents(spark, rows).select(*COLUMNS), dict(corpus_pipeline.STAGES)
+
+    def packed(mix):
+        path = scratch_path(spark, "pipeline-test")
+        mix(docs).write.parquet(path)
+        out = stages["packing"](spark, spark.read.parquet(path), "unused").collect()
+        assert sorted(r.doc_id for r in out if not r.start) == sorted(source)
+        used = defaultdict(int)
+        for r in sorted(out, key=lambda r: (r.sequence_id, r.offset)):
+            assert r.offset == used[r.sequence_id]
+            used[r.sequence_id] += r.length
+        assert sorted(used) == list(range(len(used))) and max(used.values()) <= 1024
+        early = Counter(source[r.doc_id] for r in out if r.sequence_id < 0.4 * len(used))
+        return early["hot"] / early.total(), {r.doc_id: r.sequence_id for r in out}
+
+    def weighted(weights):
+        return lambda df: pfair.in_order(pfair.mix(df, weights=weights)).select(*COLUMNS)
+
+    default, a = packed(lambda df: stages["mixing"](spark, df, "unused"))
+    even, b = packed(weighted({"hot": 1, "s0": 1, "s1": 1}))
+    little, c = packed(weighted({"hot": 0.2, "s0": 0.4, "s1": 0.4}))
+    _, without = packed(lambda df: df)
+    root = 600**0.5 / (600**0.5 + 2 * 200**0.5)
+    assert abs(default - root) < 0.1 and abs(even - 1 / 3) < 0.1 and abs(little - 0.2) < 0.1
+    assert a != b and a != c and a != without
+
+
+def test_packing_numbers_rows_of_any_table(spark, folder):
+    from ridelake.llm import packing
+
+    df = spark.range(1000).repartitionByRange(7, "id").sortWithinPartitions("id")
+    df.write.parquet(folder)
+    for table in (df, spark.read.parquet(folder)):
+        assert all(r.id == r.n for r in packing.numbered(table, "n").collect())
+
+
 def test_an_empty_table_passes_through(spark, folder):
     documents(spark, []).select(*COLUMNS).write.parquet(f"{folder}/documents.parquet")
     assert corpus_pipeline.run(spark, folder).count() == 0
