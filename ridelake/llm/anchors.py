@@ -4,7 +4,7 @@ Of two documents that share ``window`` consecutive words, the shared stretch cov
 ``window // 2`` words in either of them. So it is enough to index the non-overlapping blocks of every
 document and to probe them with every rolling window of that length:
 
-1. Cells of neighbouring ids send the hashes of all rolling windows, each once, to buckets, with a mark
+1. Cells of neighbouring ids, cut by the bytes of their texts, send the hashes of all rolling windows, each once, to buckets, with a mark
    on those that are blocks. A hash that is a block somewhere and occurs in two documents is a hit.
    30 bits of it travel: what agrees by chance costs a comparison later and nothing else.
 2. Hits return to their cells. There they are extended to all windows of full length around them,
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridelake.llm.shared import pieces, stored
+from ridelake.llm.shared import pieces, stored, text_bytes
 from ridelake.llm.words import WordCodes, window_hashes
 
 RESULT = "doc_id long, n_words long, n_removed long, spans array<struct<start:int,end:int>>, kept_text string"
@@ -149,6 +149,50 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.Table:
     return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
+def cell_starts(rows: DataFrame, cells: int, cell_bytes: int) -> tuple[np.ndarray, np.ndarray]:
+    """The lowest id of every cell, and in how many parts its rows are dealt by their text; of ``doc_id, text`` with ids.
+
+    Ids are put in order and their texts' bytes added up, so a cell holds about ``cell_bytes``, however ids are spread. Only
+    rows that share an id can be more; they are the ones dealt in parts. Fetched are a few numbers a cell.
+    """
+    step = max(1, cell_bytes // 8)
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = 0
+        for batch in batches:
+            ids, size = batch.column("doc_id").to_numpy(), batch.column("size").to_numpy()
+            end = before + np.cumsum(size)
+            change = (end - size)[1:] // step != (end - size)[:-1] // step
+            first = np.flatnonzero(np.concatenate([[True], change])) if len(ids) else np.empty(0, int)
+            before = int(end[-1]) if len(ids) else before
+            if len(ids):
+                yield pa.RecordBatch.from_arrays([pa.array(ids[first]), pa.array(np.add.reduceat(size, first))], ["id", "size"])
+
+    sizes = rows.select("doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"))
+    ordered = sizes.repartitionByRange(pieces(cells, 64), "doc_id").sortWithinPartitions("doc_id")
+    found = ordered.mapInArrow(blocks, "id long, size long").groupBy("id").agg(F.sum("size").alias("size")).toPandas().sort_values("id")
+    starts, sums = [], []
+    for i, size in zip(found["id"].tolist(), found["size"].tolist()):
+        if starts and sums[-1] + size <= cell_bytes:
+            sums[-1] += size
+        else:
+            starts.append(i)
+            sums.append(size)
+    return np.array(starts, np.int64), np.array([pieces(x, cell_bytes) for x in sums], np.int64)
+
+
+def in_cells(rows: DataFrame, starts: np.ndarray, parts: np.ndarray) -> DataFrame:
+    """``rows`` with their ``cell``."""
+    first = np.cumsum(parts) - parts
+
+    @F.pandas_udf("long")
+    def cell(ids: pd.Series, hashes: pd.Series) -> pd.Series:
+        at = np.maximum(np.searchsorted(starts, ids.to_numpy(), "right") - 1, 0)
+        return pd.Series(first[at] + hashes.to_numpy() % parts[at])
+
+    return rows.withColumn("cell", cell("doc_id", F.xxhash64("text")))
+
+
 def remove_repeats(
     docs: DataFrame,
     *,
@@ -168,16 +212,11 @@ def remove_repeats(
     give no rows. Other columns are not read. ``window`` must be at least 2.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    seen = rows.agg(
-        F.count("doc_id").alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.sum(F.octet_length("text").cast("long")).alias("size")
-    ).first()
-    size = max(1, seen.size or 0)
+    size = max(1, text_bytes(rows, "text"))
     buckets = min(pieces(size, bucket_bytes), 1 << _BUCKET_BITS)
-    cells = pieces(size, cell_bytes)
-    low = seen.lo or 0
-    span = max(1, ((seen.hi or 0) - low + 1) // cells)
     block = window // 2
-    named = rows.where("doc_id IS NOT NULL").withColumn("cell", F.floor((F.col("doc_id") - F.lit(low)) / F.lit(span)).cast("long"))
+    with_id = rows.where("doc_id IS NOT NULL")
+    named = in_cells(with_id, *cell_starts(with_id, pieces(size, cell_bytes), cell_bytes))
 
     sent_schema = pa.schema([("bucket", pa.int32()), ("cell", pa.int64()), ("sent", pa.binary())])
 

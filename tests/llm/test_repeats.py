@@ -45,6 +45,35 @@ def test_passages_at_every_offset(spark):
     check(spark, rows, cell_bytes=3000, bucket_bytes=5000)
 
 
+def test_ids_far_apart(spark):
+    """One id far away, and ids over the whole range of a long: results are whole and no cell holds most of the rows."""
+    passage = words(9, 75)
+    text = [" ".join(words(300 + i, 40) + passage[i % 20 :]) for i in range(40)]
+    near = [(i, t, "en", "a") for i, t in enumerate(text[:38])]
+    for far in ([(2**62, text[38], "en", "a")], [(-(2**63), text[38], "en", "a"), (2**63 - 1, text[39], "en", "a")]):
+        check(spark, near + far, cell_bytes=3000, bucket_bytes=5000)
+        assert largest_cell(spark, near + far, 3000) <= 3000 + 800
+
+
+def test_cells_hold_bounded_bytes(spark):
+    """Long texts with neighbouring ids, and many rows that share one id."""
+    long = [(i, " ".join(words(i, 200 if i < 20 else 3)), "en", "a") for i in range(400)]
+    assert largest_cell(spark, long, 3000) <= 3000 + 1600
+    shared = [(7, " ".join(words(i, 100)), "en", "a") for i in range(60)] + long[300:]
+    assert largest_cell(spark, shared, 5000) <= 3 * 5000
+    check(spark, shared, cell_bytes=3000, bucket_bytes=5000)
+
+
+def largest_cell(spark, rows, cell_bytes):
+    df = documents(spark, rows).select("doc_id", "text")
+    size = sum(len(t) for _, t, *_ in rows)
+    cells = anchors.in_cells(df, *anchors.cell_starts(df, size // cell_bytes, cell_bytes))
+    held = Counter()
+    for r in cells.collect():
+        held[r.cell] += len(r.text)
+    return max(held.values())
+
+
 def test_short_odd_windows(spark):
     rows = [(i, " ".join(words(i, 60, 4)), "en", "a") for i in range(30)]
     for window in (2, 3, 7):
