@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridelake.llm import anchors, bbit, langid, packing, pfair, quality, surrogates, vantage, warc, wavelet
+from ridelake.llm import anchors, bbit, centroids, compression, langid, nra, packing, pfair, quality, surrogates, vantage, warc, wavelet
 from ridelake.llm.tokens import vocabulary_path
 from ridelake.queries.registry import Query
 from ridelake.session import scratch_path
@@ -58,6 +58,52 @@ SELECT r.a AS doc_id, coalesce(max(n.n), 0) AS n_shingles, min(r.b) AS component
 FROM r LEFT JOIN n ON n.doc_id = r.a GROUP BY r.a"""
 
 
+_FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = rf"regexp_extract_all({_FOLDED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+LEXICAL_SQL = f"""WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS ts FROM documents),
+  whole AS (SELECT count(*) AS n_docs, CAST(sum(len(ts)) AS BIGINT) AS n_terms FROM d WHERE len(ts) > 0),
+  asked AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS t FROM benchmark),
+  p AS MATERIALIZED (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(ts) AS t FROM d) WHERE t IN (SELECT t FROM asked) GROUP BY ALL),
+  w AS (SELECT t, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p, whole GROUP BY t),
+  m AS (SELECT r, doc_id, 10 + (90 * len(ts) * n_docs) // n_terms AS m FROM d, whole),
+  s AS (SELECT item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+    FROM asked JOIN p USING (t) JOIN w USING (t) JOIN m USING (r) GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id, r) AS INT) AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 10"""
+
+
+def _clustering_sql(rounds: int = 5, k: int = 40) -> str:
+    """Unrolled rounds; floor division is spelled out, as integer division rounds towards zero."""
+    floor = "(s - ((s % n) + n) % n) // n"
+    whole = "list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT))"
+    usable = "len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64"
+    parts = [
+        f"v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, {whole} AS x FROM embeddings WHERE {usable})",
+        f"""c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY h, x) - 1 AS INT) AS c, x FROM
+          (SELECT sha256('2:' || vec_id) AS h, x FROM v WHERE vec_id IS NOT NULL ORDER BY h, x LIMIT {k}))""",
+    ]
+    for i in range(rounds + 1):
+        # Squared distance by products, all of them exact.
+        near = "list_dot_product(v.x, v.x) - 2 * list_dot_product(v.x, c.x) + list_dot_product(c.x, c.x)"
+        near = near.replace("v.x", "CAST(v.x AS DOUBLE[])").replace("c.x", "CAST(c.x AS DOUBLE[])")
+        parts.append(
+            f"""a{i} AS MATERIALIZED (SELECT r, vec_id, x, c, d FROM (SELECT v.r, v.vec_id, v.x, c.c, CAST({near} AS BIGINT) AS d
+              FROM v, c{i} c) QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1)"""
+        )
+        if i < rounds:
+            parts.append(
+                f"""c{i + 1} AS MATERIALIZED (SELECT c, coalesce(y, c{i}.x) AS x FROM c{i} LEFT JOIN (SELECT c, list({floor} ORDER BY j) AS y FROM
+                  (SELECT c, j, CAST(sum(e) AS BIGINT) AS s, count(*) AS n FROM (SELECT c, unnest(x) AS e, unnest(range(64)) AS j FROM a{i}) GROUP BY c, j)
+                  GROUP BY c) USING (c))"""
+            )
+    return f"""WITH {', '.join(parts)} SELECT vec_id, c AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+      CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c{rounds}.x, ',')) AS centroid_sha256,
+      count(*) OVER (PARTITION BY c) AS cluster_size FROM a{rounds} JOIN c{rounds} USING (c)"""
+
+
+CLUSTERING_SQL = _clustering_sql()
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -115,3 +161,19 @@ def op3_keyed_surrogates(spark: SparkSession, folder: str) -> DataFrame:
 @register()
 def op5_risk_controlled_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@register(LEXICAL_SQL)
+def op11_nra_search(spark: SparkSession, folder: str) -> DataFrame:
+    return nra.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@register()
+def op12_dictionary_quality(spark: SparkSession, folder: str) -> DataFrame:
+    scored = compression.train_and_score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+@register(CLUSTERING_SQL)
+def op13_subvector_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.cluster(table(spark, folder, "embeddings"))
