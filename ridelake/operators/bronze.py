@@ -82,6 +82,20 @@ def partition_columns(df: DataFrame, pickup: str = PICKUP) -> DataFrame:
     return df.withColumns({"year": F.year(moment), "month": F.month(moment)})
 
 
+def months_between(start: str | date | None = None, end: str | date | None = None) -> Column | None:
+    """The condition on ``year`` and ``month`` that ``start <= pickup < end`` implies; None without bounds."""
+    year, month = F.col("year"), F.col("month")
+    found = None
+    for bound, later in ((start, True), (end, False)):
+        if bound is not None:
+            day = F.lit(str(bound)).cast("date")
+            beyond = year > F.year(day) if later else year < F.year(day)
+            same = month >= F.month(day) if later else month <= F.month(day)
+            condition = beyond | ((year == F.year(day)) & same)
+            found = condition if found is None else found & condition
+    return found
+
+
 def date_range_filter(
     df: DataFrame, start: str | date | None = None, end: str | date | None = None, pickup: str = PICKUP
 ) -> DataFrame:
@@ -94,23 +108,12 @@ def date_range_filter(
     kind = df.schema[pickup].dataType
     moment = typed_timestamp(df.schema, pickup)
     target = T.TimestampType() if isinstance(kind, T.StringType) else kind
-    partitioned = {"year", "month"} <= set(df.columns)
-
-    def month_of(bound: str | date) -> tuple[Column, Column, Column]:
-        day = F.lit(str(bound)).cast("date")
-        return F.lit(str(bound)).cast(target), F.year(day), F.month(day)
-
     if start is not None:
-        bound, year, month = month_of(start)
-        df = df.filter(moment >= bound)
-        if partitioned:
-            df = df.filter((F.col("year") > year) | ((F.col("year") == year) & (F.col("month") >= month)))
+        df = df.filter(moment >= F.lit(str(start)).cast(target))
     if end is not None:
-        bound, year, month = month_of(end)
-        df = df.filter(moment < bound)
-        if partitioned:
-            df = df.filter((F.col("year") < year) | ((F.col("year") == year) & (F.col("month") <= month)))
-    return df
+        df = df.filter(moment < F.lit(str(end)).cast(target))
+    months = months_between(start, end)
+    return df.filter(months) if months is not None and {"year", "month"} <= set(df.columns) else df
 
 
 def bronze_table(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridelake.operators import gold
-from ridelake.operators.bronze import bronze_table, date_range_filter
+from ridelake.operators.bronze import bronze_table, date_range_filter, months_between
 from ridelake.operators.counting import StageCounts
 from ridelake.operators.silver import (
     build_merge_key,
@@ -16,7 +16,8 @@ from ridelake.operators.silver import (
     quality_filter,
     trip_measures,
 )
-from ridelake.sources.sinks import sink_gold, sink_partitioned, upsert
+from ridelake.sources import table_log
+from ridelake.sources.sinks import sink_gold, sink_partitioned
 from ridelake.sources.tables import scan_parquet, scan_table
 
 
@@ -45,12 +46,12 @@ def counted_silver(bronze: DataFrame, counts: StageCounts, newest: str = "ingest
 def run_silver(
     spark: SparkSession, bronze_path: str, silver_path: str, start: str | None = None, end: str | None = None
 ) -> dict[str, int]:
-    """Clean the bronze rows of the range and upsert them by merge key."""
+    """Clean the bronze rows of the range and upsert them by merge key, as one new snapshot of the table."""
     counts = StageCounts()
     bronze = counts.mark(date_range_filter(scan_table(spark, bronze_path), start, end), "bronze")
     silver = counted_silver(bronze, counts).withColumn("silver_updated_at", F.current_timestamp())
     # The key holds the pickup time, which the partitions are made of.
-    upsert(silver, silver_path, ["merge_key"], keys_fix_partition=True)
+    table_log.merge(silver, silver_path, ["merge_key"], keys_fix_partition=True)
     return counts.get()
 
 
@@ -72,7 +73,7 @@ def run_gold(
     mode: str = "overwrite",
 ) -> dict[str, bool]:
     """Write the four gold tables; none, if the range holds no silver rows."""
-    silver = date_range_filter(scan_table(spark, silver_path), start, end)
+    silver = date_range_filter(scan_table(spark, silver_path, within=months_between(start, end)), start, end)
     if silver.isEmpty():
         return {}
     stamped = {

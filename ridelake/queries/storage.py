@@ -8,7 +8,7 @@ from ridelake.operators import bronze, gold, silver
 from ridelake.queries.batch import RAW, ZONE_AGGREGATES, silver_of
 from ridelake.queries.registry import KEYED, SILVER, TRIPS, register, settle
 from ridelake.session import scratch_path
-from ridelake.sources import sinks, tables
+from ridelake.sources import sinks, table_log, tables
 from ridelake.sources.replay import replay_events as to_events
 from ridelake.sources.sample_shapes import table, trips
 
@@ -64,7 +64,9 @@ def sink_gold(spark, sf):
 
 def _versions(spark, sf):
     """Old content and an update: every trip of the second delivery with a month later and double fare."""
-    keyed = silver.dedupe_latest(silver.build_merge_key(trips(spark, sf)), newest="delivery")
+    made = scratch_path(spark, "trips")
+    silver.dedupe_latest(silver.build_merge_key(trips(spark, sf)), newest="delivery").write.parquet(made)
+    keyed = spark.read.parquet(made)
     update = keyed.filter("delivery = 1").withColumns(
         {
             "tpep_pickup_datetime": F.col("tpep_pickup_datetime") + F.expr("INTERVAL '31' DAY"),
@@ -90,10 +92,45 @@ def upsert(spark, sf):
     path = scratch_path(spark, "upserted")
     old, update = _versions(spark, sf)
     for rows in (old, update, update):
+        table_log.merge(rows, path, ["merge_key"])
+    return tables.scan_table(spark, path)
+
+
+@register(_UPSERTED)
+def upsert_plain_folders(spark, sf):
+    """The same into folders without a log, which any reader of Parquet understands."""
+    path = scratch_path(spark, "upserted")
+    old, update = _versions(spark, sf)
+    for rows in (old, update):
         sinks.upsert(rows, path, ["merge_key"])
     return tables.scan_table(spark, path)
 
 
+_ZONE_TEXT = "lpad(CAST((PULocationID + {shift}) % 12 AS VARCHAR), 2, '0')"
+
+
+def _zone_name(shift: str) -> str:
+    """Partition names that folder names could mistake: leading zeros, a colon, nothing at all, null."""
+    text = _ZONE_TEXT.format(shift=shift)
+    return f"CASE {text} WHEN '03' THEN 'a:b' WHEN '04' THEN '' WHEN '05' THEN NULL ELSE {text} END"
+
+
+_TEXT_PARTITIONS = _UPSERTED.replace(
+    f"SELECT {RAW}, merge_key, {_MONTHS} FROM merged",
+    f"SELECT merge_key, fare_amount, {_zone_name('month(tpep_pickup_datetime)')} AS zone FROM merged",
+)
+
+
+@register(_TEXT_PARTITIONS)
+def upsert_text_partition(spark, sf):
+    """Partitions by text, which an update moves rows between."""
+    path = scratch_path(spark, "text_partitions")
+    zone = F.expr(_zone_name("month").replace("VARCHAR", "STRING")).alias("zone")
+    for rows in _versions(spark, sf):
+        table_log.merge(rows.select("merge_key", "fare_amount", zone), path, ["merge_key"], partitions=["zone"])
+    return tables.scan_table(spark, path)
+
+
 @register(
     f"""WITH {KEYED}, latest AS (SELECT * EXCLUDE (copy) FROM (SELECT *, row_number() OVER (PARTITION BY merge_key
     ORDER BY delivery DESC, VendorID, tpep_pickup_datetime, tpep_dropoff_datetime, passenger_count, trip_distance,
@@ -107,7 +144,7 @@ def upsert_evolving(spark, sf):
     rows = bronze.partition_columns(keyed)
     tolled = rows.withColumn("toll", F.col("fare_amount") * 2)
     for load in (rows, tolled.filter("PULocationID % 2 = 0"), tolled.filter("delivery = 1")):
-        sinks.upsert(load, path, ["merge_key"], keys_fix_partition=True)
+        table_log.merge(load, path, ["merge_key"], keys_fix_partition=True)
     return tables.scan_table(spark, path)
 
 
@@ -130,7 +167,7 @@ def upsert_composite(spark, sf):
     rows = bronze.partition_columns(trips(spark, sf))
     for delivery in (0, 1):
         load = rows.filter(F.col("delivery") == delivery)
-        sinks.upsert(load, path, ["VendorID", "tpep_pickup_datetime", "PULocationID"], newest=["delivery"])
+        table_log.merge(load, path, ["VendorID", "tpep_pickup_datetime", "PULocationID"], newest=["delivery"])
     return tables.scan_table(spark, path)
 
 

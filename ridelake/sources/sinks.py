@@ -1,30 +1,20 @@
-"""Writing: partitioned tables, gold tables, CSV, and upsert without a transaction log."""
+"""Writing: partitioned tables, gold tables, CSV, and upsert of plain folders (``table_log`` has the one with snapshots)."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.errors import AnalysisException, UnsupportedOperationException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ridelake.operators.counting import StageCounts
 from ridelake.session import scratch_path
+from ridelake.sources.files import PARTITIONS, delete_folder, newest_per_key, refuse_repeated_keys, spread_for_write, table_exists
 from ridelake.sources.tables import CSV_OPTIONS
 
-PARTITIONS = ("year", "month")
-
-
-def table_exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
-
-
-def delete_folder(spark: SparkSession, path: str) -> None:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
-
 
 def sink_partitioned(
     df: DataFrame,
@@ -46,11 +36,6 @@ def sink_partitioned(
     return True
 
 
-def spread_for_write(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
-    """A rebalance by partition values: adaptive execution merges small and splits large ones."""
-    return df.hint("rebalance", *[F.col(p) for p in partitions])
-
-
 def sink_gold(tables: Mapping[str, DataFrame | None], base: str, mode: str = "overwrite") -> dict[str, bool]:
     """Write each gold table below ``base``; one that is absent or empty is left alone.
 
@@ -71,16 +56,6 @@ def sink_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).options(**CSV_OPTIONS).csv(path)
 
 
-def _newest_per_key(source: DataFrame, keys: Sequence[str], newest: Sequence[str | Column]) -> DataFrame:
-    """One row per key; rows with a null in the key match nothing and all stay."""
-    complete = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
-    order = [F.col(c).desc_nulls_last() if isinstance(c, str) else c for c in newest]
-    ties = [F.col(c).asc_nulls_first() for c in source.columns if c not in keys]
-    window = Window.partitionBy(*keys).orderBy(*order, *ties)
-    single = source.filter(complete).withColumn("_copy", F.row_number().over(window)).filter("_copy = 1")
-    return single.drop("_copy").unionByName(source.filter(~complete))
-
-
 def upsert(
     source: DataFrame,
     path: str,
@@ -103,11 +78,11 @@ def upsert(
     spark = source.sparkSession
     finish_upsert(spark, path)
     staged = scratch_path(spark, "upsert")
-    unique = source if newest is None else _newest_per_key(source, keys, newest)
+    unique = source if newest is None else newest_per_key(source, keys, newest)
     unique.write.parquet(staged)
     incoming = spark.read.parquet(staged)
     if newest is None:
-        _refuse_repeated_keys(incoming, keys)
+        refuse_repeated_keys(incoming, keys)
 
     if not table_exists(spark, path):
         sink_partitioned(incoming, path, "overwrite", partitions)
@@ -116,7 +91,7 @@ def upsert(
     filled = _partition_values(incoming, partitions)
     if not filled:
         return
-    target = spark.read.option("mergeSchema", "true").parquet(path)
+    target = _typed_like(incoming, spark.read.option("mergeSchema", "true").parquet(path), path, partitions)
     received = incoming.select(*keys)
     vacated = set()
     if keys_fix_partition:
@@ -131,11 +106,13 @@ def upsert(
     if emptied:
         left = target.select(*keys, *partitions).filter(_is_one_of(emptied, partitions))
         emptied = emptied - _partition_values(left.join(received, list(keys), "left_anti"), partitions)
+    folders = _folders_of(target.filter(_is_one_of(emptied, partitions))) if emptied else []
     pending = _pending(path)
-    folders = ["/".join(map(_directory, partitions, values)) for values in emptied]
-    spark.createDataFrame([(f,) for f in folders], "folder string").coalesce(1).write.parquet(f"{pending}/emptied")
-    spark.createDataFrame([(p,) for p in partitions], "name string").coalesce(1).write.parquet(f"{pending}/partitions")
     content = spread_for_write(kept.unionByName(incoming, allowMissingColumns=True), partitions)
+    spark.createDataFrame([(f,) for f in folders], "folder string").coalesce(1).write.parquet(f"{pending}/emptied")
+    # With the types of the rows: read back from folder names, text such as 01 would become a number.
+    plan = [(list(partitions), content.schema.json())]
+    spark.createDataFrame(plan, "names array<string>, schema string").coalesce(1).write.parquet(f"{pending}/plan")
     content.write.partitionBy(*partitions).parquet(f"{pending}/content")
     finish_upsert(spark, path)
 
@@ -154,29 +131,23 @@ def finish_upsert(spark: SparkSession, path: str) -> bool:
         return False
     complete = table_exists(spark, f"{pending}/content/_SUCCESS")
     if complete:
-        # In written order: the last columns of a partitioned table are its partitions.
-        names = [r.name for r in spark.read.parquet(f"{pending}/partitions").collect()]
-        content = spark.read.option("mergeSchema", "true").parquet(f"{pending}/content")
+        plan = spark.read.parquet(f"{pending}/plan").first()
+        content = spark.read.schema(T.StructType.fromJson(json.loads(plan.schema))).parquet(f"{pending}/content")
         (
-            spread_for_write(content, names)
+            spread_for_write(content, plan.names)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*names)
+            .partitionBy(*plan.names)
             .parquet(path)
         )
         for row in spark.read.parquet(f"{pending}/emptied").collect():
-            delete_folder(spark, f"{path.rstrip('/')}/{row.folder}")
+            delete_folder(spark, row.folder)
+            if table_exists(spark, row.folder):
+                raise RuntimeError(f"could not delete {row.folder}, whose rows have moved")
     delete_folder(spark, pending)
     return complete
 
 
-def _refuse_repeated_keys(rows: DataFrame, keys: Sequence[str]) -> None:
-    complete = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
-    repeated = rows.filter(complete).groupBy(*keys).count().filter("count > 1")
-    if not repeated.isEmpty():
-        raise ValueError(f"a key ({', '.join(keys)}) comes more than once; say with newest= which row counts")
-
-
 def _partition_values(df: DataFrame, partitions: Sequence[str]) -> set[tuple]:
     """The partitions rows fall into: as many entries as the table has directories."""
     return {tuple(row) for row in df.select(*partitions).distinct().collect()}
@@ -188,8 +159,20 @@ def _is_one_of(values: set[tuple], partitions: Sequence[str]) -> Column:
     return F.struct(*partitions).isin(*kinds)
 
 
-def _directory(partition: str, value: object) -> str:
-    return f"{partition}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
+def _typed_like(rows: DataFrame, target: DataFrame, path: str, partitions: Sequence[str]) -> DataFrame:
+    """The target read with the partition types of ``rows``, where folder names made it guess others."""
+    kinds = {p: rows.schema[p].dataType for p in partitions}
+    if all(target.schema[p].dataType == kind for p, kind in kinds.items()):
+        return target
+    fields = [T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in target.schema]
+    return target.sparkSession.read.schema(T.StructType(fields)).parquet(path)
+
+
+def _folders_of(rows: DataFrame) -> list[str]:
+    """The folders rows lie in, by the names they have and not by those they should have; one for each partition at most."""
+    jvm = rows.sparkSession._jvm
+    names = [r.f for r in rows.select(F.input_file_name().alias("f")).distinct().collect()]
+    return sorted({jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name)).getParent().toString() for name in names})
 
 
 def changed_split(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -6,10 +6,12 @@ import re
 from collections.abc import Mapping
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ridelake.sources import table_log
+
 
 def scan_parquet(
     spark: SparkSession, path: str, schema: T.StructType | str | None = None, recursive: bool = False
@@ -26,8 +28,16 @@ def scan_parquet(
     return df
 
 
-def scan_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """A lakehouse table by path; partition values come back as columns, and columns that later files added."""
+def scan_table(spark: SparkSession, path: str, fmt: str = "parquet", within: Column | None = None) -> DataFrame:
+    """A lakehouse table by path; partition values come back as columns, and columns that later files added.
+
+    A table with snapshots is read at its newest. ``within``, a condition on partition columns alone, prunes files of
+    either kind.
+    """
+    if fmt == "parquet" and table_log.is_logged(spark, path):
+        return table_log.read(spark, path, within)
+    if within is not None:
+        return scan_table(spark, path, fmt).filter(within)
     reader = spark.read.format(fmt)
     return (reader.option("mergeSchema", "true") if fmt in ("parquet", "orc") else reader).load(path)
 
