@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ridelake.operators.ordered import running_totals
+from ridelake.operators.ordered import CHUNK_ROWS, data_cut, running_totals
 
 # Limits of the rules.
 MAX_MILES = 100.0
@@ -23,8 +23,6 @@ MAX_MPH = 100.0
 
 Z_LIMIT = 2.5
 
-CHUNK_SECONDS = 3600
-
 PRIOR = ("prior_count", "prior_sum", "prior_sumsq")
 
 
@@ -52,12 +50,17 @@ def prior_statistics(df: DataFrame) -> DataFrame:
     )
 
 
-def running_vendor_stats(rides: DataFrame, chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
-    """Count, mean and population standard deviation of the vendor's earlier fares."""
-    keyed = null_key(rides)
-    chunk = F.floor(F.coalesce(F.unix_timestamp("pickup_ts"), F.lit(-(2**40))) / F.lit(chunk_seconds))
-    order = [F.col("pickup_ts").asc_nulls_first(), F.col("ride_id").asc_nulls_first()]
-    return running_totals(keyed, ["vendor_id"], order, chunk, fare_totals()).transform(prior_statistics)
+def running_vendor_stats(rides: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Count, mean and population standard deviation of the vendor's earlier fares.
+
+    Rides count in the order of pickup time and id, nulls first; further ties are settled by a hash of the row. The chunks
+    they are summed in are cut along that order: a vendor's rides of one minute, or without a time, may be several.
+    """
+    keyed = null_key(rides).withColumn("_tie", F.xxhash64(*[F.col(f"`{c}`") for c in rides.columns]))
+    order = ["pickup_ts", "ride_id", "_tie"]
+    chunk = data_cut(keyed, ["vendor_id"], order, chunk_rows)
+    within = [F.col(c).asc_nulls_first() for c in order]
+    return running_totals(keyed, ["vendor_id"], within, chunk, fare_totals()).drop("_tie").transform(prior_statistics)
 
 
 def elapsed_seconds() -> Column:
@@ -95,19 +98,19 @@ def with_reasons(df: DataFrame, conditions: dict[str, Column]) -> DataFrame:
     return df.filter(any_of(conditions.values())).withColumn("reasons", F.array_compact(names))
 
 
-def ride_anomalies(rides: DataFrame, chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
+def ride_anomalies(rides: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Flagged rides only, each with its list of reasons."""
     return (
-        running_vendor_stats(rides, chunk_seconds)
+        running_vendor_stats(rides, chunk_rows)
         .transform(with_reasons, rule_conditions())
         .drop(*PRIOR, "prior_mean", "prior_std")
     )
 
 
-def rule_hits(rides: DataFrame, rule: str, chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
+def rule_hits(rides: DataFrame, rule: str, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Rides that one rule flags. Rules that look at the ride alone need no statistics."""
     if rule.startswith("fare_gt"):
-        rides = running_vendor_stats(rides, chunk_seconds)
+        rides = running_vendor_stats(rides, chunk_rows)
         return rides.filter(rule_conditions()[rule]).drop(*PRIOR, "prior_mean", "prior_std")
     blank = {"prior_count": F.lit(0), "prior_mean": F.lit(0.0), "prior_std": F.lit(0.0)}
     return null_key(rides).withColumns(blank).filter(rule_conditions()[rule]).drop(*blank)

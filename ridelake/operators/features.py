@@ -9,12 +9,11 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridelake.functions.clock import time_chunk
 from ridelake.functions.scoring import expected_fare_ratio
-from ridelake.operators.ordered import carry_last
+from ridelake.operators.ordered import CHUNK_ROWS, carry_each, data_cut
+from ridelake.operators.sizing import computed_once
 
 TIMESTAMP = "event_timestamp"
-CHUNK_SECONDS = 6 * 3600
 
 
 @dataclass(frozen=True)
@@ -194,6 +193,16 @@ def lookup_latest(
     return result
 
 
+@dataclass(frozen=True)
+class Served:
+    """Feature rows with the columns wanted of them, the time each row is from, and how long it holds."""
+
+    rows: DataFrame
+    columns: Sequence[str]
+    ttl: timedelta | None = None
+    timestamp: str = TIMESTAMP
+
+
 def asof_join(
     entities: DataFrame,
     features: DataFrame,
@@ -201,40 +210,54 @@ def asof_join(
     columns: Sequence[str],
     ttl: timedelta | None = None,
     timestamp: str = TIMESTAMP,
-    chunk_seconds: int = CHUNK_SECONDS,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """The newest feature row at or before each entity row's time, unless older than ``ttl``.
 
-    Feature and entity rows are put on one time line per key, and the last feature row is
-    carried forward along it, by time chunks: the history of a hot key is split, not sent to
-    one task. Entity rows of no key or no time get nulls, and stay out of the time line.
+    Entity rows of no key or no time get nulls. Of feature rows of one time the greatest counts.
     """
-    kept = entities.columns
-    payload = F.struct(F.col(timestamp).alias("_ts"), *[F.col(c) for c in columns])
-    usable = F.col(key).isNotNull() & F.col(timestamp).isNotNull()
-    # On equal times the feature row comes first; of several, the greatest is last.
-    asked = entities.filter(usable).select(
-        F.col(key).alias("_key"),
-        F.col(timestamp).alias("_at"),
-        F.lit(True).alias("_asked"),
-        F.struct(*kept).alias("_entity"),
-    )
-    offered = features.filter(usable).select(
-        F.col(key).cast(entities.schema[key].dataType).alias("_key"),
-        F.col(timestamp).cast(entities.schema[timestamp].dataType).alias("_at"),
-        F.lit(False).alias("_asked"),
-        payload.alias("_features"),
-    )
-    line = asked.unionByName(offered, allowMissingColumns=True)
-    carried = carry_last(
-        line, ["_key"], ["_at", "_asked", "_features"], time_chunk("_at", chunk_seconds), "_features", "_last"
-    ).filter("_asked")
-    if ttl is not None:
-        oldest = F.col("_at") - F.make_dt_interval(secs=F.lit(ttl.total_seconds()))
-        carried = carried.withColumn("_last", F.when(F.col("_last._ts") >= oldest, F.col("_last")))
-    found = carried.select("_entity.*", *[F.col(f"_last.{c}").alias(c) for c in columns])
-    unasked = entities.filter(~usable)
-    return found.unionByName(unasked, allowMissingColumns=True)
+    return asof_merge(entities, key, [Served(features, columns, ttl, timestamp)], timestamp, chunk_rows)
+
+
+def asof_merge(
+    entities: DataFrame, key: str, served: Sequence[Served], timestamp: str = TIMESTAMP, chunk_rows: int = CHUNK_ROWS
+) -> DataFrame:
+    """``asof_join`` with several tables of features of one entity, by one pass over their times.
+
+    What is asked and what is offered is one row for each key and time, however many rows share it: a narrow time line, on
+    which the last row of every table is carried forward. It is cut into chunks by its own rows, so neither a hot key nor a
+    hot instant is one task. What was found joins the entity rows by key and time.
+    """
+    key_kind, time_kind = entities.schema[key].dataType, entities.schema[timestamp].dataType
+    names = [f"_offer_{i}" for i in range(len(served))]
+
+    def known(rows: DataFrame, at: str) -> DataFrame:
+        return rows.filter(F.col(key).isNotNull() & F.col(at).isNotNull())
+
+    # On equal times what is offered comes first.
+    line = known(entities, timestamp).select(F.col(key).alias("_key"), F.col(timestamp).alias("_at"), F.lit(True).alias("_asked")).distinct()
+    for name, table in zip(names, served):
+        offered = (
+            known(table.rows, table.timestamp)
+            .groupBy(F.col(key).cast(key_kind).alias("_key"), F.col(table.timestamp).cast(time_kind).alias("_at"))
+            .agg(F.max(F.struct(F.col(table.timestamp).alias("_ts"), *table.columns)).alias(name))
+            .withColumn("_asked", F.lit(False))
+        )
+        line = line.unionByName(offered, allowMissingColumns=True)
+    line = computed_once(line)
+    order = ["_at", "_asked"]
+    found = {f"_found_{i}": name for i, name in enumerate(names)}
+    carried = carry_each(line, ["_key"], order, data_cut(line, ["_key"], order, chunk_rows), found).filter("_asked")
+    fresh = []
+    for name, table in zip(found, served):
+        row = F.col(name)
+        if table.ttl is not None:
+            oldest = F.col("_at") - F.make_dt_interval(secs=F.lit(table.ttl.total_seconds()))
+            row = F.when(F.col(f"{name}._ts").cast(time_kind) >= oldest, row)
+        fresh += [row[c].alias(c) for c in table.columns]
+    answers = carried.select("_key", "_at", *fresh)
+    matched = (F.col(key) == F.col("_key")) & (F.col(timestamp) == F.col("_at"))
+    return entities.join(answers, matched, "left").drop("_key", "_at")
 
 
 def get_historical(
@@ -242,23 +265,27 @@ def get_historical(
     refs: Sequence[str],
     views: Sequence[FeatureView],
     full_names: bool = True,
-    chunk_seconds: int = CHUNK_SECONDS,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
-    """Point-in-time features of several views on one entity table.
+    """Point-in-time features of several views on one entity table; views of one entity are merged in one pass.
 
     Entity rows without a time column are asked as of now. No entity rows is an error.
     """
     if entities.isEmpty():
         raise ValueError("entity rows must not be empty")
     if TIMESTAMP not in entities.columns:
-        entities = entities.withColumn(TIMESTAMP, F.current_timestamp())
-    result = entities
+        # One moment for all steps that follow.
+        now = entities.sparkSession.range(1).select(F.unix_micros(F.current_timestamp()).alias("n")).first().n
+        entities = entities.withColumn(TIMESTAMP, F.timestamp_micros(F.lit(now)))
+    by_key: dict[str, list[Served]] = {}
     for view, features in _wanted(refs, views):
         names = [_served_as(view, f, full_names) for f in features]
-        rows = view.load().select(
-            view.entity.join_key, TIMESTAMP, *[F.col(f).alias(n) for f, n in zip(features, names)]
-        )
-        result = asof_join(result, rows, view.entity.join_key, names, view.ttl, chunk_seconds=chunk_seconds)
+        key = view.entity.join_key
+        rows = view.load().select(key, TIMESTAMP, *[F.col(f).alias(n) for f, n in zip(features, names)])
+        by_key.setdefault(key, []).append(Served(rows, names, view.ttl))
+    result = entities
+    for key, served in by_key.items():
+        result = asof_merge(result, key, served, chunk_rows=chunk_rows)
     return result
 
 

@@ -35,13 +35,13 @@ def stored(spark, rows, view):
     return view.bind(lambda: open_source(spark, path, view.timestamp))
 
 
-def zone_view(spark, sf):
-    rows = settle(gold.daily_zone_features(silver_of(spark, sf)), "zone_avg_fare", "zone_avg_distance")
+def zone_view(spark, sf, silver=None):
+    rows = settle(gold.daily_zone_features(silver or silver_of(spark, sf)), "zone_avg_fare", "zone_avg_distance")
     return stored(spark, rows, features.ZONE_FEATURES)
 
 
-def daily_view(spark, sf):
-    daily = gold.feature_rename(gold.daily_stats(silver_of(spark, sf)), "daily")
+def daily_view(spark, sf, silver=None):
+    daily = gold.feature_rename(gold.daily_stats(silver or silver_of(spark, sf)), "daily")
     rows = settle(daily, "daily_avg_fare", "daily_total_revenue").select(
         F.col("peak_hour").alias("hour_of_day"),
         F.date_add("trip_date", 1).cast("timestamp_ntz").alias("event_timestamp"),
@@ -78,7 +78,10 @@ _TWO = f"""WITH {SILVER}, {ZONES}, {DAYS}, {ENTITIES},
 
 def _two_views(spark, sf):
     asked = entity_rows(spark, sf).withColumn("hour_of_day", F.col("entity_row_id") % 24)
-    views = [zone_view(spark, sf), daily_view(spark, sf)]
+    path = scratch_path(spark, "silver")
+    silver_of(spark, sf).write.parquet(path)
+    silver = spark.read.parquet(path)
+    views = [zone_view(spark, sf, silver), daily_view(spark, sf, silver)]
     return features.get_historical(asked, ZONE_REFS + DAILY_REFS, views)
 
 

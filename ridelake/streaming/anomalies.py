@@ -5,8 +5,8 @@ Two forms give the same rules:
 * ``ride_anomalies_stream`` keeps count, sum and sum of squares per vendor in the state store
   and sees each ride once. A vendor's rides of one micro-batch pass through one task, as an
   iterator of Arrow batches.
-* ``anomaly_batches`` computes each micro-batch with the table operator, which splits a
-  vendor over the cluster, and keeps the totals of all vendors as a small table per batch.
+* ``anomaly_batches`` computes each micro-batch with the table operator, which cuts the rides of a vendor,
+  however close in time, into chunks by their number, and keeps the totals of all vendors as a small table per batch.
   It is the one to use when few vendors carry most of the rides.
 """
 
@@ -24,7 +24,6 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from ridelake.functions.clock import epoch_seconds
 from ridelake.functions.ridejson import RIDE_FIELDS, parse_ride_json, to_payload
 from ridelake.operators.anomalies import (
-    CHUNK_SECONDS,
     MEAN_FACTOR,
     MIN_STD,
     PRIOR,
@@ -36,7 +35,7 @@ from ridelake.operators.anomalies import (
     rule_conditions,
     with_reasons,
 )
-from ridelake.operators.ordered import running_totals
+from ridelake.operators.ordered import CHUNK_ROWS, data_cut, running_totals
 from ridelake.operators.sizing import broadcast_if_small
 from ridelake.sources.sinks import table_exists
 from ridelake.streaming.sinks import _triggered
@@ -125,15 +124,17 @@ def anomaly_payloads(records: DataFrame) -> DataFrame:
     return records.select(to_payload(*ANOMALY_FIELDS))
 
 
-def score_batch(rides: DataFrame, before: DataFrame | None, chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
+def score_batch(rides: DataFrame, before: DataFrame | None, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Anomaly records of one micro-batch, given each vendor's totals before it.
 
     Within the batch rides count in the order of pickup time and id.
     """
-    moment = F.coalesce(epoch_seconds("pickup_datetime"), F.lit(-1e12))
+    moment = F.round(epoch_seconds("pickup_datetime") * 1_000_000).cast("bigint")
     timed = rides.withColumn("_moment", moment)
-    chunk = F.floor(F.col("_moment") / F.lit(chunk_seconds))
-    running = running_totals(timed, ["vendor_id"], ["_moment", "ride_id"], chunk, fare_totals()).drop("_moment")
+    order = ["_moment", "ride_id"]
+    chunk = data_cut(timed, ["vendor_id"], order, chunk_rows)
+    within = [F.col(c).asc_nulls_first() for c in order]
+    running = running_totals(timed, ["vendor_id"], within, chunk, fare_totals()).drop("_moment")
     if before is not None:
         known = before.withColumnsRenamed({name: f"_{name}" for name in PRIOR})
         running = running.join(broadcast_if_small(known), "vendor_id", "left").withColumns(

@@ -61,7 +61,7 @@ def test_equal_feature_times_take_the_greatest(spark):
     assert rows_of(got, "zone_features__zone_avg_fare") == [(8.0,)]
 
 
-@pytest.mark.parametrize("chunk", [3600, 6 * 3600, 10**8])
+@pytest.mark.parametrize("chunk", [8, 100, 10**8])
 def test_point_in_time_matches_brute_force_with_a_hot_zone(spark, chunk):
     rng = random.Random(5)
     moment = lambda: DAY + dt.timedelta(seconds=rng.randrange(0, 86_400 * 20, 900))
@@ -77,15 +77,41 @@ def test_point_in_time_matches_brute_force_with_a_hot_zone(spark, chunk):
         fresh = place >= 0 and at - rows[place][0] <= dt.timedelta(days=7)
         expected[i] = rows[place][1] if fresh else None
     view = zone_view(spark, *[(z, t, f) for (z, t), f in known.items()])
-    assert historical(spark, ask(spark, *asked), view, chunk_seconds=chunk) == expected
+    assert historical(spark, ask(spark, *asked), view, chunk_rows=chunk) == expected
 
 
 def test_history_of_a_key_is_split(spark):
-    joined = features.asof_join(ask(spark, (1, DAY)), zone_rows(spark, (1, DAY, 5.0)), "location_id", ["zone_avg_fare"])
+    history = [(1, DAY + dt.timedelta(hours=i), float(i)) for i in range(400)]
+    joined = features.asof_join(ask(spark, (1, DAY)), zone_rows(spark, *history), "location_id", ["zone_avg_fare"], chunk_rows=16)
     exchanges = [line for line in plan_of(joined).splitlines() if "Exchange hashpartitioning(_key" in line]
     assert exchanges and any("_chunk" in line for line in exchanges)
 
 
+def test_one_instant_of_many_entity_rows_is_one_place_on_the_time_line(spark, monkeypatch):
+    """All rows without a time of their own are asked as of one moment."""
+    lines, once = [], features.computed_once
+    monkeypatch.setattr(features, "computed_once", lambda df: lines.append(once(df)) or lines[-1])
+    asked = spark.range(100_000).select(
+        F.col("id").cast("int").alias("id"), (F.col("id") % 2 + 1).alias("location_id"), F.lit(DAY).cast("timestamp_ntz").alias("event_timestamp")
+    )
+    view = zone_view(spark, (1, DAY, 5.0), (1, DAY - dt.timedelta(days=1), 4.0))
+    got = features.get_historical(asked, ["zone_features:zone_avg_fare"], [view])
+    assert rows_of(got.groupBy("location_id", "zone_features__zone_avg_fare").count()) == [(1, 5.0, 50_000), (2, None, 50_000)]
+    assert [df.count() for df in lines] == [4]
+
+
+def test_views_of_one_entity_share_a_time_line(spark, monkeypatch):
+    calls, once = [], features.computed_once
+    monkeypatch.setattr(features, "computed_once", lambda df: calls.append(1) or once(df))
+    slow = zone_view(spark, (1, DAY, 5.0), (2, DAY, 6.0))
+    rows = zone_rows(spark, (1, DAY - dt.timedelta(days=2), 1.0), (1, DAY, 2.0))
+    fast = features.FeatureView("fast", features.TAXI_ZONE, dt.timedelta(days=1), {"zone_avg_fare": "double"}, lambda: rows)
+    asked = ask(spark, (1, DAY), (1, DAY - dt.timedelta(days=2)), (1, DAY - dt.timedelta(hours=5)), (2, DAY + dt.timedelta(days=3)), (None, DAY))
+    got = features.get_historical(asked, ["zone_features:zone_avg_fare", "fast:zone_avg_fare"], [slow, fast])
+    found = {r.id: (r.zone_features__zone_avg_fare, r.fast__zone_avg_fare) for r in got.collect()}
+    assert found == {0: (5.0, 2.0), 1: (None, 1.0), 2: (None, None), 3: (6.0, None), 4: (None, None)} and len(calls) == 1
+
+
 def test_missing_time_is_now_and_no_rows_is_an_error(spark):
     now = dt.datetime.now()
     view = zone_view(spark, (1, now - dt.timedelta(days=2), 5.0), (2, now - dt.timedelta(days=9), 6.0))

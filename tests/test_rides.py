@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ridelake.functions.clock import epoch_seconds
 from ridelake.functions.ridejson import parse_ride_json, read_ride_fields
 from ridelake.operators import anomalies, windows
+from ridelake.operators.ordered import data_cut
 
 SCHEMA = (
     "ride_id string, vendor_id string, pickup_ts timestamp_ntz, dropoff_ts timestamp_ntz, passenger_count int, "
@@ -89,7 +90,7 @@ def test_rolling_mean_matches_brute_force(spark, chunk):
 
 # What makes a ride odd, given it and the fares that its vendor had before.
 ODD = {
-    "invalid_fare_or_passengers": lambda r, past: min(r[6], r[4] - 1) < 0,
+    "invalid_fare_or_passengers": lambda r, past: r[6] < 0 or r[4] <= 0,
     "distance_over_100_miles": lambda r, past: r[5] > 100,
     "fare_gt_3x_rolling_mean": lambda r, past: bool(past) and r[6] * len(past) > 3 * sum(past),
     "fare_gt_mean_plus_3std": lambda r, past: len(past) > 1 and r[6] > _limit(past) and np.std(past) > 1e-9,
@@ -125,13 +126,41 @@ def odd_rides(count=600):
     return rows
 
 
-@pytest.mark.parametrize("chunk", [600, 86_400, 10**8])
+@pytest.mark.parametrize("chunk", [8, 100, 10**8])
 def test_anomalies_match_brute_force_whatever_the_chunk(spark, chunk):
     rows = odd_rides()
     got = {r.ride_id: r.reasons for r in anomalies.ride_anomalies(rides(spark, rows), chunk).collect()}
     assert got == _brute_flags(rows)
 
 
+def test_one_minute_of_a_vendor_is_several_chunks(spark):
+    """10^5 rides, a third of them without a time, and an id that comes twice: sums before each as along the whole order."""
+    n = 100_000
+    at = F.when(F.col("id") % 3 > 0, F.lit(START) + F.make_dt_interval(secs=F.col("id") * 7919 % 60)).cast("timestamp_ntz")
+    name = F.lpad((F.col("id") * 104_729 % n).cast("string"), 6, "0")
+    minute = spark.range(n).select(name.alias("ride_id"), F.lit("1").alias("vendor_id"), at.alias("pickup_ts"), (F.col("id") % 100).cast("double").alias("fare_amount"))
+    keyed = minute.withColumn("_tie", F.lit(0))
+    sizes = keyed.groupBy(data_cut(keyed, ["vendor_id"], ["pickup_ts", "ride_id"], 5_000).alias("chunk")).count().toPandas()
+    assert len(sizes) > 10 and sizes["count"].max() < 20_000
+    got = anomalies.running_vendor_stats(minute, 5_000).toPandas().sort_values(["pickup_ts", "ride_id"], na_position="first")
+    assert got["prior_count"].tolist() == list(range(n))
+    sums = np.concatenate([[0], got["fare_amount"].cumsum()[:-1]])
+    assert np.allclose(got["prior_sum"], sums)
+
+
+def test_chunks_follow_the_order_of_any_type(spark):
+    texts = ["", "a", "a\0", "a\0\1", "a\1", "ab", "é", "日", None]
+    times = [None, dt.datetime(1900, 1, 1, 0, 0, 0, 1), dt.datetime(1969, 12, 31), dt.datetime(2024, 3, 10, 2, 30, 0, 999_999)]
+    rows = [(t, x, n) for t in times for x in texts for n in (None, -(2**63), -1, 0, 2**63 - 1)]
+    df = spark.createDataFrame(rows, "t timestamp_ntz, x string, n long").withColumn("u", F.col("t").cast("timestamp")).withColumn("k", F.lit(1))
+    order = ["t", "x", "n", "u"]
+    cut = data_cut(df, ["k"], order, 8)
+    chunks = [r.c for r in df.select(*order, cut.alias("c")).orderBy(*[F.col(c).asc_nulls_first() for c in order]).collect()]
+    assert chunks == sorted(chunks) and len(set(chunks)) > 5
+    with pytest.raises(TypeError, match="double"):
+        data_cut(df.withColumn("d", F.lit(0.5)), ["k"], ["d"])
+
+
 def test_rides_without_time_come_first_and_count(spark):
     timeless = ("r9", "1", None, None, 1, 1.0, 50.0, "7")
     got = anomalies.running_vendor_stats(rides(spark, [timeless, ride(1, 0), ride(2, 60 * 48)]))
