@@ -20,6 +20,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -173,13 +174,12 @@ def _write_rows(rows: DataFrame, path: str, folder: str, partitions: Sequence[st
     return counted.get["rows"]
 
 
-def _describe(spark: SparkSession, path: str, commit: str, of: Snapshot, rows: int) -> DataFrame:
-    """The files of a commit as rows of a list of files; their Bloom filters are written beside it.
+def _describe(spark: SparkSession, path: str, commit: str, what: str, of: Snapshot, rows: int) -> DataFrame:
+    """The files a commit received, or kept, as rows of a list of files; their Bloom filters are written on the way.
 
     One pass over key and partition columns alone: a task sums its part of a file up, parts of one file are put together.
     """
-    names = [f"{commit}/{part}" for part in ("received", "kept") if table_exists(spark, _folder(path, "data", commit, part))]
-    written = _scan(spark, path, names, of.schema)
+    written = _scan(spark, path, [f"{commit}/{what}"], of.schema)
     part = F.struct(*of.partitions) if of.partitions else F.struct(F.lit(0).alias("_"))
     keyed = written.select(
         _file_name().alias("file"), F.when(_complete(of.keys), _key_hash(of.keys)).alias("h"), part.alias("part"), F.struct(*of.keys).alias("key")
@@ -196,7 +196,7 @@ def _describe(spark: SparkSession, path: str, commit: str, of: Snapshot, rows: i
         F.struct(*[F.max(F.col("high")[k]).alias(k) for k in of.keys]).alias("high"),
         F.pandas_udf(_any_bit, T.BinaryType())(F.collect_list("bloom")).alias("bloom"),
     )
-    target = _folder(path, "blooms", commit)
+    target = _folder(path, "blooms", commit, what)
     both.write.parquet(target)
     # Two partitions whose names collide share a file, which is then of no partition.
     one = F.when(F.col("first").eqNullSafe(F.col("last")), F.col("first"))
@@ -290,7 +290,8 @@ def _probed(spark: SparkSession, path: str, files: DataFrame, hashes: np.ndarray
                 hit.append(bool(alive.any()))
             yield batch.loc[hit, ["file"]]
 
-    known = spark.read.parquet(*kept).mapInPandas(test, "file string")
+    filters = spark.read.schema("file string, bloom binary").option("recursiveFileLookup", "true").parquet(*kept)
+    known = filters.mapInPandas(test, "file string")
     return files.join(known, "file", "left_semi")
 
 
@@ -370,30 +371,34 @@ def merge(
 def _merge_received(
     spark: SparkSession, received: DataFrame, rows: int, path: str, commit: str, keys: tuple, partitions: tuple, keys_fix_partition: bool
 ) -> int:
-    for _ in range(ATTEMPTS):
-        before = snapshot(spark, path)
-        if before is None:
-            listed, after = None, Snapshot(0, _merged_schema(T.StructType([]), received.schema), keys, partitions, commit)
-        elif rows == 0:
-            return before.version
-        else:
-            if (before.keys, before.partitions) != (keys, partitions):
-                raise ValueError(f"{path} has keys {before.keys} and partitions {before.partitions}, not {keys} and {partitions}")
-            after = Snapshot(before.version + 1, _merged_schema(before.schema, received.schema), keys, partitions, commit)
-            dropped = _files_with_keys_of(received, spark, path, before, keys_fix_partition)
-            listed = listed_files(spark, path, before)
-            if dropped:
-                kept = _scan(spark, path, dropped, before.schema).join(received.select(*keys), list(keys), "left_anti")
-                rows += _write_rows(kept.select(*before.schema.names), path, f"{commit}/kept", partitions)
-                listed = listed.join(spark.createDataFrame([(f,) for f in dropped], "file string"), "file", "left_anti")
-        added = _describe(spark, path, commit, after, rows)
-        listed = added if listed is None else listed.unionByName(added)
-        listed.hint("rebalance").write.parquet(_folder(path, "files", commit))
-        if _publish(spark, path, after):
-            return after.version
-        # Another update came first: what was received stays, the rest is done again on what it left.
-        for kind, name in (("data", f"{commit}/kept"), ("blooms", commit), ("files", commit)):
-            delete_folder(spark, _folder(path, kind, name))
+    own = Snapshot(0, _merged_schema(T.StructType([]), received.schema), keys, partitions, commit)
+    # What was received is described while the files it touches are looked for.
+    with ThreadPoolExecutor(1) as pool:
+        described = pool.submit(_describe, spark, path, commit, "received", own, rows)
+        for _ in range(ATTEMPTS):
+            before = snapshot(spark, path)
+            if before is None:
+                after, listed = own, described.result()
+            elif rows == 0:
+                return before.version
+            else:
+                if (before.keys, before.partitions) != (keys, partitions):
+                    raise ValueError(f"{path} has keys {before.keys} and partitions {before.partitions}, not {keys} and {partitions}")
+                after = Snapshot(before.version + 1, _merged_schema(before.schema, received.schema), keys, partitions, commit)
+                dropped = _files_with_keys_of(received, spark, path, before, keys_fix_partition)
+                listed = listed_files(spark, path, before)
+                if dropped:
+                    kept = _scan(spark, path, dropped, before.schema).join(received.select(*keys), list(keys), "left_anti")
+                    left = _write_rows(kept.select(*before.schema.names), path, f"{commit}/kept", partitions)
+                    gone = spark.createDataFrame([(f,) for f in dropped], "file string")
+                    listed = listed.join(gone, "file", "left_anti").unionByName(_describe(spark, path, commit, "kept", after, left))
+                listed = listed.unionByName(described.result())
+            listed.hint("rebalance").write.parquet(_folder(path, "files", commit))
+            if _publish(spark, path, after):
+                return after.version
+            # Another update came first: what was received stays, the rest is done again on what it left.
+            for name in (_folder(path, "data", commit, "kept"), _folder(path, "blooms", commit, "kept"), _folder(path, "files", commit)):
+                delete_folder(spark, name)
     raise ConcurrentUpdate(f"{ATTEMPTS} times another update of {path} was faster")
 
 
