@@ -24,6 +24,9 @@ RIDE_FIELDS = {
     "dropoff_location_id": "string",
 }
 
+# Timestamps in JSON keep their microseconds.
+JSON_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"}
+
 # What a missing field stands for, by type.
 MISSING = {"string": "", "int": 0, "double": 0.0}
 
@@ -56,4 +59,4 @@ def parse_ride_json(df: DataFrame, raw: str | Column = "value") -> DataFrame:
 
 def to_payload(*columns: str, alias: str = "payload") -> Column:
     """The named columns (all, if none is named) as one JSON object."""
-    return F.to_json(F.struct(*(columns or ("*",)))).alias(alias)
+    return F.to_json(F.struct(*(columns or ("*",))), JSON_TIMES).alias(alias)

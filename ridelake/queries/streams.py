@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ridelake.functions.ridejson import JSON_TIMES
+from ridelake.plans import stream_jobs
 from ridelake.queries.events import FLAGGED, METRICS, SESSION, SLIDING, TUMBLING
 from ridelake.queries.registry import RIDES, register, settle
 from ridelake.session import scratch_path
@@ -24,6 +26,7 @@ def ride_texts(events):
         "trip_distance",
         "fare_amount",
         "pickup_location_id",
+        F.concat("pickup_location_id", F.lit("x")).alias("dropoff_location_id"),
     )
     return events.select(F.to_json(event).alias("value"))
 
@@ -129,21 +132,53 @@ def late_data(spark, sf):
     return settle(zoneless(spark.read.parquet(target), "window_start", "window_end"), *METRICS)
 
 
-_EVENT = """SELECT ride_id, vendor_id, passenger_count, trip_distance, fare_amount, pickup_location_id,
-    CAST(date_trunc('second', pickup_ts) AS TIMESTAMP) AS pickup_second FROM rides"""
-_EVENT_COLUMNS = ("ride_id", "vendor_id", "passenger_count", "trip_distance", "fare_amount", "pickup_location_id")
+_CLOSED_KINDS = f"""SELECT * FROM ({TUMBLING} UNION ALL {SLIDING} UNION ALL {SESSION})
+    WHERE window_end <= (SELECT max(pickup_ts) FROM rides) - INTERVAL '10' SECOND"""
+_METRIC_SCHEMA = (
+    "metric_type string, window_start timestamp, window_end timestamp, ride_count bigint, avg_fare double, total_revenue double, "
+    "avg_distance double, pickup_location_id string"
+)
+
+
+@register(f"WITH {RIDES} SELECT sink, m.* FROM ({_CLOSED_KINDS}) m, (SELECT unnest(['json', 'parquet']) AS sink)")
+def stream_unified_window_metrics(spark, sf):
+    """Three kinds of windows into two sinks, stopped after the first half and resumed from the checkpoint."""
+    own = own_session(spark)
+    source, texts, files, checkpoint = (scratch_path(spark, x) for x in ("replay", "texts", "files", "checkpoint"))
+    for part in halves(spark, sf):
+        part.write.mode("append").text(source)
+        finish(stream_jobs.run_metrics(own, source, texts, files, checkpoint, None))
+    return settle(zoneless(_both_sinks(spark, texts, files, _METRIC_SCHEMA), "window_start", "window_end"), *METRICS)
+
+
+def _both_sinks(spark, texts, files, schema):
+    """Rows of a JSON and a Parquet sink, each named."""
+    both = [
+        stream_jobs.committed(spark, target, schema, fmt).withColumn("sink", F.lit(fmt))
+        for target, fmt in ((texts, "json"), (files, "parquet"))
+    ]
+    return both[0].unionByName(both[1])
+
+
+_EVENT = "SELECT ride_id, vendor_id, passenger_count, trip_distance, fare_amount, pickup_location_id, pickup_location_id || 'x' AS dropoff_location_id, pickup_ts, dropoff_ts FROM rides"
+_EVENT_SCHEMA = (
+    "ride_id string, vendor_id string, passenger_count int, trip_distance double, fare_amount double, "
+    "pickup_location_id string, dropoff_location_id string, pickup_ts timestamp, dropoff_ts timestamp"
+)
 
 
 def _parsed(spark, sf):
+    """Every field of the events, times to the microsecond."""
     events = streaming.ride_stream(own_session(spark), replayed(spark, sf))
-    return events.select(*_EVENT_COLUMNS, F.date_trunc("second", "pickup_ts").alias("pickup_second"))
+    fields = ("ride_id", "vendor_id", "passenger_count", "trip_distance", "fare_amount", "pickup_location_id", "dropoff_location_id", "pickup_ts")
+    return events.select(*fields, F.try_to_timestamp("dropoff_datetime").cast("timestamp").alias("dropoff_ts"))
 
 
 @register(f"WITH {RIDES} {_EVENT}")
 def source_stream_json(spark, sf):
     target = scratch_path(spark, "events")
     finish(sinks.sink_stream_parquet(_parsed(spark, sf), target, scratch_path(spark, "checkpoint"), None))
-    return zoneless(spark.read.parquet(target), "pickup_second")
+    return zoneless(spark.read.parquet(target), "pickup_ts", "dropoff_ts")
 
 
 @register(f"WITH {RIDES} {_EVENT}")
@@ -151,34 +186,23 @@ def sink_stream_parquet(spark, sf):
     """At most 1000 rows a file, so that files roll."""
     target = scratch_path(spark, "events")
     finish(sinks.sink_stream_parquet(_parsed(spark, sf), target, scratch_path(spark, "checkpoint"), None, 1000))
-    return zoneless(spark.read.parquet(target), "pickup_second")
+    return zoneless(spark.read.parquet(target), "pickup_ts", "dropoff_ts")
 
 
-@register(f"WITH {RIDES} SELECT * EXCLUDE (pickup_second) FROM ({_EVENT})")
+@register(f"WITH {RIDES} {_EVENT}")
 def sink_stream_json(spark, sf):
     target = scratch_path(spark, "texts")
-    finish(
-        sinks.sink_stream_json(_parsed(spark, sf).drop("pickup_second"), target, scratch_path(spark, "checkpoint"), None)
-    )
-    schema = (
-        "ride_id string, vendor_id string, passenger_count int, trip_distance double, fare_amount double, "
-        "pickup_location_id string"
-    )
-    return spark.read.schema(schema).json(target)
+    finish(sinks.sink_stream_json(_parsed(spark, sf), target, scratch_path(spark, "checkpoint"), None))
+    read = spark.read.schema(_EVENT_SCHEMA).options(**JSON_TIMES).json(target)
+    return zoneless(read, "pickup_ts", "dropoff_ts")
 
 
-@register(
-    f"""WITH {RIDES} SELECT s.sink, ride_id, vendor_id, passenger_count, trip_distance, fare_amount, pickup_location_id
-    FROM rides r, (SELECT unnest(['json', 'parquet']) AS sink) s"""
-)
+@register(f"WITH {RIDES} SELECT s.sink, e.* FROM ({_EVENT}) e, (SELECT unnest(['json', 'parquet']) AS sink) s")
 def sink_fanout(spark, sf):
     target = scratch_path(spark, "fanout")
     writers = [sinks.batch_folder(f"{target}/{fmt}", fmt) for fmt in ("json", "parquet")]
-    rows = _parsed(spark, sf).select(*_EVENT_COLUMNS)
-    finish(sinks.sink_fanout(rows, writers, scratch_path(spark, "checkpoint"), None))
-    texts = spark.read.schema(rows.schema).json(f"{target}/json/batch=*")
-    files = spark.read.parquet(f"{target}/parquet/batch=*")
-    return texts.withColumn("sink", F.lit("json")).unionByName(files.withColumn("sink", F.lit("parquet")))
+    finish(sinks.sink_fanout(_parsed(spark, sf), writers, scratch_path(spark, "checkpoint"), None))
+    return zoneless(_both_sinks(spark, f"{target}/json", f"{target}/parquet", _EVENT_SCHEMA), "pickup_ts", "dropoff_ts")
 
 
 @register(f"WITH {RIDES}, {FLAGGED} SELECT ride_id, vendor_id, fare_amount, trip_distance, passenger_count, pickup_location_id, reasons FROM flagged")
@@ -193,14 +217,69 @@ def ride_anomalies_microbatch(spark, sf):
     return found.drop("pickup_datetime", "dropoff_datetime")
 
 
-@register()
+_RECORDS = f"""WITH {RIDES}, {FLAGGED} SELECT ride_id, vendor_id, pickup_location_id, fare_amount, trip_distance, passenger_count,
+    reasons, pickup_ts, dropoff_ts FROM flagged"""
+_RECORD_SCHEMA = (
+    "ride_id string, vendor_id string, pickup_location_id string, fare_amount double, trip_distance double, passenger_count int, "
+    "reasons array<string>, pickup_datetime string, dropoff_datetime string"
+)
+
+
+def _shown(records):
+    """Records of anomalies with typed times."""
+    times = {f"{name}_ts": F.try_to_timestamp(f"{name}_datetime").cast("timestamp") for name in ("pickup", "dropoff")}
+    typed = records.withColumns(times).withColumn("reasons", F.array_join("reasons", ","))
+    return zoneless(typed.drop("pickup_datetime", "dropoff_datetime"), "pickup_ts", "dropoff_ts")
+
+
+def _in_order(spark, sf, parts: int = 3):
+    """Texts of the rides in the order of their times, in so many parts; each is one file, as which flagged fares depend on order."""
+    events = rides(spark, sf)
+    span = events.agg(F.min(F.unix_timestamp("pickup_ts")).alias("lo"), F.max(F.unix_timestamp("pickup_ts")).alias("hi")).first()
+    part = F.floor((F.unix_timestamp("pickup_ts") - span.lo) * parts / (span.hi - span.lo + 1))
+    return [ride_texts(events.filter(part == i).orderBy("pickup_ts", "ride_id").coalesce(1)) for i in range(parts)]
+
+
+@register(_RECORDS)
 def ride_anomalies_stream(spark, sf):
-    """State per vendor, in arrival order: which fares are flagged depends on that order."""
-    raw = streaming.raw_stream(own_session(spark), replayed(spark, sf))
-    target = scratch_path(spark, "anomalies")
-    payloads = anomalies.anomaly_payloads(anomalies.ride_anomalies_stream(raw))
-    finish(sinks.sink_stream_parquet(payloads, target, scratch_path(spark, "checkpoint"), None))
-    return spark.read.parquet(target)
+    """State per vendor, in arrival order, which here is the rides' own."""
+    own = own_session(spark)
+    source, target, checkpoint = (scratch_path(spark, x) for x in ("replay", "anomalies", "checkpoint"))
+    for part in _in_order(spark, sf):
+        part.write.mode("append").text(source)
+        payloads = anomalies.anomaly_payloads(anomalies.ride_anomalies_stream(streaming.raw_stream(own, source)))
+        finish(sinks.sink_stream_parquet(payloads, target, checkpoint, None))
+    read = spark.read.parquet(target).select(F.from_json("payload", _RECORD_SCHEMA).alias("r"))
+    return _shown(read.select("r.*"))
+
+
+@register(f"SELECT sink, r.* FROM ({_RECORDS}) r, (SELECT unnest(['json', 'parquet']) AS sink)")
+def stream_anomalies_fanout(spark, sf):
+    """The anomaly job with both its sinks."""
+    own = own_session(spark)
+    source, texts, files, checkpoint = (scratch_path(spark, x) for x in ("replay", "texts", "files", "checkpoint"))
+    for part in _in_order(spark, sf):
+        part.write.mode("append").text(source)
+        finish(stream_jobs.run_anomalies(own, source, texts, files, checkpoint, None))
+    return _shown(_both_sinks(spark, texts, files, _RECORD_SCHEMA))
+
+
+LATENESS = 6 * 3600
+
+
+@register(f"SELECT * FROM ({_RECORDS}) WHERE pickup_ts <= (SELECT max(ts) FROM events) - INTERVAL '{LATENESS}' SECOND")
+def ride_anomalies_event_order(spark, sf):
+    """Rides arrive up to five hours late and are scored in the order of their own time; the last six hours still wait."""
+    own = own_session(spark)
+    events = rides(spark, sf)
+    arrival = F.unix_timestamp("pickup_ts") + F.pmod(F.xxhash64("ride_id"), F.lit(5 * 3600))
+    span = events.agg(F.min(arrival).alias("lo"), F.max(arrival).alias("hi")).first()
+    part = F.floor((arrival - span.lo) * 4 / (span.hi - span.lo + 1))
+    source, target, state, checkpoint = (scratch_path(spark, x) for x in ("replay", "anomalies", "totals", "checkpoint"))
+    for i in range(4):
+        ride_texts(events.filter(part == i)).write.mode("append").text(source)
+        finish(anomalies.anomaly_batches(streaming.raw_stream(own, source), target, state, checkpoint, None, LATENESS))
+    return _shown(stream_jobs.committed(spark, target, _RECORD_SCHEMA))
 
 
 @register(

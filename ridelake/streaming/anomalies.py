@@ -1,4 +1,4 @@
-"""Ride anomalies on a stream, in arrival order.
+"""Ride anomalies on a stream, in the order of arrival or of the rides' own time.
 
 Two forms give the same rules:
 
@@ -152,27 +152,54 @@ def totals_after(rides: DataFrame, before: DataFrame | None) -> DataFrame:
 
 
 def anomaly_batches(
-    raw: DataFrame, target: str, state: str, checkpoint: str, interval: str | None = "60 seconds"
+    raw: DataFrame, target: str, state: str, checkpoint: str, interval: str | None = "60 seconds", lateness_seconds: int | None = None
 ) -> StreamingQuery:
     """Start the micro-batch form: records to ``target``, vendor totals to ``state``.
 
     Both are kept per batch: a batch that is repeated after a failure starts from the totals
     of the one before and replaces its own output.
+
+    With ``lateness_seconds`` rides count in the order of their own time and not of arrival: a ride waits until one that much
+    later has been seen, then all rides due are scored in order. One that comes later still counts when it comes.
     """
+    base = state.rstrip("/")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        previous = f"{state.rstrip('/')}/batch={batch_id - 1}"
-        before = spark.read.parquet(previous) if table_exists(spark, previous) else None
-        if batch_id > 0 and before is None:
-            raise RuntimeError(f"no vendor totals at {previous}")
+        before = _of_batch(batch, base, batch_id - 1)
         batch.persist()
         try:
-            totals_after(batch, before).write.mode("overwrite").parquet(f"{state.rstrip('/')}/batch={batch_id}")
-            score_batch(batch, before).write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch={batch_id}")
+            due = batch if lateness_seconds is None else _due(batch, f"{base}/waiting", batch_id, lateness_seconds)
+            totals_after(due, before).write.mode("overwrite").parquet(f"{base}/batch={batch_id}")
+            score_batch(due, before).write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch={batch_id}")
         finally:
             batch.unpersist()
 
     rides = null_key(parse_ride_json(raw))
     writer = rides.writeStream.option("checkpointLocation", checkpoint).foreachBatch(handle)
     return _triggered(writer, interval).start()
+
+
+def _of_batch(batch: DataFrame, base: str, batch_id: int) -> DataFrame | None:
+    """What an earlier batch left; None before the first."""
+    path = f"{base}/batch={batch_id}"
+    if table_exists(batch.sparkSession, path):
+        return batch.sparkSession.read.parquet(path)
+    if batch_id >= 0:
+        raise RuntimeError(f"nothing left by batch {batch_id} at {path}")
+    return None
+
+
+def _due(batch: DataFrame, base: str, batch_id: int, lateness_seconds: int) -> DataFrame:
+    """Rides of this batch and those waiting whose time has come; the others wait on, below ``base``."""
+    now = batch.withColumn("_moment", epoch_seconds("pickup_datetime"))
+    before = _of_batch(batch, base, batch_id - 1)
+    if before is not None:
+        now = now.unionByName(before.filter("NOT _newest").drop("_newest"))
+    # The newest time seen stays as a row of its own, so that it is not lost with a batch that has none.
+    seen = now.select("_moment") if before is None else now.select("_moment").unionByName(before.filter("_newest").select("_moment"))
+    newest = seen.agg(F.max("_moment").alias("t")).first().t
+    waits = F.lit(False) if newest is None else F.coalesce(F.col("_moment") > newest - lateness_seconds, F.lit(False))
+    mark = batch.sparkSession.createDataFrame([(newest, True)], "_moment double, _newest boolean")
+    left = now.filter(waits).withColumn("_newest", F.lit(False)).unionByName(mark, allowMissingColumns=True)
+    left.write.mode("overwrite").parquet(f"{base}/batch={batch_id}")
+    return now.filter(~waits).drop("_moment")

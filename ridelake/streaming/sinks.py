@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from ridelake.functions.ridejson import JSON_TIMES, to_payload
+
 # How often a checkpoint is taken, and when each output rolls to a new file.
 CHECKPOINT_INTERVAL = "60 seconds"
 METRICS_ROLL = "5 minutes"
@@ -24,7 +25,7 @@ def sink_stream_json(
     df: DataFrame, target: str, checkpoint: str, interval: str | None = CHECKPOINT_INTERVAL, options: Mapping[str, str] | None = None
 ) -> StreamingQuery:
     """Rows as JSON text: to a folder, or to a topic if ``target`` is ``kafka``."""
-    texts = df.select(F.to_json(F.struct("*")).alias("value"))
+    texts = df.select(to_payload(alias="value"))
     fmt = "kafka" if target == "kafka" else "text"
     writer = texts.writeStream.format(fmt).outputMode("append").options(**(options or {}))
     writer = writer.option("checkpointLocation", checkpoint)
@@ -56,9 +57,10 @@ BatchWriter = Callable[[DataFrame, int], None]
 
 def batch_folder(path: str, fmt: str = "parquet", mode: str = "overwrite") -> BatchWriter:
     """Writes each micro-batch to its own folder, so that a repeated batch replaces itself."""
+    options = JSON_TIMES if fmt == "json" else {}
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode(mode).format(fmt).save(f"{path.rstrip('/')}/batch={batch_id}")
+        batch.write.mode(mode).format(fmt).options(**options).save(f"{path.rstrip('/')}/batch={batch_id}")
 
     return write
 

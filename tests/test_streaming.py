@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import datetime as dt
 import json
 import os
 
@@ -7,6 +8,7 @@ import pytest
 from conftest import rows_of
 from test_rides import _brute_flags, odd_rides
 
+from ridelake.plans import stream_jobs
 from ridelake.streaming import anomalies, rides, sinks
 
 PARTITIONS = 4
@@ -102,3 +104,41 @@ def test_caller_settings_stay(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     rides.stream_session(spark, 3)
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+METRICS = "metric_type string, window_start timestamp, window_end timestamp, ride_count bigint, avg_fare double, total_revenue double, avg_distance double, pickup_location_id string"
+
+
+def test_metrics_job_fills_both_sinks_once(spark, folder):
+    """A batch that is repeated replaces its output in either sink; a restart repeats no window."""
+    own = rides.stream_session(spark, PARTITIONS)
+    times = (["10:00:00", "10:01:00", "10:07:00"], ["11:30:00"], ["13:30:00"])
+    for i, moments in enumerate(times):
+        lines = [json.dumps(dict(ride_id=m, pickup_datetime=f"2024-01-15T{m}.000250+00:00", fare_amount=2.0, pickup_location_id="7")) for m in moments]
+        write_lines(f"{folder}/in", f"{i}.txt", lines)
+        if i == 1:
+            spark.range(3).write.parquet(f"{folder}/files/batch=2")
+        finish(stream_jobs.run_metrics(own, f"{folder}/in", f"{folder}/texts", f"{folder}/files", f"{folder}/check", None))
+    texts = rows_of(stream_jobs.committed(spark, f"{folder}/texts", METRICS, "json"))
+    files = rows_of(stream_jobs.committed(spark, f"{folder}/files", METRICS))
+    assert texts == files and len(set(texts)) == len(texts)
+    of_kind = lambda kind: [(r[1].strftime("%H:%M:%S.%f"), r[3]) for r in files if r[0] == kind]
+    assert sorted(of_kind("tumbling_5m")) == [("10:00:00.000000", 2), ("10:05:00.000000", 1), ("11:30:00.000000", 1)]
+    assert sorted(of_kind("session_30m_gap")) == [("10:00:00.000250", 3), ("11:30:00.000250", 1)]
+    assert sum(n for _, n in of_kind("sliding_15m_5m")) == 12
+
+
+def test_rides_wait_for_those_before_them(spark, folder):
+    """Rides that arrive out of order are scored in order, those at the end when their time has come."""
+    own, rows = rides.stream_session(spark, PARTITIONS), ordered()
+    shuffled = [rows[i] for i in sorted(range(len(rows)), key=lambda i: i + (i * 37) % 20)]
+    latest = max(r[2] for r in rows)
+    closing = ("closing", "9", latest + dt.timedelta(days=9), latest + dt.timedelta(days=9, minutes=5), 1, 1.0, 1.0, "1")
+    for i, part in enumerate((shuffled[:100], shuffled[100:250], [], shuffled[250:], [closing])):
+        write_lines(f"{folder}/in", f"part{i}.txt", [*map(text_of, part), "{broken"])
+        raw = rides.raw_stream(own, f"{folder}/in")
+        finish(anomalies.anomaly_batches(raw, f"{folder}/out", f"{folder}/state", f"{folder}/check", None, 86_400))
+    got = [r for r in stream_jobs.committed(spark, f"{folder}/out", "ride_id string, reasons array<string>").collect()]
+    assert {r.ride_id: r.reasons for r in got} == _brute_flags(rows) and len(got) == len(_brute_flags(rows))
+    waiting = spark.read.parquet(f"{folder}/state/waiting/batch=4")
+    assert rows_of(waiting.filter("NOT _newest"), "ride_id") == [("closing",)]
