@@ -38,6 +38,8 @@ SCRIPTS = {
     "Latin": ("aeiou", "bcdfghklmnprstvw", "o", "a"),
 }
 
+_DIGITS = "0123456789"
+
 _TITLE = "|".join(t for group in TITLES.values() for t in group)
 _NAME = r"\p{Lu}[\p{L}'’]+(?:-\p{Lu}[\p{L}'’]+)?"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
@@ -115,20 +117,19 @@ def _number(stream: Column, i: Column, below: Column | int) -> Column:
     return F.pmod(F.conv(F.substr(stream, at, F.lit(4)), 16, 10).cast("int"), F.lit(below) if isinstance(below, int) else below)
 
 
-def _one_of(letters: str, stream: Column, i: Column) -> Column:
-    return F.substr(F.lit(letters), _number(stream, i, len(letters)) + 1, F.lit(1))
+def _one_of(letters: Column | str, stream: Column, i: Column) -> Column:
+    letters = F.lit(letters) if isinstance(letters, str) else letters
+    return F.substr(letters, _number(stream, i, F.length(letters)) + 1, F.lit(1))
 
 
-def _like(c: Column, stream: Column, i: Column, digits: Column | None = None) -> Column:
-    """A character of the same script and kind as ``c``, in its case; other characters stay."""
-    number = _number(stream, i, 10).cast("string")
-    out = F.when(c.rlike(r"^\d$"), number if digits is None else digits)
+def _pool(c: Column) -> Column:
+    """The letters that ``c`` may become, of its script and kind; null if it is no letter of a known script."""
+    low, out = F.lower(c), None
     for script, (vowels, others, _, _) in SCRIPTS.items():
-        here = c.rlike(rf"^\p{{Is{script}}}$")
-        plain = F.when(F.lower(c).rlike(f"^[{vowels}]$"), _one_of(vowels, stream, i)) if vowels else None
-        low = plain.otherwise(_one_of(others, stream, i)) if vowels else _one_of(others, stream, i)
-        out = out.when(here & c.rlike(r"^\p{L}$"), F.when((F.upper(c) == c) & (F.lower(c) != c), F.upper(low)).otherwise(low))
-    return out.otherwise(c)
+        here = c.rlike(rf"^[\p{{L}}&&\p{{Is{script}}}]$")
+        letters = F.when(low.rlike(f"^[{vowels}]$"), vowels).otherwise(others) if vowels else F.lit(others)
+        out = F.when(here, letters) if out is None else out.when(here, letters)
+    return out
 
 
 def _chars(text: Column) -> Column:
@@ -138,7 +139,15 @@ def _chars(text: Column) -> Column:
 
 
 def _scrambled(text: Column, stream: Column) -> Column:
-    return F.array_join(F.transform(_chars(text), lambda c, i: _like(c, stream, i)), "")
+    """Every character replaced by one of the same script and kind, in its case; other characters stay."""
+
+    def like(x: Column, i: Column) -> Column:
+        c, new = x["c"], _one_of(x["pool"], stream, i)
+        cased = F.when((F.upper(c) == c) & (F.lower(c) != c), F.upper(new)).otherwise(new)
+        return F.when(x["pool"].isNull(), c).when(x["pool"] == _DIGITS, new).otherwise(cased)
+
+    known = F.transform(_chars(text), lambda c: F.struct(c.alias("c"), F.when(c.rlike(r"^\d$"), _DIGITS).otherwise(_pool(c)).alias("pool")))
+    return F.array_join(F.transform(known, like), "")
 
 
 def _luhn(digits: Column, doubled_from: int) -> Column:
@@ -147,23 +156,40 @@ def _luhn(digits: Column, doubled_from: int) -> Column:
     return F.aggregate(values, F.lit(0), lambda a, x: a + x - F.when(x > 9, 9).otherwise(0))
 
 
-def surrogate(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
-    """The surrogate of a canonical form under the key, for a given attempt."""
-    own = _stream(key, kind, canon, attempt)
-    digits = F.array_join(F.transform(_chars(canon), lambda c, i: F.when(c.rlike(r"^\d$"), _number(own, i, 10).cast("string")).otherwise(c)), "")
+def with_surrogate(entities: DataFrame, key: str) -> DataFrame:
+    """``entities`` (``type, canon, attempt``) with the ``surrogate`` of each under the key.
 
+    What all kinds share is a column of its own, so that no expression holds it more than once: the stream of numbers, and
+    the text whose characters are replaced.
+    """
+    kind, canon, attempt = F.col("type"), F.col("canon"), F.col("attempt")
     local, domain = F.split_part(canon, F.lit("@"), F.lit(1)), F.split_part(canon, F.lit("@"), F.lit(2))
+    prefix = F.regexp_extract(canon, r"^(?:AKIA|gh[pousr]_|sk-|xox[abprs]-)?", 0)
+    # Short names have few surrogates: later attempts add letters.
+    longer = F.concat(canon, F.repeat(F.substr(canon, F.lit(-1), F.lit(1)), F.floor(attempt / 4).cast("int")))
+    open_ = (
+        F.when(kind == "email", local).when(kind == "iban", F.substr(canon, F.lit(3))).when(kind == "secret", F.substr(canon, F.length(prefix) + 1))
+        .when(kind.isin("card", "phone", "ip", "ssn"), canon).otherwise(longer)
+    )
+    made = entities.withColumns({"_own": _stream(key, kind, canon, attempt), "_domain": _stream(key, F.lit("domain"), domain), "_open": open_})
+    made = made.withColumn("_word", _scrambled(F.col("_open"), F.col("_own")))
+    return made.withColumn("surrogate", _surrogate(kind, canon, F.col("_own"), F.col("_word"))).drop("_own", "_domain", "_open", "_word")
+
+
+def _surrogate(kind: Column, canon: Column, own: Column, word: Column) -> Column:
+    """The surrogate of a canonical form: ``word``, its open part replaced, put into the form of its kind."""
+    domain = F.split_part(canon, F.lit("@"), F.lit(2))
     top = F.regexp_extract(domain, r"\.[^.]+$", 0)
     inner = F.regexp_replace(domain, r"\.[^.]+$", "")
-    email = F.concat(_scrambled(local, own), F.lit("@"), _scrambled(inner, _stream(key, F.lit("domain"), domain)), top)
+    email = F.concat(word, F.lit("@"), _scrambled(inner, F.col("_domain")), top)
 
-    body = F.concat(F.substr(canon, F.lit(1), F.lit(1)), F.substr(digits, F.lit(2), F.length(canon) - 2))
+    body = F.concat(F.substr(canon, F.lit(1), F.lit(1)), F.substr(word, F.lit(2), F.length(canon) - 2))
     check = F.pmod(10 - F.pmod(_luhn(body, 0), F.lit(10)), F.lit(10)).cast("string")
-    card = F.concat(body, F.when(_luhn(canon, 1) % 10 == 0, check).otherwise(F.substr(digits, F.length(canon), F.lit(1))))
+    card = F.concat(body, F.when(_luhn(canon, 1) % 10 == 0, check).otherwise(F.substr(word, F.length(canon), F.lit(1))))
 
-    phone = F.concat(F.regexp_extract(canon, r"^\+?\d", 0), F.substr(digits, F.length(F.regexp_extract(canon, r"^\+?\d", 0)) + 1))
+    phone = F.concat(F.regexp_extract(canon, r"^\+?\d", 0), F.substr(word, F.length(F.regexp_extract(canon, r"^\+?\d", 0)) + 1))
     ip = F.array_join(F.transform(F.split(canon, r"\."), lambda _, i: (_number(own, i, 254) + 1).cast("string")), ".")
-    iban = F.concat(F.substr(canon, F.lit(1), F.lit(2)), _scrambled(F.substr(canon, F.lit(3)), own))
+    iban = F.concat(F.substr(canon, F.lit(1), F.lit(2)), word)
 
     hexes = "0123456789abcdef"
     in_hex = F.array_join(F.transform(_chars(canon), lambda _, i: _one_of(hexes, own, i)), "")
@@ -171,12 +197,10 @@ def surrogate(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
     secret = (
         F.when(canon.rlike("^[0-9a-f]+$"), in_hex)
         .when(canon.rlike("^[0-9A-F]+$"), F.upper(in_hex))
-        .otherwise(F.concat(prefix, _scrambled(F.substr(canon, F.length(prefix) + 1), own)))
+        .otherwise(F.concat(prefix, word))
     )
 
-    # Short names have few surrogates: later attempts add letters.
-    longer = F.concat(canon, F.repeat(F.substr(canon, F.lit(-1), F.lit(1)), F.floor(attempt / 4).cast("int")))
-    word, gender = _scrambled(longer, own), F.substr(kind, F.lit(-1), F.lit(1))
+    gender = F.substr(kind, F.lit(-1), F.lit(1))
     ended = F.when(gender == "n", word)
     for script, (_, _, male, female) in SCRIPTS.items():
         marks = canon.rlike(rf"^\p{{Is{script}}}") & (kind.startswith("given") | F.lit(script == "Cyrillic")) & (F.length(word) > 1)
@@ -187,7 +211,7 @@ def surrogate(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
     name = ended.otherwise(word)
     return (
         F.when(kind == "email", email).when(kind == "card", card).when(kind == "phone", phone).when(kind == "ip", ip)
-        .when(kind == "ssn", digits).when(kind == "iban", iban).when(kind == "secret", secret).otherwise(name)
+        .when(kind == "ssn", word).when(kind == "iban", iban).when(kind == "secret", secret).otherwise(name)
     )
 
 
@@ -201,7 +225,7 @@ def assigned(entities: DataFrame, key: str) -> DataFrame:
     taken = entities.select("role", F.col("canon").alias("surrogate"), F.lit(True).alias("taken")).distinct()
     now = entities.withColumn("attempt", F.lit(0))
     for _ in range(MAX_ROUNDS):
-        tried = now.withColumn("surrogate", surrogate(F.col("type"), F.col("canon"), F.col("attempt"), key))
+        tried = with_surrogate(now, key)
         first = Window.partitionBy("role", "surrogate").orderBy("attempt", "canon", "type")
         judged = tried.join(taken, ["role", "surrogate"], "left").withColumn("clash", F.col("taken").isNotNull() | (F.row_number().over(first) > 1))
         now = stored(judged.select("type", "canon", "role", "attempt", "surrogate", "clash"), "surrogates")
