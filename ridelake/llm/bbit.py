@@ -30,10 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ridelake.llm.components import components
-from ridelake.llm.shared import stored
+from ridelake.llm.shared import pieces, stored
 from ridelake.llm.words import WordCodes, mixed, window_hashes
 
 ROWS_PER_BAND = 5
+# Rows of units for each task of comparing groups.
+UNIT_ROWS = 4_000
+KNOWN_WORDS = 60_000  # remembered by a worker
 SLICE = 256  # rows with full sets that are open at once
 SMALL_PAIR = 16  # groups whose product of sizes is at most this are settled pair by pair
 
@@ -98,7 +101,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, width: int, bands: i
     schema = "doc long, n long, k1 long, k2 long, bits binary, bands array<long>"
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, number = WordCodes(), np.arange(bands, dtype=np.uint64)
+        words, number = WordCodes(KNOWN_WORDS), np.arange(bands, dtype=np.uint64)
         for batch in batches:
             rows = []
             for doc, text in zip(batch["doc"], batch["text"]):
@@ -120,7 +123,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, wi
     """``node, hashes``: the whole shingle set of each wanted node, as sorted packed numbers."""
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = WordCodes()
+        words = WordCodes(KNOWN_WORDS)
         for whole in batches:
             for at in range(0, len(whole), SLICE):
                 batch = whole.iloc[at : at + SLICE]
@@ -203,7 +206,10 @@ def group_pairs(members: DataFrame, low: float, block: int) -> DataFrame:
             found += [(min(groups[0][k], x), max(groups[0][k], x)) for x in np.unique(near)]
         return pd.DataFrame(sorted(set(found)), columns=["a", "b"]).astype("int64")
 
+    # Comparing costs more than the rows weigh: tasks are made by the number of rows in units, which splits no unit.
+    rows_in_units = placed.agg(F.sum(F.col("rest") + F.when(F.col("own"), 0).otherwise(F.col("base"))).cast("long").alias("n")).first().n
     keyed = units.select("bucket", F.col("unit.i").alias("i"), F.col("unit.j").alias("j"), "slot", "grp", "bits")
+    keyed = keyed.repartition(pieces(rows_in_units or 0, UNIT_ROWS), "bucket", "i", "j")
     return keyed.groupBy("bucket", "i", "j").applyInPandas(compare, "a long, b long").distinct()
 
 
