@@ -65,7 +65,7 @@ class VantageTree:
 
     def __init__(self, points: np.ndarray, leaf: int, seed: int) -> None:
         self.points, self.leaf = points, leaf
-        self.unit = points / np.linalg.norm(points, axis=1)[:, None]
+        self.unit = unit_vectors(points)
         self.order = np.arange(len(points))
         self.nodes: list[tuple] = []  # (begin, end, vantage, inner, outer, inner range, outer range)
         self.random = np.random.default_rng(seed)
@@ -93,8 +93,20 @@ def _apart(cosine: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * cosine))
 
 
+def brought_near_one(x: np.ndarray) -> np.ndarray:
+    """Vectors times a power of two, which changes no digit of them, so that no square is too large or too small for a double."""
+    _, exponent = np.frexp(np.abs(x).max(axis=1))
+    return np.ldexp(x, -exponent[:, None])
+
+
+def unit_vectors(x: np.ndarray) -> np.ndarray:
+    x = brought_near_one(x)
+    return x / np.linalg.norm(x, axis=1)[:, None]
+
+
 def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Cosine of paired rows on the original vectors, in double precision; the same for the same pair anywhere."""
+    a, b = brought_near_one(a), brought_near_one(b)
     dot = np.einsum("ij,ij->i", a, b)
     return dot / (np.sqrt(np.einsum("ij,ij->i", a, a)) * np.sqrt(np.einsum("ij,ij->i", b, b)))
 
@@ -104,7 +116,7 @@ class Search:
 
     def __init__(self, tree: VantageTree, queries: np.ndarray, keep: int, factor: float) -> None:
         self.tree, self.queries, self.keep, self.factor = tree, queries, keep, factor
-        self.unit = queries / np.linalg.norm(queries, axis=1)[:, None]
+        self.unit = unit_vectors(queries)
         self.bound = np.full(len(queries), np.inf)  # distance of the k-th best so far
         self.best = np.full((len(queries), keep), np.inf)
         self.found: list[tuple[np.ndarray, np.ndarray]] = []

@@ -77,3 +77,15 @@ def test_registered_query_recall(spark):
         got.setdefault(r.query_id, set()).add(r.vec_id)
     assert got.keys() == want.keys()
     assert sum(len(got[q] & set(want[q])) for q in want) >= 0.9 * sum(map(len, want.values()))
+
+
+def test_tiny_and_huge_vectors_take_part(spark):
+    """Finite and not zero is enough, even where a square would leave the range of doubles."""
+    random_ = random.Random(8)
+    rows = [(i, [random_.gauss(0, 1) for _ in range(6)]) for i in range(300)]
+    far = [(300, [1e-200 * x for x in rows[7][1]]), (301, [1e200 * x for x in rows[9][1]]), (302, [5e-324, 0.0, 0.0, 0.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows + far, "vec_id long, embedding array<double>")
+    found = vantage.nearest(df, df.where("vec_id % 50 = 0"), k=5, factor=1.0, shard_rows=64, block_rows=16).collect()
+    assert len(found) == 7 * 5 and all(-1 - 1e-9 <= r.score <= 1 + 1e-9 for r in found)
+    nearest = {r.query_id: r.vec_id for r in vantage.nearest(df, df.where("vec_id IN (7, 9)"), k=1, factor=1.0).collect()}
+    assert nearest == {7: 300, 9: 301}
