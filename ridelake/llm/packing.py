@@ -192,8 +192,9 @@ def pack_in_order(
     whatever shares of sources the rows have along the way, the sequences have too. Within a span, pieces of one length
     are used in the order of the rows. The last sequences of each span hold its slack.
     """
-    rows = numbered(docs, "_at")
-    cut = token_pieces(rows, id_col=id_col, text_col=text_col, path=path, keeps_space=keeps_space, end_id=end_id, length=length, at_col="_at")
+    # Whatever other columns there are, and are called, goes no further.
+    rows = numbered(docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")), "_at")
+    cut = token_pieces(rows, id_col="doc_id", text_col="text", path=path, keeps_space=keeps_space, end_id=end_id, length=length, at_col="_at")
     cut = stored(cut.withColumn("_span", F.floor(F.col("_at") / span_rows).cast("long")), "pieces")
 
     def plan_span(rows_: pd.DataFrame) -> pd.DataFrame:

@@ -45,6 +45,7 @@ class Encoder:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.mark = " ".translate(_BYTE_LETTERS) if keeps_space else ""
         self.model = self.tokenizer.model
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.line = self._plain(["\n"])[0] if keeps_space else b""
         self.tails = {"": b"", **{x: self._plain([x])[0] for x in ".,"}}
 
@@ -85,7 +86,7 @@ class Encoder:
     def encode(self, text: str | None) -> np.ndarray:
         if not text:
             return np.empty(0, self.dtype)
-        if _UNUSUAL.search(text) or self.keeps_space and (text.endswith("\n\n") or any(x in text for x in _RUNS)):
+        if _UNUSUAL.search(text) or any(x in text for x in self.added) or self.keeps_space and (text.endswith("\n\n") or any(x in text for x in _RUNS)):
             return np.frombuffer(self._plain([text])[0], self.dtype)
         if self.keeps_space:
             pieces = text.replace("\n", " \n").split(" ")

@@ -153,3 +153,25 @@ def test_registered_packing_query(spark):
     folder = "/root/testdata/sf0.001"
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
     check_packed(rows, QUERIES["op7_minimum_bin_slack"](spark, folder).collect(), 0)
+
+
+@pytest.mark.parametrize("name, keeps_space", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_texts_with_added_tokens_are_encoded_as_the_library_does(name, keeps_space):
+    encoder = Encoder(vocabulary_path(name), keeps_space)
+    added = [t.content for t in encoder.tokenizer.get_added_tokens_decoder().values()]
+    random_ = random.Random(6)
+    parts = [*added[:3], "\n", "\n\n", " ", "word", "The", ".", "<", "|"]
+    for _ in range(400):
+        text = "".join(random_.choice(parts) for _ in range(random_.randrange(1, 8)))
+        assert encoder.encode(text).tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
+def test_packing_in_order_whatever_columns_are_called(spark, folder):
+    rows = [(i, "some words " * (i + 1)) for i in range(30)]
+    plain = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    want = sorted(map(tuple, packing.pack_in_order(plain, path=vocabulary_path("byte_bpe_50k.json")).drop("ids").collect()))
+    clashing = plain.selectExpr("*", "1 AS _metadata", "2 AS _file", "3 AS _row", "4 AS _n", "5 AS _base", "6 AS _at", "7 AS _span", "8 AS length", "9 AS ids")
+    clashing.write.parquet(folder)
+    for df in (clashing, spark.read.parquet(folder)):
+        got = packing.pack_in_order(df, path=vocabulary_path("byte_bpe_50k.json")).drop("ids")
+        assert sorted(map(tuple, got.collect())) == want
