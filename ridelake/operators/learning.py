@@ -19,6 +19,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ridelake.operators.margins import CalibratedMargins, OneAgainstRest
 from ridelake.operators.ordered import running_rank
 from ridelake.operators.profiling import column_map, per_column
 from ridelake.operators.quantiles import numeric
@@ -105,17 +106,19 @@ def random_forest(trees: int = 100, depth: int = 5, seed: int = SEED) -> RandomF
     return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed)
 
 
-def gradient_boosting(rounds: int = 100, depth: int = 3, seed: int = SEED) -> OneVsRest:
-    """Boosted trees are binary in Spark ML: one against the rest, without class probabilities."""
-    return OneVsRest(classifier=GBTClassifier(maxIter=rounds, maxDepth=depth, seed=seed), parallelism=4)
+def gradient_boosting(rounds: int = 100, depth: int = 3, seed: int = SEED) -> OneAgainstRest:
+    """Boosted trees are binary in Spark ML: one class against the rest, their margins calibrated."""
+    return OneAgainstRest(GBTClassifier(maxIter=rounds, maxDepth=depth, seed=seed))
 
 
-def support_vectors(iterations: int = 100, penalty: float = 0.01) -> OneVsRest:
-    """Linear kernel, the one Spark ML has; without class probabilities.
+def support_vectors(iterations: int = 100, penalty: float = 0.01, kernel: str = "rbf") -> OneAgainstRest:
+    """Support vectors on random features of a radial kernel, or with ``linear`` on the scaled columns themselves.
 
     The penalty keeps the objective strictly convex: without one the search may not settle.
     """
-    return OneVsRest(classifier=LinearSVC(maxIter=iterations, regParam=penalty), parallelism=4)
+    if kernel not in ("rbf", "linear"):
+        raise ValueError(f"no kernel {kernel}")
+    return OneAgainstRest(LinearSVC(maxIter=iterations, regParam=penalty), radial=kernel == "rbf")
 
 
 def logistic(iterations: int = 1000) -> LogisticRegression:
@@ -131,7 +134,7 @@ CLASSIFIERS = {
 
 
 def train(df: DataFrame, columns: Sequence[str], classifier, label: str = "label") -> PipelineModel:
-    """Scale, assemble, fit. The result scores raw columns.
+    """Scale, assemble, fit: a Spark ML estimator or ``OneAgainstRest``. The result scores raw columns.
 
     The scale, one mean and population deviation per column, is kept as SQL in the pipeline:
     ``StandardScaler`` would divide by the sample deviation.
@@ -140,17 +143,19 @@ def train(df: DataFrame, columns: Sequence[str], classifier, label: str = "label
     scaled = ", ".join(
         f"(CAST({c} AS DOUBLE) - ({scale[c][0]!r}D)) / ({scale[c][1]!r}D) AS scaled_{c}" for c in columns
     )
+    kernel = classifier.kernel(len(columns), "scaled") if isinstance(classifier, OneAgainstRest) else []
     prepare = [
         SQLTransformer(statement=f"SELECT *, {scaled} FROM __THIS__"),
-        VectorAssembler(inputCols=[f"scaled_{c}" for c in columns], outputCol="features"),
+        VectorAssembler(inputCols=[f"scaled_{c}" for c in columns], outputCol="scaled" if kernel else "features"),
+        *kernel,
     ]
     # Fitting passes over the rows many times: they are kept, not derived anew each time.
     vectors = PipelineModel(prepare).transform(df).select("features", label).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        fitted = classifier.copy().setLabelCol(label).fit(vectors)
+        fitted = classifier.fit(vectors, label) if isinstance(classifier, OneAgainstRest) else [classifier.copy().setLabelCol(label).fit(vectors)]
     finally:
         vectors.unpersist()
-    return PipelineModel([*prepare, fitted])
+    return PipelineModel([*prepare, *fitted])
 
 
 def has_probabilities(model: PipelineModel) -> bool:
@@ -189,6 +194,21 @@ def batch_inference(model: Transformer, df: DataFrame, probabilities: bool = Fal
     return scored.select(*df.columns, *made)
 
 
+def log_loss(scored: DataFrame, label: str = "label") -> DataFrame:
+    """One row: mean negative logarithm of the probability given to the row's own class."""
+    own = F.get("probabilities", F.col(label).cast("int"))
+    return scored.agg(F.avg(-F.log(F.greatest(F.coalesce(own, F.lit(0.0)), F.lit(1e-15)))).alias("log_loss"))
+
+
+def uncalibrated(model: PipelineModel) -> PipelineModel:
+    """The same model with plain sigmoids of its margins, to compare with."""
+    *stages, last = model.stages
+    if not isinstance(last, CalibratedMargins):
+        raise TypeError("the model has no calibrated margins")
+    n = len(last.getOrDefault(last.slopes))
+    return PipelineModel([*stages, CalibratedMargins([1.0] * n, [0.0] * n)])
+
+
 def confusion_counts(scored: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Rows per (label, prediction) that occurs."""
     return scored.groupBy(F.col(label).cast("int").alias("label"), F.col(prediction).cast("int").alias("prediction")).agg(

@@ -10,6 +10,7 @@ done again with a finer sketch, until, at the latest, all values of a group fit
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,6 +18,10 @@ from pyspark.sql import functions as F
 from ridelake.operators.sizing import broadcast_if_small, computed_once
 
 QUARTILES = (0.25, 0.5, 0.75)
+
+# So many distinct values of a group are put in order by one task; more are first counted in so many ranges.
+MAX_ORDERED = 100_000
+PARTS = 64
 ACCURACY = 20_000
 FINER = 16
 
@@ -144,18 +149,8 @@ def exact_quantiles(
         .groupBy(*group, "value")
         .agg(F.sum("_rows").alias("_rows"))
     )
-    upto = (
-        Window.partitionBy(*group)
-        .orderBy(F.col("value").asc_nulls_first())
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
     rank = (F.col("n") - 1) * F.col("prob")
-    reached = placed.withColumn("_upto", F.sum("_rows").over(upto))
-    picked = reached.groupBy(*group).agg(
-        F.coalesce(F.max(F.when(F.col("value").isNull(), F.col("_upto"))), F.lit(0)).alias("_below"),
-        F.min(F.when(F.col("_upto") > F.floor(rank), F.col("value"))).alias("_lower"),
-        F.min(F.when(F.col("_upto") > F.ceil(rank), F.col("value"))).alias("_upper"),
-    )
+    picked = select_ranks(computed_once(placed), group)
     bracketed = (F.col("_below") <= F.floor(rank)) & F.col("_upper").isNotNull()
     between = F.col("_lower") + (F.col("_upper") - F.col("_lower")) * (rank - F.floor(rank))
     found = computed_once(picked.select(*by, "column_name", "prob", between.alias("value"), bracketed.alias("_held")))
@@ -167,6 +162,58 @@ def exact_quantiles(
     return kept.unionByName(again)
 
 
+def select_ranks(placed: DataFrame, group: Sequence[str]) -> DataFrame:
+    """``group.., _below, _lower, _upper``: what lies below the bracket, and the values at both sides of the rank.
+
+    ``placed`` counts ``_rows`` for each distinct ``value`` of a group; a null value counts what lies below the bracket. No group
+    is put in order while more than ``MAX_ORDERED`` of its values are left: they are counted in ``PARTS`` ranges between sketched
+    quantiles of these values, and those in the range that holds the rank go on: about one in ``PARTS``, whatever the values.
+    """
+    rank = (F.col("n") - 1) * F.col("prob")
+    below = F.sum(F.when(F.col("value").isNull(), F.col("_rows")).otherwise(0))
+    side = F.explode(F.array(F.struct(F.lit("_lower").alias("side"), F.floor(rank).alias("at")), F.struct(F.lit("_upper").alias("side"), F.ceil(rank).alias("at"))))
+    one = [*group, "side"]
+    left = placed.filter("value IS NOT NULL").select(*group, "value", "_rows", side.alias("_s")).select(*group, "value", "_rows", "_s.side", "_s.at")
+    # Rows of a group below the values still looked at.
+    base = placed.groupBy(*group).agg(below.alias("_below"))
+    left = left.join(base, list(group)).withColumnRenamed("_below", "_before")
+    found = []
+    while True:
+        cuts = F.percentile_approx("value", F.array(*[F.lit(i / PARTS) for i in range(1, PARTS)]), F.lit(100 * PARTS))
+        sizes = left.groupBy(*one).agg(F.count(F.lit(1)).alias("_distinct"), cuts.alias("_cuts"))
+        most = sizes.agg(F.max("_distinct")).first()[0]
+        if most is None or most <= MAX_ORDERED:
+            found.append(_in_order(left, one))
+            break
+        sizes = computed_once(sizes)
+        few, many = sizes.filter(F.col("_distinct") <= MAX_ORDERED), sizes.filter(F.col("_distinct") > MAX_ORDERED)
+        found.append(_in_order(left.join(few.select(*one), one), one))
+        left = computed_once(_narrowed(left.join(many, one), one))
+    values = reduce(DataFrame.unionByName, found)
+    sides = values.groupBy(*group).agg(*[F.max(F.when(F.col("side") == s, F.col("_value"))).alias(s) for s in ("_lower", "_upper")])
+    return base.join(sides, list(group), "left")
+
+
+def _in_order(left: DataFrame, one: Sequence[str]) -> DataFrame:
+    """The value at the wanted place of every group, by an ordered sum over its few values."""
+    upto = Window.partitionBy(*one).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    reached = left.withColumn("_upto", F.col("_before") + F.sum("_rows").over(upto))
+    return reached.groupBy(*one).agg(F.min(F.when(F.col("_upto") > F.col("at"), F.col("value"))).alias("_value"))
+
+
+def _narrowed(left: DataFrame, one: Sequence[str]) -> DataFrame:
+    """Values of the range that holds the wanted place, and how many rows lie before them."""
+    part = F.size(F.filter("_cuts", lambda cut: cut < F.col("value")))
+    parted = left.withColumn("_part", part)
+    before = Window.partitionBy(*one).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = parted.groupBy(*one, "_part").agg(F.sum("_rows").alias("_sum"), F.first("at").alias("_at"), F.first("_before").alias("_start"))
+    sums = sums.withColumn("_start", F.col("_start") + F.coalesce(F.sum("_sum").over(before), F.lit(0)))
+    # A place beyond all values, of a bracket that missed its rank, has no range and drops out.
+    holds = sums.filter((F.col("_start") <= F.col("_at")) & (F.col("_at") < F.col("_start") + F.col("_sum"))).select(*one, "_part", "_start")
+    kept = parted.join(holds, [*one, "_part"])
+    return kept.withColumn("_before", F.col("_start")).drop("_part", "_start", "_distinct", "_cuts")
+
+
 def quantile_columns(
     df: DataFrame,
     columns: Sequence[str],

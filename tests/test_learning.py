@@ -3,12 +3,17 @@ from __future__ import annotations
 import math
 from collections import Counter
 
+import numpy as np
 import pytest
 from conftest import rows_of
+from pyspark.ml import PipelineModel
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ridelake.functions import scoring
 from ridelake.operators import learning as ml
+from ridelake.operators import margins
 from ridelake.plans import model_choice
 
 
@@ -27,7 +32,7 @@ COLUMNS = ["a", "b", "c", "d"]
 @pytest.mark.parametrize(
     "features, cls, shares",
     [
-        ([5.1, 3.5, 1.4, 0.2], 0, [0.9, 0.05, 0.05]),
+        ([4.7, 3.3, 1.1, 0.4], 0, [0.9, 0.05, 0.05]),
         ([6.0, 2.9, 4.5, 1.5], 1, [0.05, 0.85, 0.1]),
         ([6.5, 3.0, 5.2, 2.0], 2, [0.05, 0.1, 0.85]),
         ([0.0, 0.0, 2.5, 0.0], 1, [0.05, 0.85, 0.1]),
@@ -111,5 +116,58 @@ def test_forest_importance_and_missing_probabilities(spark):
     assert set(ranked[:2]) == {"c", "d"}
     boosted = ml.train(df, COLUMNS, ml.gradient_boosting(rounds=2, depth=2))
     assert ml.evaluate(ml.batch_inference(boosted, df)).first()["accuracy"] > 0.8
+    bare = PipelineModel(ml.train(df, COLUMNS, ml.support_vectors(5, kernel="linear")).stages[:-1])
     with pytest.raises(AttributeError):
-        ml.batch_inference(boosted, df, probabilities=True)
+        ml.batch_inference(bare, df, probabilities=True)
+
+
+def rings(spark, n=1500):
+    """Two classes that no line parts: a disc and a ring around it."""
+    angle, radius = F.rand(1) * 6.283185307179586, F.when(F.col("id") % 2 == 0, F.rand(2)).otherwise(1.6 + F.rand(3))
+    return spark.range(n).select("id", (radius * F.cos(angle)).alias("x"), (radius * F.sin(angle)).alias("y"), (F.col("id") % 2).cast("int").alias("label"))
+
+
+def test_radial_kernel_parts_rings(spark, folder):
+    df = rings(spark).checkpoint()
+    train, test = df.filter("id % 3 > 0"), df.filter("id % 3 = 0")
+    accuracy = {}
+    for kernel in ("linear", "rbf"):
+        model = ml.train(train, ["x", "y"], ml.support_vectors(kernel=kernel))
+        accuracy[kernel] = ml.evaluate(ml.batch_inference(model, test)).first()["accuracy"]
+    assert accuracy["rbf"] > 0.95 and accuracy["linear"] < 0.75
+    loaded = ml.load_model(ml.save_model(model, folder))
+    scored = [rows_of(ml.batch_inference(m, test, probabilities=True), "id", "prediction", "probabilities") for m in (model, loaded)]
+    assert scored[0] == scored[1]
+    with pytest.raises(ValueError):
+        ml.support_vectors(kernel="cubic")
+
+
+def test_random_features_come_near_the_kernel(spark):
+    points = [[0.0, 0.0], [0.5, -0.5], [1.0, 2.0], [-1.0, 0.3]]
+    df = spark.createDataFrame([(i, Vectors.dense(p)) for i, p in enumerate(points)], StructType([StructField("i", IntegerType()), StructField("v", VectorUDT())]))
+    made = margins.RandomFourierFeatures("v", "z", inputs=2, size=4000, gamma=0.5).transform(df).orderBy("i").collect()
+    z = np.array([r.z.toArray() for r in made])
+    exact = np.exp(-0.5 * ((np.array(points)[:, None] - np.array(points)[None]) ** 2).sum(-1))
+    assert np.abs(z @ z.T - exact).max() < 0.08
+
+
+@pytest.mark.parametrize("name", ["GradientBoosting", "SVM", "RandomForest", "LogisticRegression"])
+def test_probabilities_of_all_models(spark, name):
+    df = flowers(spark, 900).withColumn("label", F.when(F.rand(9) < 0.2, (F.rand(8) * 3).cast("int")).otherwise(F.col("label"))).checkpoint()
+    train, test = df.filter("id % 5 > 0"), df.filter("id % 5 = 0")
+    model = ml.train(train, COLUMNS, ml.gradient_boosting(rounds=10) if name == "GradientBoosting" else ml.CLASSIFIERS[name]())
+    scored = ml.batch_inference(model, test, probabilities=True)
+    rows = scored.collect()
+    assert all(len(r.probabilities) == 3 and math.isclose(sum(r.probabilities), 1, rel_tol=1e-9) for r in rows)
+    assert all(r.probabilities[r.prediction] == max(r.probabilities) for r in rows)
+    if name in ("GradientBoosting", "SVM"):
+        plain = ml.batch_inference(ml.uncalibrated(model), test, probabilities=True)
+        assert ml.log_loss(scored).first()[0] < ml.log_loss(plain).first()[0]
+
+
+def test_sigmoid_of_margins(spark):
+    drawn = spark.range(20_000).select((F.randn(1) * 2).alias("margin"), F.rand(2).alias("u"))
+    rows = drawn.select("margin", (F.col("u") < 1 / (1 + F.exp(-(F.col("margin") * 1.5 - 0.7)))).cast("double").alias("_own"))
+    slope, intercept = margins.sigmoid(rows)
+    assert abs(slope - 1.5) < 0.1 and abs(intercept + 0.7) < 0.1
+    assert margins.sigmoid(rows.filter("_own = 1")) == (1.0, 0.0)

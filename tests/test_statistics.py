@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import random
 
 import numpy as np
 import pytest
@@ -178,3 +179,26 @@ def test_a_missed_bracket_is_done_again(spark, monkeypatch):
     for p in (0.1, 0.5, 0.93):
         assert got["x", p] == pytest.approx(np.quantile(values, p), rel=1e-12)
         assert got["y", p] == pytest.approx(np.quantile(np.arange(4000), p), rel=1e-12)
+
+
+@pytest.mark.parametrize("spread", ["even", "exponents", "ties", "infinite"])
+def test_ranks_among_many_values_are_found_without_ordering_them(spark, monkeypatch, spread):
+    monkeypatch.setattr(quantiles, "MAX_ORDERED", 40)
+    rng = random.Random(spread)
+    draw = {
+        "even": lambda: rng.uniform(-5, 5),
+        "exponents": lambda: rng.choice([-1, 1]) * 10 ** rng.uniform(-300, 300),
+        "ties": lambda: float(rng.choice([0, 1, rng.random()])),
+        "infinite": lambda: rng.choice([math.inf, -math.inf, rng.gauss(0, 1e-3)]),
+    }[spread]
+    values = [draw() for _ in range(3000)]
+    df = spark.createDataFrame([(i % 2, v) for i, v in enumerate(values)], "g int, v double")
+    probs = (0.0, 0.1, 0.5, 0.9, 1.0)
+    got = {(r.g, r.prob): r.value for r in quantiles.exact_quantiles(df, ["v"], probs, ["g"]).collect()}
+    for g in (0, 1):
+        own = sorted(values[g::2])
+        for p in probs:
+            at = (len(own) - 1) * p
+            low, high = own[math.floor(at)], own[math.ceil(at)]
+            want = low + (high - low) * (at - math.floor(at))
+            assert got[g, p] == want or math.isnan(want) and math.isnan(got[g, p]) or math.isclose(got[g, p], want, rel_tol=1e-12)
