@@ -19,7 +19,9 @@ from ridelake.operators.quantiles import numeric
 THRESHOLD = 0.1
 # Smallest deviation the Wasserstein distance is divided by.
 MIN_NORM = 0.001
-RANGES = 1024
+# One task accumulates a range: about so many rows of a column, and at least so many ranges. Their borders are fetched.
+ROWS_PER_RANGE = 250_000
+MIN_RANGES, MAX_RANGES = 64, 16_384
 
 
 def _both(reference: DataFrame, current: DataFrame, columns: Sequence[str], cell) -> DataFrame:
@@ -69,15 +71,17 @@ def _ranged(both: DataFrame, columns: Sequence[str], ranges: int) -> DataFrame:
 
 
 def wasserstein(
-    reference: DataFrame, current: DataFrame, columns: Sequence[str], ranges: int = RANGES
+    reference: DataFrame, current: DataFrame, columns: Sequence[str], ranges: int | None = None
 ) -> DataFrame:
     """Area between the two distribution functions, over the reference's population deviation.
 
-    The values are cut into ranges at sketched quantiles. Each range is accumulated on its
+    The values are cut into ranges at sketched quantiles, as many as the number of rows asks for if not given. Each range is accumulated on its
     own; the totals of the lower ranges, and the first value of the next, come from the
     short table of ranges.
     """
     both = _both(reference, current, columns, numeric)
+    if ranges is None:
+        ranges = min(MAX_RANGES, max(MIN_RANGES, both.count() // ROWS_PER_RANGE))
     ranged = _value_counts(_ranged(both, columns, ranges), columns, "range")
 
     part = ["column_name", "range"]

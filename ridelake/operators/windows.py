@@ -141,20 +141,20 @@ def session_global(rides: DataFrame, gap_seconds: int = GAP_SECONDS) -> DataFram
     A bucket lies in exactly one session, so sums per location and bucket meet the session's
     bounds by an equi-join on the bucket; no range join takes place.
     """
-    by_location = _gap_buckets(rides, ["pickup_location_id"], gap_seconds)
-    overall = by_location.groupBy("bucket").agg(
-        F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts")
-    )
+    return global_metrics(global_sessions(_gap_buckets(rides, ["pickup_location_id"], gap_seconds), gap_seconds), gap_seconds)
+
+
+def global_sessions(by_location: DataFrame, gap_seconds: int = GAP_SECONDS) -> DataFrame:
+    """Sums per location and gap-wide bucket with the first and last ride of the session over all locations the bucket is in."""
+    overall = by_location.groupBy("bucket").agg(F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"))
     members = _session_starts(overall, [], gap_seconds)
-    bounds = members.groupBy("session").agg(
-        F.min("first_ts").alias("window_start"), F.max("last_ts").alias("window_last")
-    )
-    placed = members.select("bucket", "session").join(bounds, "session")
-    split = (
-        by_location.join(placed, "bucket")
-        .groupBy("window_start", "window_last", "pickup_location_id")
-        .agg(*merged_sums())
-    )
+    bounds = members.groupBy("session").agg(F.min("first_ts").alias("window_start"), F.max("last_ts").alias("window_last"))
+    return by_location.join(members.select("bucket", "session").join(bounds, "session"), "bucket")
+
+
+def global_metrics(placed: DataFrame, gap_seconds: int = GAP_SECONDS) -> DataFrame:
+    """Metric rows of ``global_sessions``, one for each session and location."""
+    split = placed.groupBy("window_start", "window_last", "pickup_location_id").agg(*merged_sums())
     end = F.col("window_last") + F.make_dt_interval(secs=F.lit(gap_seconds))
     return metric_rows(split, "session_30m_gap", F.col("window_start"), end, location=True)
 
@@ -170,12 +170,16 @@ def tumbling_gap_fill(rides: DataFrame, value: str = "fare_amount", width: str =
 
     An empty bucket has count 0, sum 0 and no mean.
     """
-    filled = rides.groupBy(F.window("pickup_ts", width).start.alias("window_start")).agg(
-        F.count(value).alias("n"), F.sum(value).alias("total")
-    )
-    calendar = filled.agg(F.min("window_start").alias("lo"), F.max("window_start").alias("hi")).select(
-        F.explode(F.sequence("lo", "hi", F.expr(f"INTERVAL {width}"))).alias("window_start")
+    filled = computed_once(
+        rides.groupBy(F.window("pickup_ts", width).start.alias("window_start")).agg(F.count(value).alias("n"), F.sum(value).alias("total"))
     )
+    ends = filled.agg(F.min("window_start").alias("lo"), F.max("window_start").alias("hi"))
+    first, step = F.unix_timestamp("lo"), F.unix_timestamp(F.col("lo") + F.expr(f"INTERVAL {width}")) - F.unix_timestamp("lo")
+    span = ends.select(((F.unix_timestamp("hi") - first) / step).cast("bigint").alias("n"), step.alias("step")).first()
+    # A range of numbers is spread over the cluster, however far apart the first ride and the last.
+    number = rides.sparkSession.range(0 if span.n is None else span.n + 1)
+    later = F.make_dt_interval(secs=F.col("id") * F.lit(span.step or 0))
+    calendar = number.select((ends.select("lo").scalar() + later).alias("window_start"))
     return calendar.join(filled, "window_start", "left").select(
         "window_start",
         F.coalesce("n", F.lit(0)).alias("ride_count"),

@@ -269,9 +269,18 @@ def zone_pair_stats(spark, sf):
     return settle(gold.zone_stats(silver_of(spark, sf)), "avg_fare", "avg_distance")
 
 
-@register(_LOCATED + f"SELECT geo_bucket_id, {ZONE_AGGREGATES} FROM placed WHERE {QUALITY} GROUP BY 1")
+_TRIP = "VendorID, tpep_pickup_datetime, tpep_dropoff_datetime, passenger_count, trip_distance, fare_amount, total_amount"
+
+
+@register(
+    _LOCATED.rstrip()
+    + f""", latest AS (SELECT * FROM placed QUALIFY row_number() OVER (PARTITION BY {_TRIP} ORDER BY delivery DESC, PULocationID, DOLocationID) = 1)
+    SELECT geo_bucket_id, {ZONE_AGGREGATES} FROM latest WHERE {QUALITY} GROUP BY 1"""
+)
 def zone_geo_stats(spark, sf):
-    placed = silver.geo_bucket(silver.quality_filter(located_trips(spark, sf)))
+    """Trips that come with positions have no zones in their key."""
+    latest = silver.dedupe_latest(silver.build_merge_key(located_trips(spark, sf)), newest="delivery")
+    placed = silver.geo_bucket(silver.quality_filter(latest))
     return settle(gold.zone_stats(placed), "avg_fare", "avg_distance")
 
 

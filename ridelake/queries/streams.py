@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ridelake.functions.ridejson import JSON_TIMES
 from ridelake.plans import stream_jobs
-from ridelake.queries.events import FLAGGED, METRICS, SESSION, SLIDING, TUMBLING
+from ridelake.queries.events import FLAGGED, METRICS, SESSION, SESSION_GLOBAL, SLIDING, TUMBLING
 from ridelake.queries.registry import RIDES, register, settle
 from ridelake.session import scratch_path
 from ridelake.sources.replay import iso_text
@@ -151,6 +151,21 @@ def stream_unified_window_metrics(spark, sf):
     return settle(zoneless(_both_sinks(spark, texts, files, _METRIC_SCHEMA), "window_start", "window_end"), *METRICS)
 
 
+_LAST_BUCKET = """(SELECT max(b) FROM (SELECT time_bucket(INTERVAL '30' MINUTE, pickup_ts) + INTERVAL '30' MINUTE AS b FROM rides)
+    WHERE b <= (SELECT max(pickup_ts) FROM rides) - INTERVAL '10' SECOND)"""
+
+
+@register(f"WITH {RIDES} SELECT * FROM ({SESSION_GLOBAL}) WHERE window_end < {_LAST_BUCKET}")
+def stream_session_global(spark, sf):
+    """Sessions over all rides that are over, after a stop in the middle; those that later rides may join are held back."""
+    own = own_session(spark)
+    source, target, state, checkpoint = (scratch_path(spark, x) for x in ("replay", "sessions", "waiting", "checkpoint"))
+    for part in halves(spark, sf):
+        part.write.mode("append").text(source)
+        finish(stream_jobs.run_global_sessions(own, source, target, state, checkpoint, None))
+    return settle(zoneless(stream_jobs.committed(spark, target, _METRIC_SCHEMA), "window_start", "window_end"), *METRICS)
+
+
 def _both_sinks(spark, texts, files, schema):
     """Rows of a JSON and a Parquet sink, each named."""
     both = [

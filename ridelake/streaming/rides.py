@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridelake.functions.ridejson import read_ride_fields
-from ridelake.operators.windows import SLIDE, SPAN, metric_rows, ride_sums
+from ridelake.operators.windows import GAP_SECONDS, SLIDE, SPAN, metric_rows, ride_sums
 from ridelake.session import ROCKSDB_PROVIDER
 
 WATERMARK_SECONDS = 10
@@ -91,3 +91,12 @@ def session_metrics(rides: DataFrame) -> DataFrame:
 
 # The window kinds that share one sink, each a query of its own.
 METRIC_KINDS = {"tumbling_5m": tumbling_metrics, "sliding_15m_5m": sliding_metrics, "session_30m": session_metrics}
+
+
+def bucket_sums(rides: DataFrame, gap_seconds: int = GAP_SECONDS) -> DataFrame:
+    """Sums per location and gap-wide bucket of time, each once, when the watermark has passed it."""
+    window = F.window("pickup_ts", f"{gap_seconds} seconds")
+    ends = [F.min("pickup_ts").alias("first_ts"), F.max("pickup_ts").alias("last_ts")]
+    sums = rides.groupBy(window.alias("w"), "pickup_location_id").agg(*ends, *ride_sums())
+    bucket = F.floor(F.unix_timestamp("w.start") / F.lit(gap_seconds))
+    return sums.withColumn("bucket", bucket).drop("w")

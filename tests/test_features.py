@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ridelake.operators import features, profiling
 from ridelake.plans import feature_refresh
+from ridelake.sources import table_log
 
 DAY = dt.datetime(2024, 3, 10)
 ZONE_ROWS = (
@@ -172,13 +173,31 @@ def test_incremental_materialisation(spark, folder, monkeypatch):
     assert rows_of(again, "location_id", "zone_avg_fare") == [(1, 4.0)]
     assert feature_refresh.materialized_to(spark, view, folder) == DAY + 2 * day
     # A run that dies while it writes leaves the table and its record as they were.
-    monkeypatch.setattr(feature_refresh, "newest_rows", lambda *a: 1 / 0)
+    monkeypatch.setattr(table_log, "_publish", lambda *a: 1 / 0)
     with pytest.raises(ZeroDivisionError):
         feature_refresh.materialize_incremental(spark, view, DAY + 5 * day, folder)
     assert feature_refresh.materialized_to(spark, view, folder) == DAY + 2 * day
     assert rows_of(feature_refresh.latest_table(spark, view, folder)) == rows_of(again)
 
 
+def test_an_incremental_run_leaves_other_buckets_alone(spark, folder):
+    hour = dt.timedelta(hours=1)
+    view = zone_view(spark, *[(z, DAY - hour, 1.0) for z in range(400)], *[(z, DAY + hour, 2.0) for z in (3, 7, 1000)])
+    feature_refresh.materialize_incremental(spark, view, DAY, folder)
+    path = f"{folder}/zone_features"
+    listed = lambda n: {r.file: r.part["_bucket"] for r in table_log.listed_files(spark, path, table_log.snapshot(spark, path, n)).collect()}
+    before = listed(0)
+    latest = feature_refresh.materialize_incremental(spark, view, DAY + 2 * hour, folder)
+    after = listed(1)
+    touched = {before[f] for f in before.keys() - after.keys()}
+    assert len(set(before.values())) > 30 and len(touched) == 2
+    assert rows_of(latest.groupBy("zone_avg_fare").count()) == [(1.0, 398), (2.0, 3)]
+    # A run without news moves the end on, and writes no row.
+    feature_refresh.materialize_incremental(spark, view, DAY + 9 * hour, folder)
+    assert listed(2) == after and feature_refresh.materialized_to(spark, view, folder) == DAY + 9 * hour
+    assert feature_refresh.materialize_view(spark, view, DAY, DAY + 2 * hour, folder).count() == 3
+
+
 def test_full_materialisation_is_inclusive(spark, folder):
     view = zone_view(spark, (1, DAY, 1.0), (2, DAY + dt.timedelta(days=1), 2.0), (3, DAY + dt.timedelta(days=2), 3.0))
     rows = feature_refresh.materialize_view(spark, view, DAY, DAY + dt.timedelta(days=1), folder)
