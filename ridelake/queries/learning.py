@@ -129,18 +129,6 @@ def confusion_matrix(spark, sf):
     return ml.confusion_matrix(scored_items(spark, sf))
 
 
-@register(
-    f"""WITH {SCORED} SELECT l_returnflag AS model, CAST(CAST(avg(CAST(label = prediction AS INT)) AS FLOAT) AS DOUBLE) AS val_f1
-    FROM scored GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 1"""
-)
-def top_model(spark, sf):
-    """The best of several result rows: here agreement of the two scores, per return flag."""
-    agreed = scored_items(spark, sf).groupBy(F.col("l_returnflag").alias("model")).agg(
-        F.avg((F.col("label") == F.col("prediction")).cast("int")).alias("val_f1")
-    )
-    return ml.top_model(settle(agreed, "val_f1"))
-
-
 def _parts(spark, sf):
     return model_choice.split_parts(labelled_rides(spark, sf), "event_id", "label")
 
@@ -215,6 +203,18 @@ def model_selection(spark, sf):
     )
 
 
+@register("SELECT CAST(4 AS BIGINT) AS models, CAST(0 AS BIGINT) AS better, TRUE AS chosen FROM events LIMIT 1")
+def top_model(spark, sf):
+    """The best of the fitted models by F1 on the validation rows: none is better, and it is the one chosen."""
+    table_ = computed_once(model_choice.selection_table(labelled_rides(spark, sf), "event_id", RIDE_FEATURES))
+    best = ml.top_model(table_).select(F.struct("model", "val_f1")).scalar()
+    return table_.withColumn("_b", best).agg(
+        F.count(F.lit(1)).alias("models"),
+        F.count_if(F.col("val_f1") > F.col("_b.val_f1")).alias("better"),
+        F.max(F.when(F.col("chosen"), F.col("model") == F.col("_b.model"))).alias("chosen"),
+    )
+
+
 @register(
     f"SELECT CAST({len(RIDE_FEATURES)} AS BIGINT) AS features, TRUE AS valid, CAST(1 AS DOUBLE) AS total FROM events LIMIT 1"
 )
@@ -238,6 +238,28 @@ def batch_inference(spark, sf):
     return scored.select("event_id", likely.alias("is_most_likely"), F.round(total, 9).alias("total"))
 
 
+@register(
+    "SELECT model, count(*) AS rows, CAST(3 AS BIGINT) AS classes, TRUE AS valid, TRUE AS better FROM events, "
+    "(VALUES ('GradientBoosting'), ('SVM')) m(model) GROUP BY model"
+)
+def calibrated_probabilities(spark, sf):
+    """Models of margins: probabilities of all rows sum to one, and on the test rows beat the plain sigmoid by log-loss."""
+    parts, rows, made = _parts(spark, sf), labelled_rides(spark, sf), None
+    for name in ("GradientBoosting", "SVM"):
+        model = ml.train(parts["train"], RIDE_FEATURES, ml.CLASSIFIERS[name]())
+        loss = ml.log_loss(ml.batch_inference(model, parts["test"], probabilities=True))
+        plain = ml.log_loss(ml.batch_inference(ml.uncalibrated(model), parts["test"], probabilities=True))
+        total = F.aggregate("probabilities", F.lit(0.0), lambda a, p: a + p)
+        seen = ml.batch_inference(model, rows, probabilities=True).agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.max(F.size("probabilities")).cast("bigint").alias("classes"),
+            F.min((F.abs(total - 1) < 1e-9) & (F.array_min("probabilities") >= 0)).alias("valid"),
+        )
+        seen = seen.select(F.lit(name).alias("model"), "*", (loss.scalar() < plain.scalar()).alias("better"))
+        made = seen if made is None else made.unionByName(seen)
+    return made
+
+
 @register(
     "SELECT event_id, CAST(count(*) AS BIGINT) AS classes, TRUE AS valid, CAST(1 AS DOUBLE) AS total FROM events, "
     "(VALUES (0), (1), (2)) v(class) GROUP BY event_id"
