@@ -201,3 +201,13 @@ def test_tumbling_metric_layout(spark):
     assert got.filter("metric_type = 'tumbling_5m'").select("ride_count", "avg_fare", "avg_distance").first() == (2, 4.0, None)
     assert got.groupBy("metric_type").count().count() == 3
     assert got.filter(F.col("metric_type") == "sliding_15m_5m").count() == 3
+
+
+def test_gaps_are_filled_however_far_apart_rides_are(spark):
+    """A stray ride of 1900 makes a long calendar, which comes from a range of numbers and not from one row's array."""
+    stray = ("stray", "1", dt.datetime(1900, 1, 1), dt.datetime(1900, 1, 1, 1), 1, 1.0, 5.0, "7")
+    filled = windows.tumbling_gap_fill(rides(spark, [stray, ride(1, 0), ride(2, 11)]))
+    assert "Range (" in plan_of(filled) and "explode(sequence" not in plan_of(filled)
+    days = (START - dt.datetime(1900, 1, 1)).days
+    assert filled.count() == days * 288 + 3 and filled.filter("ride_count > 0").count() == 3
+    assert windows.tumbling_gap_fill(rides(spark, [stray]).filter("ride_id = 'x'")).count() == 0
