@@ -19,9 +19,9 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
 import numpy as np
@@ -55,6 +55,7 @@ class Snapshot:
     keys: tuple[str, ...]
     partitions: tuple[str, ...]
     listed: str
+    notes: Mapping[str, object] = field(default_factory=dict)
 
 
 def _folder(path: str, *parts: str) -> str:
@@ -89,7 +90,7 @@ def snapshot(spark: SparkSession, path: str, version: int | None = None) -> Snap
         raise ValueError(f"{path} has no snapshot {number}")
     entry = json.loads(spark.read.text(_log_file(path, number), wholetext=True).first().value)
     schema = T.StructType.fromJson(entry["schema"])
-    return Snapshot(number, schema, tuple(entry["keys"]), tuple(entry["partitions"]), entry["listed"])
+    return Snapshot(number, schema, tuple(entry["keys"]), tuple(entry["partitions"]), entry["listed"], entry["notes"])
 
 
 def _log_file(path: str, version: int) -> str:
@@ -99,7 +100,7 @@ def _log_file(path: str, version: int) -> str:
 def _publish(spark: SparkSession, path: str, new: Snapshot) -> bool:
     """Make a snapshot visible; False if its number is taken."""
     fs, hadoop = _file_system(spark, path), spark._jvm.org.apache.hadoop.fs
-    entry = {"schema": json.loads(new.schema.json()), "keys": new.keys, "partitions": new.partitions, "listed": new.listed}
+    entry = {"schema": json.loads(new.schema.json()), "keys": new.keys, "partitions": new.partitions, "listed": new.listed, "notes": dict(new.notes)}
     draft = fs.makeQualified(hadoop.Path(_folder(path, "log", f".{uuid.uuid4().hex}.draft")))
     final = fs.makeQualified(hadoop.Path(_log_file(path, new.version)))
     out = fs.create(draft, True)
@@ -346,6 +347,8 @@ def merge(
     newest: Sequence[str | Column] | None = None,
     partitions: Sequence[str] = PARTITIONS,
     keys_fix_partition: bool = False,
+    replace: bool = False,
+    notes: Mapping[str, object] | None = None,
 ) -> int:
     """Update rows of the table whose key is in ``source``, insert the others; returns the number of the new snapshot.
 
@@ -361,7 +364,7 @@ def merge(
         received = _scan(spark, path, [f"{commit}/received"], source.schema)
         if newest is None:
             refuse_repeated_keys(received, keys)
-        return _merge_received(spark, received, rows, path, commit, tuple(keys), tuple(partitions), keys_fix_partition)
+        return _merge_received(spark, received, rows, path, commit, tuple(keys), tuple(partitions), keys_fix_partition, replace, notes)
     except Exception:
         for kind in ("data", "blooms", "files"):
             delete_folder(spark, _folder(path, kind, commit))
@@ -369,9 +372,10 @@ def merge(
 
 
 def _merge_received(
-    spark: SparkSession, received: DataFrame, rows: int, path: str, commit: str, keys: tuple, partitions: tuple, keys_fix_partition: bool
-) -> int:
-    own = Snapshot(0, _merged_schema(T.StructType([]), received.schema), keys, partitions, commit)
+    spark: SparkSession, received: DataFrame, rows: int, path: str, commit: str, keys: tuple, partitions: tuple,
+    keys_fix_partition: bool, replace: bool, notes: Mapping[str, object] | None,
+) -> int:
+    own = Snapshot(0, _merged_schema(T.StructType([]), received.schema), keys, partitions, commit, notes or {})
     # What was received is described while the files it touches are looked for.
     with ThreadPoolExecutor(1) as pool:
         described = pool.submit(_describe, spark, path, commit, "received", own, rows)
@@ -379,14 +383,17 @@ def _merge_received(
             before = snapshot(spark, path)
             if before is None:
                 after, listed = own, described.result()
-            elif rows == 0:
+            elif rows == 0 and notes is None and not replace:
                 return before.version
             else:
                 if (before.keys, before.partitions) != (keys, partitions):
                     raise ValueError(f"{path} has keys {before.keys} and partitions {before.partitions}, not {keys} and {partitions}")
-                after = Snapshot(before.version + 1, _merged_schema(before.schema, received.schema), keys, partitions, commit)
-                dropped = _files_with_keys_of(received, spark, path, before, keys_fix_partition)
+                schema = own.schema if replace else _merged_schema(before.schema, received.schema)
+                after = Snapshot(before.version + 1, schema, keys, partitions, commit, before.notes if notes is None else notes)
                 listed = listed_files(spark, path, before)
+                dropped = [] if replace else _files_with_keys_of(received, spark, path, before, keys_fix_partition)
+                if replace:
+                    listed = listed.limit(0)
                 if dropped:
                     kept = _scan(spark, path, dropped, before.schema).join(received.select(*keys), list(keys), "left_anti")
                     left = _write_rows(kept.select(*before.schema.names), path, f"{commit}/kept", partitions)
