@@ -95,32 +95,40 @@ def similar(shared: np.ndarray, left: np.ndarray, right: np.ndarray, percent: in
 # Steps
 
 
+def texts_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text).alias("t"), text.alias("text"))
+
+
 def signatures(docs: DataFrame, id_col: str, text_col: str, width: int, bands: int) -> DataFrame:
-    """``doc, n, k1, k2, bits, bands`` of every row; ``k1, k2`` identify the set."""
+    """``doc, t, n, k1, k2, bits, bands`` of every row; ``t`` tells texts of one id apart, ``k1, k2`` identify the set."""
     by = multipliers(bands * ROWS_PER_BAND)
-    schema = "doc long, n long, k1 long, k2 long, bits binary, bands array<long>"
+    schema = "doc long, t long, n long, k1 long, k2 long, bits binary, bands array<long>"
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words, number = WordCodes(KNOWN_WORDS), np.arange(bands, dtype=np.uint64)
         for batch in batches:
             rows = []
-            for doc, text in zip(batch["doc"], batch["text"]):
+            for doc, t, text in zip(batch["doc"], batch["t"], batch["text"]):
                 hashes = text_set(words, text, width)
                 if not len(hashes):
-                    rows.append((doc, 0, 0, 0, None, None))
+                    rows.append((doc, t, 0, 0, 0, None, None))
                     continue
                 key = np.frombuffer(xxhash.xxh3_128_digest(hashes.tobytes()), np.int64)
                 low = minima(hashes, by)
                 band = window_hashes(low, ROWS_PER_BAND)[::ROWS_PER_BAND] ^ mixed(number + np.uint64(1))
-                rows.append((doc, len(hashes), key[0], key[1], packed_bits(low), band.view(np.int64)))
-            out = pd.DataFrame(rows, columns=["doc", "n", "k1", "k2", "bits", "bands"])
+                rows.append((doc, t, len(hashes), key[0], key[1], packed_bits(low), band.view(np.int64)))
+            out = pd.DataFrame(rows, columns=["doc", "t", "n", "k1", "k2", "bits", "bands"])
             yield out.astype({"doc": "Int64"})
 
-    return docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text")).mapInPandas(sign, schema)
+    return texts_of(docs, id_col, text_col).mapInPandas(sign, schema)
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """``node, hashes``: the whole shingle set of each wanted node, as sorted packed numbers."""
+    """``node, hashes``: the whole shingle set of each wanted node, as sorted packed numbers.
+
+    ``wanted`` has ``node, doc, t, rows``: the row that stands for the node, and how many there are of it.
+    """
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = WordCodes(KNOWN_WORDS)
@@ -130,8 +138,11 @@ def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, wi
                 packed = [text_set(words, t, width).tobytes() for t in batch["text"]]
                 yield pd.DataFrame({"node": batch["node"], "hashes": packed})
 
-    texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).cast("string").alias("text"))
-    return stored(texts.join(wanted, "node", "left_semi").mapInPandas(sets, "node long, hashes binary"), "shingle-sets")
+    texts = texts_of(docs, id_col, text_col)
+    if not wanted.where("rows > 1").isEmpty():
+        texts = texts.dropDuplicates(["doc", "t"])
+    texts = texts.join(wanted, ["doc", "t"]).select("node", "text")
+    return stored(texts.mapInPandas(sets, "node long, hashes binary"), "shingle-sets")
 
 
 def linked(rows: DataFrame, percent: int) -> DataFrame:
@@ -276,23 +287,28 @@ def near_duplicates(
     ``width`` words, or its whole sequence if it is shorter. Documents are linked if 100 * intersection
     >= ``percent`` * union; ``component_id`` is the smallest id reachable by links, ``kept`` whether it is
     the document's own. Null and wordless texts have 0 shingles and are linked with nothing.
-    Rows with equal texts are linked like any others; rows that repeat an id are judged row by row.
+    Rows with equal texts are linked like any others; rows that repeat an id are judged row by row,
+    each by its own text, so one id with two texts may stand in two groups.
     A null id takes no part: its component is null and the row is kept. No rows give no rows.
     """
     low = lowest_estimate(percent / 100, bands * ROWS_PER_BAND)
     signed = stored(signatures(docs, id_col, text_col, width, bands), "signatures")
     whole = signed.where("n > 0 AND doc IS NOT NULL")
-    sets_of = stored(whole.groupBy("k1", "k2").agg(F.min("doc").alias("node"), F.count("*").alias("copies")), "distinct-sets")
-    # One row of signature for each set: its smallest document's. Rows that repeat it are the same.
-    nodes = whole.select(F.col("doc").alias("node"), "k1", "k2", "bits", "bands").join(sets_of, ["node", "k1", "k2"]).dropDuplicates(["node"])
-    nodes = stored(nodes.select("node", "copies", "bits", "bands"), "nodes")
+    # Numbered in the order of their smallest documents: a group's smallest node has its smallest document.
+    distinct = whole.groupBy("k1", "k2").agg(F.min(F.struct("doc", "t")).alias("own"), F.count("*").alias("copies")).orderBy("own", "k1", "k2")
+    sets_of = stored(distinct.select("k1", "k2", "own.doc", "own.t", "copies", F.monotonically_increasing_id().alias("node")), "distinct-sets")
+    # One signature for each set, from the row that stands for it.
+    one = whole.select("doc", "t", "k1", "k2", "bits", "bands").join(sets_of, ["doc", "t", "k1", "k2"])
+    one = one.groupBy("doc", "t", "k1", "k2", "node", "copies").agg(F.first("bits").alias("bits"), F.first("bands").alias("bands"), F.count("*").alias("rows"))
+    nodes = stored(one.select("node", "doc", "t", "rows", "copies", "bits", "bands"), "nodes")
 
     buckets = nodes.select("node", "copies", F.explode("bands").alias("bucket"))
     several = buckets.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1").select("bucket")
     members = stored(buckets.join(several, "bucket"), "buckets")
     candidates = stored(estimated(centre_pairs(members), nodes, low), "candidates")
     involved = members.select("node").distinct()
-    sets = full_sets(docs, involved, id_col, text_col, width)
+    wanted = nodes.join(involved, "node", "left_semi").select("node", "doc", "t", "rows")
+    sets = full_sets(docs, wanted, id_col, text_col, width)
 
     links = stored(linked(with_sets(candidates, sets, "a", "b"), percent), "links")
     first = components(links)
@@ -303,7 +319,8 @@ def near_duplicates(
     # A group's number is one of its nodes, so links between groups are links between nodes.
     last = components(first.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
-    named = sets_of.join(last, "node", "left").select("k1", "k2", F.coalesce("component", "node").alias("component"))
+    smallest = last.join(sets_of.select(F.col("node").alias("component"), F.col("doc").alias("smallest")), "component").select("node", "smallest")
+    named = sets_of.join(smallest, "node", "left").select("k1", "k2", F.coalesce("smallest", "doc").alias("component"))
     own = signed.join(named, ["k1", "k2"], "left")
     component = F.when(F.col("doc").isNull(), F.lit(None)).when(F.col("n") == 0, F.col("doc")).otherwise(F.col("component"))
     return own.select(

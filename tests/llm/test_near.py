@@ -97,6 +97,18 @@ def test_repeated_and_missing_ids(spark):
     ]
 
 
+def test_one_id_with_several_texts(spark):
+    """Every text of an id keeps its own links, also where the id is the smallest of both."""
+    a, b = words(1, 120, 10_000), words(2, 120, 10_000)
+    rows = [(1, a), (1, b), (1, b), (2, edited(a, 3, 2)), (3, edited(b, 4, 2)), (4, a), (5, words(5, 60))]
+    out = bbit.near_duplicates(documents(spark, [(i, " ".join(w), "en", "a") for i, w in rows]), width=4).collect()
+    assert sorted((r.doc_id, r.component_id) for r in out) == [(1, 1), (1, 1), (1, 1), (2, 1), (3, 1), (4, 1), (5, 5)]
+    # 7 is linked with the one text of 5 and 8 with the other; these two groups have nothing in common.
+    rows = [(5, a), (5, b), (7, edited(b, 6, 2)), (8, edited(a, 7, 2)), (2, edited(a, 8, 2))]
+    out = bbit.near_duplicates(documents(spark, [(i, " ".join(w), "en", "a") for i, w in rows]), width=4).collect()
+    assert sorted((r.doc_id, r.component_id) for r in out) == [(2, 2), (5, 2), (5, 5), (7, 5), (8, 2)]
+
+
 def test_no_rows(spark):
     assert bbit.near_duplicates(documents(spark, [])).count() == 0
     check(spark, [(1, None, None, None), (2, "", "en", "a")])
