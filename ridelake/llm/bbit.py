@@ -30,13 +30,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ridelake.llm.components import components
-from ridelake.llm.shared import pieces, stored
+from ridelake.llm.shared import batches_of, pieces, stored
 from ridelake.llm.words import WordCodes, mixed, window_hashes
 
 ROWS_PER_BAND = 5
 # Rows of units for each task of comparing groups.
 UNIT_ROWS = 4_000
 KNOWN_WORDS = 60_000  # remembered by a worker
+BATCH_ROWS = 1_000  # sent to a worker at once: a pair's row holds two full sets
 SLICE = 256  # rows with full sets that are open at once
 SMALL_PAIR = 16  # groups whose product of sizes is at most this are settled pair by pair
 
@@ -271,26 +272,8 @@ def settled_pairs(pairs: DataFrame, groups: DataFrame, sets: DataFrame, percent:
     return linked(few, percent).union(many).distinct()
 
 
-def near_duplicates(
-    docs: DataFrame,
-    *,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    width: int = 5,
-    percent: int = 80,
-    bands: int = 32,
-    block: int = 1024,
-) -> DataFrame:
-    """Groups of near-duplicates: ``doc_id, n_shingles, component_id, kept`` for every row of ``docs``.
-
-    Words are as in ``words.py`` with A-Z lower-cased; a document's set are its distinct shingles of
-    ``width`` words, or its whole sequence if it is shorter. Documents are linked if 100 * intersection
-    >= ``percent`` * union; ``component_id`` is the smallest id reachable by links, ``kept`` whether it is
-    the document's own. Null and wordless texts have 0 shingles and are linked with nothing.
-    Rows with equal texts are linked like any others; rows that repeat an id are judged row by row,
-    each by its own text, so one id with two texts may stand in two groups.
-    A null id takes no part: its component is null and the row is kept. No rows give no rows.
-    """
+def grouped_sets(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int, bands: int, block: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Signatures of all rows, the distinct sets as nodes, and ``node, component`` of the linked ones."""
     low = lowest_estimate(percent / 100, bands * ROWS_PER_BAND)
     signed = stored(signatures(docs, id_col, text_col, width, bands), "signatures")
     whole = signed.where("n > 0 AND doc IS NOT NULL")
@@ -319,6 +302,31 @@ def near_duplicates(
     # A group's number is one of its nodes, so links between groups are links between nodes.
     last = components(first.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
+    return signed, sets_of, last
+
+
+def near_duplicates(
+    docs: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    width: int = 5,
+    percent: int = 80,
+    bands: int = 32,
+    block: int = 1024,
+) -> DataFrame:
+    """Groups of near-duplicates: ``doc_id, n_shingles, component_id, kept`` for every row of ``docs``.
+
+    Words are as in ``words.py`` with A-Z lower-cased; a document's set are its distinct shingles of
+    ``width`` words, or its whole sequence if it is shorter. Documents are linked if 100 * intersection
+    >= ``percent`` * union; ``component_id`` is the smallest id reachable by links, ``kept`` whether it is
+    the document's own. Null and wordless texts have 0 shingles and are linked with nothing.
+    Rows with equal texts are linked like any others; rows that repeat an id are judged row by row,
+    each by its own text, so one id with two texts may stand in two groups.
+    A null id takes no part: its component is null and the row is kept. No rows give no rows.
+    """
+    with batches_of(docs.sparkSession, BATCH_ROWS):
+        signed, sets_of, last = grouped_sets(docs, id_col, text_col, width, percent, bands, block)
     smallest = last.join(sets_of.select(F.col("node").alias("component"), F.col("doc").alias("smallest")), "component").select("node", "smallest")
     named = sets_of.join(smallest, "node", "left").select("k1", "k2", F.coalesce("smallest", "doc").alias("component"))
     own = signed.join(named, ["k1", "k2"], "left")
