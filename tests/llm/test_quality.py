@@ -66,16 +66,55 @@ def test_cutoff_is_the_certified_one(spark):
     base = quality.measures(documents(spark, rows), "doc_id", "text", F.col("lang"))
     marked = base.join(labels(spark, truth.items()).select("doc_id", (F.col("quality") == 1).alias("good")), "doc_id").where("NOT base_failed")
     got = {r.rule: r.cutoff for r in quality.cutoffs(marked, alpha=alpha, delta=delta, cost=cost).collect()}
-    values = [(brute(t)[2] / brute(t)[1], truth[i]) for i, t, *_ in rows if not brute(t)[5]]
-    n, p, gains = sum(g for _, g in values), alpha / len(quality.RULES), {}
-    for c in quality.RULES["symbol_share"][1]:
-        k = sum(g for v, g in values if v > c)
-        tail = sum(comb(n, j) * p**j * (1 - p) ** (n - j) for j in range(k + 1)) if k < n * p else 1.0
-        if tail > delta / len(quality.RULES):
-            break
-        gains[c] = sum(1 - g for v, g in values if v > c) - cost * k
-    assert gains and max(gains.values()) > 0
-    assert got["symbol_share"] == max(gains, key=lambda c: (gains[c], c))
+    signals = []
+    for i, t, *_ in rows:
+        n, chars, symbols, dup, again, failed = brute(t)
+        if not failed:
+            lines = sum(bool(x.split()) for x in t.split("\n"))
+            own = (symbols / chars, chars / n, -chars / n, dup / lines, again / n)
+            signals.append((truth[i], dict(zip(quality.RULES, own))))
+    n, gains, rejected = sum(g for g, _ in signals), {}, set()
+    for rule, (_, cutoffs) in quality.RULES.items():
+        for c in cutoffs:
+            beyond = [k for k, (_, x) in enumerate(signals) if x[rule] > c]
+            rejected |= {k for k in beyond if signals[k][0]}
+            k = len(rejected)
+            tail = sum(comb(n, j) * alpha**j * (1 - alpha) ** (n - j) for j in range(k + 1)) if k < n * alpha else 1.0
+            if tail > delta:
+                break
+            gains[rule, c] = sum(-cost if signals[j][0] else 1 for j in beyond)
+        else:
+            continue
+        break
+    want = {}
+    for (rule, c), gain in gains.items():
+        if gain > 0 and gain > want.get(rule, (0, 0))[0]:
+            want[rule] = (gain, c)
+    assert "symbol_share" in want and got == {rule: c for rule, (_, c) in want.items()}
+
+
+def test_alpha_is_spent_once(spark):
+    """Three strata of 230 good labels each are enough for all rules that reject none of them."""
+    rows = [(k * 1000 + i, " ".join(w + "#" * (i >= 230) for w in words(k * 1000 + i, 40)), "abc"[k], "s") for k in range(3) for i in range(250)]
+    out = quality.judge(documents(spark, rows), labels(spark, [(i, int(i % 1000 < 230)) for i, *_ in rows])).collect()
+    assert {r.doc_id for r in out if not r.kept} == {i for i, *_ in rows if i % 1000 >= 230}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_combined_rejection_is_tested(spark, seed):
+    """Two rules that each reject 1.2 % of the good documents, others by each, are too much together."""
+    rows = []
+    for i in range(3000):
+        own = words(seed * 10_000 + i, 60, 20_000)
+        if i % 1000 < 12:
+            own = [w + "##" for w in own]
+        elif i % 1000 < 24:
+            own = [w * 4 for w in own]
+        rows.append((i, " ".join(own), "en", "s"))
+    bad = [(5000 + i, " ".join(w * 4 + "##" for w in words(i, 60, 20_000)), "en", "s") for i in range(200)]
+    given = labels(spark, [(i, 1) for i, *_ in rows] + [(i, 0) for i, *_ in bad])
+    out = {r.doc_id: r.failed_rules for r in quality.judge(documents(spark, rows + bad), given).collect()}
+    assert out[5000] == ["symbol_share"] and out[0] == ["symbol_share"] and out[12] == []
 
 
 def test_no_rows(spark):
