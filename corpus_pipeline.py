@@ -18,16 +18,27 @@ LEAST_SCORE = 0.3
 SURROGATE_KEY = "corpus"
 # So many rows of the mixture fill sequences of their own.
 SPAN_ROWS = 4_000
+# Texts that go to a Python worker at once; a session's 10,000 are tens of megabytes, held by Spark and by the worker.
+TEXTS_AT_ONCE = 1_000
+
+
+def in_small_batches(spark: SparkSession) -> None:
+    """The session's Arrow batches hold at most ``TEXTS_AT_ONCE`` rows from here on."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    spark.conf.set(name, str(min(now, TEXTS_AT_ONCE) if now > 0 else TEXTS_AT_ONCE))
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a recognisable language go; ``lang`` becomes the language found in the others."""
+    in_small_batches(spark)
     judged = langid.train_and_identify(docs).where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SCORE))
     return judged.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest id stays."""
+    in_small_batches(spark)
     groups = bbit.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
     return docs.join(groups, docs["doc_id"].eqNullSafe(groups["_kept_id"]), "left_semi")
 
@@ -46,6 +57,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences follow the order that the mixture laid the documents out in."""
+    in_small_batches(spark)
     return packing.pack_in_order(docs, path=vocabulary_path("byte_bpe_50k.json"), span_rows=SPAN_ROWS).drop("ids")
 
 
