@@ -247,17 +247,23 @@ def _shown(records):
     return zoneless(typed.drop("pickup_datetime", "dropoff_datetime"), "pickup_ts", "dropoff_ts")
 
 
-def _in_order(spark, sf, parts: int = 3):
-    """Texts of the rides in the order of their times, in so many parts; each is one file, as which flagged fares depend on order."""
+# A vendor's rides of a part are put in order in one task.
+RIDES_PER_PART = 4_000_000
+
+
+def _in_order(spark, sf, rides_per_part: int = RIDES_PER_PART):
+    """Texts of the rides in at least three parts, each of later rides than the one before."""
     events = rides(spark, sf)
-    span = events.agg(F.min(F.unix_timestamp("pickup_ts")).alias("lo"), F.max(F.unix_timestamp("pickup_ts")).alias("hi")).first()
-    part = F.floor((F.unix_timestamp("pickup_ts") - span.lo) * parts / (span.hi - span.lo + 1))
-    return [ride_texts(events.filter(part == i).orderBy("pickup_ts", "ride_id").coalesce(1)) for i in range(parts)]
+    seconds = F.unix_timestamp("pickup_ts")
+    span = events.agg(F.min(seconds).alias("lo"), F.max(seconds).alias("hi"), F.count(F.lit(1)).alias("n")).first()
+    parts = max(3, -(-span.n // rides_per_part))
+    part = F.floor((seconds - span.lo) * parts / (span.hi - span.lo + 1))
+    return [ride_texts(events.filter(part == i)) for i in range(parts)]
 
 
 @register(_RECORDS)
 def ride_anomalies_stream(spark, sf):
-    """State per vendor, in arrival order, which here is the rides' own."""
+    """State per vendor, over parts that arrive in the order of the rides."""
     own = own_session(spark)
     source, target, checkpoint = (scratch_path(spark, x) for x in ("replay", "anomalies", "checkpoint"))
     for part in _in_order(spark, sf):

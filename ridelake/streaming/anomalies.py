@@ -1,10 +1,11 @@
-"""Ride anomalies on a stream, in the order of arrival or of the rides' own time.
+"""Ride anomalies on a stream, micro-batch by micro-batch or in the order of the rides' own time.
 
 Two forms give the same rules:
 
 * ``ride_anomalies_stream`` keeps count, sum and sum of squares per vendor in the state store
-  and sees each ride once. A vendor's rides of one micro-batch pass through one task, as an
-  iterator of Arrow batches.
+  and sees each ride once. Files split over tasks and the shuffle to the vendors leave no order of arrival within a micro-batch:
+  there rides count in the order of pickup time and id. A vendor's rides of one micro-batch are put in order in one task,
+  as Arrow columns; ``files_per_trigger`` of the source bounds them.
 * ``anomaly_batches`` computes each micro-batch with the table operator, which cuts the rides of a vendor,
   however close in time, into chunks by their number, and keeps the totals of all vendors as a small table per batch.
   It is the one to use when few vendors carry most of the rides.
@@ -16,6 +17,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -56,6 +59,17 @@ ANOMALY_FIELDS = (
 _RIDE_SCHEMA = ", ".join(f"{name} {kind}" for name, kind in RIDE_FIELDS.items())
 _STATE_SCHEMA = "prior_count bigint, prior_sum double, prior_sumsq double"
 
+_ARROW_TYPES = {"string": pa.string(), "int": pa.int32(), "double": pa.float64()}
+# Rides of a vendor as they are held to be put in order: no column has nulls.
+_HELD = pa.schema([*[(name, _ARROW_TYPES[kind]) for name, kind in RIDE_FIELDS.items()], ("alone", pa.bool_()), ("moment", pa.int64())])
+_ORDER = [(name, "ascending") for name in ("moment", "ride_id", "fare_amount")]
+_SCORED_ROWS = 10_000
+
+
+def _moment() -> Column:
+    """Pickup time in microseconds; null if it cannot be read."""
+    return F.round(epoch_seconds("pickup_datetime") * 1_000_000).cast("bigint")
+
 
 def _elapsed() -> Column:
     return epoch_seconds("dropoff_datetime") - epoch_seconds("pickup_datetime")
@@ -78,7 +92,10 @@ class VendorTotals(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         count, total, squares = self._totals.get() if self._totals.exists() else (0, 0.0, 0.0)
-        for batch in rows:
+        held = pa.concat_tables([pa.Table.from_pandas(batch, _HELD, preserve_index=False) for batch in rows]).combine_chunks()
+        places = pc.sort_indices(held, sort_keys=_ORDER)
+        for start in range(0, len(places), _SCORED_ROWS):
+            batch = held.take(places[start : start + _SCORED_ROWS]).drop_columns("moment").to_pandas()
             fare = batch["fare_amount"].to_numpy()
             counts = count + np.arange(len(fare), dtype=np.int64)
             sums = np.concatenate(([total], fare)).cumsum()
@@ -105,10 +122,11 @@ def _records(suspects: DataFrame) -> DataFrame:
 
 
 def anomaly_rides(raw: DataFrame) -> DataFrame:
-    """Valid rides of a stream of JSON texts, with vendor key and the rules that need no state."""
+    """Valid rides of a stream of JSON texts, with vendor key, the rules that need no state and the moment that orders them."""
     rides = null_key(parse_ride_json(raw))
+    first = F.coalesce(_moment(), F.lit(-(2**63)))
     blank = {"prior_count": F.lit(0), "prior_mean": F.lit(0.0), "prior_std": F.lit(0.0)}
-    return rides.withColumns(blank).withColumn("alone", _alone(_conditions())).drop(*blank)
+    return rides.withColumns(blank).withColumn("alone", _alone(_conditions())).drop(*blank).withColumn("moment", first)
 
 
 def ride_anomalies_stream(raw: DataFrame) -> DataFrame:
@@ -129,8 +147,7 @@ def score_batch(rides: DataFrame, before: DataFrame | None, chunk_rows: int = CH
 
     Within the batch rides count in the order of pickup time and id.
     """
-    moment = F.round(epoch_seconds("pickup_datetime") * 1_000_000).cast("bigint")
-    timed = rides.withColumn("_moment", moment)
+    timed = rides.withColumn("_moment", _moment())
     order = ["_moment", "ride_id"]
     chunk = data_cut(timed, ["vendor_id"], order, chunk_rows)
     within = [F.col(c).asc_nulls_first() for c in order]

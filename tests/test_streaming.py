@@ -49,6 +49,18 @@ def test_state_per_vendor_survives_a_restart(spark, folder):
     assert list(got[0]) == list(anomalies.ANOMALY_FIELDS)
 
 
+def test_rides_of_a_microbatch_are_scored_in_their_order(spark, folder):
+    """However they lie in its files, and whichever task reads them."""
+    own, rows = rides.stream_session(spark, PARTITIONS), ordered()
+    for i, part in enumerate((rows[:150], rows[150:])):
+        for k in range(3):
+            write_lines(f"{folder}/in", f"part{i}-{k}.txt", map(text_of, part[k::3][::-1]))
+        payloads = anomalies.anomaly_payloads(anomalies.ride_anomalies_stream(rides.raw_stream(own, f"{folder}/in")))
+        finish(sinks.sink_stream_parquet(payloads, f"{folder}/out", f"{folder}/check", None))
+    got = [json.loads(r.payload) for r in spark.read.parquet(f"{folder}/out").collect()]
+    assert {r["ride_id"]: r["reasons"] for r in got} == _brute_flags(rows) and len(got) == len(_brute_flags(rows))
+
+
 def test_microbatches_give_the_same_and_replace_a_repeated_batch(spark, folder):
     own, rows = rides.stream_session(spark, PARTITIONS), ordered()
     for i, part in enumerate((rows[:150], rows[150:])):
