@@ -19,7 +19,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridelake.operators.margins import CalibratedMargins, OneAgainstRest
+from ridelake.operators.margins import CalibratedMargins, OneAgainstRest, without_summary
 from ridelake.operators.ordered import running_rank
 from ridelake.operators.profiling import column_map, per_column
 from ridelake.operators.quantiles import numeric
@@ -152,7 +152,10 @@ def train(df: DataFrame, columns: Sequence[str], classifier, label: str = "label
     # Fitting passes over the rows many times: they are kept, not derived anew each time.
     vectors = PipelineModel(prepare).transform(df).select("features", label).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        fitted = classifier.fit(vectors, label) if isinstance(classifier, OneAgainstRest) else [classifier.copy().setLabelCol(label).fit(vectors)]
+        if isinstance(classifier, OneAgainstRest):
+            fitted = classifier.fit(vectors, label)
+        else:
+            fitted = [without_summary(classifier.copy().setLabelCol(label).fit(vectors), df.sparkSession)]
     finally:
         vectors.unpersist()
     return PipelineModel([*prepare, *fitted])

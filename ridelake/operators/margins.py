@@ -18,9 +18,24 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol, HasPredictionCol, HasProbabilityCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ridelake.session import scratch_path
+
+
+def without_summary(model: Transformer, spark: SparkSession) -> Transformer:
+    """A fitted model as it is after saving and loading.
+
+    The summary of a fit of two classes holds the session, which goes with the model into every task that scores. Once the
+    session has observed anything it cannot be sent, and scoring fails.
+    """
+    if not getattr(model, "hasSummary", False):
+        return model
+    path = scratch_path(spark, "model")
+    model.write().save(path)
+    return type(model).load(path)
+
 
 class RandomFourierFeatures(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
     """Features whose inner products are near ``exp(-gamma * |x - y|^2)``: cosines of random projections.
@@ -118,7 +133,7 @@ class OneAgainstRest:
             if self.binary.hasParam("probabilityCol"):
                 named["probabilityCol"] = ""  # of two classes only, and not calibrated
             binary = self.binary.copy({self.binary.getParam(p): v for p, v in named.items()})
-            model = binary.fit(own.filter("NOT _apart").select("features", "_own"))
+            model = without_summary(binary.fit(own.filter("NOT _apart").select("features", "_own")), vectors.sparkSession)
             return model, *sigmoid(model.transform(own.filter("_apart").select("features", "_own")).select(_margin(k).alias("margin"), "_own"))
 
         with ThreadPoolExecutor(self.parallelism) as pool:

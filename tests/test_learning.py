@@ -8,6 +8,7 @@ import pytest
 from conftest import rows_of
 from pyspark.ml import PipelineModel
 from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
@@ -165,6 +166,16 @@ def test_probabilities_of_all_models(spark, name):
         assert ml.log_loss(scored).first()[0] < ml.log_loss(plain).first()[0]
 
 
+@pytest.mark.parametrize("name", ["SVM", "LogisticRegression"])
+def test_models_of_two_classes_score_in_a_session_that_has_observed(spark, name):
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 3
+    df = flowers(spark, 300).filter("label < 2").checkpoint()
+    classifier = ml.support_vectors(5, kernel="linear") if name == "SVM" else ml.logistic(20)
+    assert ml.evaluate(ml.batch_inference(ml.train(df, COLUMNS, classifier), df)).first()["accuracy"] > 0.9
+
+
 def test_sigmoid_of_margins(spark):
     drawn = spark.range(20_000).select((F.randn(1) * 2).alias("margin"), F.rand(2).alias("u"))
     rows = drawn.select("margin", (F.col("u") < 1 / (1 + F.exp(-(F.col("margin") * 1.5 - 0.7)))).cast("double").alias("_own"))
