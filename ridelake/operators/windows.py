@@ -7,7 +7,10 @@ aggregation: no window size, hot location or hot moment sends raw rides to one t
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+from operator import add
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridelake.operators.ordered import carry_last
@@ -198,25 +201,32 @@ def rolling_mean(
 ) -> DataFrame:
     """Mean of the values in (t - span, t] at each row.
 
-    Rows are framed within (key, time chunk). A row less than a span before the end of its
-    chunk also joins the next one, as a guest that is counted but not returned. So one long
-    series, without any key, still splits over the cluster.
+    A frame walked through anew for each row costs the product of both, which grows with the square of a denser table. So time is
+    cut into spans: what a frame covers is the end of one span and the beginning of the next. Every row also joins the span
+    after its own as a guest, one span later. Two running sums give the rest: of a span's own rows up to the moment, and of its
+    guests after it. Nothing is subtracted, so an infinite value stays within its frames. So one long series, without any key,
+    still splits over the cluster. ``chunk_seconds``, once the length of a task's time, must be at least a span and changes nothing.
     """
     if chunk_seconds < span_seconds:
         raise ValueError("a chunk must be at least as long as the span")
-    seconds = F.unix_timestamp(ts)
-    home = F.floor(seconds / F.lit(chunk_seconds))
-    reach = F.floor((seconds + F.lit(span_seconds)) / F.lit(chunk_seconds))
-    placed = (
-        rides.filter(F.col(ts).isNotNull())
-        .withColumn("_home", home)
-        .withColumn("_chunk", F.explode(F.sequence("_home", reach)))
-    )
-    minutes, rest = divmod(span_seconds, 60)
-    if rest:
+    if span_seconds % 60:
         raise ValueError("the span must be whole minutes")
-    frame = (
-        f"avg({value}) OVER (PARTITION BY {', '.join([*keys, '_chunk'])} ORDER BY {ts} "
-        f"RANGE BETWEEN INTERVAL '{minutes - 1}:59.999999' MINUTE TO SECOND PRECEDING AND CURRENT ROW)"
+    number = F.floor(F.unix_timestamp(ts) / F.lit(span_seconds))
+    later = F.col(ts) + F.make_dt_interval(secs=F.lit(span_seconds))
+    places = F.array(
+        F.struct(number.alias("span"), F.col(ts).alias("at"), F.lit(False).alias("guest")),
+        F.struct((number + 1).alias("span"), later.alias("at"), F.lit(True).alias("guest")),
     )
-    return placed.withColumn("rolling_mean", F.expr(frame)).filter("_chunk = _home").drop("_home", "_chunk")
+    placed = rides.filter(F.col(ts).isNotNull()).withColumn("_amount", F.col(value).cast("double")).withColumn("_place", F.explode(places))
+    guest, own = F.col("_place.guest"), ~F.col("_place.guest")
+    # Of a guest only its amount travels.
+    bare = {c: F.when(own, F.col(f"`{c}`")) for c in rides.columns if c not in keys}
+    spans = Window.partitionBy(*keys, "_place.span")
+    until = spans.orderBy("_place.at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    # At equal times a row comes before the guests, which lie just outside its frame.
+    after = spans.orderBy(F.desc("_place.at"), "_place.guest").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    parts = [F.when(own, F.col("_amount")), F.when(guest, F.col("_amount"))]
+    total = reduce(add, [F.coalesce(F.sum(p).over(w), F.lit(0.0)) for p, w in zip(parts, (until, after))])
+    count = reduce(add, [F.count(p).over(w) for p, w in zip(parts, (until, after))])
+    summed = placed.withColumns(bare).withColumn("_total", total).withColumn("_n", count).filter(own)
+    return summed.select(*[F.col(f"`{c}`") for c in rides.columns], F.try_divide("_total", "_n").alias("rolling_mean"))

@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -88,6 +89,17 @@ def test_rolling_mean_matches_brute_force(spark, chunk):
     assert got.count() == len(rows)
 
 
+def test_rolling_mean_does_not_walk_through_frames(spark):
+    """Every frame begins where its partition does; nulls do not count, an infinite value stays within its frames."""
+    rows = [ride(0, 0, fare=1.0), ride(1, 1, fare=None), ride(2, 10, fare=float("inf")), ride(3, 20, fare=2.0), ride(4, 20, fare=4.0), ride(5, 25, fare=6.0)]
+    made = windows.rolling_mean(rides(spark, rows), "fare_amount")
+    begins = re.findall(r"specifiedwindowframe\(\w+, ([^,]*),", plan_of(made))
+    assert begins and all(b.startswith("unboundedpreceding") for b in begins)
+    assert [r[0] for r in made.orderBy("ride_id").select("rolling_mean").collect()] == [1.0, 1.0, math.inf, math.inf, math.inf, 4.0]
+    empty = windows.rolling_mean(rides(spark, [ride(0, 0, fare=None)]), "fare_amount")
+    assert empty.first()["rolling_mean"] is None
+
+
 # What makes a ride odd, given it and the fares that its vendor had before.
 ODD = {
     "invalid_fare_or_passengers": lambda r, past: r[6] < 0 or r[4] <= 0,
