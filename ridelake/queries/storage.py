@@ -9,6 +9,7 @@ from ridelake.queries.batch import RAW, ZONE_AGGREGATES, silver_of
 from ridelake.queries.registry import KEYED, SILVER, TRIPS, register, settle
 from ridelake.session import scratch_path
 from ridelake.sources import sinks, table_log, tables
+from ridelake.sources.files import DATA_OPTIONS
 from ridelake.sources.replay import replay_events as to_events
 from ridelake.sources.sample_shapes import table, trips
 
@@ -62,11 +63,18 @@ def sink_gold(spark, sf):
     return tables.scan_table(spark, f"{path}/zone_stats")
 
 
+def _keyed(spark, sf):
+    """The newest of every trip with its key, computed once. Keys are shuffled as bytes, half as long as their text."""
+    made = scratch_path(spark, "trips")
+    keyed = silver.build_merge_key(trips(spark, sf)).withColumn("merge_key", F.unhex("merge_key"))
+    newest = silver.dedupe_latest(keyed, newest="delivery")
+    newest.withColumn("merge_key", F.lower(F.hex("merge_key"))).write.options(**DATA_OPTIONS).parquet(made)
+    return spark.read.parquet(made)
+
+
 def _versions(spark, sf):
     """Old content and an update: every trip of the second delivery with a month later and double fare."""
-    made = scratch_path(spark, "trips")
-    silver.dedupe_latest(silver.build_merge_key(trips(spark, sf)), newest="delivery").write.parquet(made)
-    keyed = spark.read.parquet(made)
+    keyed = _keyed(spark, sf)
     update = keyed.filter("delivery = 1").withColumns(
         {
             "tpep_pickup_datetime": F.col("tpep_pickup_datetime") + F.expr("INTERVAL '31' DAY"),
@@ -140,8 +148,7 @@ def upsert_text_partition(spark, sf):
 def upsert_evolving(spark, sf):
     """Three loads: without a column, with it for half of the zones, and with it for the second delivery."""
     path = scratch_path(spark, "evolving")
-    keyed = silver.dedupe_latest(silver.build_merge_key(trips(spark, sf)), newest="delivery")
-    rows = bronze.partition_columns(keyed)
+    rows = bronze.partition_columns(_keyed(spark, sf))
     tolled = rows.withColumn("toll", F.col("fare_amount") * 2)
     for load in (rows, tolled.filter("PULocationID % 2 = 0"), tolled.filter("delivery = 1")):
         table_log.merge(load, path, ["merge_key"], keys_fix_partition=True)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException, UnsupportedOperationException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +13,7 @@ from pyspark.sql import types as T
 
 from ridelake.operators.counting import StageCounts
 from ridelake.session import scratch_path
-from ridelake.sources.files import PARTITIONS, delete_folder, newest_per_key, refuse_repeated_keys, spread_for_write, table_exists
+from ridelake.sources.files import DATA_OPTIONS, PARTITIONS, delete_folder, newest_per_key, refuse_repeated_keys, spread_for_write, table_exists
 from ridelake.sources.tables import CSV_OPTIONS
 
 
@@ -32,7 +33,7 @@ def sink_partitioned(
         return False
     if counts is not None:
         df = counts.mark(df, stage)
-    spread_for_write(df, partitions).write.mode(mode).partitionBy(*partitions).parquet(path)
+    spread_for_write(df, partitions).write.options(**DATA_OPTIONS).mode(mode).partitionBy(*partitions).parquet(path)
     return True
 
 
@@ -79,7 +80,7 @@ def upsert(
     finish_upsert(spark, path)
     staged = scratch_path(spark, "upsert")
     unique = source if newest is None else newest_per_key(source, keys, newest)
-    unique.write.parquet(staged)
+    unique.write.options(**DATA_OPTIONS).parquet(staged)
     incoming = spark.read.parquet(staged)
     if newest is None:
         refuse_repeated_keys(incoming, keys)
@@ -97,7 +98,13 @@ def upsert(
     if keys_fix_partition:
         target = target.filter(_is_one_of(filled, partitions))
     else:
-        held = target.select(*keys, *partitions).join(received, list(keys), "left_semi")
+        # By hashes: a partition taken by mistake is written anew without losing a row.
+        # Equal values of two types hash apart: then whole keys are compared.
+        alike = all(target.schema[k].dataType == received.schema[k].dataType for k in keys)
+        complete = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+        known = {"_h": F.xxhash64(*keys)} if alike else {f"_h{i}": F.col(k) for i, k in enumerate(keys)}
+        by = [column.alias(name) for name, column in known.items()]
+        held = target.filter(complete).select(*by, *partitions).join(received.filter(complete).select(*by), list(known), "left_semi")
         vacated = _partition_values(held, partitions)
 
     kept = target.filter(_is_one_of(filled | vacated, partitions)).join(received, list(keys), "left_anti")
@@ -113,7 +120,7 @@ def upsert(
     # With the types of the rows: read back from folder names, text such as 01 would become a number.
     plan = [(list(partitions), content.schema.json())]
     spark.createDataFrame(plan, "names array<string>, schema string").coalesce(1).write.parquet(f"{pending}/plan")
-    content.write.partitionBy(*partitions).parquet(f"{pending}/content")
+    content.write.options(**DATA_OPTIONS).partitionBy(*partitions).parquet(f"{pending}/content")
     finish_upsert(spark, path)
 
 
@@ -133,10 +140,10 @@ def finish_upsert(spark: SparkSession, path: str) -> bool:
     if complete:
         plan = spark.read.parquet(f"{pending}/plan").first()
         content = spark.read.schema(T.StructType.fromJson(json.loads(plan.schema))).parquet(f"{pending}/content")
+        # Its files lie by partition: they are copied as they are.
         (
-            spread_for_write(content, plan.names)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
+            content.write.mode("overwrite")
+            .options(**DATA_OPTIONS, partitionOverwriteMode="dynamic")
             .partitionBy(*plan.names)
             .parquet(path)
         )

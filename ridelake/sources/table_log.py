@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ridelake.sources.files import PARTITIONS, delete_folder, newest_per_key, refuse_repeated_keys, spread_for_write, table_exists
+from ridelake.sources.files import DATA_OPTIONS, PARTITIONS, delete_folder, newest_per_key, refuse_repeated_keys, spread_for_write, table_exists
 
 # Bits for each key, and bits set for it: one key in about 100,000 is taken for one of the file's.
 BITS_PER_KEY = 24
@@ -169,9 +169,9 @@ def _write_rows(rows: DataFrame, path: str, folder: str, partitions: Sequence[st
     out = (spread_for_write(rows, partitions) if partitions else rows).observe(counted, F.count(F.lit(1)).alias("rows"))
     target = _folder(path, "data", folder)
     if partitions:
-        out.withColumn("_apart", F.xxhash64(*partitions)).write.partitionBy("_apart").parquet(target)
+        out.withColumn("_apart", F.xxhash64(*partitions)).write.options(**DATA_OPTIONS).partitionBy("_apart").parquet(target)
     else:
-        out.write.parquet(target)
+        out.write.options(**DATA_OPTIONS).parquet(target)
     return counted.get["rows"]
 
 
@@ -326,8 +326,10 @@ def _files_with_keys_of(received: DataFrame, spark: SparkSession, path: str, of:
     names = _names(_candidates(spark, path, of, received, keys_fix_partition))
     if not names:
         return []
-    held = _scan(spark, path, names, of.schema).select(*of.keys, _file_name().alias("_file"))
-    hit = held.join(received.select(*of.keys), list(of.keys), "left_semi").select("_file").distinct()
+    # Hashes tell apart well enough: a file taken by mistake is written anew without losing a row.
+    held = _scan(spark, path, names, of.schema).filter(_complete(of.keys)).select(_key_hash(of.keys).alias("_h"), _file_name().alias("_file"))
+    hashes = received.filter(_complete(of.keys)).select(_key_hash(of.keys).alias("_h"))
+    hit = held.join(hashes, "_h", "left_semi").select("_file").distinct()
     return [r._file for r in hit.collect()]
 
 

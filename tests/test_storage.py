@@ -7,7 +7,8 @@ import pytest
 from conftest import plan_of, rows_of
 from pyspark.sql import functions as F
 
-from ridelake.sources import sinks, tables
+from ridelake.sources import sinks, table_log, tables
+from ridelake.sources.files import refuse_repeated_keys
 from ridelake.sources.replay import replay_events
 
 ROWS = "k string, v int, year int, month int"
@@ -165,3 +166,28 @@ def test_events_are_compact_json_with_new_ids(spark):
     assert event["pickup_datetime"] == "2024-01-15T08:30:00+00:00"
     assert event["dropoff_datetime"] == "2024-01-15T08:45:00.250000+00:00"
     assert (event["vendor_id"], event["pickup_location_id"], event["passenger_count"]) == (1, 161, 2)
+
+
+def test_repeated_keys_travel_as_hashes(spark):
+    rows = spark.createDataFrame([("a", 1), ("a", 2), (None, 1), (None, 1)], "k string, n int")
+    refuse_repeated_keys(rows, ["k", "n"])
+    with pytest.raises(ValueError, match="more than once"):
+        refuse_repeated_keys(rows, ["k"])
+
+
+def test_files_of_a_table_keep_hexadecimal_keys_short(spark, folder):
+    """A key of 64 hexadecimal digits holds 32 bytes and takes little more."""
+    rows = spark.range(20_000).select(F.sha2(F.col("id").cast("string"), 256).alias("merge_key"), F.lit(2024).alias("year"), F.lit(1).alias("month"))
+    table_log.merge(rows, f"{folder}/logged")
+    sinks.upsert(rows, f"{folder}/plain")
+    for name in ("logged/data", "plain"):
+        files = [f"{at}/{f}" for at, _, held in os.walk(f"{folder.removeprefix('file:')}/{name}") for f in held if f.endswith(".parquet")]
+        assert 0 < sum(map(os.path.getsize, files)) < 20_000 * 50
+
+
+def test_keys_of_another_integer_type_are_found(spark, folder):
+    """A key that moves to another partition is found although the table holds it as a shorter integer."""
+    sinks.upsert(spark.createDataFrame([(5, 1), (6, 1)], "k int, year int"), folder, ["k"], partitions=["year"])
+    sinks.upsert(spark.createDataFrame([(5, 2)], "k bigint, year int"), folder, ["k"], partitions=["year"])
+    files = [f"{at}/{f}" for at, _, held in os.walk(folder.removeprefix("file:")) for f in held if f.endswith(".parquet")]
+    assert sorted((k, f.split("year=")[1][0]) for f in files for k in spark.read.parquet(f).toPandas()["k"]) == [(5, "2"), (6, "1")]
