@@ -64,11 +64,12 @@ class RandomFourierFeatures(Transformer, HasInputCol, HasOutputCol, DefaultParam
     def _transform(self, dataset: DataFrame) -> DataFrame:
         weights, shifts = self.projections()
         scale = float(np.sqrt(2 / len(shifts)))
-        drawn = F.array(*[F.struct(F.array(*map(F.lit, map(float, w))).alias("w"), F.lit(float(b)).alias("b")) for w, b in zip(weights, shifts)])
+        # Products are spelt out, as arrays within arrays are many times slower.
+        fields = [f"w{i}" for i in range(weights.shape[1])]
+        drawn = F.array(*[F.struct(F.lit(float(b)).alias("b"), *[F.lit(float(x)).alias(n) for n, x in zip(fields, w)]) for w, b in zip(weights, shifts)])
 
         def feature(one: Column) -> Column:
-            products = F.zip_with(one["w"], F.col("_inputs"), lambda w, x: w * x)
-            return F.cos(F.aggregate(products, one["b"], lambda a, x: a + x)) * scale
+            return F.cos(reduce(lambda a, i: a + one[f"w{i}"] * F.col("_inputs")[i], range(len(fields)), one["b"])) * scale
 
         made = dataset.withColumn("_inputs", vector_to_array(self.getInputCol()))
         return made.withColumn(self.getOutputCol(), array_to_vector(F.transform(drawn, feature))).drop("_inputs")
@@ -121,8 +122,8 @@ class OneAgainstRest:
     def kernel(self, inputs: int, input_col: str) -> list[Transformer]:
         return [RandomFourierFeatures(input_col, "features", inputs, self.features)] if self.radial else []
 
-    def fit(self, vectors: DataFrame, label: str) -> list[Transformer]:
-        """The stages that take ``features`` to prediction and probability."""
+    def fit(self, vectors: DataFrame, label: str, weight: str | None = None) -> list[Transformer]:
+        """The stages that take ``features`` to prediction and probability; ``weight`` names the column of the rows' weights."""
         place = F.pmod(F.xxhash64(vector_to_array("features")), F.lit(1 << 20)) / float(1 << 20)
         rows = vectors.withColumn("_apart", place < self.calibration_share)
         classes = int(rows.agg(F.max(label)).first()[0]) + 1
@@ -133,19 +134,22 @@ class OneAgainstRest:
             if self.binary.hasParam("probabilityCol"):
                 named["probabilityCol"] = ""  # of two classes only, and not calibrated
             binary = self.binary.copy({self.binary.getParam(p): v for p, v in named.items()})
-            model = without_summary(binary.fit(own.filter("NOT _apart").select("features", "_own")), vectors.sparkSession)
-            return model, *sigmoid(model.transform(own.filter("_apart").select("features", "_own")).select(_margin(k).alias("margin"), "_own"))
+            binary = binary if weight is None else binary.setWeightCol(weight)
+            read = ["_own"] + [weight] * (weight is not None)
+            model = without_summary(binary.fit(own.filter("NOT _apart").select("features", *read)), vectors.sparkSession)
+            apart = model.transform(own.filter("_apart").select("features", *read))
+            return model, *sigmoid(apart.select(_margin(k).alias("margin"), *read), weight)
 
         with ThreadPoolExecutor(self.parallelism) as pool:
             fitted = list(pool.map(one, range(classes)))
         return [*[model for model, _, _ in fitted], CalibratedMargins([a for _, a, _ in fitted], [b for _, _, b in fitted])]
 
 
-def sigmoid(margins: DataFrame) -> tuple[float, float]:
+def sigmoid(margins: DataFrame, weight: str | None = None) -> tuple[float, float]:
     """Slope and intercept that make margins the most likely probabilities of ``_own``; the plain sigmoid without rows of both kinds."""
     counted = margins.agg(F.count_if(F.col("_own") == 1).alias("ones"), F.count_if(F.col("_own") == 0).alias("zeros")).first()
     if not counted.ones or not counted.zeros:
         return 1.0, 0.0
-    rows = margins.select(array_to_vector(F.array("margin")).alias("features"), "_own")
-    curve = LogisticRegression(labelCol="_own", maxIter=100, regParam=1e-5, standardization=True).fit(rows)
+    rows = margins.select(array_to_vector(F.array("margin")).alias("features"), "_own", *[weight] * (weight is not None))
+    curve = LogisticRegression(labelCol="_own", maxIter=100, regParam=1e-5, standardization=True, weightCol=weight).fit(rows)
     return max(float(curve.coefficients[0]), 1e-6), float(curve.intercept)

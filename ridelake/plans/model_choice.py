@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ridelake.operators.learning import (
+    COPIES,
     batch_inference,
     classification_report,
     evaluate,
+    merged_copies,
     model_results,
     split_stratified,
     top_model,
@@ -33,8 +35,8 @@ def choose_model(
     results, models = model_results(parts, columns, classifiers, label)
     results = computed_once(results)
     name = top_model(results).first()["model"]
-    scored = batch_inference(models[name], parts["test"])
-    return results, name, models[name], evaluate(scored, label), classification_report(scored, label)
+    scored = batch_inference(models[name], merged_copies(parts["test"], columns, label))
+    return results, name, models[name], evaluate(scored, label, copies=COPIES), classification_report(scored, label, copies=COPIES)
 
 
 def selection_table(df: DataFrame, key: str, columns: Sequence[str], label: str = "label", classifiers: Mapping | None = None) -> DataFrame:

@@ -137,7 +137,8 @@ def _trained(spark, sf, name):
     """Whether the model does better on the test rows than saying the most frequent class."""
     parts = _parts(spark, sf)
     model = ml.train(parts["train"], RIDE_FEATURES, ml.CLASSIFIERS[name]())
-    metrics = ml.evaluate(ml.batch_inference(model, parts["test"]))
+    test = ml.merged_copies(parts["test"], RIDE_FEATURES)
+    metrics = ml.evaluate(ml.batch_inference(model, test), copies=ml.COPIES)
     most = parts["test"].groupBy("label").count().agg((F.max("count") / F.sum("count")).alias("share")).scalar()
     return metrics.select(F.lit(name).alias("model"), (F.col("accuracy") > most).alias("beats_majority"))
 
@@ -244,14 +245,15 @@ def batch_inference(spark, sf):
 )
 def calibrated_probabilities(spark, sf):
     """Models of margins: probabilities of all rows sum to one, and on the test rows beat the plain sigmoid by log-loss."""
-    parts, rows, made = _parts(spark, sf), labelled_rides(spark, sf), None
+    parts, made = _parts(spark, sf), None
+    test, rows = (ml.merged_copies(df, RIDE_FEATURES) for df in (parts["test"], labelled_rides(spark, sf)))
     for name in ("GradientBoosting", "SVM"):
         model = ml.train(parts["train"], RIDE_FEATURES, ml.CLASSIFIERS[name]())
-        loss = ml.log_loss(ml.batch_inference(model, parts["test"], probabilities=True))
-        plain = ml.log_loss(ml.batch_inference(ml.uncalibrated(model), parts["test"], probabilities=True))
+        loss = ml.log_loss(ml.batch_inference(model, test, probabilities=True), copies=ml.COPIES)
+        plain = ml.log_loss(ml.batch_inference(ml.uncalibrated(model), test, probabilities=True), copies=ml.COPIES)
         total = F.aggregate("probabilities", F.lit(0.0), lambda a, p: a + p)
         seen = ml.batch_inference(model, rows, probabilities=True).agg(
-            F.count(F.lit(1)).alias("rows"),
+            F.sum(F.col(ml.COPIES).cast("bigint")).alias("rows"),
             F.max(F.size("probabilities")).cast("bigint").alias("classes"),
             F.min((F.abs(total - 1) < 1e-9) & (F.array_min("probabilities") >= 0)).alias("valid"),
         )

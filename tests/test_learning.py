@@ -182,3 +182,19 @@ def test_sigmoid_of_margins(spark):
     slope, intercept = margins.sigmoid(rows)
     assert abs(slope - 1.5) < 0.1 and abs(intercept + 0.7) < 0.1
     assert margins.sigmoid(rows.filter("_own = 1")) == (1.0, 0.0)
+
+
+def test_equal_rows_are_fitted_and_judged_once(spark):
+    few = flowers(spark, 90)
+    many = few.withColumn("copy", F.explode(F.sequence(F.lit(1), 20 + F.col("label") * 20))).checkpoint()
+    merged = ml.merged_copies(many, COLUMNS)
+    assert merged.count() == 90 and merged.agg(F.sum(ml.COPIES)).first()[0] == 30 * (20 + 40 + 60)
+    assert 90 < ml.merged_copies(many, COLUMNS, apart=4).count() <= 360
+    for classifier in (ml.logistic(50), ml.gradient_boosting(rounds=3, depth=2), ml.support_vectors(20)):
+        model = ml.train(many, COLUMNS, classifier)
+        whole, once = ml.batch_inference(model, many, probabilities=True), ml.batch_inference(model, merged, probabilities=True)
+        assert rows_of(ml.classification_report(whole)) == rows_of(ml.classification_report(once, copies=ml.COPIES))
+        assert math.isclose(ml.log_loss(whole).first()[0], ml.log_loss(once, copies=ml.COPIES).first()[0], rel_tol=1e-9)
+    ours = ml.train(many, COLUMNS, ml.logistic(50)).stages[-1]
+    theirs = ml.logistic(50).fit(PipelineModel(ml.train(many, COLUMNS, ml.logistic(50)).stages[:-1]).transform(many))
+    assert np.allclose(ours.interceptVector.toArray(), theirs.interceptVector.toArray(), rtol=0.05, atol=0.2)
