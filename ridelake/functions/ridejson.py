@@ -31,16 +31,22 @@ JSON_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]", "timesta
 MISSING = {"string": "", "int": 0, "double": 0.0}
 
 
+def _once(value: Column) -> Column:
+    """A value that filters on it do not compute a second time, as they are not moved before a generator."""
+    return F.explode(F.array(value))
+
+
 def _objects(df: DataFrame, raw: str | Column) -> DataFrame:
-    parsed = df.select(F.try_parse_json(as_column(raw)).alias("_ride"))
-    return parsed.filter(F.schema_of_variant("_ride").startswith("OBJECT"))
+    """Texts whose JSON is an object: they begin with a brace behind JSON's white space."""
+    text = as_column(raw)
+    begun = df.filter(F.ltrim(text, F.lit(" \t\n\r")).startswith("{"))
+    return begun.select(_once(F.try_parse_json(text)).alias("_ride")).filter(F.col("_ride").isNotNull())
 
 
 def read_ride_fields(df: DataFrame, raw: str | Column = "value") -> DataFrame:
     """Declared fields of each event: missing or uncastable gives null, broken JSON no row."""
-    return _objects(df, raw).select(
-        *[F.try_variant_get("_ride", f"$.{name}", kind).alias(name) for name, kind in RIDE_FIELDS.items()]
-    )
+    fields = [F.try_variant_get("_ride", f"$.{name}", kind).alias(name) for name, kind in RIDE_FIELDS.items()]
+    return _objects(df, raw).select(*fields)
 
 
 def parse_ride_json(df: DataFrame, raw: str | Column = "value") -> DataFrame:
@@ -54,7 +60,7 @@ def parse_ride_json(df: DataFrame, raw: str | Column = "value") -> DataFrame:
         present = F.try_variant_get("_ride", f"$.{name}", "variant").isNotNull()
         value = F.try_variant_get("_ride", f"$.{name}", kind)
         checked.append(F.when(present, value).otherwise(F.lit(MISSING[kind]).cast(kind)).alias(name))
-    return _objects(df, raw).select(*checked).na.drop("any")
+    return _objects(df, raw).select(_once(F.struct(*checked)).alias("_ride")).select("_ride.*").na.drop("any")
 
 
 def to_payload(*columns: str, alias: str = "payload") -> Column:

@@ -147,7 +147,7 @@ def score_batch(rides: DataFrame, before: DataFrame | None, chunk_rows: int = CH
 
     Within the batch rides count in the order of pickup time and id.
     """
-    timed = rides.withColumn("_moment", _moment())
+    timed = rides if "_moment" in rides.columns else rides.withColumn("_moment", _moment())
     order = ["_moment", "ride_id"]
     chunk = data_cut(timed, ["vendor_id"], order, chunk_rows)
     within = [F.col(c).asc_nulls_first() for c in order]
@@ -184,11 +184,16 @@ def anomaly_batches(
     def handle(batch: DataFrame, batch_id: int) -> None:
         before = _of_batch(batch, base, batch_id - 1)
         batch.persist()
+        due = None
         try:
             due = batch if lateness_seconds is None else _due(batch, f"{base}/waiting", batch_id, lateness_seconds)
+            # Read four times: by the totals, the borders of chunks, their sums and the rows themselves.
+            due = due.withColumn("_moment", _moment()).persist()
             totals_after(due, before).write.mode("overwrite").parquet(f"{base}/batch={batch_id}")
             score_batch(due, before).write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch={batch_id}")
         finally:
+            if due is not None:
+                due.unpersist()
             batch.unpersist()
 
     rides = null_key(parse_ride_json(raw))

@@ -5,9 +5,10 @@ import json
 import os
 
 import pytest
-from conftest import rows_of
+from conftest import plan_of, rows_of
 from test_rides import _brute_flags, odd_rides
 
+from ridelake.functions import ridejson
 from ridelake.plans import stream_jobs
 from ridelake.streaming import anomalies, rides, sinks
 
@@ -91,6 +92,16 @@ def test_broken_events_are_skipped_and_missing_fields_null(spark, folder):
     assert rows_of(spark.read.parquet(f"{folder}/out"), "ride_id", "vendor_id", "fare_amount") == [("a", "3", None)]
 
 
+def test_a_text_is_parsed_once(spark):
+    """Filters on what was read from it do not read it again."""
+    texts = spark.createDataFrame([(x,) for x in ('{"ride_id":"a"}', ' \t{"ride_id":null}', "[]", "7", "{nope", "", None)], "value string")
+    strict, loose = ridejson.parse_ride_json(texts), rides.event_time(ridejson.read_ride_fields(texts))
+    assert rows_of(strict, "ride_id", "fare_amount") == [("a", 0.0)] and loose.count() == 0
+    assert rows_of(ridejson.read_ride_fields(texts), "ride_id") == [("a",), (None,)]
+    assert plan_of(strict).count("parseJson") == plan_of(loose).count("parseJson") == 1
+    assert plan_of(strict).count("$.fare_amount") == 2
+
+
 def test_late_rides_are_dropped_and_counted(spark, folder):
     own = rides.stream_session(spark, PARTITIONS)
     ride = '{{"ride_id":"{}","pickup_datetime":"2024-01-15T{}","fare_amount":1}}'
