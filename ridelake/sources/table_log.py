@@ -11,8 +11,9 @@ Below a table's path lie
   reader has either all of an update or nothing.
 
 An update writes the rows received once, straight to where they stay. Old files are looked for by partition (where the key
-fixes it), ranges and Bloom filters; key columns of those left tell which really hold a received key, and only these are
-read whole and written anew without the rows replaced. What an update that failed leaves behind is in no snapshot.
+fixes it), ranges and Bloom filters; key columns of those left tell which rows really have a received key, by file and place
+in it. Only files with such rows are read whole and written anew: each is given a bit for each of its rows, so the rows that
+stay are not shuffled. What an update that failed leaves behind is in no snapshot.
 """
 
 from __future__ import annotations
@@ -41,6 +42,11 @@ BITS_SET = 16
 # So many received keys at most are sent to the Bloom filters. More would be found in nearly every filter by
 # mistake; the key columns are then read straight away.
 MAX_PROBES = 20_000
+# Files are written anew together up to so many rows: with a bit for each, 16 MB are broadcast.
+ROWS_AT_ONCE = 1 << 27
+# Files of a partition that are more and smaller than this are put together when they are written anew.
+FILES_OF_PARTITION = 4
+SMALL_FILE_ROWS = 100_000
 ATTEMPTS = 5
 
 
@@ -160,18 +166,18 @@ def _file_name() -> Column:
     return F.substring_index(F.input_file_name(), "/data/", -1)
 
 
-def _write_rows(rows: DataFrame, path: str, folder: str, partitions: Sequence[str]) -> int:
+def _write_rows(rows: DataFrame, path: str, folder: str, partitions: Sequence[str], spread: bool = True) -> int:
     """Rows to a new folder below ``data``, the files of a partition apart; returns how many.
 
-    The folder of a partition is named by a hash: any value can have one.
+    The folder of a partition is named by a hash: any value can have one. Without ``spread`` a task writes the rows it has.
     """
     counted = Observation()
-    out = (spread_for_write(rows, partitions) if partitions else rows).observe(counted, F.count(F.lit(1)).alias("rows"))
+    out = (spread_for_write(rows, partitions) if partitions and spread else rows).observe(counted, F.count(F.lit(1)).alias("rows"))
     target = _folder(path, "data", folder)
     if partitions:
-        out.withColumn("_apart", F.xxhash64(*partitions)).write.options(**DATA_OPTIONS).partitionBy("_apart").parquet(target)
+        out.withColumn("_apart", F.xxhash64(*partitions)).write.mode("append").options(**DATA_OPTIONS).partitionBy("_apart").parquet(target)
     else:
-        out.write.options(**DATA_OPTIONS).parquet(target)
+        out.write.mode("append").options(**DATA_OPTIONS).parquet(target)
     return counted.get["rows"]
 
 
@@ -322,15 +328,56 @@ def _candidates(spark: SparkSession, path: str, of: Snapshot, received: DataFram
     return _probed(spark, path, files, hashes)
 
 
-def _files_with_keys_of(received: DataFrame, spark: SparkSession, path: str, of: Snapshot, keys_fix_partition: bool) -> list[str]:
+def _replaced_rows(received: DataFrame, spark: SparkSession, path: str, commit: str, of: Snapshot, keys_fix_partition: bool) -> DataFrame | None:
+    """``file, bits`` for every file with a received key: a bit for each of its rows, set where the row is replaced."""
     names = _names(_candidates(spark, path, of, received, keys_fix_partition))
     if not names:
-        return []
-    # Hashes tell apart well enough: a file taken by mistake is written anew without losing a row.
-    held = _scan(spark, path, names, of.schema).filter(_complete(of.keys)).select(_key_hash(of.keys).alias("_h"), _file_name().alias("_file"))
-    hashes = received.filter(_complete(of.keys)).select(_key_hash(of.keys).alias("_h"))
-    hit = held.join(hashes, "_h", "left_semi").select("_file").distinct()
-    return [r._file for r in hit.collect()]
+        return None
+    held = _placed(_scan(spark, path, names, of.schema)).filter(_complete(of.keys)).select(*of.keys, _FILE, _ROW)
+    hit = held.join(received.filter(_complete(of.keys)).select(*of.keys), list(of.keys), "left_semi")
+    # A row for each file; a list is no longer than the file.
+    listed = hit.groupBy(F.col(_FILE).alias("file")).agg(F.collect_list(_ROW).alias("places"))
+    target = _folder(path, "replaced", commit)
+    listed.select("file", F.pandas_udf(_as_bits, "array<long>")("places").alias("bits")).write.parquet(target)
+    return spark.read.schema("file string, bits array<long>").parquet(target)
+
+
+_FILE, _ROW = "_place_file", "_place_row"
+
+
+def _placed(rows: DataFrame) -> DataFrame:
+    """The rows of a scan with their file and their number in it."""
+    return rows.withColumns({_FILE: _file_name(), _ROW: rows.metadataColumn("_metadata")["row_index"]})
+
+
+def _as_bits(places: pd.Series) -> pd.Series:
+    def bits(of_file: np.ndarray) -> np.ndarray:
+        flags = np.zeros((int(of_file.max()) // 64 + 1) * 64, bool)
+        flags[of_file] = True
+        return np.packbits(flags, bitorder="little").view("<i8")
+
+    return places.map(bits)
+
+
+def _write_kept(spark: SparkSession, path: str, folder: str, of: Snapshot, touched: DataFrame, replaced: DataFrame) -> int:
+    """The rows of the touched files that are not replaced, to a new folder below ``data``; returns how many."""
+    files = touched.select("file", "rows", "part").collect()
+    crowded = len(files) > FILES_OF_PARTITION * len({str(r.part) for r in files}) and sum(r.rows for r in files) < SMALL_FILE_ROWS * len(files)
+    together, rows = [[]], 0
+    for file in sorted(files, key=lambda r: (str(r.part), r.file)):
+        rows += file.rows
+        if together[-1] and rows > ROWS_AT_ONCE:
+            together.append([])
+            rows = file.rows
+        together[-1].append(file.file)
+    left = 0
+    for names in together:
+        bits = replaced.filter(F.col("file").isin(names)).select(F.col("file").alias("_of_file"), F.col("bits").alias("_of_rows"))
+        word = F.get("_of_rows", F.shiftright(_ROW, 6).cast("int"))
+        gone = (F.col(_FILE) == F.col("_of_file")) & F.coalesce(F.getbit(word, (F.col(_ROW) % 64).cast("int")) == 1, F.lit(False))
+        stay = _placed(_scan(spark, path, names, of.schema)).join(F.broadcast(bits), gone, "left_anti")
+        left += _write_rows(stay.select(*of.schema.names), path, folder, of.partitions, spread=crowded)
+    return left
 
 
 def _merged_schema(old: T.StructType, new: T.StructType) -> T.StructType:
@@ -368,7 +415,7 @@ def merge(
             refuse_repeated_keys(received, keys)
         return _merge_received(spark, received, rows, path, commit, tuple(keys), tuple(partitions), keys_fix_partition, replace, notes)
     except Exception:
-        for kind in ("data", "blooms", "files"):
+        for kind in ("data", "blooms", "files", "replaced"):
             delete_folder(spark, _folder(path, kind, commit))
         raise
 
@@ -393,16 +440,18 @@ def _merge_received(
                 schema = own.schema if replace else _merged_schema(before.schema, received.schema)
                 after = Snapshot(before.version + 1, schema, keys, partitions, commit, before.notes if notes is None else notes)
                 listed = listed_files(spark, path, before)
-                dropped = [] if replace else _files_with_keys_of(received, spark, path, before, keys_fix_partition)
+                replaced = None if replace else _replaced_rows(received, spark, path, commit, before, keys_fix_partition)
                 if replace:
                     listed = listed.limit(0)
-                if dropped:
-                    kept = _scan(spark, path, dropped, before.schema).join(received.select(*keys), list(keys), "left_anti")
-                    left = _write_rows(kept.select(*before.schema.names), path, f"{commit}/kept", partitions)
-                    gone = spark.createDataFrame([(f,) for f in dropped], "file string")
-                    listed = listed.join(gone, "file", "left_anti").unionByName(_describe(spark, path, commit, "kept", after, left))
+                if replaced is not None:
+                    touched = listed.join(replaced.select("file"), "file", "left_semi")
+                    if not touched.isEmpty():
+                        left = _write_kept(spark, path, f"{commit}/kept", before, touched, replaced)
+                        kept = _describe(spark, path, commit, "kept", after, left)
+                        listed = listed.join(replaced.select("file"), "file", "left_anti").unionByName(kept)
                 listed = listed.unionByName(described.result())
             listed.hint("rebalance").write.parquet(_folder(path, "files", commit))
+            delete_folder(spark, _folder(path, "replaced", commit))
             if _publish(spark, path, after):
                 return after.version
             # Another update came first: what was received stays, the rest is done again on what it left.

@@ -207,3 +207,27 @@ def test_silver_job_uses_snapshots(spark, folder):
     assert tables.scan_table(spark, f"{folder}/silver").count() == 3
     assert all(medallion.run_gold(spark, f"{folder}/silver", f"{folder}/gold", "2024-02-01", "2024-03-01").values())
     assert rows_of(spark.read.parquet(f"{folder}/gold/nyc_taxi/hourly_stats"), "trip_count") == [(1,)]
+
+
+def test_rows_that_stay_are_not_shuffled(spark, folder, monkeypatch):
+    spread, given = table_log.spread_for_write, []
+    monkeypatch.setattr(table_log, "spread_for_write", lambda df, by: given.append(by) or spread(df, by))
+    monkeypatch.setattr(table_log, "ROWS_AT_ONCE", 120, raising=False)
+    schema = ROWS + ", _metadata string, file string"
+    held = {f"{i:04d}": (0, 2024, i % 6, f"m{i}", "f") for i in range(600)}
+    update = {f"{i:04d}": (1, 2025, i % 5, "new", None) for i in range(0, 660, 11)}
+    nulls = [(None, i, 2024, 1, "null", "f") for i in range(3)]
+    merged(spark, folder, [*[(k, *v) for k, v in held.items()], *nulls], schema)
+    merged(spark, folder, [*[(k, *v) for k, v in update.items()], *nulls], schema)
+    assert len(given) == 2  # what was received, twice
+    want = sorted([*[(k, *v) for k, v in (held | update).items()], *nulls, *nulls], key=repr)
+    assert content(spark, folder, "k", "v", "year", "month", "_metadata", "file") == want
+    assert not os.path.exists(f"{folder}/replaced") or not os.listdir(f"{folder}/replaced")
+
+
+def test_many_small_files_are_put_together(spark, folder):
+    for i in range(6):
+        merged(spark, folder, [(f"{i}-{n}", 0, 2024, 1) for n in range(3)])
+    merged(spark, folder, [(f"{i}-0", 1, 2024, 2) for i in range(6)])
+    assert sorted(files(spark, folder).values()) == [6, 12]
+    assert content(spark, folder) == sorted([(f"{i}-{n}", int(n == 0), 2024, 2 if n == 0 else 1) for i in range(6) for n in range(3)], key=repr)
