@@ -2,9 +2,10 @@
 
 Encoding a piece costs microseconds and most pieces of a corpus have been seen before, so ids are remembered for
 pieces between which a tokenizer never merges: for tokenizers that drop white space its words,
-for byte-level ones what follows a single space, with the space. Texts with unusual white
-space, on which the library and Python might differ, and for byte-level tokenizers those where spaces
-meet other white space, are encoded whole.
+for byte-level ones what follows a single space, with the space. Many texts are parted together, so each different piece
+is looked up once for them all. A new piece of printable ASCII and Latin letters is parted as the tokenizer does, and its parts go to the
+tokenizer's model. Texts with unusual white space, on which the library and Python might differ, and for byte-level
+tokenizers those where spaces meet other white space, are encoded whole.
 """
 
 from __future__ import annotations
@@ -12,16 +13,25 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from collections.abc import Iterable, Iterator
 from functools import cache
-from unicodedata import is_normalized
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # Where a byte-level tokenizer may join a space with what stands before it.
 _RUNS = ("  ", "\n ", " \n", "\n\n\n", "\t", "\r", "\x0b", "\x0c")
 _UNUSUAL = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -‍    ⁠　﻿]")
 # Byte-level models spell bytes as letters: printable Latin-1 as itself, the others from U+0100 on.
 _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+# Letters up to here are whole by themselves: no normal form changes them.
+_LATIN = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f"
+# Beyond them letters may be composed, or lowered to several; such texts keep their case until the tokenizer sees them.
+_KEPT_CASE = re.compile("[^\0-\u024f]|\u0130")
+_SIMPLE = re.compile(f"[!-~{_LATIN}]+")
+# What both tokenizers part texts by, for such pieces; the byte-level one keeps digits together.
+_PARTS = f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LATIN}]+| ?[0-9]{{runs}}| ?[^ 0-9{_LATIN}]+"
 _BYTE_LETTERS = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 
 
@@ -34,74 +44,137 @@ def vocabulary_path(name: str) -> str:
 class Encoder:
     """``keeps_space``: whether white space is part of tokens."""
 
-    def __init__(self, path: str, keeps_space: bool, limit: int = 250_000) -> None:
+    def __init__(self, path: str, keeps_space: bool, limit: int = 600_000, together: int = 8 << 20) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for every core already
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.keeps_space, self.limit = keeps_space, limit
+        self.keeps_space, self.limit, self.together = keeps_space, limit, together
+        # Pieces seen lately, and those seen before them; of a byte-level tokenizer also parts that follow no space.
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.inner: dict[str, bytes] = {}
         self.lead = " " if keeps_space else ""
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.mark = " ".translate(_BYTE_LETTERS) if keeps_space else ""
+        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.model = self.tokenizer.model
-        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.parts = re.compile(_PARTS.format(runs="+" if keeps_space else ""))
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = added if keeps_space else [x.lower() for x in added]
         self.line = self._plain(["\n"])[0] if keeps_space else b""
-        self.tails = {"": b"", **{x: self._plain([x])[0] for x in ".,"}}
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array(self.dtype.char, x.ids).tobytes() for x in found]
 
-    def _is_one_word(self, x: str) -> bool:
-        """Latin letters that the tokenizer would neither change nor part before its merges: these may go to its model directly."""
-        return x.isalpha() and max(x) < "\u0250" and (self.keeps_space or (x == x.lower() and is_normalized("NFC", x)))
-
-    def _learn(self, missing: set[str]) -> None:
-        """Ids of new pieces. A full stop or comma behind a Latin letter is always a token of its own, and tokenizers that
-        drop space here lower the case too, so many new pieces are known ones in disguise. A piece that begins with a
-        line break has no space before its word."""
-        if len(self.known) + len(missing) > self.limit:
-            self.known.clear()
-        told = []
-        for piece in missing:
-            before = piece[-2:-1]
-            apart = piece[-1:] in (".", ",") and before < "\u0250" and before.lower().isalpha()
-            base, tail = (piece[:-1], piece[-1]) if apart else (piece, "")
-            told.append((piece, base.lower() if not self.keeps_space and base.isascii() else base, tail))
-        others = []
-        for x in {base for _, base, _ in told}.difference(self.known):
-            broken = x[:1] == "\n"
-            word, mark = (x[1:], "") if broken else (x, self.mark)
-            if self._is_one_word(word):
-                spelt = mark + (word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_LETTERS))
-                ids = array(self.dtype.char, [t.id for t in self.model.tokenize(spelt)]).tobytes()
-                self.known[x] = self.line + ids if broken else ids
-            else:
-                others.append(x)
-        self.known.update(zip(others, self._plain([x if x[:1] == "\n" else self.lead + x for x in others])))
-        for piece, base, tail in told:
-            self.known[piece] = self.known[base] + self.tails[tail]
-
-    def encode(self, text: str | None) -> np.ndarray:
-        if not text:
-            return np.empty(0, self.dtype)
-        if _UNUSUAL.search(text) or any(x in text for x in self.added) or self.keeps_space and (text.endswith("\n\n") or any(x in text for x in _RUNS)):
-            return np.frombuffer(self._plain([text])[0], self.dtype)
+    def _by_model(self, part: str) -> bytes:
+        if part[:1] == " " or not part.isascii():
+            part = self.mark + part[1:] if part.isascii() else part.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        return array(self.dtype.char, [t.id for t in self.model.tokenize(part)]).tobytes()
+
+    def _inner(self, part: str) -> bytes:
+        ids = self.inner.get(part)
+        if ids is None:
+            if len(self.inner) >= self.limit // 4:
+                self.inner.clear()
+            ids = self.inner[part] = self._by_model(part)
+        return ids
+
+    def _simple(self, piece: str) -> bytes:
+        """Ids of a piece of printable ASCII and Latin letters; the first part has the space before the piece, if spaces count.
+        A piece that begins with a line break has none before its word."""
+        if piece[:1] == "\n":
+            return self.line + b"".join(map(self._inner, self.parts.findall(piece[1:])))
+        first, *rest = self.parts.findall(self.lead + piece)
+        if not rest:
+            return self._by_model(first)
+        word = first[len(self.lead) :]
+        ids = self.known.get(word) or self.older.get(word)
+        if ids is None:
+            ids = self.known[word] = self._by_model(first)
+        return ids + b"".join(map(self._inner, rest))
+
+    def _ids_of(self, pieces: list[str]) -> list[bytes]:
+        """Ids of different pieces. When there are too many to remember, those not seen lately are forgotten."""
+        if len(self.known) > self.limit // 2:
+            self.known, self.older = {}, self.known
+        known, older, tokenize, kind, mark = self.known, self.older, self.model.tokenize, self.dtype.char, self.mark
+        found, others = list(map(known.get, pieces)), []
+        for at in [at for at, ids in enumerate(found) if ids is None]:
+            piece = pieces[at]
+            ids = older.get(piece)
+            if ids is None:
+                if piece.isalpha() and piece.isascii() and (mark or piece.islower()):
+                    ids = array(kind, [t.id for t in tokenize(mark + piece)]).tobytes()
+                elif _SIMPLE.fullmatch(piece, piece[:1] == "\n") and (mark or piece == piece.lower()):
+                    ids = self._simple(piece)
+                else:
+                    others.append(at)
+                    continue
+            found[at] = known[piece] = ids
+        if others:
+            learned = self._plain([pieces[at] if pieces[at][:1] == "\n" else self.lead + pieces[at] for at in others])
+            for at, ids in zip(others, learned):
+                found[at] = known[pieces[at]] = ids
+        return found
+
+    def _is_odd(self, text: str) -> bool:
+        """Whether a text has to be encoded whole."""
+        # A tokenizer that lowers the case looks for added tokens before; text that looks like one afterwards is none.
+        cased = text if self.keeps_space else text.lower()
+        if _UNUSUAL.search(text) or any(x in cased for x in self.added):
+            return True
+        return self.keeps_space and (text.endswith("\n\n") or any(x in text for x in _RUNS))
+
+    def _encode_together(self, texts: list[str]) -> list[np.ndarray]:
         if self.keeps_space:
-            pieces = text.replace("\n", " \n").split(" ")
             # What stands first has no space before it: it is read like a new line, without the break.
-            pieces[0] = "\n" + pieces[0]
+            split = pc.split_pattern(pa.array(["\n" + x.replace("\n", " \n") for x in texts], pa.large_string()), " ")
         else:
-            pieces = text.split()
-        own = set(pieces)
-        missing = own.difference(self.known)
-        if missing:
-            if len(self.known) + len(missing) > self.limit:
-                missing = own
-            self._learn(missing)
-        ids = np.frombuffer(b"".join(map(self.known.__getitem__, pieces)), self.dtype)
-        return ids[len(self.line) // self.dtype.itemsize :] if self.keeps_space else ids
+            # The tokenizer lowers the case too.
+            split = pc.ascii_split_whitespace(pa.array([x if _KEPT_CASE.search(x) else x.lower() for x in texts], pa.large_string()))
+        pieces = split.flatten().dictionary_encode()
+        ids = self._ids_of(pieces.dictionary.to_pylist())
+        flat = np.frombuffer(b"".join(ids), self.dtype)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
+        starts = np.cumsum(sizes) - sizes
+        codes = pieces.indices.to_numpy()
+        # Where the ids of each piece end in the result, and by how much their places in ``flat`` are off.
+        counts = sizes[codes]
+        ends = np.cumsum(counts)
+        places = np.repeat(starts[codes] - ends + counts, counts)
+        places += np.arange(len(places))
+        every = flat[places]
+        bounds = np.concatenate([[0], ends])[split.offsets.to_numpy()]
+        skip = len(self.line) // self.dtype.itemsize
+        return [every[a + skip : b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+
+    def encode_all(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
+        """The ids of each text, in order; texts are taken together up to about ``together`` characters."""
+        group: list[str | None] = []
+        size = 0
+        for text in texts:
+            group.append(text)
+            size += len(text or "") + 100
+            if size >= self.together:
+                yield from self._encode_group(group)
+                group, size = [], 0
+        if group:
+            yield from self._encode_group(group)
+
+    def _encode_group(self, group: list[str | None]) -> Iterator[np.ndarray]:
+        odd = [bool(x) and self._is_odd(x) for x in group]
+        plain = iter(self._encode_together([x for x, whole in zip(group, odd) if x and not whole]))
+        for text, whole in zip(group, odd):
+            if not text:
+                yield np.empty(0, self.dtype)
+            elif whole:
+                yield np.frombuffer(self._plain([text])[0], self.dtype)
+            else:
+                yield next(plain)
+
+    def encode(self, text: str | None) -> np.ndarray:
+        return next(self.encode_all([text]))
 
 
 @cache

@@ -210,8 +210,8 @@ def write_shards(
             return pd.DataFrame({"path": [f"{folder.rstrip('/')}/{name}"], "first_id": pd.array([first], "Int64"), "part": [part], "n_docs": [len(names)], "n_tokens": [len(every)]})
 
         for batch in batches:
-            for doc, text in zip(batch["doc_id"], batch["text"]):
-                own = np.append(encode.encode(text), end)
+            for doc, found in zip(batch["doc_id"], encode.encode_all(batch["text"])):
+                own = np.append(found, end)
                 ids.append(own)
                 lengths.append(len(own))
                 names.append(doc)

@@ -175,3 +175,26 @@ def test_packing_in_order_whatever_columns_are_called(spark, folder):
     for df in (clashing, spark.read.parquet(folder)):
         got = packing.pack_in_order(df, path=vocabulary_path("byte_bpe_50k.json")).drop("ids")
         assert sorted(map(tuple, got.collect())) == want
+
+
+@pytest.mark.parametrize("name", VOCABULARIES)
+def test_texts_encoded_together_are_as_each_by_itself(name):
+    keeps_space, random_ = VOCABULARIES[name], random.Random(8)
+    some = ["the", "The", "LES", "élan", "Éluard", "İt", "Ɓa", "ȺB", "é", "H̱", "日本", "x2", "37", "½", "'s", "'LL", "it's", "don't.", "a.", "b,", "§", "×", "µª"]
+    some += ["%%%", "...", "|", "!.", ".\n", "\n", "\nThe", "\n'd", "\x00", "<|StartOfText|>", "<|EndOfText|>§", "<|endoftext|>", "\x85", "  ", "\n\n", "\t"]
+    texts = [None, "", " ", "\n", *[random_.choice(("", " ")).join(random_.choices(some, k=random_.randrange(1, 12))) for _ in range(3000)]]
+    texts += [" ".join(random_.choices(some[:24], k=30)) for _ in range(500)]
+    encoder = Encoder(vocabulary_path(name), keeps_space, limit=100, together=2_000)
+    for text, ids in zip(texts, encoder.encode_all(texts), strict=True):
+        assert ids.tolist() == encoder.tokenizer.encode(text or "", add_special_tokens=False).ids, text
+
+
+@pytest.mark.parametrize("name", VOCABULARIES)
+def test_a_piece_of_many_texts_is_learned_once(name, monkeypatch):
+    encoder = Encoder(vocabulary_path(name), VOCABULARIES[name], limit=200)
+    texts = [" ".join(f"{x}{y}" for x in "abcdefghij" for y in "klmnopqrstuvwxyz") + "%%%" for _ in range(50)]
+    told, plain = [], encoder._plain
+    monkeypatch.setattr(encoder, "_plain", lambda asked: told.extend(asked) or plain(asked))
+    list(encoder.encode_all(texts) if hasattr(encoder, "encode_all") else map(encoder.encode, texts))
+    assert len(told) == 0
+    assert len(encoder.known) + len(encoder.older) <= 400
