@@ -98,8 +98,8 @@ def token_pieces(docs: DataFrame, *, id_col: str, text_col: str, path: str, keep
         encode = encoder(path, keeps_space)
         for batch in batches:
             rows = []
-            for doc, text, *own in zip(*[batch[c] for c in read]):
-                ids = np.append(encode.encode(text), np.array([end_id], encode.dtype))
+            for found, doc, *own in zip(encode.encode_all(batch["text"]), *[batch[c] for c in read]):
+                ids = np.append(found, np.array([end_id], encode.dtype))
                 for at in range(0, len(ids), length):
                     part = ids[at : at + length]
                     rows.append((doc, at, len(part), len(ids), part.tobytes(), zlib.crc32(part.astype("<u4").tobytes()), *own))
@@ -112,7 +112,7 @@ def token_pieces(docs: DataFrame, *, id_col: str, text_col: str, path: str, keep
     columns = [x.split()[0] for x in schema.split(", ")]
     picked = [F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")]
     picked += [F.col(at_col).cast("long").alias("_at")] if at_col else []
-    read = ["doc_id", "text"] + ["_at"] * bool(at_col)
+    read = ["doc_id"] + ["_at"] * bool(at_col)
     return docs.select(*picked).mapInPandas(cut, schema)
 
 
