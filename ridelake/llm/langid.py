@@ -216,6 +216,8 @@ def identify(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFr
     def predict(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([model.predict(t) for t in texts], columns=["lang_pred", "score"])
 
+    # Else a filter on the answer asks a second time, with a second Python worker beside the first in every task.
+    predict = predict.asNondeterministic()
     others = [c for c in docs.columns if c.lower() not in ("lang_pred", "score", "_p")]
     answered = docs.withColumn("_p", predict(F.col(text_col).cast("string")))
     return answered.select(*[F.col(f"`{c}`") for c in others], "_p.lang_pred", "_p.score")

@@ -80,3 +80,11 @@ def test_registered_query_is_accurate_on_the_held_out_fold(spark):
     truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
     held = [r for r in QUERIES["op8_ftrl_language"](spark, folder).collect() if r.held_out and truth[r.doc_id]]
     assert held and np.mean([r.lang_pred == truth[r.doc_id] for r in held]) > 0.97
+
+
+def test_a_filter_on_the_answer_asks_once(spark):
+    model = langid.Model(["en", "de"], np.zeros((2, 1 << 10)), np.zeros(2), np.ones(1 << 10), 1.0, 10)
+    rows = documents(spark, [(1, "some text", "en", "a"), (2, None, "en", "a"), (3, "1", "en", "a")])
+    kept = langid.identify(rows, model).where("lang_pred <> 'und' AND score >= 0.3")
+    assert [(r.doc_id, r.lang_pred) for r in kept.collect()] == [(1, "en")]
+    assert kept._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
