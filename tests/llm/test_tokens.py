@@ -198,3 +198,12 @@ def test_a_piece_of_many_texts_is_learned_once(name, monkeypatch):
     list(encoder.encode_all(texts) if hasattr(encoder, "encode_all") else map(encoder.encode, texts))
     assert len(told) == 0
     assert len(encoder.known) + len(encoder.older) <= 400
+
+
+@pytest.mark.parametrize("name", VOCABULARIES)
+def test_signs_behind_words_make_no_new_pieces(name):
+    encoder = Encoder(vocabulary_path(name), VOCABULARIES[name])
+    words, signs = [f"{x}{y}" for x in "abcdefghij" for y in "klmnopqrst"], [".", ",", "...", "!?", ")", ":7", "-x"]
+    text = " ".join(word + sign for word in words for sign in signs)
+    assert encoder.encode(text).tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert len(encoder.known) + len(encoder.older) < 200
