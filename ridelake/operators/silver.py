@@ -9,11 +9,15 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridelake.functions import rides
 from ridelake.functions.clock import seconds_between, typed_timestamp
+from ridelake.operators.sizing import computed_once
+from ridelake.sources.files import has_bit
 
 # The conditions a trip has to meet; null in any of them drops the trip.
 QUALITY_RULES = {
@@ -49,6 +53,42 @@ def dedupe_latest(
     return df.withColumn("_copy", F.row_number().over(order)).filter("_copy = 1").drop("_copy")
 
 
+def dedupe_few_copies(
+    df: DataFrame, keys: Sequence[str] = ("merge_key",), newest: str = "ingestion_timestamp"
+) -> DataFrame:
+    """The rows of ``dedupe_latest``, for tables most of whose keys come once: rows of those are not shuffled.
+
+    A first pass counts hashes of keys. Those that come more than once set bits, 32 MB of them at most; rows whose bit is
+    set, be it by mistake, are deduplicated. The first pass runs at once.
+    """
+    hashed = F.xxhash64(*keys)
+    again = computed_once(df.select(hashed.alias("_hash")).groupBy("_hash").count().filter("count > 1").select("_hash"))
+    found = again.count()
+    if not found:
+        return df
+    size = 1 << max(10, min(MOST_BITS, (16 * found).bit_length()))
+    word, bit = F.shiftright("_at", 6).alias("word"), F.expr("shiftleft(1L, CAST(_at % 64 AS INT))").alias("bit")
+    words = again.select(F.pmod("_hash", F.lit(size)).alias("_at")).select(word, bit).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    listed = words.agg(F.collect_list(F.struct("word", "bits")).alias("w"))
+    bits = computed_once(listed.select(F.pandas_udf(_dense, "array<long>")(F.lit(size // 64), "w.word", "w.bits").alias("bits")))
+    marked = df.withColumn("_again", has_bit(bits.scalar(), F.pmod(hashed, F.lit(size))))
+    single, several = (marked.filter(c).drop("_again") for c in (~F.col("_again"), F.col("_again")))
+    return single.unionByName(dedupe_latest(several, keys, newest))
+
+
+# Two to this power is the most bits that are broadcast.
+MOST_BITS = 28
+
+
+def _dense(size: pd.Series, places: pd.Series, values: pd.Series) -> pd.Series:
+    def fill(n: int, at: np.ndarray, value: np.ndarray) -> np.ndarray:
+        words = np.zeros(n, np.int64)
+        words[at] = value
+        return words
+
+    return pd.Series([fill(*row) for row in zip(size, places, values)])
+
+
 def all_rules(rules: Mapping[str, str]) -> Column:
     return reduce(Column.__and__, map(F.expr, rules.values()))
 

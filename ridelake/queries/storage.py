@@ -9,7 +9,7 @@ from ridelake.queries.batch import RAW, ZONE_AGGREGATES, silver_of
 from ridelake.queries.registry import KEYED, SILVER, TRIPS, register, settle
 from ridelake.session import scratch_path
 from ridelake.sources import sinks, table_log, tables
-from ridelake.sources.files import DATA_OPTIONS
+from ridelake.sources.files import DATA_OPTIONS, PARTITIONS, spread_for_write
 from ridelake.sources.replay import replay_events as to_events
 from ridelake.sources.sample_shapes import table, trips
 
@@ -63,26 +63,26 @@ def sink_gold(spark, sf):
     return tables.scan_table(spark, f"{path}/zone_stats")
 
 
-def _keyed(spark, sf):
-    """The newest of every trip with its key, computed once. Keys are shuffled as bytes, half as long as their text."""
-    made = scratch_path(spark, "trips")
+def _newest(spark, sf):
+    """The newest of every trip with its key. Where keys are shuffled they are bytes, half as long as their text."""
     keyed = silver.build_merge_key(trips(spark, sf)).withColumn("merge_key", F.unhex("merge_key"))
-    newest = silver.dedupe_latest(keyed, newest="delivery")
-    newest.withColumn("merge_key", F.lower(F.hex("merge_key"))).write.options(**DATA_OPTIONS).parquet(made)
-    return spark.read.parquet(made)
+    newest = silver.dedupe_few_copies(keyed, newest="delivery")
+    return newest.withColumn("merge_key", F.lower(F.hex("merge_key")))
 
 
 def _versions(spark, sf):
     """Old content and an update: every trip of the second delivery with a month later and double fare."""
-    keyed = _keyed(spark, sf)
-    update = keyed.filter("delivery = 1").withColumns(
+    # Both read the trips that are in one of them, computed once.
+    made, in_old, in_update = scratch_path(spark, "trips"), F.col("VendorID") == 1, F.col("delivery") == 1
+    _newest(spark, sf).filter(in_old | in_update).write.options(**DATA_OPTIONS).parquet(made)
+    keyed = spark.read.parquet(made)
+    update = keyed.filter(in_update).withColumns(
         {
             "tpep_pickup_datetime": F.col("tpep_pickup_datetime") + F.expr("INTERVAL '31' DAY"),
             "fare_amount": F.col("fare_amount") * 2,
         }
     )
-    old = keyed.filter("VendorID = 1")
-    return bronze.partition_columns(old), bronze.partition_columns(update)
+    return bronze.partition_columns(keyed.filter(in_old)), bronze.partition_columns(update)
 
 
 _UPSERTED = f"""WITH {KEYED}, latest AS (SELECT * EXCLUDE (copy) FROM (SELECT *, row_number() OVER (PARTITION BY merge_key
@@ -148,10 +148,13 @@ def upsert_text_partition(spark, sf):
 def upsert_evolving(spark, sf):
     """Three loads: without a column, with it for half of the zones, and with it for the second delivery."""
     path = scratch_path(spark, "evolving")
-    rows = bronze.partition_columns(_keyed(spark, sf))
-    tolled = rows.withColumn("toll", F.col("fare_amount") * 2)
-    for load in (rows, tolled.filter("PULocationID % 2 = 0"), tolled.filter("delivery = 1")):
-        table_log.merge(load, path, ["merge_key"], keys_fix_partition=True)
+    rows = bronze.partition_columns(_newest(spark, sf))
+    # The key follows from the row: it is made again where the rows have arrived. They are then read where they lie by partition.
+    apart = silver.build_merge_key(spread_for_write(rows.drop("merge_key"), PARTITIONS)).select(*rows.columns)
+    first = table_log.merge(apart, path, ["merge_key"], keys_fix_partition=True, lies_apart=True)
+    tolled = table_log.read(spark, path, version=first).withColumn("toll", F.col("fare_amount") * 2)
+    for load in (tolled.filter("PULocationID % 2 = 0"), tolled.filter("delivery = 1")):
+        table_log.merge(load, path, ["merge_key"], keys_fix_partition=True, lies_apart=True)
     return tables.scan_table(spark, path)
 
 

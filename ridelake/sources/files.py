@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +15,9 @@ PARTITIONS = ("year", "month")
 # Keys in hexadecimal, which other codecs leave as long as they are, take half the room.
 DATA_OPTIONS = {"compression": "zstd"}
 
+# Rows of files are marked together up to so many: with a bit for each, 16 MB are broadcast.
+ROWS_AT_ONCE = 1 << 27
+
 
 def table_exists(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -49,3 +54,28 @@ def refuse_repeated_keys(rows: DataFrame, keys: Sequence[str]) -> None:
     repeated = hashed.join(twice, "_hash", "left_semi").groupBy(*keys).count().filter("count > 1")
     if not repeated.isEmpty():
         raise ValueError(f"a key ({', '.join(keys)}) comes more than once; say with newest= which row counts")
+
+
+def key_digest(keys: Sequence[str]) -> list[Column]:
+    """What stands for a key where many are compared: 96 bits by two kinds of hash, however long the key is."""
+    return [F.xxhash64(*keys).alias("_digest_64"), F.hash(*keys).alias("_digest_32")]
+
+
+def row_bits(places: str) -> Column:
+    """A bit for each row of a file up to the last one listed, set for those listed."""
+    return F.pandas_udf(_as_bits, "array<long>")(places)
+
+
+def _as_bits(places: pd.Series) -> pd.Series:
+    def bits(of_file: np.ndarray) -> np.ndarray:
+        flags = np.zeros((int(of_file.max()) // 64 + 1) * 64, bool)
+        flags[of_file] = True
+        return np.packbits(flags, bitorder="little").view("<i8")
+
+    return places.map(bits)
+
+
+def has_bit(bits: str | Column, place: str | Column) -> Column:
+    """Whether the bit at a place is set; places beyond the last are not."""
+    word = F.get(bits, F.shiftright(place, 6).cast("int"))
+    return F.coalesce(F.getbit(word, F.pmod(place, F.lit(64)).cast("int")) == 1, F.lit(False))

@@ -11,8 +11,8 @@ Below a table's path lie
   reader has either all of an update or nothing.
 
 An update writes the rows received once, straight to where they stay. Old files are looked for by partition (where the key
-fixes it), ranges and Bloom filters; key columns of those left tell which rows really have a received key, by file and place
-in it. Only files with such rows are read whole and written anew: each is given a bit for each of its rows, so the rows that
+fixes it), ranges and Bloom filters; key columns of those left, compared by 96 bits of hashes, tell which rows have a received
+key, by file and place in it. Only files with such rows are read whole and written anew: each is given a bit for each of its rows, so the rows that
 stay are not shuffled. What an update that failed leaves behind is in no snapshot.
 """
 
@@ -34,7 +34,19 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ridelake.sources.files import DATA_OPTIONS, PARTITIONS, delete_folder, newest_per_key, refuse_repeated_keys, spread_for_write, table_exists
+from ridelake.sources.files import (
+    DATA_OPTIONS,
+    PARTITIONS,
+    ROWS_AT_ONCE,
+    delete_folder,
+    has_bit,
+    key_digest,
+    newest_per_key,
+    refuse_repeated_keys,
+    row_bits,
+    spread_for_write,
+    table_exists,
+)
 
 # Bits for each key, and bits set for it: one key in about 100,000 is taken for one of the file's.
 BITS_PER_KEY = 24
@@ -42,8 +54,6 @@ BITS_SET = 16
 # So many received keys at most are sent to the Bloom filters. More would be found in nearly every filter by
 # mistake; the key columns are then read straight away.
 MAX_PROBES = 20_000
-# Files are written anew together up to so many rows: with a bit for each, 16 MB are broadcast.
-ROWS_AT_ONCE = 1 << 27
 # Files of a partition that are more and smaller than this are put together when they are written anew.
 FILES_OF_PARTITION = 4
 SMALL_FILE_ROWS = 100_000
@@ -333,15 +343,22 @@ def _replaced_rows(received: DataFrame, spark: SparkSession, path: str, commit:
     names = _names(_candidates(spark, path, of, received, keys_fix_partition))
     if not names:
         return None
-    held = _placed(_scan(spark, path, names, of.schema)).filter(_complete(of.keys)).select(*of.keys, _FILE, _ROW)
-    hit = held.join(received.filter(_complete(of.keys)).select(*of.keys), list(of.keys), "left_semi")
+    # File and row in one number: the table's rows travel as that and a digest of their key.
+    numbers = spark.createDataFrame(list(enumerate(names)), f"_number long, {_FILE} string")
+    place = F.shiftleft("_number", _ROW_BITS).bitwiseOR(F.col(_ROW)).alias("_place")
+    held = _placed(_scan(spark, path, names, of.schema)).filter(_complete(of.keys)).join(F.broadcast(numbers), _FILE)
+    keys = received.filter(_complete(of.keys)).select(*key_digest(of.keys))
+    hit = held.select(*key_digest(of.keys), place).join(keys, keys.columns, "left_semi")
     # A row for each file; a list is no longer than the file.
-    listed = hit.groupBy(F.col(_FILE).alias("file")).agg(F.collect_list(_ROW).alias("places"))
+    row = F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    listed = hit.groupBy(F.shiftright("_place", _ROW_BITS).alias("_number")).agg(F.collect_list(row).alias("places"))
     target = _folder(path, "replaced", commit)
-    listed.select("file", F.pandas_udf(_as_bits, "array<long>")("places").alias("bits")).write.parquet(target)
+    listed.join(F.broadcast(numbers), "_number").select(F.col(_FILE).alias("file"), row_bits("places").alias("bits")).write.parquet(target)
     return spark.read.schema("file string, bits array<long>").parquet(target)
 
 
+# A file has fewer rows than 2 to this power.
+_ROW_BITS = 36
 _FILE, _ROW = "_place_file", "_place_row"
 
 
@@ -350,15 +367,6 @@ def _placed(rows: DataFrame) -> DataFrame:
     return rows.withColumns({_FILE: _file_name(), _ROW: rows.metadataColumn("_metadata")["row_index"]})
 
 
-def _as_bits(places: pd.Series) -> pd.Series:
-    def bits(of_file: np.ndarray) -> np.ndarray:
-        flags = np.zeros((int(of_file.max()) // 64 + 1) * 64, bool)
-        flags[of_file] = True
-        return np.packbits(flags, bitorder="little").view("<i8")
-
-    return places.map(bits)
-
-
 def _write_kept(spark: SparkSession, path: str, folder: str, of: Snapshot, touched: DataFrame, replaced: DataFrame) -> int:
     """The rows of the touched files that are not replaced, to a new folder below ``data``; returns how many."""
     files = touched.select("file", "rows", "part").collect()
@@ -373,8 +381,7 @@ def _write_kept(spark: SparkSession, path: str, folder: str, of: Snapshot, touch
     left = 0
     for names in together:
         bits = replaced.filter(F.col("file").isin(names)).select(F.col("file").alias("_of_file"), F.col("bits").alias("_of_rows"))
-        word = F.get("_of_rows", F.shiftright(_ROW, 6).cast("int"))
-        gone = (F.col(_FILE) == F.col("_of_file")) & F.coalesce(F.getbit(word, (F.col(_ROW) % 64).cast("int")) == 1, F.lit(False))
+        gone = (F.col(_FILE) == F.col("_of_file")) & has_bit("_of_rows", _ROW)
         stay = _placed(_scan(spark, path, names, of.schema)).join(F.broadcast(bits), gone, "left_anti")
         left += _write_rows(stay.select(*of.schema.names), path, folder, of.partitions, spread=crowded)
     return left
@@ -398,18 +405,20 @@ def merge(
     keys_fix_partition: bool = False,
     replace: bool = False,
     notes: Mapping[str, object] | None = None,
+    lies_apart: bool = False,
 ) -> int:
     """Update rows of the table whose key is in ``source``, insert the others; returns the number of the new snapshot.
 
     ``newest`` orders the copies of a key in the source; without it a key that comes twice is an error, found before
     anything becomes visible. Rows with a null in the key match nothing and are inserted. With ``keys_fix_partition`` a key
     never changes its partition, so only files of the partitions received are looked at. No rows make no
-    snapshot. Columns may be added; one whose type differs from the table's is an error.
+    snapshot. Columns may be added; one whose type differs from the table's is an error. With ``lies_apart`` a task has rows of few
+    partitions, as where they are read from a table of the same partitions: they are written without a shuffle.
     """
     spark, commit = source.sparkSession, f"commit-{uuid.uuid4().hex}"
     unique = source if newest is None else newest_per_key(source, keys, newest)
     try:
-        rows = _write_rows(unique, path, f"{commit}/received", partitions)
+        rows = _write_rows(unique, path, f"{commit}/received", partitions, spread=not lies_apart)
         received = _scan(spark, path, [f"{commit}/received"], source.schema)
         if newest is None:
             refuse_repeated_keys(received, keys)

@@ -6,7 +6,7 @@ from datetime import datetime
 
 import numpy as np
 import pytest
-from conftest import rows_of
+from conftest import SMALL, rows_of
 from pyspark.sql import functions as F
 
 from ridelake.plans import medallion
@@ -231,3 +231,34 @@ def test_many_small_files_are_put_together(spark, folder):
     merged(spark, folder, [(f"{i}-0", 1, 2024, 2) for i in range(6)])
     assert sorted(files(spark, folder).values()) == [6, 12]
     assert content(spark, folder) == sorted([(f"{i}-{n}", int(n == 0), 2024, 2 if n == 0 else 1) for i in range(6) for n in range(3)], key=repr)
+
+
+def test_rows_that_lie_by_partition_are_not_shuffled(spark, folder, monkeypatch):
+    spread, given = table_log.spread_for_write, []
+    monkeypatch.setattr(table_log, "spread_for_write", lambda df, by: given.append(by) or spread(df, by))
+    merged(spark, folder, [(f"{i:04d}", 0, 2024, i % 6) for i in range(600)])
+    held = table_log.read(spark, folder, version=0)
+    table_log.merge(held.filter("k < '0100'").withColumn("v", F.lit(1)), folder, ["k"], keys_fix_partition=True, lies_apart=True)
+    assert len(given) == 1 and content(spark, folder) == [(f"{i:04d}", int(i < 100), 2024, i % 6) for i in range(600)]
+    assert all(r.part is not None for r in table_log.listed_files(spark, folder, table_log.snapshot(spark, folder)).collect())
+
+
+def test_keys_are_compared_by_digest(spark, folder, monkeypatch):
+    """However long a key is, 96 bits of it are shuffled; keys that differ in one sign are told apart."""
+    digest, given = table_log.key_digest, []
+    monkeypatch.setattr(table_log, "key_digest", lambda keys: given.append(keys) or digest(keys), raising=False)
+    keys = ["x" * 1000 + str(i) for i in range(200)]
+    merged(spark, folder, [(k, 0, 2024, 1) for k in keys])
+    merged(spark, folder, [(k, 1, 2024, 2) for k in [*keys[::3], "x" * 1000 + "y"]])
+    assert given and content(spark, folder, "k", "v") == sorted([*[(k, int(i % 3 == 0)) for i, k in enumerate(keys)], ("x" * 1000 + "y", 1)], key=repr)
+
+
+def test_evolving_loads_are_shuffled_once(spark, monkeypatch):
+    """The later loads are read from the table, where they lie by partition."""
+    from ridelake.queries import storage
+
+    spread, given = table_log.spread_for_write, []
+    for module in (table_log, storage):
+        monkeypatch.setattr(module, "spread_for_write", lambda df, by: given.append(by) or spread(df, by), raising=False)
+    assert storage.upsert_evolving(spark, SMALL).count() == 6000
+    assert len(given) == 1

@@ -190,3 +190,16 @@ def test_medallion_jobs(spark, folder):
     assert medallion.run_bronze(spark, raw, f"{lake}/bronze", start="2030-01-01") == {"bronze": 0}
     source = tables.scan_table(spark, f"{lake}/bronze").select("source_file").first()[0]
     assert source.endswith(".parquet")
+
+
+def test_few_copies_are_deduplicated_alone(spark):
+    """The rows of dedupe_latest, and rows of keys that come once stay where they are."""
+    once = [(f"k{i}", 1, float(i)) for i in range(500)]
+    several = [*[("hot", i % 7, float(i)) for i in range(90)], ("k3", 2, 0.5), ("k3", None, 9.5), (None, 1, 1.0), (None, 3, 2.0)]
+    rows = spark.createDataFrame([*once, *several], "merge_key string, delivery int, v double").repartition(5)
+    found = silver.dedupe_few_copies(rows, newest="delivery")
+    assert rows_of(found) == rows_of(silver.dedupe_latest(rows, newest="delivery"))
+    assert rows_of(silver.dedupe_few_copies(rows.filter("v > 400"), newest="delivery")) == rows_of(rows.filter("v > 400"))
+    kept = rows.withColumn("_at", F.spark_partition_id())
+    again = silver.dedupe_few_copies(kept, newest="delivery").withColumn("_now", F.spark_partition_id())
+    assert again.filter("_at = _now").count() >= 400
