@@ -191,3 +191,45 @@ def test_keys_of_another_integer_type_are_found(spark, folder):
     sinks.upsert(spark.createDataFrame([(5, 2)], "k bigint, year int"), folder, ["k"], partitions=["year"])
     files = [f"{at}/{f}" for at, _, held in os.walk(folder.removeprefix("file:")) for f in held if f.endswith(".parquet")]
     assert sorted((k, f.split("year=")[1][0]) for f in files for k in spark.read.parquet(f).toPandas()["k"]) == [(5, "2"), (6, "1")]
+
+
+def test_rows_that_stay_in_plain_folders_are_not_shuffled(spark, folder, monkeypatch):
+    spread, given = sinks.spread_for_write, []
+    monkeypatch.setattr(sinks, "spread_for_write", lambda df, by: given.append(by) or spread(df, by))
+    monkeypatch.setattr(sinks, "ROWS_AT_ONCE", 128, raising=False)
+    held = {f"{i:04d}": (0, 2024, i % 6) for i in range(600)}
+    update = {f"{i:04d}": (1, 2025, i % 5) for i in range(0, 660, 11)}
+    nulls = [(None, i, 2024, 1) for i in range(3)]
+    for rows in (held, update):
+        sinks.upsert(spark.createDataFrame([*[(k, *v) for k, v in rows.items()], *nulls], ROWS), folder, ["k"])
+    assert len(given) == 2  # what was received, twice
+    assert content(spark, folder) == sorted([*[(k, *v) for k, v in (held | update).items()], *nulls, *nulls], key=repr)
+
+
+def test_a_swap_that_stopped_between_files_is_finished(spark, folder, monkeypatch):
+    sinks.upsert(spark.createDataFrame([(f"{i}", 1, 2024, i) for i in range(1, 7)], ROWS), folder, ["k"])
+    move, done = sinks._move_in, []
+    monkeypatch.setattr(sinks, "_move_in", lambda *a: move(*a) if not done.append(1) and len(done) < 3 else 1 / 0)
+    update = spark.createDataFrame([(f"{i}", 2, 2024, i) for i in range(1, 6)] + [("n", 2, 2024, 3)], ROWS)
+    with pytest.raises(ZeroDivisionError):
+        sinks.upsert(update, folder, ["k"])
+    monkeypatch.undo()
+    assert sinks.finish_upsert(spark, folder) and not sinks.finish_upsert(spark, folder)
+    assert content(spark, folder) == [*[(f"{i}", 2, 2024, i) for i in range(1, 6)], ("6", 1, 2024, 6), ("n", 2, 2024, 3)]
+
+
+def test_a_first_load_that_fails_leaves_no_table(spark, folder):
+    twice = spark.createDataFrame([("b", 1, 2024, 1), ("b", 2, 2024, 2)], ROWS)
+    with pytest.raises(ValueError, match="more than once"):
+        sinks.upsert(twice, folder, ["k"])
+    sinks.upsert(twice.filter("v > 5"), folder, ["k"])
+    assert not os.path.exists(folder.removeprefix("file:"))
+    sinks.upsert(twice.filter("v = 1"), folder, ["k"])
+    assert content(spark, folder) == [("b", 1, 2024, 1)]
+
+
+def test_many_small_files_of_plain_folders_are_put_together(spark, folder):
+    for i in range(6):
+        sinks.upsert(spark.createDataFrame([(f"{i}-{n}", 0, 2024, 1) for n in range(3)], ROWS), folder, ["k"])
+    names = [f for f in os.listdir(f"{folder.removeprefix('file:')}/year=2024/month=1") if f.endswith(".parquet")]
+    assert len(names) <= 5 and len(content(spark, folder)) == 18
