@@ -33,7 +33,8 @@ COPIES = "_copies"
 # Fits pass over merged rows hundreds of times: fewer of them than this are no task of their own.
 ROWS_PER_TASK = 50_000
 
-# A forest draws rows, not copies: equal rows are dealt over as many rows as this, which are drawn each by itself.
+# A forest draws rows, not copies: equal rows are dealt over as many rows as this, which are drawn each by itself. Trees
+# take rows for equal that lie in the same bins.
 DRAWN_APART = 16
 
 # Fixed value: accuracy from which a model passes.
@@ -149,38 +150,77 @@ def merged_copies(df: DataFrame, columns: Sequence[str], label: str = "label", a
     within a partition is fixed, as draws of rows follow it. The result is computed once.
     """
     keys = [*columns, label]
-    rows = df if apart == 1 else df.withColumn("_apart", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(apart)))
-    keys += ["_apart"] * (apart > 1)
+    rows = df if apart == 1 else df.withColumn("_dealt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(apart)))
+    keys += ["_dealt"] * (apart > 1)
     merged = computed_once(rows.groupBy(*keys).agg(F.count(F.lit(1)).cast("double").alias(COPIES)))
     tasks = -(-merged.count() // ROWS_PER_TASK)
-    return merged.coalesce(max(1, tasks)).sortWithinPartitions(*keys).drop("_apart")
+    return merged.coalesce(max(1, tasks)).sortWithinPartitions(*keys).drop("_dealt")
+
+
+def bin_cuts(df: DataFrame, columns: Sequence[str], bins: int) -> dict[str, list[float]]:
+    """Where each column is cut into at most ``bins`` bins: halfway between neighbours among all its values, if these are no
+    more, else after each of its quantiles. All rows count."""
+    cuts, wide = {}, []
+    for c in columns:
+        few = [r[0] for r in df.select(c).distinct().limit(bins + 1).collect()]
+        # Nulls are no values; NaN is above all and has no neighbour halfway.
+        values = sorted(v for v in few if v is not None and v == v)
+        if len(few) > bins:
+            wide.append(c)
+        else:
+            cuts[c] = [(a + b) / 2 for a, b in zip(values, values[1:])]
+    if wide:
+        at = F.array(*[F.lit(i / bins) for i in range(1, bins)])
+        found = df.agg(*[F.percentile_approx(F.nanvl(c, F.lit(None)), at, 10_000).alias(c) for c in wide]).first()
+        reached = {c: sorted(set(found[c] or ())) for c in wide}
+        above = [F.min(F.when((F.col(c) > q) & ~F.isnan(c), F.col(c))).alias(f"{c}_{i}") for c in wide for i, q in enumerate(reached[c])]
+        after = df.agg(*above).first() if above else {}
+        for c in wide:
+            pairs = [(q, after[f"{c}_{i}"]) for i, q in enumerate(reached[c])]
+            cuts[c] = [(q + n) / 2 for q, n in pairs if n is not None]
+    return {c: cuts[c] for c in columns}
 
 
 def train(df: DataFrame, columns: Sequence[str], classifier, label: str = "label") -> PipelineModel:
     """Scale, assemble, fit: a Spark ML estimator or ``OneAgainstRest``. The result scores raw columns.
 
     Rows equal in columns and label are fitted as one row with their number as its weight, which has the same loss.
-    The scale, one mean and population deviation per column, is kept as SQL in the pipeline:
+    Trees see of a column only its bin: they are fitted on the numbers of the bins, and rows of the same bins are one.
+    The scale, one mean and population deviation per column, is kept as SQL in the pipeline, as are the bins:
     ``StandardScaler`` would divide by the sample deviation.
     """
     scale = {row["column_name"]: (row["mean"], row["std"]) for row in scale_statistics(df, columns).collect()}
     scaled = ", ".join(
         f"(CAST({c} AS DOUBLE) - ({scale[c][0]!r}D)) / ({scale[c][1]!r}D) AS scaled_{c}" for c in columns
     )
-    kernel = classifier.kernel(len(columns), "scaled") if isinstance(classifier, OneAgainstRest) else []
-    prepare = [
-        SQLTransformer(statement=f"SELECT *, {scaled} FROM __THIS__"),
-        VectorAssembler(inputCols=[f"scaled_{c}" for c in columns], outputCol="scaled" if kernel else "features"),
-        *kernel,
-    ]
-    # Fitting passes over the rows many times: they are kept, not derived anew each time.
-    one = classifier.binary if isinstance(classifier, OneAgainstRest) else classifier
+    several = isinstance(classifier, OneAgainstRest)
+    one = classifier.binary if several else classifier
+    kernel = classifier.kernel(len(columns), "scaled") if several else []
     weight = COPIES if one.hasParam("weightCol") else None
-    rows = merged_copies(df, columns, label, DRAWN_APART if one.hasParam("bootstrap") else 1) if weight else df
+    drawn = DRAWN_APART if one.hasParam("bootstrap") else 1
+    scaling = SQLTransformer(statement=f"SELECT *, {scaled} FROM __THIS__")
     kept = ["features", label] + [COPIES] * (weight is not None)
-    vectors = PipelineModel(prepare).transform(rows).select(*kept).persist(StorageLevel.MEMORY_AND_DISK)
+    if weight and one.hasParam("maxBins"):
+        rows = scaling.transform(df)
+        cuts = bin_cuts(rows, [f"scaled_{c}" for c in columns], one.getOrDefault("maxBins"))
+        found = [" + ".join([f"CAST({c} > {cut!r}D AS DOUBLE)" for cut in cuts[c]] or [f"{c} * 0"]) for c in cuts]
+        names = [f"bin_{c}" for c in columns]
+        binning = SQLTransformer(statement=f"SELECT *, {', '.join(f'{b} AS {n}' for b, n in zip(found, names))} FROM __THIS__")
+        prepare = [scaling, binning, VectorAssembler(inputCols=names, outputCol="features")]
+        rows = binning.transform(rows)
+        if several:
+            # Rows kept for calibration are chosen by themselves, not by their bins.
+            rows = rows.withColumn("_apart", classifier.is_apart(F.array(*cuts)))
+        cells = [*names, *["_apart"] * several]
+        vectors = prepare[-1].transform(merged_copies(rows, cells, label, drawn)).select(*kept, *cells[len(names) :])
+    else:
+        prepare = [scaling, VectorAssembler(inputCols=[f"scaled_{c}" for c in columns], outputCol="scaled" if kernel else "features"), *kernel]
+        rows = merged_copies(df, columns, label, drawn) if weight else df
+        vectors = PipelineModel(prepare).transform(rows).select(*kept)
+    # Fitting passes over the rows many times: they are kept, not derived anew each time.
+    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if isinstance(classifier, OneAgainstRest):
+        if several:
             fitted = classifier.fit(vectors, label, weight)
         else:
             made = classifier.copy().setLabelCol(label)

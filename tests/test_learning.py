@@ -198,3 +198,24 @@ def test_equal_rows_are_fitted_and_judged_once(spark):
     ours = ml.train(many, COLUMNS, ml.logistic(50)).stages[-1]
     theirs = ml.logistic(50).fit(PipelineModel(ml.train(many, COLUMNS, ml.logistic(50)).stages[:-1]).transform(many))
     assert np.allclose(ours.interceptVector.toArray(), theirs.interceptVector.toArray(), rtol=0.05, atol=0.2)
+
+
+def test_trees_are_fitted_on_bins(spark, monkeypatch):
+    """Rows that trees cannot tell apart are one: many different values make no more rows to fit, and the same trees."""
+    df = spark.range(20_000).select("id", F.rand(1).alias("a"), (F.col("id") % 7).cast("double").alias("c")).checkpoint()
+    df = df.withColumn("label", (F.col("a") > 0.6).cast("int") + (F.col("a") > 0.9).cast("int"))
+    seen, merge = [], ml.merged_copies
+    monkeypatch.setattr(ml, "merged_copies", lambda *a: seen.append(merge(*a)) or seen[-1])
+    for classifier, parts in ((ml.gradient_boosting(rounds=3, depth=3), 2), (ml.random_forest(trees=5, depth=5), ml.DRAWN_APART)):
+        model = ml.train(df, ["a", "c"], classifier)
+        assert ml.evaluate(ml.batch_inference(model, df)).first()["accuracy"] > 0.95
+        # A bin may hold two labels, and rows kept for calibration beside others.
+        assert seen[-1].count() <= (32 + 2) * 7 * parts and seen[-1].agg(F.sum(ml.COPIES)).first()[0] == 20_000
+
+
+def test_bins_are_cut_between_values(spark):
+    df = spark.range(1000).select((F.col("id") % 4).cast("double").alias("few"), F.col("id").cast("double").alias("many"), F.lit(1.0).alias("one"))
+    df = df.unionByName(spark.createDataFrame([(float("nan"), float("nan"), 1.0)], df.schema))
+    cuts = ml.bin_cuts(df, ["few", "many", "one"], 8)
+    assert cuts["few"] == [0.5, 1.5, 2.5] and cuts["one"] == []
+    assert len(cuts["many"]) == 7 and all(abs(c - 125 * (i + 1)) <= 2 and c % 1 == 0.5 for i, c in enumerate(cuts["many"]))
