@@ -216,7 +216,8 @@ def train(df: DataFrame, columns: Sequence[str], classifier, label: str = "label
     else:
         prepare = [scaling, VectorAssembler(inputCols=[f"scaled_{c}" for c in columns], outputCol="scaled" if kernel else "features"), *kernel]
         rows = merged_copies(df, columns, label, drawn) if weight else df
-        vectors = PipelineModel(prepare).transform(rows).select(*kept)
+        # Kernel features are made again in each pass; what is kept is their input.
+        vectors = PipelineModel(prepare[:2]).transform(rows).select("scaled" if kernel else "features", *kept[1:])
     # Fitting passes over the rows many times: they are kept, not derived anew each time.
     vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     try:

@@ -6,7 +6,9 @@ the random features, which are made batch by batch.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections import deque
+from collections.abc import Callable, Generator, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
@@ -14,9 +16,11 @@ from operator import add
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml import Estimator, Transformer
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml import Estimator, PipelineModel, Transformer
+from pyspark.ml.classification import LinearSVC, LinearSVCModel, LogisticRegression
+from pyspark.ml.common import _py2java
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol, HasPredictionCol, HasProbabilityCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -129,6 +133,8 @@ class OneAgainstRest:
 
     def fit(self, vectors: DataFrame, label: str, weight: str | None = None) -> list[Transformer]:
         """The stages that take ``features`` to prediction and probability; ``weight`` names the column of the rows' weights."""
+        if isinstance(self.binary, LinearSVC):
+            return self._fit_lines(vectors, label, weight)
         rows = vectors if "_apart" in vectors.columns else vectors.withColumn("_apart", self.is_apart(vector_to_array("features")))
         classes = int(rows.agg(F.max(label)).first()[0]) + 1
 
@@ -148,6 +154,140 @@ class OneAgainstRest:
             fitted = list(pool.map(one, range(classes)))
         return [*[model for model, _, _ in fitted], CalibratedMargins([a for _, a, _ in fitted], [b for _, _, b in fitted])]
 
+    def _fit_lines(self, vectors: DataFrame, label: str, weight: str | None) -> list[Transformer]:
+        """Support vectors of all classes at once, by passes over the inputs that make kernel features anew: those are never kept."""
+        spark, inputs = vectors.sparkSession, "scaled" if self.radial else "features"
+        rows = vectors.select(
+            vector_to_array(inputs).alias("inputs"), F.col(label).cast("int").alias("label"), (F.lit(1.0) if weight is None else F.col(weight)).alias("weight")
+        ).withColumn("_apart", self.is_apart(F.col("inputs")))
+        first = rows.agg(F.max("label"), F.max(F.size("inputs"))).first()
+        classes, width = int(first[0]) + 1, int(first[1])
+        kernel = self.kernel(width, inputs)
+        named = {p: self.binary.getOrDefault(p) for p in ("maxIter", "regParam", "tol")}
+        lines = fit_lines(rows.filter("NOT _apart"), classes, width, kernel[0] if kernel else None, **named)
+        models = []
+        for k, (slopes, intercept) in enumerate(lines):
+            made = spark._jvm.org.apache.spark.ml.classification.LinearSVCModel(f"LinearSVC_{uuid.uuid4().hex[:12]}", _py2java(spark.sparkContext, Vectors.dense(slopes)), float(intercept))
+            models.append(LinearSVCModel(made).setRawPredictionCol(f"_raw_{k}").setPredictionCol(f"_one_{k}"))
+        apart = rows.filter("_apart").select(array_to_vector("inputs").alias(inputs), "label", "weight")
+        scored = PipelineModel([*kernel, *models]).transform(apart)
+        margins = scored.select("label", "weight", *[_margin(k).alias(f"m{k}") for k in range(classes)]).persist()
+        try:
+            fitted = [sigmoid(margins.select(F.col(f"m{k}").alias("margin"), (F.col("label") == k).cast("double").alias("_own"), "weight"), "weight") for k in range(classes)]
+        finally:
+            margins.unpersist()
+        return [*models, CalibratedMargins([a for a, _ in fitted], [b for _, b in fitted])]
+
+
+def fit_lines(
+    rows: DataFrame, classes: int, width: int, kernel: RandomFourierFeatures | None, maxIter: int, regParam: float, tol: float
+) -> list[tuple[np.ndarray, float]]:
+    """For each class the line of least weighted mean hinge loss against the rest, with a penalty on slopes of features of unit deviation.
+
+    ``rows`` have ``inputs``, ``label`` and ``weight``. It is what ``LinearSVC`` fits; here the classes share their passes over the rows.
+    """
+    drawn = kernel.projections() if kernel else None
+    size = len(drawn[1]) if drawn else width
+
+    def features(inputs: np.ndarray) -> np.ndarray:
+        return np.cos(inputs @ drawn[0].T + drawn[1]) * np.sqrt(2 / size) if drawn else inputs
+
+    def summed(of: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+        """The sum over all rows of what ``of`` gives for features, labels and weights of some."""
+
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = None
+            for batch in batches:
+                label, weight = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("label", "weight"))
+                inputs = batch.column("inputs").flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+                # Few rows at a time stay in the processor's cache.
+                for i in range(0, len(label), 1024):
+                    part = of(features(inputs[i : i + 1024]), label[i : i + 1024], weight[i : i + 1024])
+                    total = part if total is None else total + part
+            if total is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], ["total"])
+
+        parts = rows.select("inputs", "label", "weight").mapInArrow(work, "total array<double>").collect()
+        return np.sum([r.total for r in parts], axis=0)
+
+    moments = summed(lambda z, _, w: np.concatenate([[w.sum()], w @ z, w @ (z * z)])) if not rows.isEmpty() else np.zeros(1 + 2 * size)
+    total, mean, square = moments[0], moments[1 : size + 1], moments[size + 1 :]
+    if not total:
+        return [(np.zeros(size), 0.0)] * classes
+    spread = np.sqrt(np.maximum(square / total - (mean / total) ** 2, 0))
+    unit = np.divide(1, spread, out=np.zeros(size), where=spread > 1e-12)
+
+    def measured(points: Mapping[int, np.ndarray]) -> dict[int, tuple[float, np.ndarray]]:
+        """Loss and gradient of each class at its point: slopes of features of unit deviation, then the intercept."""
+        known = list(points)
+        slopes, shifts = np.array([points[k][:-1] * unit for k in known]), np.array([points[k][-1] for k in known])
+
+        def of(z: np.ndarray, label: np.ndarray, weight: np.ndarray) -> np.ndarray:
+            side = np.where(label[:, None] == np.array(known), 1.0, -1.0)
+            short = 1 - side * (z @ slopes.T + shifts)
+            pull = np.where(short > 0, -side, 0.0) * weight[:, None]
+            return np.concatenate([weight @ np.maximum(short, 0), (pull.T @ z).ravel(), pull.sum(0)])
+
+        found = summed(of) / total
+        n = len(known)
+        by_slope, by_shift = found[n : n + n * size].reshape(n, size) * unit, found[n + n * size :]
+        return {
+            k: (found[i] + regParam / 2 * points[k][:-1] @ points[k][:-1], np.append(by_slope[i] + regParam * points[k][:-1], by_shift[i]))
+            for i, k in enumerate(known)
+        }
+
+    searches = {k: _descend(np.zeros(size + 1), maxIter, tol) for k in range(classes)}
+    points, ends = {k: next(search) for k, search in searches.items()}, {}
+    while points:
+        found, asked = measured(points), {}
+        for k, value in found.items():
+            try:
+                asked[k] = searches[k].send(value)
+            except StopIteration as end:
+                ends[k] = end.value
+        points = asked
+    return [(ends[k][:-1] * unit, float(ends[k][-1])) for k in range(classes)]
+
+
+def _descend(point: np.ndarray, rounds: int, tolerance: float) -> Generator[np.ndarray, tuple[float, np.ndarray], np.ndarray]:
+    """L-BFGS: asks for loss and gradient at points, returns the best. Ends when rounds gain less than the tolerance."""
+    loss, slope = yield point
+    moves, small = deque(maxlen=10), 0
+    for _ in range(rounds):
+        way, kept = -slope, []
+        for s, y in reversed(moves):
+            share = s @ way / (s @ y)
+            kept.append(share)
+            way = way - share * y
+        if moves:
+            s, y = moves[-1]
+            way = way * (s @ y) / (y @ y)
+        else:
+            way = way / max(1.0, np.linalg.norm(way))
+        for (s, y), share in zip(moves, reversed(kept)):
+            way = way + (share - y @ way / (s @ y)) * s
+        fall, step = slope @ way, 1.0
+        if fall >= 0:
+            way, fall = -slope, -(slope @ slope)
+            moves.clear()
+        if fall > -1e-14:
+            break
+        for _ in range(20):
+            new_loss, new_slope = yield point + step * way
+            if new_loss <= loss + 1e-4 * step * fall:
+                break
+            step /= 2
+        else:
+            break
+        s, y = step * way, new_slope - slope
+        if s @ y > 1e-12 * (y @ y):
+            moves.append((s, y))
+        small = small + 1 if loss - new_loss <= tolerance * max(abs(loss), abs(new_loss), 1e-12) else 0
+        point, loss, slope = point + s, new_loss, new_slope
+        if small >= 3:
+            break
+    return point
+
 
 def sigmoid(margins: DataFrame, weight: str | None = None) -> tuple[float, float]:
     """Slope and intercept that make margins the most likely probabilities of ``_own``; the plain sigmoid without rows of both kinds."""

@@ -219,3 +219,23 @@ def test_bins_are_cut_between_values(spark):
     cuts = ml.bin_cuts(df, ["few", "many", "one"], 8)
     assert cuts["few"] == [0.5, 1.5, 2.5] and cuts["one"] == []
     assert len(cuts["many"]) == 7 and all(abs(c - 125 * (i + 1)) <= 2 and c % 1 == 0.5 for i, c in enumerate(cuts["many"]))
+
+
+def test_lines_of_all_classes_share_their_passes(spark):
+    """Slopes that LinearSVC finds for each class by itself; kernel features are made in each pass and kept nowhere."""
+    df = flowers(spark, 600).withColumn("label", F.when(F.rand(9) < 0.1, (F.rand(8) * 3).cast("int")).otherwise(F.col("label"))).checkpoint()
+    rows = df.select(F.array(*COLUMNS).alias("inputs"), "label", (F.lit(1.0) + F.col("id") % 3).alias("weight"))
+    ours = margins.fit_lines(rows, 3, 4, None, maxIter=200, regParam=0.01, tol=1e-7)
+    from pyspark.ml.classification import LinearSVC
+    from pyspark.ml.functions import array_to_vector
+
+    for k, (slopes, shift) in enumerate(ours):
+        own = rows.select(array_to_vector("inputs").alias("features"), (F.col("label") == k).cast("double").alias("label"), "weight")
+        theirs = LinearSVC(maxIter=200, regParam=0.01, tol=1e-7, weightCol="weight").fit(own)
+        at = np.array([r.inputs for r in rows.collect()])
+        side, w = np.array([1.0 if r.label == k else -1.0 for r in rows.collect()]), np.array([r.weight for r in rows.collect()])
+        lost = [
+            np.average(np.maximum(0, 1 - side * (at @ c + b)), weights=w) + 0.005 * ((c * at.std(0)) ** 2).sum()
+            for c, b in ((slopes, shift), (theirs.coefficients.toArray(), theirs.intercept))
+        ]
+        assert lost[0] <= lost[1] * 1.01
