@@ -16,6 +16,7 @@ from operator import add
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.ml import Estimator, PipelineModel, Transformer
 from pyspark.ml.classification import LinearSVC, LinearSVCModel, LogisticRegression
 from pyspark.ml.common import _py2java
@@ -186,11 +187,23 @@ def fit_lines(
 
     ``rows`` have ``inputs``, ``label`` and ``weight``. It is what ``LinearSVC`` fits; here the classes share their passes over the rows.
     """
+    flat = rows.select(*[F.col("inputs")[i].alias(f"_x{i}") for i in range(width)], "label", "weight").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _fitted_lines(flat, classes, width, kernel, maxIter, regParam, tol)
+    finally:
+        flat.unpersist()
+
+
+def _fitted_lines(
+    flat: DataFrame, classes: int, width: int, kernel: RandomFourierFeatures | None, maxIter: int, regParam: float, tol: float
+) -> list[tuple[np.ndarray, float]]:
     drawn = kernel.projections() if kernel else None
     size = len(drawn[1]) if drawn else width
+    # Cosines in single precision, of which processors take many at once; rows are summed up in double.
+    turns, shift = (np.ascontiguousarray(drawn[0].T, np.float32), drawn[1].astype(np.float32)) if drawn else (None, None)
 
     def features(inputs: np.ndarray) -> np.ndarray:
-        return np.cos(inputs @ drawn[0].T + drawn[1]) * np.sqrt(2 / size) if drawn else inputs
+        return np.cos(inputs.astype(np.float32) @ turns + shift) * np.float32(np.sqrt(2 / size)) if drawn else inputs
 
     def summed(of: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
         """The sum over all rows of what ``of`` gives for features, labels and weights of some."""
@@ -199,7 +212,7 @@ def fit_lines(
             total = None
             for batch in batches:
                 label, weight = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("label", "weight"))
-                inputs = batch.column("inputs").flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+                inputs = np.column_stack([batch.column(f"_x{i}").to_numpy(zero_copy_only=False) for i in range(width)])
                 # Few rows at a time stay in the processor's cache.
                 for i in range(0, len(label), 1024):
                     part = of(features(inputs[i : i + 1024]), label[i : i + 1024], weight[i : i + 1024])
@@ -207,10 +220,10 @@ def fit_lines(
             if total is not None:
                 yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], ["total"])
 
-        parts = rows.select("inputs", "label", "weight").mapInArrow(work, "total array<double>").collect()
-        return np.sum([r.total for r in parts], axis=0)
+        parts = flat.mapInArrow(work, "total array<double>").collect()
+        return np.sum([r.total for r in parts], axis=0) if parts else np.zeros(1 + 2 * size)
 
-    moments = summed(lambda z, _, w: np.concatenate([[w.sum()], w @ z, w @ (z * z)])) if not rows.isEmpty() else np.zeros(1 + 2 * size)
+    moments = summed(lambda z, _, w: np.concatenate([[w.sum()], w @ z, w @ (z * z).astype(np.float64)]))
     total, mean, square = moments[0], moments[1 : size + 1], moments[size + 1 :]
     if not total:
         return [(np.zeros(size), 0.0)] * classes
@@ -224,9 +237,9 @@ def fit_lines(
 
         def of(z: np.ndarray, label: np.ndarray, weight: np.ndarray) -> np.ndarray:
             side = np.where(label[:, None] == np.array(known), 1.0, -1.0)
-            short = 1 - side * (z @ slopes.T + shifts)
+            short = 1 - side * (z @ slopes.T.astype(z.dtype) + shifts)
             pull = np.where(short > 0, -side, 0.0) * weight[:, None]
-            return np.concatenate([weight @ np.maximum(short, 0), (pull.T @ z).ravel(), pull.sum(0)])
+            return np.concatenate([weight @ np.maximum(short, 0), (pull.T.astype(z.dtype) @ z).ravel(), pull.sum(0)])
 
         found = summed(of) / total
         n = len(known)
